@@ -18,6 +18,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Pages can be large: few of them per Arrow batch.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
 
 
