@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+from talkmill.sources.readers import is_json
 
 
 def log_metrics(lines: DataFrame, line: str = "value", step: str = "current_steps", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -14,11 +14,11 @@ def log_metrics(lines: DataFrame, line: str = "value", step: str = "current_step
     Booleans count as 1 and 0; quoted numbers are text and do not count; the
     field ``step`` is left out and the step is read from ``current_steps``.
     """
-    variant = F.try_parse_json(line)
-    parsed = lines.select(*keep, variant.alias("_v"))
-    stepped = parsed.withColumn(step, F.try_variant_get("_v", f"$.{step}", "bigint"))
-    fields = stepped.lateralJoin(
-        stepped.sparkSession.tvf.variant_explode(F.col("_v").outer())
+    whole = lines.filter(is_json(F.col(line)))
+    fields = whole.select(
+        *keep,
+        F.try_variant_get(F.try_parse_json(line), f"$.{step}", "bigint").alias(step),
+        F.explode(F.from_json(line, "map<string,variant>")).alias("key", "value"),
     )
     kind = F.schema_of_variant("value")
     number = F.when(kind == "BOOLEAN", F.try_variant_get("value", "$", "boolean").cast("double")).when(

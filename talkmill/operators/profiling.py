@@ -18,12 +18,6 @@ def row_count(rows: DataFrame, *where: Column) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n"))
 
 
-def valid_lines(scanned: DataFrame) -> DataFrame:
-    """Good and bad lines of a tolerant JSON-lines scan."""
-    good = F.col("_corrupt").isNull()
-    return scanned.agg(F.count_if(good).alias("valid"), F.count_if(~good).alias("malformed"))
-
-
 def corpus_size(scanned: DataFrame) -> DataFrame:
     """Files and megabytes behind a file scan."""
     files = scanned.select("_metadata.file_path", "_metadata.file_size").distinct()

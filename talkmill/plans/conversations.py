@@ -10,7 +10,7 @@ from talkmill import fixed
 from talkmill.functions import messages as ms
 from talkmill.functions import text as tx
 from talkmill.operators import conversations as cv
-from talkmill.operators import ordered, profiling
+from talkmill.operators import generate, ordered, profiling
 from talkmill.plans.registry import query, sql_strip, sql_word_count
 
 TOKENS = r"len(regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]'))"
@@ -467,3 +467,66 @@ def qa_questions(t):
     return turn_pairs(t).select(
         "conv_id", "turn", F.posexplode(ms.parse_questions(text)).alias("position", "question")
     )
+
+
+def stub_asker():
+    """Deterministic generator: one question that needs its source, one that
+    does not; prompts without a full stop fail."""
+
+    def run(prompt: str) -> str:
+        if "." not in prompt:
+            raise ValueError("no sentence")
+        return f"### Question:\n- theo bài\n- length {len(prompt)}?"
+
+    return run
+
+
+def stub_answerer():
+    return lambda prompt: f"answer {len(prompt)}"
+
+
+SQL_PROMPT = "'Ngày đăng: ' || turn || E'\\n\\n Nội dung: ' || text"
+
+
+def prompt_rows(t):
+    return t("conversations").filter("role = 'user'").select(
+        F.concat_ws("/", "conv_id", "turn").alias("link"),
+        F.col("turn").cast("string").alias("time"),
+        F.col("text").alias("content"),
+    )
+
+
+@query(
+    "generate_by_question",
+    f"""WITH p AS (SELECT conv_id || '/' || turn AS link, {SQL_PROMPT} AS prompt FROM conversations WHERE role = 'user')
+        SELECT link, 1 AS position, 'length ' || length(prompt) || '?' AS question,
+               'answer ' || length(prompt || E'\\n\\nlength ' || length(prompt) || '?') AS answer, NULL AS failure
+        FROM p WHERE contains(prompt, '.')
+        UNION ALL SELECT link, NULL, NULL, NULL, 'ValueError: no sentence' FROM p WHERE NOT contains(prompt, '.')""",
+)
+def generate_by_question(t):
+    return generate.generate_pairs_by_question(prompt_rows(t), stub_asker, stub_answerer)
+
+
+def stub_pairs():
+    def run(prompt: str) -> str:
+        if len(prompt) % 5 == 0:
+            return "no template ### Question: broken"
+        return f"### Question: q{len(prompt)} ### Answer: {prompt}"
+
+    return run
+
+
+@query(
+    "generate_pairs",
+    f"""WITH p AS (SELECT conv_id || '/' || turn AS link, {SQL_PROMPT} AS prompt FROM conversations WHERE role = 'user')
+        SELECT link, length(prompt) % 5 <> 0 AS succeeded, CASE WHEN length(prompt) % 5 = 0 THEN 'template' END AS failure,
+               CASE WHEN length(prompt) % 5 <> 0 THEN 'q' || length(prompt) END AS question,
+               CASE WHEN length(prompt) % 5 <> 0 THEN {sql_strip('prompt')} END AS answer FROM p""",
+)
+def generate_pairs(t):
+    made = generate.generate_pairs(prompt_rows(t), stub_pairs)
+    flags = generate.outcomes(made)
+    first = F.get(F.col("pairs"), F.lit(0))
+    shown = made.select("link", "failure", first["question"].alias("question"), first["answer"].alias("answer"))
+    return shown.join(flags, "link")

@@ -1 +1,161 @@
-"""Queries."""
+"""Round trips through files: every query writes the given tables to the shared
+folder and reads them back."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from talkmill.operators import conversations as cv
+from talkmill.operators import packing, profiling
+from talkmill.plans.registry import query
+from talkmill.session import shared_path
+from talkmill.sources import readers, writers
+
+DOCUMENT = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+TURN = "conv_id bigint, turn bigint, role string, text string"
+
+
+def broken_lines(docs: DataFrame, path: str) -> None:
+    """Documents as JSON lines, each tenth followed by a broken line."""
+    line = F.to_json(F.struct(*docs.columns))
+    cut = F.concat(F.substring(line, F.lit(1), F.length(line) - 1), F.lit("}}"))
+    lines = F.when(F.col("doc_id") % 10 == 0, F.array(line, cut)).otherwise(F.array(line))
+    docs.select(F.explode(lines).alias("value")).write.text(path)
+
+
+@query("io_jsonl_tolerant", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def io_jsonl_tolerant(t):
+    docs = t("documents")
+    path = shared_path(docs.sparkSession, "lines")
+    broken_lines(docs, path)
+    return readers.json_lines(docs.sparkSession, path, DOCUMENT)
+
+
+@query("io_line_report", "SELECT count(*) AS valid, count(*) FILTER (doc_id % 10 = 0) AS malformed FROM documents")
+def io_line_report(t):
+    docs = t("documents")
+    path = shared_path(docs.sparkSession, "lines")
+    broken_lines(docs, path)
+    return readers.line_report(docs.sparkSession, path)
+
+
+@query(
+    "io_mixed_union",
+    """SELECT conv_id AS id, turn, role, text, NULL AS lang FROM conversations
+       UNION ALL SELECT doc_id, NULL, NULL, text, lang FROM documents""",
+)
+def io_mixed_union(t):
+    turns, docs = t("conversations"), t("documents")
+    spark = turns.sparkSession
+    path = shared_path(spark, "mixed")
+    # One JSON array per conversation and file of arrays; documents as lines.
+    entry = F.to_json(F.struct(F.col("conv_id").alias("id"), "turn", "role", "text"))
+    arrays = turns.select(F.concat(F.lit("["), entry, F.lit("]")).alias("value"))
+    arrays.write.option("lineSep", "\n").text(f"{path}/arrays")
+    docs.select(F.to_json(F.struct(F.col("doc_id").alias("id"), "text", "lang")).alias("value")).write.text(f"{path}/lines")
+    first = readers.json_array_lines(spark, f"{path}/arrays", "id bigint, turn bigint, role string, text string")
+    second = readers.json_lines(spark, f"{path}/lines", "id bigint, text string, lang string")
+    return readers.union_all([first, second])
+
+
+@query("io_csv_results", "SELECT doc_id, text, lang, n_chars FROM documents")
+def io_csv_results(t):
+    docs = t("documents").select("doc_id", "text", "lang", "n_chars")
+    path = shared_path(docs.sparkSession, "csv")
+    writers.csv_results(docs, path)
+    reader = docs.sparkSession.read.schema("doc_id bigint, text string, lang string, n_chars bigint")
+    return reader.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+
+
+@query("io_append", "SELECT event_type, count(*) * 2 AS n FROM events GROUP BY event_type")
+def io_append(t):
+    events = t("events").select("event_id", "event_type")
+    path = shared_path(events.sparkSession, "append")
+    writers.append(events, path)
+    writers.append(events, path)
+    stored = readers.collection(events.sparkSession, path, columns=("event_type",))
+    return stored.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("io_rolling_files", "SELECT count(*) AS n, true AS within_limit FROM events")
+def io_rolling_files(t):
+    events = t("events").select("event_id", "value")
+    path = shared_path(events.sparkSession, "rolling")
+    writers.rolling_json(events, path, 1000)
+    rows = events.sparkSession.read.schema("event_id bigint, value double").json(path)
+    per_file = rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("k"))
+    return per_file.agg(F.sum("k").alias("n"), (F.max("k") <= 1000).alias("within_limit"))
+
+
+@query(
+    "io_split_write",
+    "SELECT doc_id, CASE WHEN doc_id % 4 = 0 OR lang = 'de' THEN 'bad' ELSE 'good' END AS outcome FROM documents",
+)
+def io_split_write(t):
+    docs = t("documents").select("doc_id", "lang", F.when(F.col("doc_id") % 4 != 0, F.col("text")).alias("content"))
+    path = shared_path(docs.sparkSession, "split")
+    writers.split_write(docs, (F.col("lang") != "de") & F.col("content").isNotNull(), path)
+    return docs.sparkSession.read.schema("doc_id bigint, outcome string").json(path)
+
+
+@query(
+    "io_chunked_export",
+    """SELECT (rn - 1) // 5000 AS chunk, count(*) AS n, min(o_orderkey) AS low, max(o_orderkey) AS high
+       FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders) GROUP BY 1""",
+)
+def io_chunked_export(t):
+    rows = t("orders").select("o_orderkey", "o_orderdate")
+    path = shared_path(rows.sparkSession, "export")
+    writers.chunked(packing.export_chunks(rows, [F.col("o_orderdate"), F.col("o_orderkey")], 5000), path)
+    back = rows.sparkSession.read.schema("o_orderkey bigint, chunk bigint").json(path)
+    return back.groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
+    )
+
+
+@query("io_manifest", "SELECT 'conv_' || conv_id % 3 AS name, 'conv_' || conv_id % 3 || '.jsonl' AS file_name, 'role' AS role_tag FROM conversations GROUP BY 1, 2")
+def io_manifest(t):
+    named = t("conversations").select(F.concat(F.lit("conv_"), F.col("conv_id") % 3, F.lit(".jsonl")).alias("file_name"))
+    return writers.manifest(named).select("name", "entry.file_name", F.col("entry.tags.role_tag").alias("role_tag"))
+
+
+@query("io_corpus_size")
+def io_corpus_size(t):
+    docs = t("documents")
+    path = shared_path(docs.sparkSession, "size")
+    docs.write.json(path)
+    return profiling.corpus_size(docs.sparkSession.read.schema(DOCUMENT).json(path))
+
+
+@query(
+    "io_template_tables",
+    """SELECT conv_id, turn, 'sft' AS origin FROM conversations WHERE conv_id % 2 = 0 AND role <> 'system'
+       UNION ALL SELECT conv_id, turn, 'thinking' FROM conversations WHERE conv_id % 2 = 0 AND role = 'assistant'""",
+)
+def io_template_tables(t):
+    rows = t("conversations").withColumn("version", F.concat(F.lit("v"), F.col("conv_id") % 2))
+    tables = {
+        "sft": rows.filter("role <> 'system'").withColumn("origin", F.lit("sft")),
+        "thinking": rows.filter("role = 'assistant'").withColumn("origin", F.lit("thinking")),
+    }
+    return readers.read_for_template(tables, "qwen3", "v0").select("conv_id", "turn", "origin")
+
+
+@query("io_warehouse_scan", "SELECT conv_id, turn, text FROM conversations WHERE role = 'user'")
+def io_warehouse_scan(t):
+    turns = t("conversations")
+    return readers.warehouse(
+        turns.sparkSession, "SELECT conv_id, turn, text FROM {turns} WHERE role = 'user'", turns=turns
+    )
+
+
+@query("io_training_files", "SELECT conv_id, count(*) AS n_messages FROM conversations GROUP BY conv_id")
+def io_training_files(t):
+    nested = cv.nest(t("conversations")).withColumn("word_count", F.size("messages"))
+    path = shared_path(nested.sparkSession, "train")
+    writers.upload_batches(nested, path)
+    back = readers.json_lines(
+        nested.sparkSession, path, "conv_id bigint, messages array<struct<role:string,content:string>>"
+    )
+    return back.groupBy("conv_id").agg(F.sum(F.size("messages")).alias("n_messages"))

@@ -4,35 +4,50 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkmill import fixed
 
 CORRUPT = "_corrupt"
+VARIANT_CHARS = 16_000_000
 
 
 def _schema(schema: str | T.StructType) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def is_json(line: Column) -> Column:
+    """The line is one whole JSON value: nothing behind it, no single quotes.
+
+    Readers accept text behind a complete value, so the line is also read
+    inside an array and inside an object, where such text is an error.
+    """
+    one = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
+    inside = F.json_array_length(F.concat(F.lit('[{"v":'), line, F.lit("}]"))) == 1
+    # Longer values do not fit the parsed form.
+    strict = F.try_parse_json(line).isNotNull() | (F.length(line) > VARIANT_CHARS)
+    return F.coalesce(one & inside & strict, F.lit(False))
+
+
 def json_lines(spark: SparkSession, path: str, schema: str | T.StructType, keep_bad: bool = False) -> DataFrame:
-    """JSON lines; malformed lines are skipped, or kept with their text in
-    ``_corrupt`` when ``keep_bad``."""
+    """JSON lines; malformed lines (also values that are no objects) are
+    skipped, or kept with their text in ``_corrupt`` when ``keep_bad``."""
     wide = _schema(schema).add(CORRUPT, "string")
-    rows = (
-        spark.read.schema(wide)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .json(path)
+    options = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    bad = F.col(f"_r.{CORRUPT}").isNotNull() | ~is_json(F.col("value")) | ~F.col("value").rlike(r"^\s*\{")
+    rows = lines.select("value", F.from_json("value", wide, options).alias("_r")).select(
+        *[F.col(f"_r.{f.name}").alias(f.name) for f in _schema(schema).fields],
+        F.when(bad, F.col("value")).alias(CORRUPT),
     )
     return rows if keep_bad else rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
 def line_report(spark: SparkSession, path: str) -> DataFrame:
     """One row ``valid, malformed`` of a JSON-lines corpus."""
-    good = F.try_parse_json("value").isNotNull()
+    good = is_json(F.col("value"))
     return spark.read.option("recursiveFileLookup", True).text(path).agg(
         F.count_if(good).alias("valid"), F.count_if(~good).alias("malformed")
     )
@@ -49,6 +64,13 @@ def json_arrays(spark: SparkSession, path: str, schema: str | T.StructType) -> D
     )
 
 
+def json_array_lines(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """Lines that hold one JSON array each, one row per element."""
+    element = T.ArrayType(_schema(schema))
+    lines = spark.read.option("recursiveFileLookup", True).text(path).filter(is_json(F.col("value")))
+    return lines.select(F.inline(F.from_json("value", element)))
+
+
 def mixed_directory(
     spark: SparkSession, path: str, array_schema: str | T.StructType, line_schema: str | T.StructType | None = None
 ) -> DataFrame:
@@ -57,15 +79,13 @@ def mixed_directory(
     other."""
     name = F.col("_metadata.file_name").alias("file_name")
     arrays = json_arrays(spark, path, array_schema).select("*", name)
-    lines = (
-        spark.read.schema(_schema(line_schema or array_schema).add(CORRUPT, "string"))
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.jsonl")
-        .json(path)
-        .filter(F.col(CORRUPT).isNull())
-        .select("*", name)
-        .drop(CORRUPT)
+    wide = _schema(line_schema or array_schema)
+    text = (
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
+    )
+    good = text.select("value", name).filter(is_json(F.col("value")) & F.col("value").rlike(r"^\s*\{"))
+    lines = good.select(F.from_json("value", wide).alias("_r"), "file_name").select(
+        *[F.col(f"_r.{f.name}").alias(f.name) for f in wide.fields], "file_name"
     )
     return arrays.unionByName(lines, allowMissingColumns=True)
 
