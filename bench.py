@@ -57,6 +57,7 @@ def main() -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="12g",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}

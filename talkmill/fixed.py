@@ -1,8 +1,13 @@
 """Word lists, prompts, patterns and constants that results
 depend on.  They must stay exactly as they are."""
 
-# Characters that str.split() and str.strip() treat as blanks (a regex class body).
-BLANKS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Characters that str.split() and str.strip() treat as blanks: as a class body
+# for patterns with the (?U) flag, and one by one.
+BLANKS = r"\s\x1c-\x1f"
+BLANK_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # CJK unified ideographs, the range that marks wrong-script text.
 CJK = r"[\u4e00-\u9fff]"

@@ -79,7 +79,7 @@ def extract_answer(response: Column, mode: str = "MCQ") -> Column:
     box = F.substring_index(F.substring_index(response, "\\boxed{", -1), "}", 1)
     box = F.substring_index(_drop(tx.strip(box), " ", ","), "\\textbf{", -1)
 
-    tail = F.regexp_replace(response, f"(?s)^.*{fixed.ANSWER_LABEL}[{fixed.BLANKS}]*:", "")
+    tail = F.regexp_replace(response, f"(?sU)^.*{fixed.ANSWER_LABEL}[{fixed.BLANKS}]*:", "")
     letter = F.substring(_drop(F.upper(tx.strip(tail)), " ", ","), 1, 1)
     labelled = F.when(letter == "", F.lit(None)).when(
         letter.rlike(f"^[{fixed.CHOICE_LETTERS}]\\z"), letter

@@ -20,7 +20,7 @@ def normalise_markdown(text: Column) -> Column:
     """Blanks collapsed and newlines unwrapped outside closed code fences."""
 
     def tidy(t: Column) -> Column:
-        return unwrap_newlines(F.regexp_replace(t, " +", " "))
+        return unwrap_newlines(F.regexp_replace(t, " {2,}", " "))
 
     def by_fence(pieces: Column) -> Column:
         # Odd pieces are inside a fence; the last piece is never closed.

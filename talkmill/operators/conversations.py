@@ -126,29 +126,25 @@ def good_pairs(turns: DataFrame, lead_ins=None, drop_first=None, refusals=None)
     An opening assistant turn has no previous one and yields nothing, unless it
     is the whole conversation.
     """
-    cleaned = turns.select(
-        KEY,
-        TURN,
-        "role",
-        F.when(
-            F.col("role") == "assistant",
-            tx.strip_lead_ins(
-                F.col("text"),
-                fixed.LEAD_INS if lead_ins is None else lead_ins,
-                fixed.DROP_FIRST_SENTENCE if drop_first is None else drop_first,
-            ),
+
+    def cleaned(role: str, text: str) -> Column:
+        answer = tx.strip_lead_ins(
+            F.col(text),
+            fixed.LEAD_INS if lead_ins is None else lead_ins,
+            fixed.DROP_FIRST_SENTENCE if drop_first is None else drop_first,
         )
-        .otherwise(F.col("text"))
-        .alias("text"),
-    )
+        return F.when(F.col(role) == "assistant", answer).otherwise(F.col(text)).alias(text)
+
+    # Cleaning comes after the scan, which reads its input twice.
     scanned = ordered_scan(
-        cleaned, [KEY], [F.col(TURN)], lags={"prev_role": "role", "prev_text": "text"}
-    )
+        turns.select(KEY, TURN, "role", "text"),
+        [KEY],
+        [F.col(TURN)],
+        lags={"prev_role": "role", "prev_text": "text"},
+    ).filter(F.col("role") == "assistant")
+    scanned = scanned.select(KEY, TURN, "role", cleaned("role", "text"), "prev_role", cleaned("prev_role", "prev_text"))
     alone = turns.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select(KEY)
-    good = scanned.filter(
-        (F.col("role") == "assistant")
-        & ~tx.is_refusal(F.col("text"), fixed.REFUSALS if refusals is None else refusals)
-    )
+    good = scanned.filter(~tx.is_refusal(F.col("text"), fixed.REFUSALS if refusals is None else refusals))
     both = good.filter(F.col("prev_role").isNotNull()).select(
         KEY,
         F.col(TURN).alias("pair"),

@@ -15,10 +15,11 @@ def log_metrics(lines: DataFrame, line: str = "value", step: str = "current_step
     field ``step`` is left out and the step is read from ``current_steps``.
     """
     whole = lines.filter(is_json(F.col(line)))
-    fields = whole.select(
+    parsed = whole.select(*keep, F.from_json(line, "map<string,variant>").alias("_m"))
+    fields = parsed.select(
         *keep,
-        F.try_variant_get(F.try_parse_json(line), f"$.{step}", "bigint").alias(step),
-        F.explode(F.from_json(line, "map<string,variant>")).alias("key", "value"),
+        F.try_variant_get(F.try_element_at("_m", F.lit(step)), "$", "bigint").alias(step),
+        F.explode("_m").alias("key", "value"),
     )
     kind = F.schema_of_variant("value")
     number = F.when(kind == "BOOLEAN", F.try_variant_get("value", "$", "boolean").cast("double")).when(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from talkmill import fixed
 from talkmill.operators.conversations import KEY, TURN
 from talkmill.operators.ordered import global_row_number
+from talkmill.session import stage
 
 
 class Segment(NamedTuple):
@@ -84,10 +85,16 @@ def pack(
     """``id, word_count, pos, chunk_id, slot`` of the short rows.
 
     ``pos`` is the place in (word_count descending, id) order, found by one
-    range shuffle of the narrow rows; the histogram has fewer than
-    ``max_words`` rows, so the chunk shape is worked out on the driver.
+    range shuffle of the narrow rows; the histogram has at most ``max_words``
+    rows, so the chunk shape is worked out on the driver.
     """
-    short, _ = split_by_length(lengths.select(id_column, "word_count"), max_words)
+    return _pack_staged(stage(lengths.select(id_column, "word_count"), "lengths"), id_column, max_words, max_rows)
+
+
+def _pack_staged(lengths: DataFrame, id_column: str, max_words: int, max_rows: int) -> DataFrame:
+    """``pack`` over staged lengths: range partitioning reads its input twice,
+    which must not count the words of every text twice."""
+    short, _ = split_by_length(lengths, max_words)
     placed = global_row_number(
         short, [F.col("word_count").desc(), F.col(id_column).asc()], name="pos", start=0
     )
@@ -139,9 +146,10 @@ def training_groups(
 ) -> DataFrame:
     """Groups of short chunks and of long rows: ``kind, group_id, item, id``;
     ``item`` is the chunk number, or the place of a long row in id order."""
-    packed = pack(lengths, id_column, max_words, max_rows)
+    lengths = stage(lengths.select(id_column, "word_count"), "lengths")
+    packed = _pack_staged(lengths, id_column, max_words, max_rows)
     n_chunks = packed.agg(F.coalesce(F.max("chunk_id") + 1, F.lit(0))).first()[0]
-    _, long_rows = split_by_length(lengths.select(id_column, "word_count"), max_words)
+    _, long_rows = split_by_length(lengths, max_words)
     numbered = global_row_number(long_rows, [F.col(id_column)], name="item", start=0)
     n_long = numbered.count()
     short_groups = groups(packed.withColumn("item", F.col("chunk_id")), "item", n_chunks, size, drop_tail)

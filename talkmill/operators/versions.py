@@ -55,8 +55,10 @@ def navigation(documents: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def restore(documents: DataFrame, key: str, order: list[str], index: int) -> DataFrame:
-    """Documents with the versions after number ``index`` (from 0) removed."""
-    return numbered(documents, key, order).filter(F.col("version_no") <= index + 1)
+    """Documents with the versions after number ``index`` (from 0) removed.
+    Only the keys are numbered; contents are joined back on (key, order)."""
+    kept = numbered(documents.select(key, *order), key, order).filter(F.col("version_no") <= index + 1)
+    return documents.join(kept, [key, *order])
 
 
 def delete_newer(

@@ -26,8 +26,10 @@ def is_json(line: Column) -> Column:
     """
     one = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
     inside = F.json_array_length(F.concat(F.lit('[{"v":'), line, F.lit("}]"))) == 1
-    # Longer values do not fit the parsed form.
-    strict = F.try_parse_json(line).isNotNull() | (F.length(line) > VARIANT_CHARS)
+    # Only the parsed form refuses single quotes; longer values do not fit it.
+    strict = (
+        ~F.contains(line, F.lit("'")) | F.try_parse_json(line).isNotNull() | (F.length(line) > VARIANT_CHARS)
+    )
     return F.coalesce(one & inside & strict, F.lit(False))
 
 

@@ -12,7 +12,7 @@ from tests.compare import difference, duck_rows, spark_rows
 
 
 def main(folder: str, names: list[str]) -> int:
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g")
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     wrong = 0
     for name in names or list(QUERIES):
