@@ -12,7 +12,8 @@ FENCE = "```"
 
 def unwrap_newlines(text: Column) -> Column:
     """Single newlines inside sentences become blanks; list and table lines stay."""
-    joined = F.regexp_replace(text, r"(?<!\n)\n(?![\n\-*|])", " ")
+    # Starts with the newline itself, so that the search skips to newlines.
+    joined = F.regexp_replace(text, r"\n(?<!\n\n)(?![\n\-*|])", " ")
     return F.replace(F.replace(joined, F.lit("** _"), F.lit("**_")), F.lit("_ **"), F.lit("_**"))
 
 
@@ -91,7 +92,7 @@ def repair_tables(text: Column) -> Column:
         )
         return F.array_join(rows, "")
 
-    has_divider = text.rlike(r"(?m)^[ \-:]*\|[ \-:|]*$")
+    has_divider = F.contains(text, F.lit("|")) & text.rlike(r"(?m)^[ \-:]*\|[ \-:|]*$")
     return F.when(has_divider, bind(F.split(text, "\n", -1), repair)).otherwise(
         F.concat(text, F.lit("\n"))
     )

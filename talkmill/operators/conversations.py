@@ -78,7 +78,8 @@ def keep_valid(turns: DataFrame, on_empty: str = "truncate") -> DataFrame:
     facts = turns.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(at_empty).alias("cut"),
-        F.min_by("role", at_empty).alias("cut_role"),
+        # Booleans keep the aggregate hash-based; texts would make it sort.
+        F.min_by(F.col("role") == "assistant", at_empty).alias("answer_empty"),
     )
     if on_empty == "drop":
         keep = facts.filter((F.col("n") > 1) & F.col("cut").isNull())
@@ -88,9 +89,8 @@ def keep_valid(turns: DataFrame, on_empty: str = "truncate") -> DataFrame:
         turns.select(KEY, TURN)
         .join(broken, KEY)
         .filter(F.col(TURN) < F.col("cut"))
-        .groupBy(KEY, "cut", "cut_role")
+        .groupBy(KEY, "cut", "answer_empty")
         .agg(F.count(F.lit(1)).alias("n_before"), F.max(TURN).alias("last"))
-        .withColumn("answer_empty", F.col("cut_role") == "assistant")
         .filter(F.col("n_before") - F.col("answer_empty").cast("int") > 1)
         .select(KEY, F.when(F.col("answer_empty"), F.col("last")).otherwise(F.col("cut")).alias("stop"))
     )
@@ -103,8 +103,10 @@ def keep_valid(turns: DataFrame, on_empty: str = "truncate") -> DataFrame:
 
 def add_system(turns: DataFrame, prompt: str = fixed.DEFAULT_SYSTEM) -> DataFrame:
     """A system turn before the first turn where that is not one already."""
-    first = turns.groupBy(KEY).agg(F.min(TURN).alias("first"), F.min_by("role", TURN).alias("first_role"))
-    added = first.filter(F.col("first_role") != "system").select(
+    first = turns.groupBy(KEY).agg(
+        F.min(TURN).alias("first"), F.min_by(F.col("role") == "system", TURN).alias("has_system")
+    )
+    added = first.filter(~F.col("has_system")).select(
         KEY, (F.col("first") - 1).alias(TURN), F.lit("system").alias("role"), F.lit(prompt).alias("text")
     )
     return turns.select(KEY, TURN, "role", "text").unionByName(added)
@@ -166,7 +168,7 @@ def sections(turns: DataFrame) -> DataFrame:
     turn; leading turns of other roles share section 0."""
     marked = turns.withColumn("_user", (F.col("role") == "user").cast("bigint"))
     scanned = ordered_scan(marked, [KEY], [F.col(TURN)], running_sums={"_users": "_user"})
-    first = turns.groupBy(KEY).agg((F.min_by("role", TURN) == "user").cast("bigint").alias("_open"))
+    first = turns.groupBy(KEY).agg(F.min_by(F.col("role") == "user", TURN).cast("bigint").alias("_open"))
     return scanned.join(first, KEY).select(
         *turns.columns, (F.col("_users") - F.col("_open")).alias("section")
     )

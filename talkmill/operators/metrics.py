@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.sources.readers import is_json
+from talkmill.sources.readers import closes_early
 
 
 def log_metrics(lines: DataFrame, line: str = "value", step: str = "current_steps", keep: tuple[str, ...] = ()) -> DataFrame:
@@ -14,16 +14,22 @@ def log_metrics(lines: DataFrame, line: str = "value", step: str = "current_step
     Booleans count as 1 and 0; quoted numbers are text and do not count; the
     field ``step`` is left out and the step is read from ``current_steps``.
     """
-    whole = lines.filter(is_json(F.col(line)))
-    parsed = whole.select(*keep, F.from_json(line, "map<string,variant>").alias("_m"))
+    # Read inside brackets, so that text behind the object makes the line bad.
+    boxed = F.from_json(
+        F.concat(F.lit("["), line, F.lit("]")), "array<map<string,variant>>", {"allowSingleQuotes": "false"}
+    )
+    parsed = lines.select(*keep, F.when(~closes_early(F.col(line)), boxed).alias("_a"))
+    parsed = parsed.filter(F.size("_a") == 1).select(*keep, F.get("_a", F.lit(0)).alias("_m"))
     fields = parsed.select(
         *keep,
         F.try_variant_get(F.try_element_at("_m", F.lit(step)), "$", "bigint").alias(step),
         F.explode("_m").alias("key", "value"),
     )
-    kind = F.schema_of_variant("value")
-    number = F.when(kind == "BOOLEAN", F.try_variant_get("value", "$", "boolean").cast("double")).when(
-        kind.isin("BIGINT", "DOUBLE") | F.startswith(kind, F.lit("DECIMAL")), F.try_variant_get("value", "$", "double")
+    shown = F.to_json("value")
+    number = (
+        F.when(shown.rlike("^-?[0-9]"), shown.try_cast("double"))
+        .when(shown == "true", F.lit(1.0))
+        .when(shown == "false", F.lit(0.0))
     )
     return (
         fields.select(*keep, F.col(step).alias("step"), "key", number.alias("metric"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill import fixed
+from talkmill.functions import text as tx
 from talkmill.operators.conversations import KEY, TURN
 from talkmill.operators.ordered import global_row_number
 from talkmill.session import stage
@@ -103,22 +104,125 @@ def _pack_staged(lengths: DataFrame, id_column: str, max_words: int, max_rows: i
     return placed.select(id_column, "word_count", "pos", chunk.alias("chunk_id"), slot.alias("slot"))
 
 
-def merge_chunks(turns: DataFrame, packed: DataFrame) -> DataFrame:
+def measure(turns: DataFrame) -> DataFrame:
+    """Facts of every turn: one pass over the texts, narrow rows out."""
+    text = F.coalesce("text", F.lit(""))
+    return turns.select(
+        KEY,
+        TURN,
+        (F.col("role") == "assistant").alias("answer"),
+        (F.col("role") == "system").alias("system"),
+        (text == "").alias("empty"),
+        tx.has_cjk(text).alias("wrong_script"),
+        tx.word_count(text).alias("words"),
+    )
+
+
+def usable(measured: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM) -> DataFrame:
+    """Conversations worth training on: no wrong script, and more than one turn
+    before the first empty one (less its question).
+
+    ``conv_id, first, stop, has_system, n_messages, word_count``: turns from
+    ``stop`` on do not count; ``word_count`` includes the prompt put before a
+    conversation without a system message (no prompt: nothing is put there).
+    """
+    at_empty = F.when(F.col("empty"), F.col(TURN))
+    facts = (
+        measured.groupBy(KEY)
+        .agg(
+            F.bool_or("wrong_script").alias("wrong"),
+            F.min(at_empty).alias("cut"),
+            F.coalesce(F.min_by("answer", at_empty), F.lit(False)).alias("answer_empty"),
+            F.min(TURN).alias("first"),
+            F.min_by("system", TURN).alias("has_system"),
+        )
+        .filter(~F.col("wrong"))
+        .drop("wrong")
+    )
+    counted = (
+        measured.select(KEY, TURN, "words")
+        .join(facts, KEY)
+        .filter(F.col("cut").isNull() | (F.col(TURN) < F.col("cut")))
+        .groupBy(*facts.columns)
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("words").alias("all_words"),
+            F.max(TURN).alias("last"),
+            F.max_by("words", TURN).alias("last_words"),
+        )
+    )
+    dropped = F.col("answer_empty").cast("int")
+    prompted = 0 if prompt is None else len(prompt.split())
+    n_left = F.col("n") - dropped
+    return counted.filter(n_left > 1).select(
+        KEY,
+        "first",
+        F.when(F.col("answer_empty"), F.col("last")).otherwise(F.col("cut")).alias("stop"),
+        "has_system",
+        n_left.alias("n_messages"),
+        (
+            F.col("all_words")
+            - dropped * F.col("last_words")
+            + F.when(F.col("has_system"), 0).otherwise(prompted)
+        ).alias("word_count"),
+    )
+
+
+def merge_chunks(
+    turns: DataFrame, packed: DataFrame, conversations: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM
+) -> DataFrame:
     """Turns of packed conversations as merged conversations, one row per
     message: ``chunk_id, slot, turn, role, text``.
 
-    The first row of a chunk is a system message with the text of the first
-    message of its first conversation; then come the user and assistant turns.
+    The first row of a chunk (slot -1) is a system message with the text of the
+    first message of its first conversation, which is the prompt where one was
+    put before it; then come the user and assistant turns.
     """
-    placed = turns.join(packed.select(KEY, "chunk_id", "slot"), KEY)
-    opening = placed.filter(F.col("slot") == 0).groupBy("chunk_id").agg(F.min(TURN).alias(TURN))
-    system = (
-        placed.filter(F.col("slot") == 0)
-        .join(opening, ["chunk_id", TURN], "left_semi")
-        .select("chunk_id", F.lit(-1).cast("bigint").alias("slot"), TURN, F.lit("system").alias("role"), "text")
+    chosen = packed.select(KEY, "chunk_id", "slot").join(
+        conversations.select(KEY, "first", "stop", "has_system"), KEY
+    )
+    opens = F.col("slot") == 0
+    own_first = opens if prompt is None else opens & F.col("has_system")
+    placed = turns.join(chosen, KEY).filter(F.col("stop").isNull() | (F.col(TURN) < F.col("stop")))
+    as_system = F.struct(F.lit(-1).cast("bigint").alias("slot"), F.lit("system").alias("role"))
+    as_spoken = F.struct(F.col("slot"), F.col("role"))
+    rows = placed.withColumn(
+        "m",
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.when(own_first & (F.col(TURN) == F.col("first")), as_system),
+                    F.when(F.col("role").isin("user", "assistant"), as_spoken),
+                )
+            )
+        ),
+    ).select("chunk_id", "m.slot", TURN, "m.role", "text")
+    if prompt is None:
+        return rows
+    added = chosen.filter(opens & ~F.col("has_system")).select(
+        "chunk_id",
+        F.lit(-1).cast("bigint").alias("slot"),
+        (F.col("first") - 1).alias(TURN),
+        F.lit("system").alias("role"),
+        F.lit(prompt).alias("text"),
     )
-    spoken = placed.filter(F.col("role").isin("user", "assistant"))
-    return system.unionByName(spoken.select("chunk_id", "slot", TURN, "role", "text"))
+    return rows.unionByName(added)
+
+
+def training_messages(
+    turns: DataFrame,
+    max_words: int = fixed.MAX_WORDS,
+    max_rows: int = fixed.MAX_CONVERSATIONS,
+    prompt: str | None = fixed.DEFAULT_SYSTEM,
+) -> DataFrame:
+    """Cleaned, prompted and packed conversations, one row per message.
+
+    The texts are read twice: once for the facts of every turn, once to merge.
+    Everything between works on staged narrow rows.
+    """
+    conversations = stage(usable(measure(turns), prompt), "conversations")
+    packed = _pack_staged(conversations.select(KEY, "word_count"), KEY, max_words, max_rows)
+    return merge_chunks(turns, packed, conversations, prompt)
 
 
 def groups(

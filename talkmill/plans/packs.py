@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from talkmill.functions import text as tx
-from talkmill.operators import conversations as cv
 from talkmill.operators import ordered, packing
+from talkmill.plans.conversations import SQL_EMPTIED, emptied
 from talkmill.plans.registry import query, sql_word_count
 
 SQL_DOCS = f"""WITH lens AS (SELECT doc_id, {sql_word_count('text')} AS word_count FROM documents),
@@ -66,12 +66,6 @@ SQL_CONV = f"""WITH first AS (SELECT conv_id, min(turn) AS first, arg_min(role,
     opening AS (SELECT conv_id, min(turn) AS turn FROM turns GROUP BY conv_id)"""
 
 
-def training_messages(turns, max_words=1000, max_rows=2):
-    """Cleaned, prompted and packed conversations, one row per message."""
-    clean = cv.add_system(cv.keep_valid(cv.drop_wrong_script(turns)))
-    return packing.merge_chunks(clean, packing.pack(cv.word_counts(clean), cv.KEY, max_words, max_rows))
-
-
 @query(
     "pack_merge",
     SQL_CONV
@@ -80,7 +74,34 @@ def training_messages(turns, max_words=1000, max_rows=2):
           SELECT chunk_id, slot, turn, role, text FROM turns JOIN packed USING (conv_id) WHERE role IN ('user', 'assistant')""",
 )
 def pack_merge(t):
-    return training_messages(t("conversations"))
+    return packing.training_messages(t("conversations"))
+
+
+def worn(t):
+    """Conversations with some empty turns and some CJK text."""
+    turns = emptied(t)
+    marked = (F.col("conv_id") % 5 == 2) & (F.col("turn") == 1)
+    return turns.withColumn("text", F.when(marked, F.concat("text", F.lit(" 中文"))).otherwise(F.col("text")))
+
+
+SQL_WORN = SQL_EMPTIED.replace("WITH t AS (", "WITH e AS (").replace("FROM t GROUP BY conv_id)", "FROM e GROUP BY conv_id)")
+
+
+@query(
+    "usable_conversations",
+    SQL_WORN
+    + f""", kept AS (
+        SELECT e.*, count(*) OVER (PARTITION BY conv_id) AS n_left, max(turn) OVER (PARTITION BY conv_id) AS last,
+               coalesce(cut_role = 'assistant', false) AS answer_empty
+        FROM e JOIN cuts USING (conv_id)
+        WHERE (cut IS NULL OR turn < cut) AND NOT (conv_id % 5 = 2 AND conv_id IN (SELECT conv_id FROM conversations WHERE turn = 1))),
+      good AS (SELECT * FROM kept WHERE n_left - CAST(answer_empty AS INT) > 1 AND (NOT answer_empty OR turn < last))
+      SELECT conv_id, count(*) AS n_messages,
+             CAST(sum({sql_word_count('text')}) + CASE WHEN arg_min(role, turn) = 'system' THEN 0 ELSE 7 END AS BIGINT) AS word_count
+      FROM good GROUP BY conv_id""",
+)
+def usable_conversations(t):
+    return packing.usable(packing.measure(worn(t))).select("conv_id", "n_messages", "word_count")
 
 
 @query(

@@ -18,19 +18,25 @@ def _schema(schema: str | T.StructType) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+def closes_early(line: Column) -> Column:
+    """The line, put in brackets, could end the brackets before its own end:
+    it has a closing bracket and does not fit inside an object."""
+    inside = F.json_array_length(F.concat(F.lit('[{"v":'), line, F.lit("}]"))) == 1
+    return F.contains(line, F.lit("]")) & ~F.coalesce(inside, F.lit(False))
+
+
 def is_json(line: Column) -> Column:
     """The line is one whole JSON value: nothing behind it, no single quotes.
 
-    Readers accept text behind a complete value, so the line is also read
-    inside an array and inside an object, where such text is an error.
+    Readers accept text behind a complete value, so the line is read inside
+    brackets, where such text is an error.
     """
     one = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
-    inside = F.json_array_length(F.concat(F.lit('[{"v":'), line, F.lit("}]"))) == 1
     # Only the parsed form refuses single quotes; longer values do not fit it.
     strict = (
         ~F.contains(line, F.lit("'")) | F.try_parse_json(line).isNotNull() | (F.length(line) > VARIANT_CHARS)
     )
-    return F.coalesce(one & inside & strict, F.lit(False))
+    return F.coalesce(one & ~closes_early(line) & strict, F.lit(False))
 
 
 def json_lines(spark: SparkSession, path: str, schema: str | T.StructType, keep_bad: bool = False) -> DataFrame:
