@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talkmill.functions.text import bind
 from talkmill.sources.readers import closes_early
 
 
@@ -19,22 +20,23 @@ def log_metrics(lines: DataFrame, line: str = "value", step: str = "current_step
         F.concat(F.lit("["), line, F.lit("]")), "array<map<string,variant>>", {"allowSingleQuotes": "false"}
     )
     parsed = lines.select(*keep, F.when(~closes_early(F.col(line)), boxed).alias("_a"))
-    parsed = parsed.filter(F.size("_a") == 1).select(*keep, F.get("_a", F.lit(0)).alias("_m"))
-    fields = parsed.select(
-        *keep,
-        F.try_variant_get(F.try_element_at("_m", F.lit(step)), "$", "bigint").alias(step),
-        F.explode("_m").alias("key", "value"),
-    )
-    shown = F.to_json("value")
+    # No filter on the parsed value: it would be pushed down and parse again.
+    single = F.when(F.size("_a") == 1, F.get("_a", F.lit(0)))
+
+    def entries(m: Column) -> Column:
+        at = F.try_variant_get(F.try_element_at(m, F.lit(step)), "$", "bigint")
+        shown = F.transform(
+            F.map_entries(m),
+            lambda e: F.struct(e["key"].alias("key"), F.to_json(e["value"]).alias("shown"), at.alias("step")),
+        )
+        return F.filter(shown, lambda e: (e["key"] != "step") & e["shown"].rlike("^[-0-9tf]"))
+
+    fields = parsed.select(*keep, F.explode(bind(single, entries)).alias("e"))
+    shown = F.col("e.shown")
     number = (
-        F.when(shown.rlike("^-?[0-9]"), shown.try_cast("double"))
-        .when(shown == "true", F.lit(1.0))
-        .when(shown == "false", F.lit(0.0))
-    )
-    return (
-        fields.select(*keep, F.col(step).alias("step"), "key", number.alias("metric"))
-        .filter(F.col("metric").isNotNull() & (F.col("key") != "step"))
+        F.when(shown == "true", F.lit(1.0)).when(shown == "false", F.lit(0.0)).otherwise(shown.try_cast("double"))
     )
+    return fields.select(*keep, "e.step", F.col("e.key").alias("key"), number.alias("metric"))
 
 
 def config_params(lines: DataFrame, line: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
