@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from talkmill import fixed
 from talkmill.operators.ordered import ordered_scan
+from talkmill.session import join_facts, stage
 
 
 class UnknownCursor(ValueError):
@@ -76,7 +77,7 @@ def all_pages(
     totals = chats.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
     page = F.floor((F.col("rn") - 1) / limit)
     return (
-        numbered.join(totals, user)
+        join_facts(numbered, totals, user)
         .withColumn("page", page)
         .withColumn("has_more", F.col("_n") > (F.col("page") + 1) * limit)
         .drop("_n")
@@ -86,7 +87,7 @@ def all_pages(
 def messages_of(messages: DataFrame, chats: DataFrame, chat_key: str = "id") -> DataFrame:
     """Messages (or votes) of a set of chats."""
     keys = chats.select(F.col(chat_key).alias("chatId")).distinct()
-    return messages.join(keys, "chatId", "left_semi")
+    return join_facts(messages, keys, "chatId", "left_semi")
 
 
 def delete_after(
@@ -105,7 +106,7 @@ def cascade_delete(
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """(chats, messages, votes) left and the deleted chats; ``doomed`` has the
     chat ids in ``id``."""
-    ids = doomed.select("id").distinct()
+    ids = stage(doomed.select("id").distinct(), "doomed")
     chat_ids = ids.withColumnRenamed("id", "chatId")
     return (
         chats.join(ids, "id", "left_anti"),
@@ -195,7 +196,7 @@ def set_visibility(chats: DataFrame, chat_ids: DataFrame, visibility: str) -> Da
     """``visibility`` set on the chats whose ``id`` is listed."""
     listed = chat_ids.select("id").distinct().withColumn("_hit", F.lit(True))
     changed = F.when(F.col("_hit"), visibility).otherwise(F.col("visibility"))
-    return chats.join(listed, "id", "left").withColumn("visibility", changed).drop("_hit")
+    return join_facts(chats, listed, "id", "left").withColumn("visibility", changed).drop("_hit")
 
 
 def request_faults(text: Column, role: Column, content_types: Column) -> Column:

@@ -17,6 +17,7 @@ from talkmill import fixed
 from talkmill.functions import messages as ms
 from talkmill.functions import text as tx
 from talkmill.operators.ordered import ordered_scan
+from talkmill.session import join_facts, stage
 
 KEY, TURN = "conv_id", "turn"
 
@@ -50,19 +51,14 @@ def wrong_script_keys(turns: DataFrame) -> DataFrame:
 
 
 def drop_wrong_script(turns: DataFrame) -> DataFrame:
-    return turns.join(wrong_script_keys(turns), KEY, "left_anti")
+    return join_facts(turns, wrong_script_keys(turns), KEY, "left_anti")
 
 
 def drop_null_context(turns: DataFrame) -> DataFrame:
     """Conversations whose first message carries an empty context are dropped."""
     suspects = turns.filter(F.contains(F.lower("text"), F.lit(fixed.NULL_CONTEXT))).select(KEY, TURN)
-    firsts = (
-        turns.select(KEY, TURN)
-        .join(suspects.select(KEY).distinct(), KEY, "left_semi")
-        .groupBy(KEY)
-        .agg(F.min(TURN).alias(TURN))
-    )
-    return turns.join(suspects.join(firsts, [KEY, TURN], "left_semi").select(KEY), KEY, "left_anti")
+    firsts = turns.groupBy(KEY).agg(F.min(TURN).alias(TURN))
+    return join_facts(turns, suspects.join(firsts, [KEY, TURN]).select(KEY), KEY, "left_anti")
 
 
 def keep_valid(turns: DataFrame, on_empty: str = "truncate") -> DataFrame:
@@ -83,7 +79,8 @@ def keep_valid(turns: DataFrame, on_empty: str = "truncate") -> DataFrame:
     )
     if on_empty == "drop":
         keep = facts.filter((F.col("n") > 1) & F.col("cut").isNull())
-        return turns.join(keep.select(KEY), KEY, "left_semi")
+        return join_facts(turns, keep.select(KEY), KEY, "left_semi")
+    facts = stage(facts, "facts")
     broken = facts.filter(F.col("cut").isNotNull())
     before = (
         turns.select(KEY, TURN)
@@ -97,7 +94,7 @@ def keep_valid(turns: DataFrame, on_empty: str = "truncate") -> DataFrame:
     whole = facts.filter(F.col("cut").isNull() & (F.col("n") > 1)).select(
         KEY, F.lit(None).cast("bigint").alias("stop")
     )
-    kept = turns.join(whole.unionByName(before), KEY)
+    kept = join_facts(turns, whole.unionByName(before), KEY)
     return kept.filter(F.col("stop").isNull() | (F.col(TURN) < F.col("stop"))).select(*turns.columns)
 
 
@@ -157,7 +154,8 @@ def good_pairs(turns: DataFrame, lead_ins=None, drop_first=None, refusals=None)
             )
         ).alias("slot", "m"),
     )
-    single = good.filter(F.col("prev_role").isNull()).join(alone, KEY, "left_semi")
+    single = good.filter(F.col("prev_role").isNull())
+    single = join_facts(single, alone, KEY, "left_semi")
     return both.select(KEY, "pair", "slot", "m.role", "m.text").unionByName(
         single.select(KEY, F.col(TURN).alias("pair"), F.lit(1).alias("slot"), "role", "text")
     )
@@ -169,7 +167,7 @@ def sections(turns: DataFrame) -> DataFrame:
     marked = turns.withColumn("_user", (F.col("role") == "user").cast("bigint"))
     scanned = ordered_scan(marked, [KEY], [F.col(TURN)], running_sums={"_users": "_user"})
     first = turns.groupBy(KEY).agg(F.min_by(F.col("role") == "user", TURN).cast("bigint").alias("_open"))
-    return scanned.join(first, KEY).select(
+    return join_facts(scanned, first, KEY).select(
         *turns.columns, (F.col("_users") - F.col("_open")).alias("section")
     )
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talkmill.session import join_facts, stage
+
 
 def last_wins(rows: DataFrame, key: Column, order: str) -> DataFrame:
     """One row per key: the last one by ``order``, with ``position`` = the
@@ -28,19 +30,19 @@ def first_wins(rows: DataFrame, key: Column, order: str) -> DataFrame:
 
 def insert_new(target: DataFrame, rows: DataFrame, key: str, order: str) -> DataFrame:
     """Rows to insert: the first per key, and only keys ``target`` lacks."""
-    return first_wins(rows, F.col(key), order).join(target.select(key).distinct(), key, "left_anti")
+    return join_facts(first_wins(rows, F.col(key), order), target.select(key).distinct(), key, "left_anti")
 
 
 def not_done(rows: DataFrame, done: list[DataFrame], key: str) -> DataFrame:
     """Rows whose key is in none of the earlier outputs."""
     for frame in done:
-        rows = rows.join(frame.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
+        rows = join_facts(rows, frame.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
     return rows
 
 
 def split_known(rows: DataFrame, known: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """(valid, invalid) rows against the keys of ``known``."""
-    keys = known.select(key).distinct()
+    keys = stage(known.select(key).distinct(), "known")
     return rows.join(keys, key, "left_semi"), rows.join(keys, key, "left_anti")
 
 
@@ -84,7 +86,7 @@ def mark_processed(rows: DataFrame, outcomes: DataFrame, key: str = "link") -> D
     (True, False); other rows keep their values."""
     seen = outcomes.groupBy(key).agg(F.max("succeeded").alias("_ok"))
     hit = F.col("_ok").isNotNull()
-    return rows.join(seen, key, "left").withColumns(
+    return join_facts(rows, seen, key, "left").withColumns(
         {
             "message_generated": F.when(hit, F.lit(True)).otherwise(F.col("message_generated")),
             "status": F.when(hit, F.col("_ok")).otherwise(F.col("status")),

@@ -4,30 +4,22 @@ group (or the whole table) in one task.
 Rows are range-partitioned on (keys, order), so a key that holds a third of
 the table is spread over a third of the partitions.  In-partition results come
 from plain expressions; what crosses a partition boundary is a carry table
-with at most two rows per partition, which is therefore safe to broadcast.
+with at most two rows per partition, so it stays small at any size.
 
 ``order`` must end in a unique column; otherwise ties have no fixed order.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill.session import range_partitions, stage
 
-PART, POS = "_part", "_pos"
+PART, POS, KEY = "_part", "_pos", "_key"
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number in 33 bits
 
 
-def _same_keys(keys: list[str], left: str, right: str) -> Column:
-    tests = [F.col(f"{left}.{PART}") == F.col(f"{right}.{PART}")]
-    tests += [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
-    return reduce(lambda a, b: a & b, tests)
-
-
 def range_layout(df: DataFrame, order: list[Column], partitions: int | None = None) -> DataFrame:
     """Rows in ``order`` over range partitions, staged with their partition
     number ``_part`` and position ``_pos`` (from 0) as plain columns."""
@@ -79,34 +71,34 @@ def ordered_scan(
     ``running_sums``: new name -> column, its sum up to and including the row.
     """
     lags, sums = lags or {}, running_sums or {}
-    laid = range_layout(df, [F.col(k).asc() for k in keys] + order, partitions)
+    # One struct as key: equal structs match also where a field is NULL.
+    keyed = df.withColumn(KEY, F.struct(*keys))
+    laid = range_layout(keyed, [F.col(k).asc() for k in keys] + order, partitions)
 
     # Keys that open a partition are the only ones that can have earlier rows
     # elsewhere: one row per partition.
-    opening = (
-        laid.filter(F.col(POS) == 0).select(*keys).distinct()
-    )
-    same_key = reduce(
-        lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
-    )
-    boundary = laid.alias("l").join(F.broadcast(opening.alias("o")), same_key, "left_semi")
+    opening = laid.filter(F.col(POS) == 0).select(KEY).distinct()
+    boundary = laid.join(F.broadcast(opening), KEY, "left_semi")
     last = F.struct(*[F.col(c) for c in lags.values()]) if lags else F.lit(None)
-    per_part = boundary.groupBy(PART, *keys).agg(
+    per_part = boundary.groupBy(PART, KEY).agg(
         F.count(F.lit(1)).alias("_n"),
         F.max_by(last, POS).alias("_last"),
         *[F.sum(c).alias(f"_sum_{new}") for new, c in sums.items()],
     )
-    earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(KEY).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    # At most two rows per partition; not broadcast by force, as a lag may
+    # carry long texts.  The join keys are the window's, so a merge join needs
+    # no further shuffle or sort of the rows.
     carry = per_part.select(
         PART,
-        *keys,
+        KEY,
         F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_n_before"),
         F.last("_last").over(earlier).alias("_last_before"),
-        *[F.coalesce(F.sum(f"_sum_{new}").over(earlier), F.lit(0)).alias(f"_sum_{new}") for new in sums],
+        *[F.coalesce(F.sum(f"_sum_{new}").over(earlier), F.lit(0)).alias(f"_before_{new}") for new in sums],
     )
 
     # (_part, key) groups are never larger than one range partition.
-    local = Window.partitionBy(PART, *keys).orderBy(POS)
+    local = Window.partitionBy(PART, KEY).orderBy(POS)
     upto = local.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = laid.withColumns(
         {
@@ -115,20 +107,16 @@ def ordered_scan(
             **{f"_run_{new}": F.sum(c).over(upto) for new, c in sums.items()},
         }
     )
-    joined = inside.alias("i").join(
-        F.broadcast(carry.alias("c")), _same_keys(keys, "i", "c"), "left"
-    )
-    out = [F.col(f"i.{c}") for c in df.columns]
+    joined = inside.join(carry, [PART, KEY], "left")
+    out = [F.col(c) for c in df.columns]
     if row_number:
         out.append((F.col("_local") + F.coalesce("_n_before", F.lit(0))).alias(row_number))
     for new, c in lags.items():
         out.append(
-            F.when(F.col("_local") == 1, F.col(f"_last_before.{c}"))
-            .otherwise(F.col(f"_lag_{new}"))
-            .alias(new)
+            F.when(F.col("_local") == 1, F.col(f"_last_before.{c}")).otherwise(F.col(f"_lag_{new}")).alias(new)
         )
     for new in sums:
-        out.append((F.col(f"_run_{new}") + F.coalesce(f"_sum_{new}", F.lit(0))).alias(new))
+        out.append((F.col(f"_run_{new}") + F.coalesce(f"_before_{new}", F.lit(0))).alias(new))
     return joined.select(*out)
 
 

@@ -6,7 +6,7 @@ from bisect import bisect_right
 from itertools import accumulate
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill import fixed
@@ -101,7 +101,7 @@ def _pack_staged(lengths: DataFrame, id_column: str, max_words: int, max_rows: i
     )
     histogram = [tuple(r) for r in placed.groupBy("word_count").count().collect()]
     chunk, slot = chunk_of(F.col("pos"), packing_segments(histogram, max_words, max_rows))
-    return placed.select(id_column, "word_count", "pos", chunk.alias("chunk_id"), slot.alias("slot"))
+    return placed.select("*", chunk.alias("chunk_id"), slot.alias("slot"))
 
 
 def measure(turns: DataFrame) -> DataFrame:
@@ -118,6 +118,9 @@ def measure(turns: DataFrame) -> DataFrame:
     )
 
 
+TURNS_PER_BLOCK = 4096
+
+
 def usable(measured: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM) -> DataFrame:
     """Conversations worth training on: no wrong script, and more than one turn
     before the first empty one (less its question).
@@ -125,36 +128,55 @@ def usable(measured: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM) -> Da
     ``conv_id, first, stop, has_system, n_messages, word_count``: turns from
     ``stop`` on do not count; ``word_count`` includes the prompt put before a
     conversation without a system message (no prompt: nothing is put there).
+
+    Blocks of turns are summed up first, then the blocks of a conversation: a
+    conversation with a third of all rows is spread over many blocks, and what
+    meets in one task is one row per block.
     """
-    at_empty = F.when(F.col("empty"), F.col(TURN))
+    block = Window.partitionBy(KEY, "block").orderBy(TURN)
+    marked = measured.withColumn("block", F.floor(F.col(TURN) / TURNS_PER_BLOCK)).withColumn(
+        "open", ~F.bool_or("empty").over(block)
+    )
+    open_turn = F.when(F.col("open"), F.col(TURN))
+    empty_turn = F.when(F.col("empty"), F.col(TURN))
+    blocks = marked.groupBy(KEY, "block").agg(
+        F.bool_or("wrong_script").alias("wrong"),
+        F.count_if("open").alias("n"),
+        F.sum(F.when(F.col("open"), F.col("words"))).alias("words"),
+        F.max(open_turn).alias("last"),
+        F.max_by("words", open_turn).alias("last_words"),
+        F.min(empty_turn).alias("cut"),
+        F.min_by("answer", empty_turn).alias("answer_empty"),
+        F.min(TURN).alias("first"),
+        F.min_by("system", TURN).alias("has_system"),
+    )
+    # Blocks after the one with the first empty turn do not count.
+    before = Window.partitionBy(KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = F.coalesce(F.min("cut").over(before).isNull(), F.lit(True))
+    here = F.col("counts")
+    last_block = F.when(here & (F.col("n") > 0), F.col("block"))
     facts = (
-        measured.groupBy(KEY)
+        blocks.withColumn("counts", counts)
+        .groupBy(KEY)
         .agg(
-            F.bool_or("wrong_script").alias("wrong"),
-            F.min(at_empty).alias("cut"),
-            F.coalesce(F.min_by("answer", at_empty), F.lit(False)).alias("answer_empty"),
-            F.min(TURN).alias("first"),
-            F.min_by("system", TURN).alias("has_system"),
+            F.bool_or("wrong").alias("wrong"),
+            F.sum(F.when(here, F.col("n"))).alias("n"),
+            F.coalesce(F.sum(F.when(here, F.col("words"))), F.lit(0)).alias("all_words"),
+            F.max_by("last", last_block).alias("last"),
+            F.max_by("last_words", last_block).alias("last_words"),
+            F.min("cut").alias("cut"),
+            F.coalesce(F.min_by("answer_empty", F.when(F.col("cut").isNotNull(), F.col("block"))), F.lit(False)).alias(
+                "answer_empty"
+            ),
+            F.min("first").alias("first"),
+            F.min_by("has_system", "block").alias("has_system"),
         )
         .filter(~F.col("wrong"))
-        .drop("wrong")
-    )
-    counted = (
-        measured.select(KEY, TURN, "words")
-        .join(facts, KEY)
-        .filter(F.col("cut").isNull() | (F.col(TURN) < F.col("cut")))
-        .groupBy(*facts.columns)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("words").alias("all_words"),
-            F.max(TURN).alias("last"),
-            F.max_by("words", TURN).alias("last_words"),
-        )
     )
     dropped = F.col("answer_empty").cast("int")
     prompted = 0 if prompt is None else len(prompt.split())
     n_left = F.col("n") - dropped
-    return counted.filter(n_left > 1).select(
+    return facts.filter(n_left > 1).select(
         KEY,
         "first",
         F.when(F.col("answer_empty"), F.col("last")).otherwise(F.col("cut")).alias("stop"),
@@ -168,19 +190,16 @@ def usable(measured: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM) -> Da
     )
 
 
-def merge_chunks(
-    turns: DataFrame, packed: DataFrame, conversations: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM
-) -> DataFrame:
+def merge_chunks(turns: DataFrame, packed: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM) -> DataFrame:
     """Turns of packed conversations as merged conversations, one row per
-    message: ``chunk_id, slot, turn, role, text``.
+    message: ``chunk_id, slot, turn, role, text``.  ``packed`` carries the facts
+    of ``usable``.
 
     The first row of a chunk (slot -1) is a system message with the text of the
     first message of its first conversation, which is the prompt where one was
     put before it; then come the user and assistant turns.
     """
-    chosen = packed.select(KEY, "chunk_id", "slot").join(
-        conversations.select(KEY, "first", "stop", "has_system"), KEY
-    )
+    chosen = packed.select(KEY, "chunk_id", "slot", "first", "stop", "has_system")
     opens = F.col("slot") == 0
     own_first = opens if prompt is None else opens & F.col("has_system")
     placed = turns.join(chosen, KEY).filter(F.col("stop").isNull() | (F.col(TURN) < F.col("stop")))
@@ -221,8 +240,8 @@ def training_messages(
     Everything between works on staged narrow rows.
     """
     conversations = stage(usable(measure(turns), prompt), "conversations")
-    packed = _pack_staged(conversations.select(KEY, "word_count"), KEY, max_words, max_rows)
-    return merge_chunks(turns, packed, conversations, prompt)
+    packed = _pack_staged(conversations, KEY, max_words, max_rows)
+    return merge_chunks(turns, packed, prompt)
 
 
 def groups(

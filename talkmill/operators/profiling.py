@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,37 +40,30 @@ def column_profile(rows: DataFrame, samples: int = 2) -> DataFrame:
     """``column_name, types, samples``: JSON types seen in each column and its
     first distinct values, ignoring NULL.
 
-    Columns become rows; types and values are made distinct map-side, and the
-    top values of a column are cut before the shuffle (window group limit).
+    Plain aggregates: one pass per sample, each giving the next larger value
+    of every column, and no shuffle of values.  There are about ten types.
     """
     names = rows.columns
-    pairs = rows.select(
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                    for c in names
-                ]
-            )
-        ).alias("p")
-    ).select("p.*").filter(F.col("value").isNotNull())
-    kinds = pairs.select(
-        "column_name",
-        F.schema_of_variant(F.try_parse_json("value")).alias("kind"),
-    ).distinct()
-    # At most one row per JSON type and column is left here.
-    types = kinds.groupBy("column_name").agg(
-        F.array_sort(F.collect_set(F.coalesce("kind", F.lit("TEXT")))).alias("types")
+    texts = rows.select(*[F.col(c).cast("string").alias(c) for c in names])
+
+    def kind(c: str) -> Column:
+        parsed = F.regexp_extract(F.schema_of_variant(F.try_parse_json(c)), "^[A-Z]+", 0)
+        return F.when(F.col(c).isNotNull(), F.coalesce(parsed, F.lit("TEXT")))
+
+    kinds = texts.agg(*[F.array_sort(F.collect_set(kind(c))).alias(c) for c in names]).first()
+    found: dict[str, list[str]] = {c: [] for c in names}
+    for _ in range(samples):
+        larger = [
+            F.min(F.when(F.col(c) > found[c][-1], F.col(c)) if found[c] else F.col(c)).alias(c)
+            for c in names
+        ]
+        for c, value in texts.agg(*larger).first().asDict().items():
+            if value is not None:
+                found[c].append(value)
+    profile = [(c, kinds[c], found[c]) for c in names if kinds[c]]
+    return rows.sparkSession.createDataFrame(
+        profile, "column_name string, types array<string>, samples array<string>"
     )
-    first = Window.partitionBy("column_name").orderBy("value")
-    top = (
-        pairs.distinct()
-        .withColumn("_rank", F.row_number().over(first))
-        .filter(F.col("_rank") <= samples)
-        .groupBy("column_name")
-        .agg(F.array_sort(F.collect_list("value")).alias("samples"))
-    )
-    return types.join(top, "column_name")
 
 
 def typed(rows: DataFrame, float_to_int: bool = False) -> DataFrame:

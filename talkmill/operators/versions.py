@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from talkmill import fixed
 from talkmill.operators.ordered import ordered_scan
+from talkmill.session import join_facts, stage
 
 SENTENCE = r"[^.!?]+[.!?]*\s*"
 
@@ -50,7 +51,7 @@ def navigation(documents: DataFrame, key: str, order: list[str]) -> DataFrame:
     )
     totals = documents.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     return (
-        scanned.join(totals, key).withColumn("is_latest", F.col("version_no") == F.col("_n")).drop("_n")
+        join_facts(scanned, totals, key).withColumn("is_latest", F.col("version_no") == F.col("_n")).drop("_n")
     )
 
 
@@ -73,7 +74,7 @@ def delete_newer(
     sug_newer = (F.col("s.documentId") == F.col("m.id")) & (
         F.col("s.documentCreatedAt") > F.col("m.keep_until")
     )
-    d, s, m = documents.alias("d"), suggestions.alias("s"), marks.alias("m")
+    d, s, m = documents.alias("d"), suggestions.alias("s"), stage(marks, "marks").alias("m")
     return (
         d.join(m, doc_newer, "left_anti"),
         s.join(m, sug_newer, "left_anti"),

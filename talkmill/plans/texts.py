@@ -223,7 +223,7 @@ def capped_sample(t):
          SELECT 'event_id' AS column_name, CAST(event_id AS VARCHAR) AS v FROM events
          UNION ALL SELECT 'event_type', event_type FROM events UNION ALL SELECT 'props', props FROM events),
        d AS (SELECT column_name, v, row_number() OVER (PARTITION BY column_name ORDER BY v) AS r FROM (SELECT DISTINCT * FROM p))
-       SELECT column_name, CASE column_name WHEN 'event_id' THEN 'BIGINT' WHEN 'event_type' THEN 'TEXT' ELSE 'OBJECT<k: BIGINT>' END AS types,
+       SELECT column_name, CASE column_name WHEN 'event_id' THEN 'BIGINT' WHEN 'event_type' THEN 'TEXT' ELSE 'OBJECT' END AS types,
               string_agg(v, ',' ORDER BY v) AS samples
        FROM d WHERE r <= 2 GROUP BY column_name""",
 )

@@ -16,6 +16,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where a later step needs one more shuffle for it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Pages can be large: few of them per Arrow batch.
@@ -63,6 +65,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_facts(rows: DataFrame, facts: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """Join many rows per key to at most one row of facts per key.
+
+    Facts usually come out of an aggregate on the key.  Joined directly, the
+    join would reuse that aggregate's partitioning and a key with a third of
+    all rows would stay in one task: the skew join only splits sides that are
+    plain shuffles.  Staged facts give it two such sides, or a broadcast when
+    their measured size is below the session's limit.
+    """
+    return rows.join(stage(facts, "facts"), key, how)
+
+
 def range_partitions(spark: SparkSession) -> int:
     """Number of range partitions: the cluster's shuffle parallelism."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
