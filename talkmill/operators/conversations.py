@@ -248,3 +248,25 @@ def project_parts(messages: DataFrame, role: str = "role", content: str = "text"
     return messages.filter(F.col(role).isin("user", "assistant")).withColumn(
         parts, F.when(F.col(role) == "user", from_user).otherwise(cleaned)
     )
+
+
+def for_template(rows: DataFrame, template: str, messages: str = "messages", seed: int = 0) -> DataFrame:
+    """Rows ready for a chat template, one ``messages`` array each.
+
+    ``qwen3`` and ``r1`` turn reasoning samples (rows with a ``think`` column)
+    into messages and drop the unusable ones; ``qwen3`` puts the default system
+    message before other conversations; every other template keeps them.
+    """
+    if template in ("qwen3", "r1") and "think" in rows.columns:
+        optional = {
+            c: F.col(c) if c in rows.columns else F.lit(None).cast("string")
+            for c in ("vi_question", "vi_answer", "vi_thinking")
+        }
+        sample = ms.reasoning_sample(
+            F.col("question"), F.col("answer"), F.col("think"), *optional.values(), F.col("id"), seed
+        )
+        made = rows.withColumn("_s", sample).filter(F.col("_s").isNotNull())
+        return made.select("id", "_s.pair", F.col("_s.messages").alias(messages))
+    if template == "qwen3":
+        return rows.withColumn(messages, ms.with_system(F.col(messages)))
+    return rows

@@ -126,3 +126,18 @@ def page_split(t):
     good, bad = pg.split_articles(pg.articles(timed_pages(t)))
     rows = good.withColumn("outcome", F.lit("good")).unionByName(bad.withColumn("outcome", F.lit("bad")))
     return pg.article_columns(rows).select("page_id", "outcome", F.col("published").cast("timestamp_ntz").alias("published"))
+
+
+# Blanks and the signs that markdown adds; both sides are compared without them.
+MARKS = r"[\s#*_|`-]"
+
+
+@query(
+    "page_article_text",
+    rf"""WITH a AS (SELECT page_id, regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>', '', 'g') AS t FROM pages),
+         u AS (SELECT page_id, replace(replace(regexp_replace(regexp_replace(t, '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '&copy;', '©'), '&middot;', '·') AS t FROM a)
+         SELECT page_id, regexp_replace(t, '{MARKS}', '', 'g') AS letters, page_id % 3 = 0 AS is_err_link FROM u""",
+)
+def page_article_text(t):
+    rows = pg.articles(timed_pages(t))
+    return rows.select("page_id", F.regexp_replace("content", MARKS, "").alias("letters"), "is_err_link")

@@ -177,3 +177,14 @@ def test_training_messages(spark):
         (0, 1, U, "x y z"),
         (0, 1, A, "w"),
     ]
+
+
+def test_templates(spark):
+    samples = spark.createDataFrame([(1, "q", "a", "t"), (2, "r", "b", "u")], "id int, question string, answer string, think string")
+    got = cv.for_template(samples, "qwen3").collect()
+    assert {r["pair"] for r in got} == {"en_en"} and all(len(r["messages"]) == 3 for r in got)
+    assert cv.for_template(samples, "r1").count() == 2
+    assert cv.for_template(samples, "llama").columns == samples.columns
+    chats = spark.createDataFrame([([("user", "x")],)], f"messages {ms.MESSAGES}")
+    assert [m["role"] for m in cv.for_template(chats, "qwen3").first()["messages"]] == [S, U]
+    assert [m["role"] for m in cv.for_template(chats, "r1").first()["messages"]] == [U]
