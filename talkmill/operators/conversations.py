@@ -10,16 +10,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill import fixed
 from talkmill.functions import messages as ms
 from talkmill.functions import text as tx
 from talkmill.operators.ordered import ordered_scan
-from talkmill.session import join_facts, stage
+from talkmill.session import join_facts
 
 KEY, TURN = "conv_id", "turn"
+TURNS_PER_BLOCK = 4096
 
 
 def select_stored(
@@ -61,6 +62,85 @@ def drop_null_context(turns: DataFrame) -> DataFrame:
     return join_facts(turns, suspects.join(firsts, [KEY, TURN]).select(KEY), KEY, "left_anti")
 
 
+def measure(turns: DataFrame) -> DataFrame:
+    """Facts of every turn: one pass over the texts, narrow rows out."""
+    text = F.coalesce("text", F.lit(""))
+    return turns.select(
+        KEY,
+        TURN,
+        (F.col("role") == "assistant").alias("answer"),
+        (F.col("role") == "system").alias("system"),
+        (text == "").alias("empty"),
+        tx.has_cjk(text).alias("wrong_script"),
+        tx.word_count(text).alias("words"),
+    )
+
+
+def conversation_facts(measured: DataFrame) -> DataFrame:
+    """Facts of every conversation from the facts of its turns: ``conv_id,
+    first, cut, stop, has_system, wrong, n, n_left, words_left``.
+
+    ``cut`` is the first empty turn; turns from ``stop`` on do not count: those
+    from the cut on and, when the empty turn is the assistant's, the one before.
+    ``n_left`` and ``words_left`` are what is before the stop.
+
+    Blocks of turns are summed up first, then the blocks of a conversation: a
+    conversation with a third of all rows is spread over many blocks, and what
+    meets in one task is one row per block.
+    """
+    block = Window.partitionBy(KEY, "block").orderBy(TURN)
+    marked = measured.withColumn("block", F.floor(F.col(TURN) / TURNS_PER_BLOCK)).withColumn(
+        "open", ~F.bool_or("empty").over(block)
+    )
+    open_turn = F.when(F.col("open"), F.col(TURN))
+    empty_turn = F.when(F.col("empty"), F.col(TURN))
+    # Flags and numbers only: texts would turn the hash aggregate into a sort.
+    blocks = marked.groupBy(KEY, "block").agg(
+        F.bool_or("wrong_script").alias("wrong"),
+        F.count_if("open").alias("n"),
+        F.sum(F.when(F.col("open"), F.col("words"))).alias("words"),
+        F.max(open_turn).alias("last"),
+        F.max_by("words", open_turn).alias("last_words"),
+        F.min(empty_turn).alias("cut"),
+        F.min_by("answer", empty_turn).alias("answer_empty"),
+        F.min(TURN).alias("first"),
+        F.min_by("system", TURN).alias("has_system"),
+    )
+    # Blocks after the one with the first empty turn do not count.
+    before = Window.partitionBy(KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    here = F.col("counts")
+    last_block = F.when(here & (F.col("n") > 0), F.col("block"))
+    cut_block = F.when(F.col("cut").isNotNull(), F.col("block"))
+    facts = (
+        blocks.withColumn("counts", F.min("cut").over(before).isNull())
+        .groupBy(KEY)
+        .agg(
+            F.bool_or("wrong").alias("wrong"),
+            F.sum(F.when(here, F.col("n"))).alias("n"),
+            F.coalesce(F.sum(F.when(here, F.col("words"))), F.lit(0)).alias("words"),
+            F.max_by("last", last_block).alias("last"),
+            F.max_by("last_words", last_block).alias("last_words"),
+            F.min("cut").alias("cut"),
+            F.coalesce(F.min_by("answer_empty", cut_block), F.lit(False)).alias("answer_empty"),
+            F.min("first").alias("first"),
+            F.min_by("has_system", "block").alias("has_system"),
+        )
+    )
+    # The question of an empty answer goes, too, if there is one.
+    dropped = (F.col("answer_empty") & (F.col("n") > 0)).cast("int")
+    return facts.select(
+        KEY,
+        "first",
+        "cut",
+        F.when(dropped == 1, F.col("last")).otherwise(F.col("cut")).alias("stop"),
+        "has_system",
+        "wrong",
+        "n",
+        (F.col("n") - dropped).alias("n_left"),
+        (F.col("words") - dropped * F.coalesce("last_words", F.lit(0))).alias("words_left"),
+    )
+
+
 def keep_valid(turns: DataFrame, on_empty: str = "truncate") -> DataFrame:
     """Turns before the first empty one (less its question, when the empty turn
     is the assistant's), of conversations with more than one turn left.
@@ -69,32 +149,10 @@ def keep_valid(turns: DataFrame, on_empty: str = "truncate") -> DataFrame:
     """
     if on_empty not in ("truncate", "drop"):
         raise ValueError("on_empty must be 'truncate' or 'drop'")
-    is_empty = F.coalesce(F.col("text"), F.lit("")) == ""
-    at_empty = F.when(is_empty, F.col(TURN))
-    facts = turns.groupBy(KEY).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(at_empty).alias("cut"),
-        # Booleans keep the aggregate hash-based; texts would make it sort.
-        F.min_by(F.col("role") == "assistant", at_empty).alias("answer_empty"),
-    )
+    facts = conversation_facts(measure(turns)).filter(F.col("n_left") > 1)
     if on_empty == "drop":
-        keep = facts.filter((F.col("n") > 1) & F.col("cut").isNull())
-        return join_facts(turns, keep.select(KEY), KEY, "left_semi")
-    facts = stage(facts, "facts")
-    broken = facts.filter(F.col("cut").isNotNull())
-    before = (
-        turns.select(KEY, TURN)
-        .join(broken, KEY)
-        .filter(F.col(TURN) < F.col("cut"))
-        .groupBy(KEY, "cut", "answer_empty")
-        .agg(F.count(F.lit(1)).alias("n_before"), F.max(TURN).alias("last"))
-        .filter(F.col("n_before") - F.col("answer_empty").cast("int") > 1)
-        .select(KEY, F.when(F.col("answer_empty"), F.col("last")).otherwise(F.col("cut")).alias("stop"))
-    )
-    whole = facts.filter(F.col("cut").isNull() & (F.col("n") > 1)).select(
-        KEY, F.lit(None).cast("bigint").alias("stop")
-    )
-    kept = join_facts(turns, whole.unionByName(before), KEY)
+        return join_facts(turns, facts.filter(F.col("cut").isNull()).select(KEY), KEY, "left_semi")
+    kept = join_facts(turns, facts.select(KEY, "stop"), KEY)
     return kept.filter(F.col("stop").isNull() | (F.col(TURN) < F.col("stop"))).select(*turns.columns)
 
 
@@ -191,7 +249,7 @@ def last_turns(turns: DataFrame) -> DataFrame:
     )
 
 
-def nest(turns: DataFrame, rows_per_part: int = 4096) -> DataFrame:
+def nest(turns: DataFrame, rows_per_part: int = TURNS_PER_BLOCK) -> DataFrame:
     """``conv_id, part, messages``: the turns of a conversation as an array.
 
     A conversation is one row (part 0) up to ``rows_per_part`` turns; longer

@@ -6,12 +6,11 @@ from bisect import bisect_right
 from itertools import accumulate
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill import fixed
-from talkmill.functions import text as tx
-from talkmill.operators.conversations import KEY, TURN
+from talkmill.operators.conversations import KEY, TURN, conversation_facts, measure
 from talkmill.operators.ordered import global_row_number
 from talkmill.session import stage
 
@@ -104,23 +103,6 @@ def _pack_staged(lengths: DataFrame, id_column: str, max_words: int, max_rows: i
     return placed.select("*", chunk.alias("chunk_id"), slot.alias("slot"))
 
 
-def measure(turns: DataFrame) -> DataFrame:
-    """Facts of every turn: one pass over the texts, narrow rows out."""
-    text = F.coalesce("text", F.lit(""))
-    return turns.select(
-        KEY,
-        TURN,
-        (F.col("role") == "assistant").alias("answer"),
-        (F.col("role") == "system").alias("system"),
-        (text == "").alias("empty"),
-        tx.has_cjk(text).alias("wrong_script"),
-        tx.word_count(text).alias("words"),
-    )
-
-
-TURNS_PER_BLOCK = 4096
-
-
 def usable(measured: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM) -> DataFrame:
     """Conversations worth training on: no wrong script, and more than one turn
     before the first empty one (less its question).
@@ -128,65 +110,16 @@ def usable(measured: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM) -> Da
     ``conv_id, first, stop, has_system, n_messages, word_count``: turns from
     ``stop`` on do not count; ``word_count`` includes the prompt put before a
     conversation without a system message (no prompt: nothing is put there).
-
-    Blocks of turns are summed up first, then the blocks of a conversation: a
-    conversation with a third of all rows is spread over many blocks, and what
-    meets in one task is one row per block.
     """
-    block = Window.partitionBy(KEY, "block").orderBy(TURN)
-    marked = measured.withColumn("block", F.floor(F.col(TURN) / TURNS_PER_BLOCK)).withColumn(
-        "open", ~F.bool_or("empty").over(block)
-    )
-    open_turn = F.when(F.col("open"), F.col(TURN))
-    empty_turn = F.when(F.col("empty"), F.col(TURN))
-    blocks = marked.groupBy(KEY, "block").agg(
-        F.bool_or("wrong_script").alias("wrong"),
-        F.count_if("open").alias("n"),
-        F.sum(F.when(F.col("open"), F.col("words"))).alias("words"),
-        F.max(open_turn).alias("last"),
-        F.max_by("words", open_turn).alias("last_words"),
-        F.min(empty_turn).alias("cut"),
-        F.min_by("answer", empty_turn).alias("answer_empty"),
-        F.min(TURN).alias("first"),
-        F.min_by("system", TURN).alias("has_system"),
-    )
-    # Blocks after the one with the first empty turn do not count.
-    before = Window.partitionBy(KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counts = F.coalesce(F.min("cut").over(before).isNull(), F.lit(True))
-    here = F.col("counts")
-    last_block = F.when(here & (F.col("n") > 0), F.col("block"))
-    facts = (
-        blocks.withColumn("counts", counts)
-        .groupBy(KEY)
-        .agg(
-            F.bool_or("wrong").alias("wrong"),
-            F.sum(F.when(here, F.col("n"))).alias("n"),
-            F.coalesce(F.sum(F.when(here, F.col("words"))), F.lit(0)).alias("all_words"),
-            F.max_by("last", last_block).alias("last"),
-            F.max_by("last_words", last_block).alias("last_words"),
-            F.min("cut").alias("cut"),
-            F.coalesce(F.min_by("answer_empty", F.when(F.col("cut").isNotNull(), F.col("block"))), F.lit(False)).alias(
-                "answer_empty"
-            ),
-            F.min("first").alias("first"),
-            F.min_by("has_system", "block").alias("has_system"),
-        )
-        .filter(~F.col("wrong"))
-    )
-    dropped = F.col("answer_empty").cast("int")
     prompted = 0 if prompt is None else len(prompt.split())
-    n_left = F.col("n") - dropped
-    return facts.filter(n_left > 1).select(
+    facts = conversation_facts(measured).filter(~F.col("wrong") & (F.col("n_left") > 1))
+    return facts.select(
         KEY,
         "first",
-        F.when(F.col("answer_empty"), F.col("last")).otherwise(F.col("cut")).alias("stop"),
+        "stop",
         "has_system",
-        n_left.alias("n_messages"),
-        (
-            F.col("all_words")
-            - dropped * F.col("last_words")
-            + F.when(F.col("has_system"), 0).otherwise(prompted)
-        ).alias("word_count"),
+        F.col("n_left").alias("n_messages"),
+        (F.col("words_left") + F.when(F.col("has_system"), 0).otherwise(prompted)).alias("word_count"),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from talkmill.functions import text as tx
+from talkmill.operators import conversations as cv
 from talkmill.operators import ordered, packing
 from talkmill.plans.conversations import SQL_EMPTIED, emptied
 from talkmill.plans.registry import query, sql_word_count
@@ -101,7 +102,7 @@ SQL_WORN = SQL_EMPTIED.replace("WITH t AS (", "WITH e AS (").replace("FROM t GRO
       FROM good GROUP BY conv_id""",
 )
 def usable_conversations(t):
-    return packing.usable(packing.measure(worn(t))).select("conv_id", "n_messages", "word_count")
+    return packing.usable(cv.measure(worn(t))).select("conv_id", "n_messages", "word_count")
 
 
 @query(

@@ -71,7 +71,7 @@ def random_turns(seed):
 
 @pytest.mark.parametrize("seed", range(3))
 def test_blocks_do_not_change_results(spark, monkeypatch, seed):
-    monkeypatch.setattr(packing, "TURNS_PER_BLOCK", 4)
+    monkeypatch.setattr(cv, "TURNS_PER_BLOCK", 4)
     rows = random_turns(seed)
     turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
     by_conv = {}
@@ -83,8 +83,12 @@ def test_blocks_do_not_change_results(spark, monkeypatch, seed):
         if kept:
             extra = 0 if kept[0]["role"] == "system" else 7
             expected[conv] = (len(kept), sum(len(t["text"].split()) for t in kept) + extra)
-    got = packing.usable(packing.measure(turns)).collect()
+    got = packing.usable(cv.measure(turns)).collect()
     assert {r["conv_id"]: (r["n_messages"], r["word_count"]) for r in got} == expected
+    flat = {}
+    for r in cv.keep_valid(cv.drop_wrong_script(turns)).orderBy("conv_id", "turn").collect():
+        flat.setdefault(r["conv_id"], []).append(r["turn"])
+    assert flat == {c: [t["turn"] for t in truth(ts)] for c, ts in by_conv.items() if truth(ts)}
     stops = {r["conv_id"]: r["stop"] for r in got}
     for conv in expected:
         kept = [t["turn"] for t in truth(by_conv[conv])]
@@ -94,7 +98,7 @@ def test_blocks_do_not_change_results(spark, monkeypatch, seed):
 def test_flat_operators_agree_with_facts(spark):
     turns = spark.createDataFrame(random_turns(5), "conv_id bigint, turn bigint, role string, text string")
     clean = cv.word_counts(cv.add_system(cv.keep_valid(cv.drop_wrong_script(turns))))
-    facts = packing.usable(packing.measure(turns)).select(
+    facts = packing.usable(cv.measure(turns)).select(
         "conv_id", (F.col("n_messages") + (~F.col("has_system")).cast("int")).alias("n_messages"), "word_count"
     )
     assert clean.exceptAll(facts).count() == 0 and clean.count() == facts.count() > 0
