@@ -328,3 +328,21 @@ def for_template(rows: DataFrame, template: str, messages: str = "messages", see
     if template == "qwen3":
         return rows.withColumn(messages, ms.with_system(F.col(messages)))
     return rows
+
+
+def pull(
+    turns: DataFrame,
+    stored: DataFrame,
+    time_start: datetime | None = None,
+    time_end: datetime | None = None,
+    source: str | None = None,
+    lead_ins=None,
+    drop_first=None,
+    refusals=None,
+) -> DataFrame:
+    """Good question/answer pairs of the stored conversations in a time range
+    and source; ``stored`` has one row per conversation with ``time, source,
+    message_generated``.  Conversations without a good pair give no row."""
+    chosen = select_stored(stored, time_start, time_end, source, columns=(KEY,))
+    wanted = join_facts(turns, chosen, KEY, "left_semi")
+    return good_pairs(drop_null_context(wanted), lead_ins, drop_first, refusals)

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from talkmill.functions import pages as pg
 from talkmill.functions import text as tx
 from talkmill.functions.markdown import clean_markdown
+from talkmill.operators import dedup
+from talkmill.operators.ordered import index_rows
+from talkmill.session import stage
 
 # Page address templates of the site sections, by site.
 # {section} is the section address, {stem} the address without its ending.
@@ -337,3 +340,18 @@ def admitted_by_source(rows: DataFrame, rules: DataFrame) -> DataFrame:
         & (F.col("ending").isNull() | F.endswith("link", "ending"))
         & (F.col("contains").isNull() | F.contains("link", "contains"))
     ).select(*rows.columns)
+
+
+def new_links(
+    pages: DataFrame, stored: DataFrame, rule: LinkRule, page_key: str, existing_max: int | None
+) -> DataFrame:
+    """Admitted links that are not stored yet, each once (where it is met
+    first), with the next indexes: ``page_key, pos, link, title, idx``.
+
+    The narrow links are staged: they are read more than once, their pages
+    should not be.
+    """
+    found = admitted(links(pages), rule).select(page_key, "pos", "link", "title")
+    placed = stage(found.withColumn("place", F.struct(page_key, "pos")), "links")
+    fresh = dedup.insert_new(stored, placed, "link", "place")
+    return index_rows(fresh, existing_max, [F.col("place")]).drop("place")

@@ -530,3 +530,47 @@ def generate_pairs(t):
     first = F.get(F.col("pairs"), F.lit(0))
     shown = made.select("link", "failure", first["question"].alias("question"), first["answer"].alias("answer"))
     return shown.join(flags, "link")
+
+
+@query(
+    "pull_messages",
+    f"""WITH {_sql_cleaned()},
+        m AS (SELECT conv_id, turn, role, CASE WHEN role = 'assistant' THEN cleaned ELSE text END AS m_text FROM a
+              WHERE conv_id % 3 = 1 AND conv_id % 4 <> 0 AND conv_id % 365 BETWEEN 9 AND 274),
+        w AS (SELECT *, lag(role) OVER p AS prev_role, lag(m_text) OVER p AS prev_text,
+                     count(*) OVER (PARTITION BY conv_id) AS n
+              FROM m WINDOW p AS (PARTITION BY conv_id ORDER BY turn)),
+        good AS (SELECT * FROM w WHERE role = 'assistant' AND NOT ({SQL_REFUSED}))
+        SELECT conv_id, turn AS pair, 0 AS slot, prev_role AS role, prev_text AS text FROM good WHERE prev_role IS NOT NULL
+        UNION ALL
+        SELECT conv_id, turn, 1, role, m_text FROM good WHERE prev_role IS NOT NULL OR n = 1""",
+)
+def pull_messages(t):
+    start, end = datetime(2024, 1, 10), datetime(2024, 10, 1)
+    return cv.pull(t("conversations"), stored(t), start, end, "site1", LEAD_INS, TRIGGERS, REFUSALS)
+
+
+@query(
+    "prune_report",
+    SQL_SCRIPT
+    + r""", w AS (SELECT conv_id, bool_or(regexp_matches(text, '[\x{4e00}-\x{9fff}]')) AS wrong FROM t GROUP BY conv_id)
+          SELECT CASE WHEN wrong THEN 'pruned' ELSE 'kept' END AS kind, count(*) AS n FROM w GROUP BY 1""",
+)
+def prune_report(t):
+    facts = cv.conversation_facts(cv.measure(with_script(t)))
+    return profiling.by_kind(facts, F.when(F.col("wrong"), "pruned").otherwise("kept"))
+
+
+@query(
+    "template_chat",
+    f"""WITH s AS (SELECT conv_id, arg_min(role, turn) AS role, count(*) AS n, string_agg(role || ':' || text, chr(30) ORDER BY turn) AS shown
+                   FROM conversations GROUP BY conv_id)
+        SELECT conv_id, n + CASE WHEN role = 'system' THEN 0 ELSE 1 END AS n_messages,
+               CASE WHEN role = 'system' THEN shown ELSE 'system:{fixed.DEFAULT_SYSTEM}' || chr(30) || shown END AS messages FROM s""",
+)
+def template_chat(t):
+    ready = cv.for_template(cv.nest(t("conversations")), "qwen3")
+    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
+    return ready.select(
+        "conv_id", F.size("messages").cast("bigint").alias("n_messages"), F.array_join(lines, "\x1e").alias("messages")
+    )

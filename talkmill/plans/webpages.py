@@ -141,3 +141,17 @@ MARKS = r"[\s#*_|`-]"
 def page_article_text(t):
     rows = pg.articles(timed_pages(t))
     return rows.select("page_id", F.regexp_replace("content", MARKS, "").alias("letters"), "is_err_link")
+
+
+@query(
+    "crawl_new_links",
+    SQL_LINKS
+    + f""", good AS (SELECT page_id, pos, link, title FROM l WHERE {sql_word_count('title')} > 0 AND contains(link, 'e')),
+        first AS (SELECT * FROM good QUALIFY row_number() OVER (PARTITION BY link ORDER BY page_id, pos) = 1),
+        fresh AS (SELECT * FROM first WHERE link NOT IN (SELECT link FROM l WHERE length(title) = 3))
+        SELECT page_id, CAST(pos AS INT) AS pos, link, title, 500 + row_number() OVER (ORDER BY page_id, pos) AS idx FROM fresh""",
+)
+def crawl_new_links(t):
+    pages = t("pages").select("page_id", "url", "html")
+    stored = pg.links(pages).filter(F.length("title") == 3).select("link")
+    return pg.new_links(pages, stored, pg.LinkRule(0, contains="e"), "page_id", 500)
