@@ -39,13 +39,15 @@ def build_session(app: str = "talkmill", master: str | None = None, **settings:
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the one the cluster names in
-    ``spark.checkpoint.dir``, or a temporary one for a local session."""
-    named = spark.conf.get(CHECKPOINT_KEY, None)
+    ``spark.checkpoint.dir``, else the context's checkpoint folder; a local
+    session without either gets a temporary one."""
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="talkmill-")
-        spark.conf.set(CHECKPOINT_KEY, named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="talkmill-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 
