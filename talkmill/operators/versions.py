@@ -18,9 +18,11 @@ SENTENCE = r"[^.!?]+[.!?]*\s*"
 def latest(documents: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The newest version of every document.  Only the key and the order
     columns are aggregated; (key, order) is unique."""
-    newest = documents.groupBy(key).agg(F.max(F.struct(*order)).alias("_o")).select(
-        key, *[F.col(f"_o.{c}").alias(c) for c in order]
-    )
+    if len(order) == 1:
+        newest = documents.groupBy(key).agg(F.max(order[0]).alias(order[0]))
+    else:
+        top = documents.groupBy(key).agg(F.max(F.struct(*order)).alias("_o"))
+        newest = top.select(key, *[F.col(f"_o.{c}").alias(c) for c in order])
     return documents.join(newest, [key, *order], "left_semi")
 
 

@@ -8,17 +8,14 @@ from talkmill.operators import ordered, packing
 
 
 def loop(lengths, max_words, max_rows):
-    """Next-fit over lengths, longest first."""
-    chunks, chunk, total = [], [], 0
-    for n in sorted(lengths, reverse=True):
-        if total + n <= max_words and len(chunk) < max_rows:
-            chunk.append(n)
-            total += n
-        else:
-            if chunk:
-                chunks.append(chunk)
-            chunk, total = [n], n
-    return chunks + ([chunk] if chunk else [])
+    """Longest first, each chunk as long as it fits (one row at least)."""
+    rest, chunks = sorted(lengths, reverse=True), []
+    while rest:
+        sizes = [k for k in range(1, min(max_rows, len(rest)) + 1) if sum(rest[:k]) <= max_words]
+        size = max(sizes, default=1)
+        chunks.append(rest[:size])
+        rest = rest[size:]
+    return chunks
 
 
 def closed_form(lengths, max_words, max_rows):

@@ -94,16 +94,22 @@ def test_absolute_url(values):
 
 
 def unwrap(text):
-    text = re.sub(r"(?<!\n)\n(?![\n\-\*\|])", " ", text)
-    return text.replace("** _", "**_").replace("_ **", "_**")
+    """Character by character: a lone newline is a blank, unless a list or table
+    sign follows."""
+    padded = "x" + text + "x"
+    out = [
+        " " if c == "\n" and padded[i] != "\n" and padded[i + 2] not in "\n-*|" else c
+        for i, c in enumerate(text)
+    ]
+    return "".join(out).replace("** _", "**_").replace("_ **", "_**")
 
 
 def normalise(text):
-    out = []
-    for part in re.split(r"(```.*?```)", text, flags=re.DOTALL):
-        fenced = part.startswith("```") and part.endswith("```")
-        out.append(part if fenced else unwrap(re.sub(" +", " ", part)))
-    return "".join(out)
+    """Fences alternate; an odd one out at the end opens nothing."""
+    pieces = text.split("```")
+    fenced = {i for i in range(1, len(pieces) - 1, 2)}
+    collapsed = lambda p: " ".join(w for i, w in enumerate(p.split(" ")) if w or i in (0, p.count(" ")))
+    return "```".join(p if i in fenced else unwrap(collapsed(p) if p.strip(" ") else p[:1]) for i, p in enumerate(pieces))
 
 
 def repaired(text):
