@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from talkmill.functions import messages as ms
 from talkmill.functions import text as tx
+from talkmill.session import ship_package
 
 
 def respond(
@@ -35,6 +36,7 @@ def respond(
             answers = [one(t) for t in batch[prompt]]
             yield batch.assign(response=[a[0] for a in answers], failure=[a[1] for a in answers])
 
+    ship_package(prompts.sparkSession)
     return prompts.mapInPandas(run, f"{schema}, response string, failure string")
 
 

@@ -14,7 +14,7 @@ from talkmill.functions import text as tx
 from talkmill.functions.markdown import clean_markdown
 from talkmill.operators import dedup
 from talkmill.operators.ordered import index_rows
-from talkmill.session import stage
+from talkmill.session import ship_package, stage
 
 # Page address templates of the site sections, by site.
 # {section} is the section address, {stem} the address without its ending.
@@ -296,6 +296,7 @@ def articles(
             out["failure"] = [r[2] for r in rows]
             yield out
 
+    ship_package(pages.sparkSession)
     raw = pages.mapInPandas(run, f"{schema}, time string, raw string, failure string")
     content = tx.strip(clean_markdown(F.col("raw")))
     parsed = raw.withColumn("content", content)

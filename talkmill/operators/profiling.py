@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkmill.operators.queues import boolean_or_null, text_or_null
+from talkmill.session import ship_package
 
 
 def row_count(rows: DataFrame, *where: Column) -> DataFrame:
@@ -120,4 +121,5 @@ def token_count(text: Column, tokenizer=split_tokenizer) -> Column:
         for batch in batches:
             yield batch.map(lambda t: 0 if t is None else len(encoder.encode(t)))
 
+    ship_package(SparkSession.active())
     return count(text)

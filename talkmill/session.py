@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,6 +58,21 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/talkmill/{label}-{uuid.uuid4().hex}"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers of this application the package, once.  Spark
+    serves the archive to the executors; an installed package needs none."""
+    context = spark.sparkContext
+    package = Path(__file__).resolve().parent
+    if context.applicationId in _SHIPPED or "site-packages" in package.parts:
+        return
+    name = str(Path(tempfile.mkdtemp(prefix="talkmill-")) / package.name)
+    context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
