@@ -161,8 +161,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     rows = training_rows(docs, labels, sample, label_columns=["quality"], learnable=learnable(), doc_id=doc_id, text=text)
     # About SAMPLE rows of some hundred bytes.
     got = rows.select("id", "quality", "text").mapInArrow(_statistics_of, "id long, quality int, x binary").orderBy("id", "x").toArrow()
-    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32).reshape(len(got), -1)
-    return fit_forest(x, got.column("quality").to_numpy().astype(np.float64))
+    x = np.frombuffer(b"".join(got.column("x").to_pylist()), np.float32)
+    width = statistics(np.zeros(0, np.uint8), np.zeros(2, np.int64)).shape[1]
+    return fit_forest(x.reshape(-1, width), got.column("quality").to_numpy().astype(np.float64))
 
 
 def _scored(shared):
