@@ -81,8 +81,10 @@ def _logistic(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 100) -> np.ndarray:
-    """Weights of a logistic model, the constant last (accelerated gradient)."""
+def fit_linear(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Weights of a logistic model, the constant last (accelerated gradient;
+    more rounds where rows are few and cheap)."""
+    rounds = int(np.clip(800_000 // max(len(x), 1), 100, 800))
     x = np.concatenate([x, np.ones((len(x), 1), x.dtype)], axis=1)
     step = 4 / ((x**2).sum(1).mean() * 1.0 + 4 * ridge / max(len(x), 1)) / max(len(x), 1)
     w, ahead = np.zeros(x.shape[1]), np.zeros(x.shape[1])
