@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from talkmill.llm.common import arrow_bytes, by_bytes, ship_package, stage, text_of
 
 KNOWN = 1 << 17  # stretches of the table that all tasks get: 10 MB at most
-RARE = 400_000  # other stretches that a worker remembers
+RARE = 500_000  # words of other stretches that a worker remembers
 LONGEST = 48  # bytes of a stretch in that table
 BATCH = 8_000_000  # bytes of texts encoded at once
 RANK_CELLS = 1 << 14
@@ -206,8 +206,8 @@ def _merged_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 # Documents.
 
 
-#: Of each worker, from task to task: ids of stretches met so far.
-_RARE: dict[tuple, dict[str, tuple[int, ...]]] = {}
+#: Of each worker, from task to task: ids of words met so far.
+_RARE: dict[tuple, dict[str, list[int]]] = {}
 
 
 def _encode(pattern: str, shared):
@@ -220,11 +220,14 @@ def _encode(pattern: str, shared):
             missing = np.flatnonzero(place < 0)
             extra = []
             for stretch in found.distinct.take(pa.array(missing)).to_pylist():
-                ids = rare.get(stretch)
-                if ids is None:
-                    ids = tuple(i for w in words_of(stretch) for i in merged(w.encode(), ranks))
-                    if len(rare) < RARE and len(stretch) <= LONGEST:
-                        rare[stretch] = ids
+                ids: list[int] = []
+                for word in words_of(stretch):
+                    own = rare.get(word)
+                    if own is None:
+                        own = merged(word.encode(), ranks)
+                        if len(rare) < RARE and len(word) <= LONGEST:
+                            rare[word] = own
+                    ids += own
                 extra.append(ids)
             place[missing] = len(starts) - 1 + np.arange(len(missing))
             all_starts = np.concatenate([starts, starts[-1] + np.cumsum([len(x) for x in extra], dtype=np.int64)])
