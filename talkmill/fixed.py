@@ -81,7 +81,6 @@ THINK_SUFFIX = " /think"
 
 # Multiple-choice grading.
 CHOICE_LETTERS = "ABCDEFabcdef"
-OPTION_LETTERS = ["A", "B", "C", "D", "E"]
 ANSWER_LABEL = "Đáp án"
 GRADING_SYSTEM = (
     "Bạn được cung cấp một câu hỏi trắc nghiệm và các lựa chọn trả lời.\n"

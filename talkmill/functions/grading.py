@@ -104,15 +104,13 @@ def score(response: Column, answer: Column, mode: str = "MCQ") -> Column:
 def choice_text(choices: Column) -> Column:
     """One line per choice, lettered unless the first one already has a letter."""
     lettered = F.coalesce(F.get(choices, F.lit(0)).rlike(r"(?U)\b[A-D]\b"), F.lit(False))
-    letters = F.array(*[F.lit(x) for x in fixed.OPTION_LETTERS])
     lines = F.transform(
         choices,
         lambda c, i: F.concat(
-            F.when(lettered, F.lit("")).otherwise(F.concat(F.get(letters, i), F.lit(". "))), c, F.lit("\n")
+            F.when(lettered, F.lit("")).otherwise(F.concat(F.char(i + 65), F.lit(". "))), c, F.lit("\n")
         ),
     )
-    # More choices than letters cannot be lettered.
-    return F.when(lettered | (F.size(choices) <= len(fixed.OPTION_LETTERS)), F.array_join(lines, ""))
+    return F.array_join(lines, "")
 
 
 def answer_letter(answer: Column) -> Column:

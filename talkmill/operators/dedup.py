@@ -35,9 +35,12 @@ def insert_new(target: DataFrame, rows: DataFrame, key: str, order: str) -> Data
 
 def not_done(rows: DataFrame, done: list[DataFrame], key: str) -> DataFrame:
     """Rows whose key is in none of the earlier outputs."""
-    for frame in done:
-        rows = join_facts(rows, frame.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
-    return rows
+    if not done:
+        return rows
+    keys = done[0].select(key)
+    for frame in done[1:]:
+        keys = keys.union(frame.select(key))
+    return join_facts(rows, keys.filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
 
 
 def split_known(rows: DataFrame, known: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:

@@ -40,10 +40,12 @@ def log_metrics(lines: DataFrame, line: str = "value", step: str = "current_step
 
 
 def config_params(lines: DataFrame, line: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``key, param`` of the plain (not nested) fields of a run configuration."""
-    parsed = lines.select(*keep, F.from_json(line, "map<string,string>").alias("_m"))
-    rows = parsed.select(*keep, F.explode("_m").alias("key", "param"))
-    return rows.filter(~F.col("param").rlike(r"^\s*[\[{]"))
+    """``key, param`` of the plain (not nested) fields of a run configuration.
+    The type of a value decides, not how its text begins."""
+    parsed = lines.select(*keep, F.from_json(line, "map<string,variant>").alias("_m"))
+    rows = parsed.select(*keep, F.explode("_m").alias("key", "_v"))
+    plain = rows.filter(~F.schema_of_variant("_v").rlike("^(ARRAY|OBJECT|VOID)"))
+    return plain.select(*keep, "key", F.col("_v").cast("string").alias("param"))
 
 
 def select_gauge(

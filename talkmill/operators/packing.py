@@ -170,22 +170,46 @@ def training_messages(
     """Cleaned, prompted and packed conversations, one row per message.
 
     The texts are read twice: once for the facts of every turn, once to merge.
-    Everything between works on staged narrow rows.
+    Everything between works on staged narrow rows.  Conversations of
+    ``max_words`` words and more stay as they are: ``kind`` is "long" there,
+    ``chunk_id`` their number by id, and every turn is kept.
     """
     conversations = stage(usable(measure(turns), prompt), "conversations")
     packed = _pack_staged(conversations, KEY, max_words, max_rows)
-    return merge_chunks(turns, packed, prompt)
+    _, long_rows = split_by_length(conversations, max_words)
+    numbered = global_row_number(long_rows, [F.col(KEY)], name="chunk_id", start=0)
+    merged = merge_chunks(turns, packed, prompt).withColumn("kind", F.lit("merged"))
+    return merged.unionByName(long_messages(turns, numbered, prompt).withColumn("kind", F.lit("long")))
+
+
+def long_messages(turns: DataFrame, numbered: DataFrame, prompt: str | None = fixed.DEFAULT_SYSTEM) -> DataFrame:
+    """Turns of conversations that are not merged, in the columns of
+    ``merge_chunks``; the prompt (slot -1) comes before those without a system
+    message."""
+    chosen = numbered.select(KEY, "chunk_id", "first", "stop", "has_system")
+    kept = turns.join(chosen, KEY).filter(F.col("stop").isNull() | (F.col(TURN) < F.col("stop")))
+    rows = kept.select("chunk_id", F.lit(0).cast("bigint").alias("slot"), TURN, "role", "text")
+    if prompt is None:
+        return rows
+    added = chosen.filter(~F.col("has_system")).select(
+        "chunk_id",
+        F.lit(-1).cast("bigint").alias("slot"),
+        (F.col("first") - 1).alias(TURN),
+        F.lit("system").alias("role"),
+        F.lit(prompt).alias("text"),
+    )
+    return rows.unionByName(added)
 
 
 def groups(
-    rows: DataFrame, index: str, total: int, size: int = fixed.GROUP_SIZE, drop_tail: str = "reference"
+    rows: DataFrame, index: str, total: int, size: int = fixed.GROUP_SIZE, drop_tail: str = "keep"
 ) -> DataFrame:
     """``group_id`` of rows numbered from 0 in ``index``.
 
-    ``drop_tail="reference"`` always drops the last group, even a full one;
-    ``"partial"`` drops it only when it is not full.
+    ``drop_tail="keep"`` keeps every row; ``"reference"`` always drops the last
+    group, even a full one; ``"partial"`` drops it only when it is not full.
     """
-    limits = {"reference": total - size, "partial": total - size + 1}
+    limits = {"keep": total, "reference": total - size, "partial": total - size + 1}
     if drop_tail not in limits:
         raise ValueError(f"drop_tail must be one of {sorted(limits)}")
     group = F.floor(F.col(index) / size)
@@ -198,7 +222,7 @@ def training_groups(
     max_words: int = fixed.MAX_WORDS,
     max_rows: int = fixed.MAX_CONVERSATIONS,
     size: int = fixed.GROUP_SIZE,
-    drop_tail: str = "reference",
+    drop_tail: str = "keep",
 ) -> DataFrame:
     """Groups of short chunks and of long rows: ``kind, group_id, item, id``;
     ``item`` is the chunk number, or the place of a long row in id order."""
@@ -224,10 +248,10 @@ def shuffle_groups(grouped: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def export_chunks(
-    df: DataFrame, order: list[Column], size: int = fixed.EXPORT_CHUNK, limit: int = fixed.EXPORT_LIMIT
+    df: DataFrame, order: list[Column], size: int = fixed.EXPORT_CHUNK, limit: int | None = None
 ) -> DataFrame:
-    """Rows numbered in ``order`` with their export ``chunk``; whole chunks up
-    to the one that reaches ``limit`` rows.  Write with ``partitionBy("chunk")``."""
-    numbered = global_row_number(df, order, name="rn")
-    n_chunks = -(-min(numbered.count(), limit) // size)
-    return numbered.withColumn("chunk", F.floor((F.col("rn") - 1) / size)).filter(F.col("chunk") < n_chunks)
+    """Rows numbered in ``order`` with their export ``chunk``: all rows, or
+    with ``limit`` whole chunks up to the one that reaches that many rows.
+    Write with ``partitionBy("chunk")``."""
+    numbered = global_row_number(df, order, name="rn").withColumn("chunk", F.floor((F.col("rn") - 1) / size))
+    return numbered if limit is None else numbered.filter(F.col("chunk") < -(-limit // size))

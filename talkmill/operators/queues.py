@@ -45,17 +45,19 @@ def work_queue(
     flag: str,
     min_words: int,
     start: datetime,
-    limit: int = fixed.GENERATION_LIMIT,
+    limit: int | None = None,
     tie: str = "link",
 ) -> DataFrame:
-    """Newest rows with content that are not generated yet."""
+    """Newest rows with content that are not generated yet: all, or the first
+    ``limit``."""
     ready = rows.filter(
         (F.col(flag).isNull() | ~F.col(flag))
         & F.col("content").isNotNull()
         & (F.col("word_count") >= min_words)
         & (F.col("time") >= F.lit(start))
     )
-    return ready.orderBy(F.col("time").desc(), F.col(tie)).limit(limit)
+    ordered = ready.orderBy(F.col("time").desc(), F.col(tie))
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def capped(rows: DataFrame, order: list[Column], limit: int) -> DataFrame:

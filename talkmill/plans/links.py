@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from talkmill import fixed
 from talkmill.functions import text as tx
 from talkmill.operators import dedup, queues
 from talkmill.plans.registry import query, sql_word_count
@@ -168,7 +169,7 @@ def pending_content(t):
         ORDER BY time DESC, link LIMIT 3000""",
 )
 def work_queue(t):
-    return queues.work_queue(with_flags(t), "message_generated", 100, datetime(2024, 1, 8)).select("link", "time", "word_count")
+    return queues.work_queue(with_flags(t), "message_generated", 100, datetime(2024, 1, 8), fixed.GENERATION_LIMIT).select("link", "time", "word_count")
 
 
 @query("host_delete", r"SELECT page_id, url FROM pages WHERE NOT regexp_matches(url, 'example\.net')")

@@ -37,10 +37,11 @@ def metric_unpivot(t):
 @query(
     "config_params",
     """SELECT event_id, 'event_type' AS key, event_type AS param FROM events
-       UNION ALL SELECT event_id, 'user_id', CAST(user_id AS VARCHAR) FROM events""",
+       UNION ALL SELECT event_id, 'user_id', CAST(user_id AS VARCHAR) FROM events
+       UNION ALL SELECT event_id, 'note', '[draft] ' || event_type FROM events""",
 )
 def config_params(t):
-    line = F.to_json(F.struct("event_type", "user_id", F.array("user_id").alias("layers"), F.struct("value").alias("nested")))
+    line = F.to_json(F.struct("event_type", "user_id", F.concat(F.lit("[draft] "), "event_type").alias("note"), F.array("user_id").alias("layers"), F.struct("value").alias("nested")))
     return mt.config_params(t("events").select("event_id", line.alias("value")), keep=("event_id",))
 
 

@@ -70,9 +70,13 @@ SQL_CONV = f"""WITH first AS (SELECT conv_id, min(turn) AS first, arg_min(role,
 @query(
     "pack_merge",
     SQL_CONV
-    + """ SELECT chunk_id, CAST(-1 AS BIGINT) AS slot, turn, 'system' AS role, text FROM turns JOIN packed USING (conv_id) JOIN opening USING (conv_id, turn) WHERE slot = 0
+    + """, long AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS chunk_id FROM lens WHERE word_count >= 1000)
+          SELECT chunk_id, CAST(-1 AS BIGINT) AS slot, turn, 'system' AS role, text, 'merged' AS kind FROM turns JOIN packed USING (conv_id) JOIN opening USING (conv_id, turn) WHERE slot = 0
           UNION ALL
-          SELECT chunk_id, slot, turn, role, text FROM turns JOIN packed USING (conv_id) WHERE role IN ('user', 'assistant')""",
+          SELECT chunk_id, slot, turn, role, text, 'merged' FROM turns JOIN packed USING (conv_id) WHERE role IN ('user', 'assistant')
+          UNION ALL
+          SELECT chunk_id, CASE WHEN c.turn IS NULL THEN -1 ELSE 0 END, t.turn, t.role, t.text, 'long'
+          FROM turns t JOIN long USING (conv_id) LEFT JOIN conversations c ON c.conv_id = t.conv_id AND c.turn = t.turn""",
 )
 def pack_merge(t):
     return packing.training_messages(t("conversations"))
@@ -110,9 +114,8 @@ def usable_conversations(t):
     SQL_DOCS
     + """, long AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS item FROM lens WHERE word_count >= 1000)
         SELECT 'short' AS kind, chunk_id // 16 AS group_id, chunk_id AS item, doc_id FROM packed
-        WHERE chunk_id // 16 * 16 < (SELECT max(chunk_id) + 1 - 16 FROM packed)
         UNION ALL
-        SELECT 'long', item // 16, item, doc_id FROM long WHERE item // 16 * 16 < (SELECT count(*) - 16 FROM long)""",
+        SELECT 'long', item // 16, item, doc_id FROM long""",
 )
 def batch_groups(t):
     return packing.training_groups(document_lengths(t), "doc_id")
@@ -135,14 +138,12 @@ def batch_groups_partial(t):
 
 @query(
     "export_chunks",
-    """WITH n AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders),
-            k AS (SELECT least(count(*), 12000) AS total FROM orders)
-       SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, rn, (rn - 1) // 5000 AS chunk FROM n, k
-       WHERE (rn - 1) // 5000 < (total + 4999) // 5000""",
+    """WITH n AS (SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)
+       SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, rn, (rn - 1) // 5000 AS chunk FROM n""",
 )
 def export_chunks(t):
     rows = t("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    return packing.export_chunks(rows, [F.col("o_orderdate"), F.col("o_orderkey")], 5000, 12000)
+    return packing.export_chunks(rows, [F.col("o_orderdate"), F.col("o_orderkey")], 5000)
 
 
 @query(

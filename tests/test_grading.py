@@ -101,7 +101,7 @@ def test_rules_like_model(values, texts):
 def test_normalise(values):
     ddl = "c array<string>"
     got = values(gr.choice_text, (["1", "2"],), (["A. 1", "B. 2"],), (["1"] * 6,), (["Ab", "b"],), ddl=ddl)
-    assert got == ["A. 1\nB. 2\n", "A. 1\nB. 2\n", None, "A. Ab\nB. b\n"]
+    assert got == ["A. 1\nB. 2\n", "A. 1\nB. 2\n", "A. 1\nB. 1\nC. 1\nD. 1\nE. 1\nF. 1\n", "A. Ab\nB. b\n"]
     assert values(gr.answer_letter, "0", "3", "d", "B") == ["A", "D", "D", "B"]
 
 

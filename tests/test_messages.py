@@ -179,6 +179,23 @@ def test_training_messages(spark):
     ]
 
 
+def test_long_conversations_stay(spark):
+    """What is too long to pack is kept as it is, every usable one once."""
+    long_text = " ".join(["w"] * 1200)
+    rows = [(1, 0, U, "one two"), (1, 1, A, "three"), (2, 0, U, long_text), (2, 1, A, "b"), (3, 0, S, "sys"), (3, 1, U, long_text), (3, 2, A, "c")]
+    turns = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = packing.training_messages(turns).orderBy("kind", "chunk_id", "slot", "turn").collect()
+    assert [(r["kind"], r["chunk_id"], r["turn"], r["role"], r["text"][:3]) for r in got if r["kind"] == "long"] == [
+        ("long", 0, -1, S, "Bạn"),
+        ("long", 0, 0, U, "w w"),
+        ("long", 0, 1, A, "b"),
+        ("long", 1, 0, S, "sys"),
+        ("long", 1, 1, U, "w w"),
+        ("long", 1, 2, A, "c"),
+    ]
+    assert [r["text"] for r in got if r["kind"] == "merged" and r["role"] == U] == ["one two"]
+
+
 def test_templates(spark):
     samples = spark.createDataFrame([(1, "q", "a", "t"), (2, "r", "b", "u")], "id int, question string, answer string, think string")
     got = cv.for_template(samples, "qwen3").collect()
