@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from talkmill.llm.common import arrow_bytes, by_bytes, ship_package, stage, text_of
 
 KNOWN = 1 << 17  # stretches of the table that all tasks get: 10 MB at most
-RARE = 500_000  # words of other stretches that a worker remembers
+RARE = 300_000  # words of other stretches that a worker remembers
 LONGEST = 48  # bytes of a stretch in that table
 BATCH = 8_000_000  # bytes of texts encoded at once
 RANK_CELLS = 1 << 14
