@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from talkmill.plans import QUERIES
 from tests.compare import difference, duck_rows, spark_rows
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -20,7 +21,7 @@ IN_PYTHON = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     frame = contract.queries()[name](spark, FOLDER)
     got = spark_rows(frame)
