@@ -255,10 +255,12 @@ def nest(turns: DataFrame, rows_per_part: int = TURNS_PER_BLOCK) -> DataFrame:
     A conversation is one row (part 0) up to ``rows_per_part`` turns; longer
     ones go on in further parts, so that no row grows without limit.
     """
-    part = F.floor(F.col(TURN) / F.lit(rows_per_part))
+    first = turns.groupBy(KEY).agg(F.min(TURN).alias("_first"))
+    part = F.floor((F.col(TURN) - F.col("_first")) / F.lit(rows_per_part))
     ordered = F.array_sort(F.collect_list(F.struct(TURN, "role", F.col("text").alias("content"))))
     return (
-        turns.withColumn("part", part)
+        join_facts(turns, first, KEY)
+        .withColumn("part", part)
         .groupBy(KEY, "part")
         .agg(ordered.alias("m"))
         .select(
@@ -326,7 +328,11 @@ def for_template(rows: DataFrame, template: str, messages: str = "messages", see
         made = rows.withColumn("_s", sample).filter(F.col("_s").isNotNull())
         return made.select("id", "_s.pair", F.col("_s.messages").alias(messages))
     if template == "qwen3":
-        return rows.withColumn(messages, ms.with_system(F.col(messages)))
+        prompted = ms.with_system(F.col(messages))
+        if "part" in rows.columns:
+            # Further parts of a conversation go on without a prompt.
+            prompted = F.when(F.col("part") == 0, prompted).otherwise(F.col(messages))
+        return rows.withColumn(messages, prompted)
     return rows
 
 

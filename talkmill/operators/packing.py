@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill import fixed
-from talkmill.operators.conversations import KEY, TURN, conversation_facts, measure
+from talkmill.functions import text as tx
+from talkmill.operators.conversations import KEY, TURN, TURNS_PER_BLOCK, conversation_facts, measure
 from talkmill.operators.ordered import global_row_number
-from talkmill.session import stage
+from talkmill.session import join_facts, stage
 
 
 class Segment(NamedTuple):
@@ -201,8 +202,56 @@ def long_messages(turns: DataFrame, numbered: DataFrame, prompt: str | None = fi
     return rows.unionByName(added)
 
 
+def training_rows(messages: DataFrame) -> DataFrame:
+    """Training messages as rows ``kind, chunk_id, part, word_count, messages``.
+
+    A merged conversation is one row (part 0), which its words bound.  A long
+    one goes on in further parts, so that no row grows without limit.
+    """
+    block = F.floor(F.greatest(F.col(TURN), F.lit(0)) / F.lit(TURNS_PER_BLOCK))
+    part = F.when(F.col("kind") == "long", block).otherwise(F.lit(0).cast("bigint"))
+    said = F.array_sort(F.collect_list(F.struct("slot", TURN, "role", F.col("text").alias("content"))))
+    rows = messages.withColumn("part", part).groupBy("kind", "chunk_id", "part")
+    return rows.agg(
+        F.sum(F.coalesce(tx.word_count(F.col("text")), F.lit(0))).alias("word_count"), said.alias("m")
+    ).select(
+        "kind",
+        "chunk_id",
+        "part",
+        "word_count",
+        F.transform("m", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"))).alias("messages"),
+    )
+
+
+def training_set(
+    turns: DataFrame,
+    max_words: int = fixed.MAX_WORDS,
+    max_rows: int = fixed.MAX_CONVERSATIONS,
+    prompt: str | None = fixed.DEFAULT_SYSTEM,
+    size: int = fixed.GROUP_SIZE,
+    drop_tail: str = "keep",
+    seed: int = 0,
+) -> DataFrame:
+    """The training set: rows of ``training_rows`` with their ``group_id`` (per
+    kind) and the ``place`` of the group in the seeded order of all groups.
+
+    Write in the order ``place, chunk_id, part``.  Only group keys are numbered;
+    the rows themselves move once, to meet their group's place.
+    """
+    rows = stage(training_rows(training_messages(turns, max_words, max_rows, prompt)), "training")
+    is_long = F.col("kind") == "long"
+    chunks = F.col("chunk_id") + 1
+    n = rows.agg(F.max(F.when(is_long, chunks)).alias("long"), F.max(F.when(~is_long, chunks)).alias("merged")).first()
+    total = F.when(is_long, F.lit(n["long"] or 0)).otherwise(F.lit(n["merged"] or 0))
+    grouped = groups(rows, "chunk_id", total, size, drop_tail)
+    key = F.md5(F.concat_ws("/", "kind", F.col("group_id").cast("string"), F.lit(str(seed))))
+    keys = grouped.select("kind", "group_id").distinct()
+    places = global_row_number(keys, [key.asc(), F.col("kind"), F.col("group_id")], name="place", start=0)
+    return join_facts(grouped, places, ["kind", "group_id"])
+
+
 def groups(
-    rows: DataFrame, index: str, total: int, size: int = fixed.GROUP_SIZE, drop_tail: str = "keep"
+    rows: DataFrame, index: str, total: int | Column, size: int = fixed.GROUP_SIZE, drop_tail: str = "keep"
 ) -> DataFrame:
     """``group_id`` of rows numbered from 0 in ``index``.
 

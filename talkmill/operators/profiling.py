@@ -98,22 +98,16 @@ def from_words(rows: DataFrame, texts: list[str], flags: list[str]) -> DataFrame
     )
 
 
-def split_tokenizer() -> object:
-    """Default tokenizer: words and single marks."""
-    import re
+#: Words, and single marks that are neither letters, digits nor blanks.
+TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s\p{Z}\x1C-\x1F\x85]"
 
-    pattern = re.compile(r"\w+|[^\w\s]")
 
-    class Split:
-        def encode(self, text: str) -> list[str]:
-            return pattern.findall(text)
-
-    return Split()
-
-
-def token_count(text: Column, tokenizer=split_tokenizer) -> Column:
-    """Tokens of a text by a tokenizer with ``encode``; ``tokenizer`` is a
-    function that makes one, called once per Python worker."""
+def token_count(text: Column, tokenizer=None) -> Column:
+    """Tokens of a text, null counting as empty: words and single marks, or by
+    a tokenizer with ``encode``.  ``tokenizer`` is a function that makes one,
+    called once per Python worker."""
+    if tokenizer is None:
+        return F.coalesce(F.regexp_count(text, F.lit(TOKEN)), F.lit(0)).cast("bigint")
 
     @F.pandas_udf("bigint")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -17,13 +17,16 @@ SENTENCE = r"[^.!?]+[.!?]*\s*"
 
 def latest(documents: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The newest version of every document.  Only the key and the order
-    columns are aggregated; (key, order) is unique."""
-    if len(order) == 1:
-        newest = documents.groupBy(key).agg(F.max(order[0]).alias(order[0]))
-    else:
-        top = documents.groupBy(key).agg(F.max(F.struct(*order)).alias("_o"))
-        newest = top.select(key, *[F.col(f"_o.{c}").alias(c) for c in order])
-    return documents.join(newest, [key, *order], "left_semi")
+    columns are aggregated; (key, order) is unique.
+
+    Each order column is a plain maximum among the rows that tie in those
+    before it, so that the aggregates hash instead of sorting structs.
+    """
+    newest = documents.groupBy(key).agg(F.max(order[0]).alias(order[0]))
+    for i in range(1, len(order)):
+        ties = join_facts(documents.select(key, *order[: i + 1]), newest, [key, *order[:i]], "left_semi")
+        newest = ties.groupBy(key, *order[:i]).agg(F.max(order[i]).alias(order[i]))
+    return join_facts(documents, newest, [key, *order], "left_semi")
 
 
 def numbered(documents: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -120,12 +120,52 @@ def io_manifest(t):
     return writers.manifest(named).select("name", "entry.file_name", F.col("entry.tags.role_tag").alias("role_tag"))
 
 
-@query("io_corpus_size")
-def io_corpus_size(t):
+@query(
+    "io_manifest_scan",
+    "SELECT count(*) AS n_rows, true AS all_named, true AS all_tagged FROM documents",
+)
+def io_manifest_scan(t):
     docs = t("documents")
+    spark = docs.sparkSession
+    path = shared_path(spark, "scanned")
+    writers.rolling_json(docs, path, 500)
+    scanned = spark.read.schema(DOCUMENT).json(path).select("_metadata.file_name")
+    entries = writers.manifest(scanned).select(
+        "name", "entry.file_name", (F.col("entry.tags.content_tag") == "content").alias("tagged")
+    )
+    per_file = scanned.groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
+    return per_file.join(entries, "file_name", "left").agg(
+        F.sum("n").alias("n_rows"),
+        F.bool_and(F.coalesce(F.concat("name", F.lit(".json")) == F.col("file_name"), F.lit(False))).alias("all_named"),
+        F.bool_and(F.coalesce("tagged", F.lit(False))).alias("all_tagged"),
+    )
+
+
+@query(
+    "io_json_results",
+    "SELECT lang, count(*) AS n, CAST(sum(n_chars) AS BIGINT) AS chars FROM (SELECT lang, n_chars FROM documents UNION ALL SELECT lang, n_chars FROM documents) GROUP BY lang",
+)
+def io_json_results(t):
+    docs = t("documents").select("lang", "n_chars")
+    path = shared_path(docs.sparkSession, "results")
+    writers.json_results(docs, path)
+    writers.json_results(docs, path)
+    back = docs.sparkSession.read.schema("lang string, n_chars bigint").json(path)
+    return back.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query(
+    "io_corpus_size",
+    """SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS bytes, sum(strlen(text) + 1) / (1024 * 1024) AS megabytes, true AS has_files
+       FROM documents WHERE text IS NOT NULL""",
+)
+def io_corpus_size(t):
+    docs = t("documents").select("text").filter(F.col("text").isNotNull())
     path = shared_path(docs.sparkSession, "size")
-    docs.write.json(path)
-    return profiling.corpus_size(docs.sparkSession.read.schema(DOCUMENT).json(path))
+    docs.write.text(path)
+    return profiling.corpus_size(docs.sparkSession.read.text(path)).select(
+        "bytes", "megabytes", (F.col("files") > 0).alias("has_files")
+    )
 
 
 @query(

@@ -9,6 +9,8 @@ from talkmill.operators import conversations as cv
 from talkmill.operators import ordered, packing
 from talkmill.plans.conversations import SQL_EMPTIED, emptied
 from talkmill.plans.registry import query, sql_word_count
+from talkmill.session import shared_path
+from talkmill.sources import writers
 
 SQL_DOCS = f"""WITH lens AS (SELECT doc_id, {sql_word_count('text')} AS word_count FROM documents),
     short AS (SELECT * FROM lens WHERE word_count < 1000),
@@ -67,21 +69,50 @@ SQL_CONV = f"""WITH first AS (SELECT conv_id, min(turn) AS first, arg_min(role,
     opening AS (SELECT conv_id, min(turn) AS turn FROM turns GROUP BY conv_id)"""
 
 
-@query(
-    "pack_merge",
+SQL_SAID = (
     SQL_CONV
-    + """, long AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS chunk_id FROM lens WHERE word_count >= 1000)
+    + """, long AS (SELECT conv_id, row_number() OVER (ORDER BY conv_id) - 1 AS chunk_id FROM lens WHERE word_count >= 1000),
+        said AS (
           SELECT chunk_id, CAST(-1 AS BIGINT) AS slot, turn, 'system' AS role, text, 'merged' AS kind FROM turns JOIN packed USING (conv_id) JOIN opening USING (conv_id, turn) WHERE slot = 0
           UNION ALL
           SELECT chunk_id, slot, turn, role, text, 'merged' FROM turns JOIN packed USING (conv_id) WHERE role IN ('user', 'assistant')
           UNION ALL
           SELECT chunk_id, CASE WHEN c.turn IS NULL THEN -1 ELSE 0 END, t.turn, t.role, t.text, 'long'
-          FROM turns t JOIN long USING (conv_id) LEFT JOIN conversations c ON c.conv_id = t.conv_id AND c.turn = t.turn""",
+          FROM turns t JOIN long USING (conv_id) LEFT JOIN conversations c ON c.conv_id = t.conv_id AND c.turn = t.turn)"""
 )
+
+
+@query("pack_merge", SQL_SAID + " SELECT chunk_id, slot, turn, role, text, kind FROM said")
 def pack_merge(t):
     return packing.training_messages(t("conversations"))
 
 
+@query(
+    "training_set",
+    SQL_SAID
+    + f""", units AS (
+          SELECT kind, chunk_id, CASE WHEN kind = 'long' THEN greatest(turn, 0) // 4096 ELSE 0 END AS part,
+                 CAST(sum({sql_word_count('text')}) AS BIGINT) AS word_count, count(*) AS n_messages,
+                 md5(string_agg(role || ':' || text, chr(30) ORDER BY slot, turn)) AS messages_md5
+          FROM said GROUP BY 1, 2, 3),
+        places AS (
+          SELECT kind, group_id, row_number() OVER (ORDER BY md5(kind || '/' || group_id || '/0'), kind, group_id) - 1 AS place
+          FROM (SELECT DISTINCT kind, chunk_id // 16 AS group_id FROM units))
+        SELECT units.*, group_id, place FROM units JOIN places ON places.kind = units.kind AND group_id = chunk_id // 16""",
+)
+def training_set(t):
+    rows = packing.training_set(t("conversations"))
+    path = shared_path(rows.sparkSession, "training_set")
+    order = ["place", "chunk_id", "part"]
+    writers.rolling_json(rows.repartitionByRange(*order).sortWithinPartitions(*order), path)
+    back = rows.sparkSession.read.schema(rows.schema).json(path)
+    lines = F.transform("messages", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
+    return back.select(
+        "kind", "chunk_id", "part", "word_count", F.size("messages").cast("bigint").alias("n_messages"),
+        F.md5(F.array_join(lines, "\x1e")).alias("messages_md5"), "group_id", "place",
+    )
+
+
 def worn(t):
     """Conversations with some empty turns and some CJK text."""
     turns = emptied(t)

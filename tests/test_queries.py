@@ -17,7 +17,6 @@ IN_PYTHON = {
     "page_article_text",
     "page_articles",
     "page_split",
-    "token_totals",
 }
 
 
