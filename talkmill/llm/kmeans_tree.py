@@ -4,12 +4,14 @@ The tree is fitted on a bounded sample; every vector is indexed: it goes down
 the tree to its leaf.  A query visits leaves best bin first: a priority queue
 holds the open subtrees by the inner product of the query with their centres,
 and its best entry is opened next.  The number of leaves to visit is widened,
-doubling, until the recall of calibration queries against brute force over all
-vectors reaches ``TARGET``.
-
-A leaf's vectors meet the queries that visit it in blocks, so neither a large
-leaf nor a popular one is gathered whole.  Of equal vectors only the ``k + 1``
-smallest ids can be among anyone's k nearest, so copies are set aside first.
+by a quarter each time, until the recall of calibration queries against brute
+force over all vectors reaches ``TARGET``.
+
+Leaves lie in bins of at most ``BLOCK`` vectors: small neighbours share one, a
+large leaf has several.  A query goes once to each bin where it visits leaves,
+and bins meet queries in blocks, so neither a large leaf nor a popular one is
+gathered whole.  Of equal vectors only the ``k + 1`` smallest ids can be among
+anyone's k nearest, so copies are set aside first.
 """
 
 from __future__ import annotations
@@ -19,18 +21,22 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
-from talkmill.llm.common import ship_package, stage
-from talkmill.session import join_facts
+from talkmill.llm.common import run_of, ship_package, stage
 
 SAMPLE = 20_000  # vectors the tree is fitted on, at most
 BRANCHES = 8
 LEAF = 64  # sample vectors of a leaf, at most
 TARGET = 0.97  # recall on calibration queries
 CALIBRATION = 200  # calibration queries, about
-BLOCK = 4096  # vectors, or queries, of a leaf that meet in one task
+BLOCK = 16_384  # vectors of a bin, or queries that meet it, at most
+LEAST_BLOCK = 512  # vectors of a bin, if there are fewer vectors than partitions ask for
+QUERIES = 512  # queries whose visits are listed at once
+CELLS = 1 << 22  # scores in memory at once
 SALTS = 64
 
 
@@ -107,18 +113,44 @@ def _placed(shared):
     return run
 
 
-def _visits(shared, most: int):
+def layout(sizes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """First bin and number of bins of each leaf: neighbouring leaves share a
+    bin of at most ``block`` vectors, a larger leaf has several of its own."""
+    first, bins = np.zeros(len(sizes), np.int64), -(-sizes // block)
+    bin_, filled = 0, 0
+    for leaf, size in enumerate(sizes.tolist()):
+        if filled and filled + size > block:
+            bin_, filled = bin_ + 1, 0
+        first[leaf] = bin_
+        filled += size
+        if size > block:
+            bin_, filled = bin_ + int(bins[leaf]), 0
+    return first, bins
+
+
+def _visits(shared, first: np.ndarray, bins: np.ndarray, most: int):
+    """A row for each query and bin, with the leaves to visit there."""
+
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            orders = [shared.value.visit(q, most) for q in _matrix(batch.column("v"))]
-            which = np.repeat(np.arange(batch.num_rows), [len(o) for o in orders])
-            step = np.concatenate([np.arange(len(o)) for o in orders])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(which)), pa.array(np.concatenate(orders).astype(np.int64)), pa.array(step, pa.int64()), batch.column("v").take(pa.array(which))],
-                names=["query_id", "leaf", "step", "v"],
-            )
+        for whole in batches:
+            for low in range(0, whole.num_rows, QUERIES):
+                batch = whole.slice(low, QUERIES)
+                orders = [np.array(shared.value.visit(q, most), np.int64) for q in _matrix(batch.column("v"))]
+                leaf = np.concatenate(orders)
+                row = np.repeat(np.arange(len(orders)), [len(o) for o in orders])
+                step = np.concatenate([np.arange(len(o)) for o in orders])
+                times = bins[leaf]
+                row, step, leaf = np.repeat(row, times), np.repeat(step, times), np.repeat(leaf, times)
+                bin_ = first[leaf] + np.arange(len(leaf)) - np.repeat(np.cumsum(times) - times, times)
+                order = np.lexsort((bin_, row))
+                row, step, leaf, bin_ = row[order], step[order], leaf[order], bin_[order]
+                starts = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(bin_) != 0)][: len(row)])
+                offsets, which = pa.array(np.append(starts, len(row)).astype(np.int32)), pa.array(row[starts])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").take(which), pa.array(bin_[starts]), batch.column("q").take(which), batch.column("v").take(which),
+                     pa.ListArray.from_arrays(offsets, pa.array(leaf.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(step.astype(np.int32)))],
+                    names=["query_id", "bin", "q", "v", "leaves", "steps"],
+                )
 
     return run
 
@@ -126,48 +158,65 @@ def _visits(shared, most: int):
 FOUND = "query_id long, vec_id long, score double, step long"
 
 
+def _best(asked, vectors, leaves, steps, ids, points, at, starts, k):
+    """The k best points of a bin for some queries.  ``leaves`` and ``steps``
+    are list columns; ``at`` and ``starts`` tell which points a leaf has."""
+    rows = np.repeat(np.arange(len(asked)), pc.list_value_length(leaves).to_numpy())
+    flat = leaves.flatten().to_numpy()
+    place = np.minimum(np.searchsorted(at, flat), len(at) - 1)
+    here = at[place] == flat
+    step = np.full((len(asked), len(at)), -1, np.int64)
+    step[rows[here], place[here]] = steps.flatten().to_numpy()[here]
+    scores = np.full((len(asked), len(ids)), -np.inf)
+    for j in range(len(at)):
+        who = np.flatnonzero(step[:, j] >= 0)
+        if len(who):
+            scores[who, starts[j] : starts[j + 1]] = vectors[who] @ points[starts[j] : starts[j + 1]].T
+    scores[asked[:, None] == ids[None, :]] = -np.inf
+    edge = np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(asked), -np.inf)
+    # A matrix product may round equal vectors differently: a hair below the
+    # edge stays, and the score is summed anew in one order for all.
+    finite = np.isfinite(edge)
+    edge[finite] -= 1e-12 * (1 + np.abs(edge[finite]))
+    row, point = np.nonzero((scores >= edge[:, None]) & (scores > -np.inf))
+    score = np.concatenate([(vectors[row[i : i + 8192]] * points[point[i : i + 8192]]).sum(axis=1) for i in range(0, len(row), 8192)] or [np.zeros(0)])
+    order = np.lexsort((ids[point], -score, row))
+    row, point, score = row[order], point[order], score[order]
+    rank = np.arange(len(row)) - np.searchsorted(row, row)
+    row, point, score = row[rank < k], point[rank < k], score[rank < k]
+    leaf = np.searchsorted(starts, point, side="right") - 1
+    return asked[row], ids[point], score, step[row, leaf]
+
+
 def _nearest(k: int):
     def run(key, vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        out = {c.split()[0]: [] for c in FOUND.split(", ")}
+        out = []
         if len(vectors) and len(queries):
-            ids = vectors.column("id").to_numpy()
-            order = np.argsort(ids)
-            ids, points = ids[order], _matrix(vectors.column("v"))[order]
-            asked, steps = queries.column("query_id").to_numpy(), queries.column("step").to_numpy()
-            for low in range(0, len(asked), 256):
-                scores = _matrix(queries.column("v").slice(low, 256)) @ points.T
-                for i, row in enumerate(scores):
-                    query = asked[low + i]
-                    row[ids == query] = -np.inf
-                    if len(row) > k:
-                        edge = np.partition(row, len(row) - k)[len(row) - k]
-                        best = np.flatnonzero(row >= edge)
-                    else:
-                        best = np.arange(len(row))
-                    best = best[np.lexsort((ids[best], -row[best]))][:k]
-                    best = best[row[best] > -np.inf]
-                    for name, values in zip(out, (np.full(len(best), query), ids[best], row[best], np.full(len(best), steps[low + i]))):
-                        out[name].append(values)
+            ids, leaf = vectors.column("id").to_numpy(), vectors.column("leaf").to_numpy()
+            order = np.lexsort((ids, leaf))
+            ids, leaf, points = ids[order], leaf[order], _matrix(vectors.column("v"))[order]
+            at, starts = np.unique(leaf, return_index=True)
+            starts = np.append(starts, len(ids))
+            queries = queries.combine_chunks()
+            some = max(1, CELLS // len(ids))
+            for low in range(0, len(queries), some):
+                part = queries.slice(low, some)
+                lists = (part.column(c).combine_chunks() for c in ("leaves", "steps"))
+                asked = part.column("query_id").to_numpy()
+                out.append(_best(asked, _matrix(part.column("v")), *lists, ids, points, at, starts, k))
+        names = [c.split()[0] for c in FOUND.split(", ")]
         kinds = (np.int64, np.int64, np.float64, np.int64)
-        return pa.table({n: pa.array(np.concatenate(v) if v else np.zeros(0, t), pa.from_numpy_dtype(t)) for (n, v), t in zip(out.items(), kinds)})
+        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, t) for t in kinds]
+        return pa.table({n: pa.array(c.astype(t)) for n, c, t in zip(names, columns, kinds)})
 
     return run
 
 
-def _blocks(rows: DataFrame, key: str, name: str) -> tuple[DataFrame, DataFrame]:
-    """Rows dealt over blocks of their leaf, and the number of blocks."""
-    counts = rows.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"{name}s"))
-    counts = stage(counts, "blocks")
-    return join_facts(rows, counts, "leaf").withColumn(name, F.pmod(F.xxhash64(key, F.lit(3)), F.col(f"{name}s")).cast("int")).drop(f"{name}s"), counts
-
-
-def _search(index: DataFrame, visits: DataFrame, k: int) -> DataFrame:
-    """The k best of each visited leaf block for each query."""
-    points, point_blocks = _blocks(index, "id", "p")
-    asked, query_blocks = _blocks(visits, "query_id", "q")
-    points = join_facts(points, query_blocks, "leaf").withColumn("q", F.explode(F.sequence(F.lit(0), F.col("qs") - 1))).drop("qs")
-    asked = join_facts(asked, point_blocks, "leaf").withColumn("p", F.explode(F.sequence(F.lit(0), F.col("ps") - 1))).drop("ps")
-    both = points.groupBy("leaf", "p", "q").cogroup(asked.groupBy("leaf", "p", "q"))
+def _search(points: DataFrame, visits: DataFrame, parts: int, k: int) -> DataFrame:
+    """The k best of each visited bin for each query; ``points`` meet each of
+    the ``parts`` blocks of queries."""
+    points = points.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    both = points.groupBy("bin", "q").cogroup(visits.groupBy("bin", "q"))
     return both.applyInArrow(_nearest(k), FOUND)
 
 
@@ -178,9 +227,10 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """``id, v`` of vectors that can take part; zeros have one sign, so that
-    equal vectors are equal arrays."""
-    v = F.col(f"`{embedding}`").cast("array<double>")
-    rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.transform(v, lambda x: x + F.lit(0.0)).alias("v"))
+    equal vectors are equal arrays.  Floats stay floats on their way."""
+    kind = "float" if vectors.select(F.col(f"`{embedding}`")).schema[0].dataType == ArrayType(FloatType()) else "double"
+    v = F.col(f"`{embedding}`").cast(f"array<{kind}>")
+    rows = vectors.select(F.col(f"`{vec_id}`").cast("long").alias("id"), F.transform(v, lambda x: x + F.lit(0.0).cast(kind)).alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return rows.where(F.col("id").isNotNull() & F.col("v").isNotNull() & F.coalesce(fine, F.lit(False)) & F.exists("v", lambda x: x != 0))
 
@@ -204,40 +254,59 @@ def nearest(
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if length is None:
         return empty
-    rows = stage(rows.where(F.col("d") == length["d"]).drop("d").distinct(), "vectors")
-    total = rows.count()
-
-    # Ids of equal vectors: the k + 1 smallest, first among a part of them.
-    copies = rows.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
-    for keys in (["v", "salt"], ["v"]):
+    rows = rows.where(F.col("d") == length["d"]).drop("d")
+
+    # Of equal vectors the k + 1 smallest ids: first among a part of them.
+    # Equal means equal in 128 bits of hash; repeated rows fall out here too.
+    copies = rows.select("id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(7), "v").alias("h2"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
+    part = Window.partitionBy("h1", "h2", "salt").orderBy("id")
+    copies = copies.withColumn("same", F.lag("id").over(part).eqNullSafe(F.col("id"))).where(~F.col("same")).drop("same")
+    for keys in (["h1", "h2", "salt"], ["h1", "h2"]):
         copies = copies.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("id"))).where(F.col("n") <= k + 1).drop("n")
+    index = stage(copies.select("id", "v"), "candidates")
+    total = index.count()
     share = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000))
-    index = stage(copies.drop("salt"), "candidates")
     sample = index.where(share < F.lit(min(1_000_000, math.ceil(0.95 * SAMPLE / total * 1_000_000)))).orderBy("id").limit(SAMPLE).select("v").toArrow()
     shared = spark.sparkContext.broadcast(Tree(_matrix(sample.column("v")) if len(sample) else np.zeros((0, length["d"]))))
     tree = shared.value
-    placed = stage(index.mapInArrow(_placed(shared), "id long, leaf long, v array<double>"), "placed")
-
-    queries = stage(rows.where(F.col("id") % every == 0), "queries")
+    kind = index.schema["v"].dataType.simpleString()
+    placed = stage(index.mapInArrow(_placed(shared), f"id long, leaf long, v {kind}"), "placed")
+
+    sizes = np.zeros(tree.leaves, np.int64)
+    for leaf, n in placed.groupBy("leaf").count().collect():  # a row per leaf at most
+        sizes[leaf] = n
+    first, bins = layout(sizes, max(LEAST_BLOCK, min(BLOCK, -(-total // run_of(spark)))))
+    # A row per leaf, and a leaf has a vector of the sample at least.
+    where = spark.createDataFrame([(i, int(f), int(b)) for i, (f, b) in enumerate(zip(first, bins))], "leaf long, first long, bins long")
+    points = placed.join(F.broadcast(where), "leaf")
+    points = points.select("id", "leaf", "v", (F.col("first") + F.pmod(F.xxhash64("id", F.lit(3)), F.col("bins"))).alias("bin"))
+
+    queries = rows.where(F.col("id") % every == 0).distinct().withColumn("_hash", F.xxhash64("id", F.lit(23)))
+    queries = stage(queries, "queries")
     asked = queries.count()
     if not asked:
         return empty
-    some = queries.where(F.pmod(F.xxhash64("id", F.lit(23)), F.lit(max(1, asked // CALIBRATION))) == 0)
+
+    def search(of: DataFrame, count: int, most: int) -> DataFrame:
+        parts = -(-count // BLOCK)
+        of = of.select("id", "v", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(parts)).cast("int").alias("q"))
+        visits = of.mapInArrow(_visits(shared, first, bins, most), f"query_id long, bin long, q int, v {kind}, leaves array<int>, steps array<int>")
+        return _top(_search(points, visits, parts, k), k)
+
+    some = queries.where(F.pmod("_hash", F.lit(max(1, asked // CALIBRATION))) == 0)
     some = stage(some if not some.isEmpty() else queries.limit(CALIBRATION), "calibration")
     # One search over all leaves gives the exact result and, by the step at
     # which each neighbour's leaf comes up, the recall at any number of visits.
-    schema = "query_id long, leaf long, step long, v array<double>"
-    exact = _top(_search(placed, some.mapInArrow(_visits(shared, tree.leaves), schema), k), k)
+    exact = search(some, 2 * CALIBRATION, tree.leaves)
     steps = {r["step"]: r["count"] for r in exact.groupBy("step").count().collect()}  # a row per leaf at most
     most = 1
     while most < tree.leaves and sum(n for step, n in steps.items() if step < most) < target * sum(steps.values()):
-        most = min(2 * most, tree.leaves)
-    found = _top(_search(placed, stage(queries.mapInArrow(_visits(shared, most), schema), "visits"), k), k)
-    found = stage(found, "found")
+        most = min(math.ceil(1.25 * most), tree.leaves)
+    found = stage(search(queries, asked, most), "found")
     # Who met fewer than k candidates looks everywhere.
     enough = found.groupBy("query_id").count().where(F.col("count") >= min(k, total - 1)).select(F.col("query_id").alias("id"))
     short = stage(queries.join(enough, "id", "left_anti"), "short")
-    if most < tree.leaves and not short.isEmpty():
-        more = _top(_search(placed, stage(short.mapInArrow(_visits(shared, tree.leaves), schema), "visits"), k), k)
+    if most < tree.leaves and (missing := short.count()):
+        more = search(short, missing, tree.leaves)
         found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(more)
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
