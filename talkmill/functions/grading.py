@@ -13,7 +13,7 @@ OPEN, CLOSE = r"[\[,\{,\(]", r"[\],\},\)]"
 NUMBER = r"-?[0-9]+\.?[0-9]*"
 LETTER = f"{OPEN}[A-D]{CLOSE}"
 
-# (pattern, characters cut in front, characters cut behind, keep letters only),
+# Fixed values: (pattern, characters cut in front, characters cut behind, keep letters only),
 # tried in this order; the last match of the first pattern that occurs wins.
 LETTER_RULES = [
     ("ANSWERIS" + LETTER * 4, 8, 0, True),

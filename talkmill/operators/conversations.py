@@ -30,8 +30,10 @@ def select_stored(
     source: str | None = None,
     only_generated: bool = True,
     columns: tuple[str, ...] = ("messages",),
+    limit: int | None = None,
 ) -> DataFrame:
-    """Stored conversations in a time range (both ends inclusive) and source."""
+    """Stored conversations in a time range (both ends inclusive) and source;
+    any ``limit`` of them, if one is given."""
     tests: list[Column] = []
     if time_start is not None:
         tests.append(F.col("time") >= F.lit(time_start))
@@ -43,7 +45,8 @@ def select_stored(
         tests.append(F.col("message_generated"))
     for test in tests:
         conversations = conversations.filter(test)
-    return conversations.select(*columns)
+    chosen = conversations.select(*columns)
+    return chosen if limit is None else chosen.limit(limit)
 
 
 def wrong_script_keys(turns: DataFrame) -> DataFrame:
@@ -345,10 +348,12 @@ def pull(
     lead_ins=None,
     drop_first=None,
     refusals=None,
+    limit: int | None = None,
 ) -> DataFrame:
     """Good question/answer pairs of the stored conversations in a time range
     and source; ``stored`` has one row per conversation with ``time, source,
-    message_generated``.  Conversations without a good pair give no row."""
-    chosen = select_stored(stored, time_start, time_end, source, columns=(KEY,))
+    message_generated``.  Conversations without a good pair give no row.  A
+    ``limit`` counts stored conversations; none is set by default."""
+    chosen = select_stored(stored, time_start, time_end, source, columns=(KEY,), limit=limit)
     wanted = join_facts(turns, chosen, KEY, "left_semi")
     return good_pairs(drop_null_context(wanted), lead_ins, drop_first, refusals)

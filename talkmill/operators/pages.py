@@ -334,8 +334,8 @@ def rules_frame(spark, rules: dict[str, LinkRule] | None = None) -> DataFrame:
 
 def admitted_by_source(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """Links that meet the rule of their own ``source``; the rule table has one
-    row per site."""
-    wanted = rows.join(F.broadcast(rules), "source")
+    row per site, and is broadcast where its size allows."""
+    wanted = rows.join(rules, "source")
     return wanted.filter(
         (tx.word_count(F.col("title")) > F.col("min_words"))
         & (F.col("ending").isNull() | F.endswith("link", "ending"))

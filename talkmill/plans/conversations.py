@@ -485,20 +485,20 @@ def stub_answerer():
     return lambda prompt: f"answer {len(prompt)}"
 
 
-SQL_PROMPT = "'Ngày đăng: ' || turn || E'\\n\\n Nội dung: ' || text"
+SQL_PROMPT = "'Ngày đăng: ' || source || E'\\n\\n Nội dung: ' || coalesce(text, '')"
 
 
 def prompt_rows(t):
-    return t("conversations").filter("role = 'user'").select(
-        F.concat_ws("/", "conv_id", "turn").alias("link"),
-        F.col("turn").cast("string").alias("time"),
-        F.col("text").alias("content"),
+    return t("documents").select(
+        F.col("doc_id").cast("string").alias("link"),
+        F.col("source").alias("time"),
+        F.coalesce("text", F.lit("")).alias("content"),
     )
 
 
 @query(
     "generate_by_question",
-    f"""WITH p AS (SELECT conv_id || '/' || turn AS link, {SQL_PROMPT} AS prompt FROM conversations WHERE role = 'user')
+    f"""WITH p AS (SELECT CAST(doc_id AS VARCHAR) AS link, {SQL_PROMPT} AS prompt FROM documents)
         SELECT link, 1 AS position, 'length ' || length(prompt) || '?' AS question,
                'answer ' || length(prompt || E'\\n\\nlength ' || length(prompt) || '?') AS answer, NULL AS failure
         FROM p WHERE contains(prompt, '.')
@@ -519,7 +519,7 @@ def stub_pairs():
 
 @query(
     "generate_pairs",
-    f"""WITH p AS (SELECT conv_id || '/' || turn AS link, {SQL_PROMPT} AS prompt FROM conversations WHERE role = 'user')
+    f"""WITH p AS (SELECT CAST(doc_id AS VARCHAR) AS link, {SQL_PROMPT} AS prompt FROM documents)
         SELECT link, length(prompt) % 5 <> 0 AS succeeded, CASE WHEN length(prompt) % 5 = 0 THEN 'template' END AS failure,
                CASE WHEN length(prompt) % 5 <> 0 THEN 'q' || length(prompt) END AS question,
                CASE WHEN length(prompt) % 5 <> 0 THEN {sql_strip('prompt')} END AS answer FROM p""",

@@ -59,6 +59,38 @@ def io_mixed_union(t):
     return readers.union_all([first, second])
 
 
+def array_files(docs: DataFrame, path: str) -> None:
+    """Documents as JSON arrays of neighbouring ids, one array in each file."""
+    block = F.floor(F.col("doc_id") / 500).alias("block")
+    entry = F.to_json(F.struct("doc_id", "text", "lang"))
+    arrays = docs.groupBy(block).agg(F.concat(F.lit("["), F.array_join(F.collect_list(entry), ","), F.lit("]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
+@query("io_json_arrays", "SELECT doc_id, text, lang FROM documents")
+def io_json_arrays(t):
+    docs = t("documents")
+    path = shared_path(docs.sparkSession, "arrays")
+    array_files(docs, path)
+    return readers.json_arrays(docs.sparkSession, path, "doc_id bigint, text string, lang string", "*.txt")
+
+
+@query(
+    "io_mixed_directory",
+    """SELECT doc_id, NULL::BIGINT AS conv_id, text, true AS named FROM documents
+       UNION ALL SELECT NULL, conv_id, text, true FROM conversations""",
+)
+def io_mixed_directory(t):
+    docs, turns = t("documents"), t("conversations")
+    path = shared_path(docs.sparkSession, "directory")
+    array_files(docs, f"{path}/arrays")
+    turns.select("conv_id", "text").write.json(f"{path}/lines")
+    both = readers.mixed_directory(
+        docs.sparkSession, path, "doc_id bigint, text string, lang string", "conv_id bigint, text string", "*.txt", "*.json"
+    )
+    return both.select("doc_id", "conv_id", "text", (F.length("file_name") > 0).alias("named"))
+
+
 @query("io_csv_results", "SELECT doc_id, text, lang, n_chars FROM documents")
 def io_csv_results(t):
     docs = t("documents").select("doc_id", "text", "lang", "n_chars")

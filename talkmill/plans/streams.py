@@ -41,8 +41,9 @@ def stream_tail(spark, folder):
 
 @stream_query("stream_new_items", "SELECT DISTINCT user_id AS item FROM events")
 def stream_new_items(spark, folder):
-    items = events(spark, folder).select(F.col("user_id").alias("item"))
-    return follow.to_table(follow.new_items(items, "item"), "items")
+    # Keys are forgotten after 60 days, longer than the events last.
+    items = events(spark, folder).select(F.col("user_id").alias("item"), "ts")
+    return follow.to_table(follow.new_items(items, "item", "ts", "60 days"), "items").select("item")
 
 
 @stream_query(
@@ -78,8 +79,8 @@ def stream_idle_gaps(spark, folder):
        SELECT window_end, user_id, count(*) AS n_messages FROM w GROUP BY ALL""",
 )
 def stream_quota(spark, folder):
-    counts = follow.to_latest(follow.rolling_quota(events(spark, folder), "user_id"), ["window_end", "user_id"], "quota")
-    return counts.select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "user_id", "n_messages")
+    counts = follow.to_latest(follow.hourly_counts(events(spark, folder), "user_id"), ["hour", "user_id"], "quota")
+    return follow.rolling_quota(counts, "user_id").select(F.col("window_end").cast("timestamp_ntz").alias("window_end"), "user_id", "n_messages")
 
 
 @stream_query(

@@ -105,7 +105,7 @@ def feed_links(t):
 
 def timed_pages(t):
     """Pages of which two in three carry a publication time."""
-    stamped = F.replace(F.col("html"), F.lit("<article>"), F.lit("<article><time>Thứ sáu, ngày 25/04/2025 - 11:39</time>"))
+    stamped = F.replace(F.col("html"), F.lit("<article>"), F.lit("<article><time>Thứ hai, ngày 17/03/2025 - 08:20</time>"))
     html = F.when(F.col("page_id") % 3 != 0, stamped).otherwise(F.col("html"))
     return t("pages").select("page_id", "url", F.lit("plain").alias("source"), html.alias("html"))
 
@@ -120,7 +120,7 @@ def page_articles(t):
 @query(
     "page_split",
     """SELECT page_id, CASE WHEN page_id % 3 <> 0 AND contains(html, '<article>') THEN 'good' ELSE 'bad' END AS outcome,
-              CASE WHEN page_id % 3 <> 0 AND contains(html, '<article>') THEN TIMESTAMP '2025-04-25' END AS published FROM pages""",
+              CASE WHEN page_id % 3 <> 0 AND contains(html, '<article>') THEN TIMESTAMP '2025-03-17' END AS published FROM pages""",
 )
 def page_split(t):
     good, bad = pg.split_articles(pg.articles(timed_pages(t)))

@@ -58,13 +58,14 @@ def line_report(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def json_arrays(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """Files that hold one JSON array each."""
+def json_arrays(spark: SparkSession, path: str, schema: str | T.StructType, glob: str = "*.json") -> DataFrame:
+    """Files that hold one JSON array each.  A file is read by one task, as an
+    array has no place to split; many files are read side by side."""
     return (
         spark.read.schema(_schema(schema))
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", glob)
         .json(path)
     )
 
@@ -77,16 +78,21 @@ def json_array_lines(spark: SparkSession, path: str, schema: str | T.StructType)
 
 
 def mixed_directory(
-    spark: SparkSession, path: str, array_schema: str | T.StructType, line_schema: str | T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    array_schema: str | T.StructType,
+    line_schema: str | T.StructType | None = None,
+    array_glob: str = "*.json",
+    line_glob: str = "*.jsonl",
 ) -> DataFrame:
-    """All ``.json`` (array) and ``.jsonl`` (lines) files below a directory as
-    one dataset with ``file_name``; columns of one kind only are NULL for the
-    other."""
+    """All ``.json`` (array) and ``.jsonl`` (lines) files below a directory, or
+    those of two other patterns, as one dataset with ``file_name``; columns of
+    one kind only are NULL for the other."""
     name = F.col("_metadata.file_name").alias("file_name")
-    arrays = json_arrays(spark, path, array_schema).select("*", name)
+    arrays = json_arrays(spark, path, array_schema, array_glob).select("*", name)
     wide = _schema(line_schema or array_schema)
     text = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
+        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", line_glob).text(path)
     )
     good = text.select("value", name).filter(is_json(F.col("value")) & F.col("value").rlike(r"^\s*\{"))
     lines = good.select(F.from_json("value", wide).alias("_r"), "file_name").select(

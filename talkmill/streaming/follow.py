@@ -15,6 +15,7 @@ from talkmill.operators import versions as vs
 from talkmill.operators.metrics import log_metrics
 from talkmill.session import shared_path
 
+MERGE_SESSIONS = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
@@ -66,7 +67,9 @@ def stalls(
 ) -> DataFrame:
     """A row when a key has been silent for ``gap_seconds``: the time of its
     last activity and the number of events since the stall before.  A key that
-    is still active gives none."""
+    is still active gives none.  Turns the session's ``MERGE_SESSIONS`` on:
+    sessions are merged before the shuffle, so a hot key sends few rows."""
+    events.sparkSession.conf.set(MERGE_SESSIONS, "true")
     return (
         events.withWatermark(ts, delay)
         .groupBy(F.session_window(ts, f"{gap_seconds} seconds"), key)
@@ -89,18 +92,24 @@ def stall_limit(started: bool, completed: bool, interval: int = fixed.POLL_SECON
     return (polls if started else polls * fixed.STALL_FACTOR_BEFORE_START) * interval
 
 
-def rolling_quota(
-    messages: DataFrame, user: str, hours: int = fixed.QUOTA_HOURS, step: str = "1 hour", delay: str = "1 hour", ts: str = "ts"
-) -> DataFrame:
-    """Messages per user in sliding windows."""
+def hourly_counts(messages: DataFrame, user: str, delay: str = "1 hour", ts: str = "ts") -> DataFrame:
+    """Messages per user and hour: what the stream keeps for ``rolling_quota``."""
     return (
         messages.withWatermark(ts, delay)
-        .groupBy(F.window(ts, f"{hours} hours", step), user)
-        .agg(F.count(F.lit(1)).alias("n_messages"))
-        .select(F.col("window.end").alias("window_end"), user, "n_messages")
+        .groupBy(F.window(ts, "1 hour"), user)
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("window.start").alias("hour"), user, "n")
     )
 
 
+def rolling_quota(counts: DataFrame, user: str, hours: int = fixed.QUOTA_HOURS) -> DataFrame:
+    """Messages per user in windows of ``hours`` that slide by an hour, from a
+    table of ``hourly_counts``: counts, not messages, are spread over windows."""
+    ends = F.sequence(F.col("hour") + F.expr("INTERVAL 1 HOUR"), F.col("hour") + F.expr(f"INTERVAL {hours} HOURS"), F.expr("INTERVAL 1 HOUR"))
+    spread = counts.select(F.explode(ends).alias("window_end"), user, "n")
+    return spread.groupBy("window_end", user).agg(F.sum("n").alias("n_messages"))
+
+
 def version_trigger(
     version_path: str,
     rows_path: str,
@@ -110,15 +119,19 @@ def version_trigger(
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: appends the batch to the stored rows, counts
     rows newer than the last data version, and appends a PENDING version when
-    they exceed the threshold.  A replayed batch overwrites its own rows."""
+    they exceed the threshold.  A replayed batch overwrites its own rows.  Rows
+    are stored by day, and days before that version are not read again."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{rows_path}/batch={batch_id}")
+        dated = batch.withColumn("day", F.to_date(ts))
+        dated.write.mode("overwrite").partitionBy("day").parquet(f"{rows_path}/batch={batch_id}")
         versions = spark.read.schema(vs.VERSION_SCHEMA).parquet(version_path)
-        last = vs.latest_version(versions).select("version_number").first()
-        number = last[0] if last else 0.0
-        stored = spark.read.option("basePath", rows_path).parquet(rows_path)
+        last = vs.latest_version(versions).select("version_number", F.to_date("timestamp").alias("day")).first()
+        number = last["version_number"] if last else 0.0
+        stored = spark.read.schema(dated.schema).option("basePath", rows_path).parquet(rows_path)
+        if last and last["day"]:
+            stored = stored.filter(F.col("day") >= F.lit(last["day"]))
         found = vs.retrain_check(vs.since_version(stored, versions, number, ts), threshold).first()
         if found["is_train"]:
             query = f"SELECT * FROM messages WHERE {ts} > mark({number}) LIMIT {found['new_records']}"
