@@ -318,6 +318,35 @@ def test_nearest(spark, nothing):
     assert kmeans_tree.nearest(frame.limit(0)).count() == 0
 
 
+def test_layout_of_leaves():
+    sizes = np.array([3, 0, 4, 25, 2, 9, 1])
+    first, bins = kmeans_tree.layout(sizes, 10)
+    assert bins.tolist() == [1, 0, 1, 3, 1, 1, 1]
+    held = collections.Counter()
+    for leaf, size in enumerate(sizes.tolist()):
+        for i in range(size):
+            held[int(first[leaf]) + i % max(1, int(bins[leaf]))] += 1
+    assert max(held.values()) <= 10 and sum(held.values()) == sizes.sum()
+    own = range(int(first[3]), int(first[3] + bins[3]))
+    assert not any(int(first[leaf]) in own for leaf in (0, 2, 4, 5, 6))
+
+
+def test_nearest_with_float_vectors_copies_and_repeated_rows(spark):
+    random_ = np.random.default_rng(4)
+    points = random_.normal(size=(300, 6)).astype(np.float32)
+    points[100:200] = points[0]
+    rows = [(i, [float(v) for v in p], "x") for i, p in enumerate(points)]
+    frame = spark.createDataFrame(rows + rows[::3], "vec_id long, embedding array<float>, rank string")
+    got = collections.defaultdict(list)
+    for r in sorted(kmeans_tree.nearest(frame, target=1.0).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got[r["query_id"]].append(r["vec_id"])
+    exact = points.astype(np.float64)
+    for q in range(0, 300, 20):
+        scores = np.array([(exact[i] * exact[q]).sum() for i in range(300)])
+        scores[q] = -np.inf
+        assert got[q] == np.lexsort((np.arange(300), -scores))[:20].tolist()
+
+
 def test_queries_with_sql(spark):
     from talkmill.llm.queries import ORACLES, QUERIES
 
