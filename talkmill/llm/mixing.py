@@ -2,8 +2,8 @@
 
 Columns and SQL functions only.  For each source the plan takes whole passes
 over its documents and, of one more pass, documents in an order permuted by a
-hash until the target is met.  The documents of a pass fall into blocks by that
-same hash.  A binary tree then hands out the blocks: every node holds how many
+hash until the target is met; a document larger than what is missing is passed
+over.  The documents of a pass fall into blocks by that same hash.  A binary tree then hands out the blocks: every node holds how many
 blocks of each source it has, and splits them between its halves by a
 multivariate hypergeometric draw, so each output shard gets its exact share of
 blocks and the sources in it vary as in drawing without replacement.  A leaf's
@@ -30,7 +30,6 @@ SHARE = 1.5  # of all words, in the mix
 MOST = 2  # times a source's words that its target may be
 BLOCK_DOCS = 1024
 SHARD_WORDS = 4_000_000
-FILLERS = 8  # single documents added to a source to meet its target
 
 
 def _bits(*columns, seed: int, salt: int):
@@ -122,37 +121,41 @@ def mixing_plan(
     placed = placed.withColumn("bin", F.pmod(_bits("doc_id", "again", seed=seed, salt=1), F.ceil(F.col("docs") / BLOCK_DOCS)))
     placed = stage(placed, "placed")
 
-    # Words before each document in the permuted order: of the bins before its
-    # own, and of the documents before it in its bin.
+    # The documents of the permuted order until one does not fit, and again
+    # those of the rest that are no larger than what is missing, until none is.
+    # Words before a document: of the bins before its own, and of the documents
+    # before it in its bin.
     before = Window.partitionBy("sid").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = placed.groupBy("sid", "bin").agg(F.sum("size").alias("words"))
-    bins = bins.select("sid", "bin", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("sid", "bin").orderBy(_bits("doc_id", "again", seed=seed, salt=2), "doc_id", "again")
-    running = join_facts(placed, bins, ["sid", "bin"]).withColumn(
-        "upto", F.col("before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    running = stage(running.withColumn("fits", F.col("upto") <= F.col("rest")), "running")
-    # What is still missing to the target: the document of the nearest size,
-    # again and again while that brings a source nearer.
-    gaps = stage(running.groupBy("sid").agg((F.first("rest") - F.max(F.when(F.col("fits"), F.col("upto")).otherwise(0))).alias("gap")), "gaps")
-    others = running.where("not fits and size > 0")
-    picked = None
-    for _ in range(FILLERS):
-        near = join_facts(others, gaps.where("gap > 0"), "sid").withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("off < gap")
-        best = F.struct("off", _bits("doc_id", "again", seed=seed, salt=3).alias("h"), "doc_id", "again", "size")
-        found = stage(near.groupBy("sid").agg(F.min(best).alias("f")).select("sid", "f.doc_id", "f.again", "f.size"), "fillers")
-        if found.isEmpty():
+    columns = ["sid", "bin", "doc_id", "again", "size"]
+    gaps = stage(placed.groupBy("sid").agg(F.first("rest").alias("gap")), "gaps")
+    left, picked = placed.where("size > 0").select(*columns), None
+    while True:
+        smaller = left.join(gaps.where("gap > 0"), "sid").where("size <= gap")
+        bins = stage(smaller.groupBy("sid", "bin").agg(F.sum("size").alias("words")), "bins")
+        if bins.isEmpty():
             break
+        bins = bins.select("sid", "bin", F.coalesce(F.sum("words").over(before), F.lit(0)).alias("before"))
+        running = join_facts(smaller, bins, ["sid", "bin"]).withColumn(
+            "upto", F.col("before") + F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+        )
+        running = stage(running.withColumn("fits", F.col("upto") <= F.col("gap")), "running")
+        took = running.where("fits").groupBy("sid").agg(F.max("upto").alias("took"))
+        gaps = stage(gaps.join(took, "sid", "left").select("sid", (F.col("gap") - F.coalesce("took", F.lit(0))).alias("gap")), "gaps")
+        found, left = running.where("fits").select("doc_id", "again"), running.where("not fits").select(*columns)
         picked = found if picked is None else picked.unionByName(found)
-        left = gaps.join(found.select("sid", "size"), "sid", "left")
-        gaps = stage(left.select("sid", (F.col("gap") - F.coalesce("size", F.lit(0))).alias("gap")), "gaps")
-        used = found.select(F.struct("doc_id", "again").alias("_id"))
-        others = others.withColumn("_id", F.struct("doc_id", "again")).join(used, "_id", "left_anti").drop("_id")
-    extra = running.select(*running.columns, F.col("fits").cast("int").alias("extra"))
-    if picked is not None:
-        used = picked.select(F.struct("doc_id", "again").alias("_id"), F.lit(1).alias("_filler"))
-        extra = extra.withColumn("_id", F.struct("doc_id", "again")).join(used, "_id", "left")
-        extra = extra.withColumn("extra", F.greatest("extra", F.coalesce("_filler", F.lit(0)))).drop("_id", "_filler")
+    extra = placed.withColumn("_id", F.struct("doc_id", "again"))
+    if picked is None:
+        extra = extra.withColumn("extra", F.lit(0))
+    else:
+        used = picked.select(F.struct("doc_id", "again").alias("_id"), F.lit(1).alias("_used"))
+        extra = extra.join(used, "_id", "left").withColumn("extra", F.coalesce("_used", F.lit(0))).drop("_used")
+    extra = stage(extra, "extra")
+    # All others are larger than the gap: the nearest one, if it brings its source nearer.
+    near = extra.where("extra = 0 and size > 0").join(gaps.where("gap > 0"), "sid").withColumn("off", F.abs(F.col("size") - F.col("gap"))).where("off < gap")
+    best = F.struct("off", _bits("doc_id", "again", seed=seed, salt=3).alias("h"), "doc_id", "again")
+    last = near.groupBy("sid").agg(F.min(best).alias("f")).select(F.struct("f.doc_id", "f.again").alias("_id"), F.lit(1).alias("_last"))
+    extra = join_facts(extra, last, "_id", "left").withColumn("extra", F.greatest("extra", F.coalesce("_last", F.lit(0)))).drop("_id", "_last")
     chosen = stage(extra.withColumn("copies", F.when(F.col("size") > 0, F.col("whole") + F.col("extra")).otherwise(0)), "chosen")
 
     copies = chosen.where("copies > 0").withColumn("pass", F.explode(F.sequence(F.lit(1), F.col("copies"))))

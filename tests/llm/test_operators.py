@@ -219,6 +219,20 @@ def test_mixing(documents, nothing):
     assert "Python" not in rows._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("seed", [17, 18, 19])
+def test_mixing_meets_targets_beside_a_long_document(spark, seed):
+    """One document of a third of its source's words, first, last or midway in the order."""
+    rows = [(s * 1000 + i, "w " * (5 if i else 1000), f"s{s}") for s in range(4) for i in range(401)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan, drawn = mixing.mixing_plan(docs, seed=seed, weights=(1,), share=0.5)
+    taken = collections.Counter()
+    plan = plan.collect()
+    for r in plan:
+        taken[r["source"]] += r["copies"] * r["size"]
+    assert all(abs(taken[f"s{s}"] - 1500) <= 5 for s in range(4)), taken
+    assert drawn.count() == sum(r["copies"] for r in plan)
+
+
 def test_splitting_tree_is_exact(spark):
     root = spark.createDataFrame([(0, [40, 0, 7, 17])], "node long, counts array<long>")
     leaves = mixing.splitting_tree(root, 3, seed=1).collect()
