@@ -2,8 +2,9 @@
 
 Every page is parsed once, into text segments.  A segment carries the hashes
 of the element subtrees it stands in.  Spark counts for each host on how many
-pages a subtree occurs; one that recurs across many pages of its host is part
-of the site's template and its segments go.  Furniture that differs from page
+different pages a subtree occurs, copies and versions of a page as one; one that
+recurs across many pages of its host is part of the site's template and its
+segments go.  Furniture that differs from page
 to page (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, reader comments) goes by its element, role or class.  Within articles
 only boxes count as template, never a paragraph, since sites quote themselves.
@@ -14,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from talkmill.llm.common import ship_package, stage, text_of
 from talkmill.session import join_facts
 
-LEAST_PAGES = 5  # of a host that a template is on
-LEAST_SHARE = 0.3  # of the host's pages
+LEAST_PAGES = 5  # different pages of a host that a template is on
+LEAST_SHARE = 0.3  # of the host's different pages
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -56,6 +57,7 @@ COUNTED = BOXES | frozenset("nav header footer form p h1 h2 h3 h4 blockquote pre
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TRACKING = re.compile(r"(?:utm_\w+|fbclid|gclid|dclid|msclkid|yclid|igshid|mc_cid|mc_eid)(?:=|\Z)", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
 
 
@@ -191,7 +193,7 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
     return out, hashes
 
 
-PARSED = "row long, page_id long, url string, host string, texts array<string>, inside array<array<long>>, subtrees array<long>"
+PARSED = "row long, page_id long, url string, host string, address string, content long, markup long, texts array<string>, inside array<array<long>>, subtrees array<long>"
 
 
 def host_of(url: str | None) -> str:
@@ -199,6 +201,21 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def address_of(url: str | None) -> str | None:
+    """The page a url names: without scheme, tracking parameters and anchor."""
+    if url is None:
+        return None
+    left, _, anchor = url.partition("#")
+    path, _, query = re.sub(r"^(?:[a-zA-Z][\w+.-]*:)?//", "", left).partition("?")
+    kept = [q for q in query.split("&") if q and not _TRACKING.match(q)]
+    # Such anchors are routes, not places in a page.
+    return "?".join([path, *(["&".join(kept)] if kept else [])]) + (f"#{anchor}" if anchor[:1] in ("!", "/") else "")
+
+
+def _number(parts: Iterable[str]) -> int:
+    return int.from_bytes(hashlib.blake2b("\n".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
@@ -206,8 +223,10 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found, hashes = segments(page)
             if any(article for _, article, _ in found):
                 found = [s for s in found if s[1]]
-            rows.append((row, page_id, url, host_of(url), [t for t, _, _ in found], [own for _, _, own in found], sorted(hashes)))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64())]
+            texts, subtrees = [t for t, _, _ in found], sorted(hashes)
+            content, markup = _number(texts), _number(map(str, subtrees))
+            rows.append((row, page_id, url, host_of(url), address_of(url), content, markup, texts, [own for _, _, own in found], subtrees))
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64())]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[c.split()[0] for c in PARSED.split(", ")])
 
@@ -222,11 +241,22 @@ def parsed_pages(pages: DataFrame, *, page_id: str = "page_id", url: str = "url"
     return stage(rows.mapInArrow(_parse, PARSED), "pages")
 
 
+def different_pages(parsed: DataFrame) -> DataFrame:
+    """``row, host`` of one row for each page: rows of one address or with the
+    same main text are one page.  Both aggregates combine map-side."""
+    first = F.min(F.struct("content", "markup", "row")).alias("f")
+    # Rows without a url are told apart by their main text only.
+    named = parsed.groupBy("host", "address", F.when(F.col("address").isNull(), F.col("content")).alias("_own")).agg(first).select("host", "f.*")
+    return named.groupBy("host", "content").agg(F.min(F.struct("markup", "row")).alias("f")).select("host", "f.row")
+
+
 def site_templates(parsed: DataFrame) -> DataFrame:
-    """``host, subtree, pages``: subtrees on many pages of their host.  Counts
-    combine map-side, so a large host is no large group."""
-    pages = parsed.groupBy("host").agg(F.count("*").alias("all"))
-    counts = parsed.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("pages"))
+    """``host, subtree, pages``: subtrees on many different pages of their host.
+    Counts combine map-side, so a large host is no large group."""
+    different = stage(different_pages(parsed), "different")
+    pages = different.groupBy("host").agg(F.count("*").alias("all"))
+    once = parsed.join(different.select("row"), "row", "left_semi")
+    counts = once.select("host", F.explode("subtrees").alias("subtree")).groupBy("host", "subtree").agg(F.count("*").alias("pages"))
     many = stage(counts.where(F.col("pages") >= LEAST_PAGES), "subtrees")
     return join_facts(many, pages, "host").where(F.col("pages") >= LEAST_SHARE * F.col("all")).drop("all")
 

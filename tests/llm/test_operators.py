@@ -255,6 +255,27 @@ def test_main_text(spark):
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def texts_of(spark, rows):
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return {r["page_id"]: r["text"] for r in got}
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    box = "<body><div><p>{}</p></div></body>"
+    rows = [(k, "http://a.org/1", box.format("Text")) for k in range(5)]
+    # Variants of one address, with text that differs from call to call; no url at all.
+    rows += [(10 + k, f"http://b.org/1?utm_source=x{k}#t{k}", f"<body><div><p>Body</p></div><p>Call {k}</p></body>") for k in range(6)]
+    rows += [(20 + k, None, box.format("Unknown")) for k in range(6)]
+    # A template beside many copies of one of its pages.
+    rows += [(30 + k, f"http://c.org/{k}", f"<body><div>Since 1999</div><p>Page {k}</p></body>") for k in range(6)]
+    rows += [(40 + k, "http://c.org/0", "<body><div>Since 1999</div><p>Page 0</p></body>") for k in range(20)]
+    want = {k: "Text" for k in range(5)} | {10 + k: f"Body Call {k}" for k in range(6)} | {20 + k: "Unknown" for k in range(6)}
+    want |= {30 + k: f"Page {k}" for k in range(6)} | {40 + k: "Page 0" for k in range(20)}
+    assert texts_of(spark, rows) == want
+    assert html_text.address_of("https://A.org/p?utm_source=f&page=2&gclid=1#top") == "A.org/p?page=2"
+    assert html_text.address_of("//a.org/p#!/x") == "a.org/p#!/x" and html_text.address_of(None) is None
+
+
 @pytest.fixture(scope="module")
 def judged(spark):
     """Clean and toxic texts of invented words, good and poor ones."""
