@@ -6,12 +6,14 @@ different pages a subtree occurs, copies and versions of a page as one; one that
 recurs across many pages of its host is part of the site's template and its
 segments go.  Furniture that differs from page
 to page (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) goes by its element, role or class.  Within articles
-only boxes count as template, never a paragraph, since sites quote themselves.
+styles, reader comments) goes by its element, role or class.  A class only
+counts as a whole name, and not where it stands on what holds the page's own
+text: that is known at the end of the page.  Within articles only boxes count as template, never a paragraph, since sites quote themselves.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import html as entities
 import re
@@ -52,6 +54,17 @@ CLASSES = frozenset(
     "signup login share sharing social related recommended widget comment comments disqus respond pagination pager toolbar "
     "masthead topbar skip".split()
 )
+# Words that may stand beside those in one name, as in "site-footer" or "ad-slot".
+NEUTRAL = frozenset(
+    "area bar block body bottom box button buttons cell container content div entry form google gpt group header heading icons inner "
+    "item items left link links list main page post posts primary right row secondary section site slot text title top unit "
+    "wrap wrapper".split()
+)
+# Words of text as well as of furniture: outside boxes, inside an article, no mark.
+AMBIGUOUS = frozenset("aside banner comment comments notice overlay promo promotion recommended related respond share sharing skip social subscribe widget".split())
+# Lists of others' articles, and what is never the page's own text.
+LISTS = frozenset("comment comments disqus respond related recommended".split())
+NEVER = LISTS | frozenset("ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr".split())
 BOXES = frozenset("div section ul ol table aside details figure".split())
 COUNTED = BOXES | frozenset("nav header footer form p h1 h2 h3 h4 blockquote pre dl".split())
 
@@ -59,30 +72,92 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _TRACKING = re.compile(r"(?:utm_\w+|fbclid|gclid|dclid|msclkid|yclid|igshid|mc_cid|mc_eid)(?:=|\Z)", re.I)
 _WORDS = re.compile(r"[A-Za-z]+")
+_SIZE = re.compile(r"\d+(?:x\d+)?")
+
+
+class Mark:
+    """An element that looks like furniture by its class or id, in ``above``."""
+
+    __slots__ = ("words", "above", "main", "articles", "size", "drop", "gone")
+
+    def __init__(self, words: frozenset[str], above: Mark | None):
+        self.words, self.above, self.main, self.articles, self.size, self.drop, self.gone = words, above, False, 0, 0, True, True
 
 
 class Element:
-    __slots__ = ("tag", "gone", "article", "hash", "first")
+    __slots__ = ("tag", "gone", "mark", "article", "hash", "first")
 
-    def __init__(self, tag: str, gone: bool, article: bool, first: int):
-        self.tag, self.gone, self.article, self.first = tag, gone, article, first
+    def __init__(self, tag: str, gone: bool, mark: Mark | None, article: bool, first: int):
+        self.tag, self.gone, self.mark, self.article, self.first = tag, gone, mark, article, first
         self.hash = hashlib.blake2b(tag.encode(), digest_size=8)
 
 
-def _is_furniture(tag: str, attributes: str, article: bool) -> bool:
+@functools.lru_cache(1 << 16)
+def _marks_of(name: str) -> frozenset[str]:
+    """Furniture words of a class or id whose words are all such or neutral."""
+    words = frozenset(w.lower() for w in _WORDS.findall(_SIZE.sub(" ", name)))
+    found = words & CLASSES
+    if words and words - found <= NEUTRAL:
+        return found | (words & {"header"})
+    return frozenset()
+
+
+def _furniture(tag: str, attributes: str, article: bool) -> tuple[bool, frozenset[str]]:
+    """Whether an element is furniture by itself, and else by which words."""
+    none: frozenset[str] = frozenset()
     if tag in FURNITURE or (tag == "header" and not article):
-        return True
+        return True, none
     if not attributes.strip():
-        return False
+        return False, none
     found = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in _ATTRIBUTE.finditer(attributes)}
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or found.get("role", "").lower() in ROLES:
-        return True
+        return True, none
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True
-    if tag in ("html", "body", "article", "main"):
-        return False
-    words = {w.lower() for key in ("class", "id") for w in _WORDS.findall(found.get(key, ""))}
-    return bool(words & CLASSES) or ("header" in words and not article)
+        return True, none
+    if tag in ("html", "body", "article", "main") or found.get("role", "").lower() == "main":
+        return False, none
+    words = none.union(*(_marks_of(name) for key in ("class", "id") for name in found.get(key, "").split()))
+    if article:
+        words -= {"header"}
+        # A section of comments is a box of comments; one comment may be the author's.
+        if tag not in BOXES or tag in ("section", "table", "figure"):
+            words -= AMBIGUOUS - ({"comments"} if tag == "section" else none)
+    return False, words
+
+
+def _judge(marks: list[Mark], out: list[tuple[list, bool, list[int]]]) -> None:
+    """Which marked elements go: not those that hold the page's own text.
+
+    ``marks`` has outer elements before the ones in them."""
+
+    def own_article() -> bool:
+        for m in marks:
+            m.gone = m.drop or (m.above is not None and m.above.gone)
+        return any(article and not (mark and mark.gone) for parts, article, _ in out for _, mark in parts)
+
+    total = 0
+    for parts, _, _ in out:
+        for raw, mark in parts:
+            length = len("".join(raw.split()))
+            total += length
+            if mark:
+                mark.size += length
+    for m in reversed(marks):
+        if m.above is not None:
+            m.above.size, m.above.articles, m.above.main = m.above.size + m.size, m.above.articles + m.articles, m.above.main or m.main
+    for m in marks:
+        m.drop = not m.main
+    if own_article():
+        return
+    for m in marks:
+        if m.articles and (m.articles == 1 or not m.words & LISTS):
+            m.drop = False
+    if own_article():
+        return
+    for m in marks:
+        if 2 * m.size > total and not m.words & NEVER:
+            m.drop = False
+    own_article()
 
 
 def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
@@ -93,17 +168,17 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
     but is hashed.  Broken markup is read leniently: what is open at the end
     is closed there.
     """
-    root = Element("", False, False, 0)
+    root = Element("", False, None, False, 0)
     stack, out, hashes = [root], [], set()
-    pieces: list[str] = []
+    pieces: list[tuple[str, Mark | None]] = []
+    marked: list[Mark] = []
     open_tags = {"": 1}
 
     def flush() -> None:
         if pieces:
-            text = " ".join("".join(pieces).split())
+            if not stack[-1].gone and any(raw.strip() for raw, _ in pieces):
+                out.append((pieces[:], stack[-1].article, []))
             pieces.clear()
-            if text and not stack[-1].gone:
-                out.append((text, stack[-1].article, []))
 
     def close() -> None:
         element = stack[-1]
@@ -124,7 +199,7 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
         if raw:
             stack[-1].hash.update(raw.encode("utf-8", "replace"))
             if not stack[-1].gone:
-                pieces.append(entities.unescape(raw))
+                pieces.append((entities.unescape(raw), stack[-1].mark))
 
     def close_siblings(tags, scopes) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -175,8 +250,17 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
                     break
         if tag not in INLINE:
             flush()
-        inside = stack[-1].article or tag in ("article", "main") or 'role="main"' in m[4]
-        element = Element(tag, stack[-1].gone or _is_furniture(tag, m[4], stack[-1].article), inside, len(out))
+        main = tag == "main" or 'role="main"' in m[4]
+        inside = stack[-1].article or main or tag == "article"
+        gone, words = _furniture(tag, m[4], stack[-1].article)
+        gone, mark = gone or stack[-1].gone, stack[-1].mark
+        if mark and not gone:
+            mark.main |= main
+            mark.articles += tag == "article"
+        if words and not gone:
+            mark = Mark(words, mark)
+            marked.append(mark)
+        element = Element(tag, gone, mark, inside, len(out))
         stack.append(element)
         open_tags[tag] = open_tags.get(tag, 0) + 1
         if m[4].rstrip().endswith("/") and tag in ("svg", "path"):
@@ -190,7 +274,14 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
     while len(stack) > 1:
         close()
     flush()
-    return out, hashes
+    if marked:
+        _judge(marked, out)
+    kept = []
+    for parts, article, own in out:
+        joined = " ".join("".join(raw for raw, mark in parts if not (mark and mark.gone)).split())
+        if joined:
+            kept.append((joined, article, own))
+    return kept, hashes
 
 
 PARSED = "row long, page_id long, url string, host string, address string, content long, markup long, texts array<string>, inside array<array<long>>, subtrees array<long>"

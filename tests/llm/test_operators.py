@@ -276,6 +276,32 @@ def test_copies_of_a_page_are_no_template(spark):
     assert html_text.address_of("//a.org/p#!/x") == "a.org/p#!/x" and html_text.address_of(None) is None
 
 
+def test_class_words_do_not_take_the_article(spark):
+    article = "<article><p>One</p></article>"
+    pages = {
+        f"<div class='layout has-sidebar'><nav>n</nav>{article}</div>": "One",
+        f"<div class='no-sidebar'>{article}</div>": "One",
+        f"<div id=related-work>{article}</div>": "One",
+        f"<div class=widget>{article}<div class=sidebar>s</div></div>": "One",
+        "<div class='sidebar right'><main><p>One</p></main></div>": "One",
+        "<div class=overlay><p>Most of the text of this page</p></div><p>little</p>": "Most of the text of this page little",
+        "<article><p class=notice>One</p><section class=promotion>two</section><p id=share>three</p><p class='code comment'>four</p></article>": "One two three four",
+        "<article>One <span class=comment>two</span> <span class='ad'>x</span>three</article>": "One two three",
+        # Furniture all the same.
+        f"<nav class=x>{article}</nav><p>Two</p>": "Two",
+        f"<div class=cookie-notice>long text of a notice, longer than all else</div>{article}": "One",
+        f"{article}<div class=comments><article class=comment-body>c</article><article>d, much longer than the text</article></div>": "One",
+        f"<main>{article}<div class='post-comments'><article>c, longer</article></div><div class=share-buttons>s</div></main>": "One",
+        f"{article}<div class=sidebar><article>teaser</article></div><div class='ad-300x250'>x</div>": "One",
+        "<p>Post</p><div id=comments><article>a</article><article>b</article></div>": "Post",
+        "<div class=ad>x</div>": "",
+        "<article>One<section class=comments>c</section><div class=share>s</div><ul class=related>r</ul></article>": "One",
+    }
+    rows = [(k, f"http://h{k}.org/", f"<body>{p}</body>") for k, p in enumerate(pages)]
+    got = texts_of(spark, rows)
+    assert {p: got[k] for k, p in enumerate(pages)} == pages
+
+
 @pytest.fixture(scope="module")
 def judged(spark):
     """Clean and toxic texts of invented words, good and poor ones."""
