@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from talkmill.llm import byte_bpe, chat_format, cuckoo, html_text, kmeans_tree, mixing, ngram_join, quality, token_counts, toxicity
+from talkmill.session import stage
 from tests.compare import difference, duck_rows, spark_rows
 
 WORDS = "the of and to in is it you that he was for on are with as his they at be this have from".split()
@@ -426,3 +427,55 @@ def test_pipeline(spark):
     assert got and {r["doc_id"] for r in got} <= kept
     text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     assert all(r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest() for r in got)
+
+
+def test_stages_of_the_pipeline(spark):
+    import corpus_pipeline
+
+    folder = "/root/testdata/sf0.001"
+    frame = spark.read.parquet(f"{folder}/documents.parquet")
+    frames, rows = [frame], [frame.collect()]
+    for _, function in corpus_pipeline.STAGES:
+        frame = stage(function(spark, frame, folder), "stages")
+        frames.append(frame)
+        rows.append(frame.collect())
+    given, clean, single, apart, mix, coded = rows
+    assert all(f.columns == frames[0].columns for f in frames[1:5])
+
+    judged = toxicity.toxicity(frames[0], spark.read.parquet(f"{folder}/labels.parquet")).collect()
+    rejected = {r["doc_id"] for r in judged if r["rejected"]}
+    assert rejected and sorted(clean) == sorted(r for r in given if r["doc_id"] not in rejected)
+
+    groups = brute_copies(clean).values()
+    assert sorted(single) == sorted(min(g, key=lambda d: (-len(d["text"] or ""), d["doc_id"])) for g in groups)
+
+    sets = sorted((r["doc_id"], shingle_set(r["text"])) for r in single)
+    root = {i: i for i, _ in sets}
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and b and 100 * len(a & b) >= 75 * len(a | b):
+                low, high = sorted((root[i], root[j]))
+                root = {d: low if r == high else r for d, r in root.items()}
+    assert len(apart) < len(single) and sorted(apart) == sorted(r for r in single if root[r["doc_id"]] == r["doc_id"])
+
+    words = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in apart}
+    sizes, taken = collections.Counter(), collections.Counter()
+    for r in apart:
+        sizes[r["source"]] += words[r["doc_id"]]
+    copies = collections.Counter(r["doc_id"] for r in mix)
+    assert set(mix) <= set(apart) and max(copies.values()) <= 2
+    for r in mix:
+        taken[r["source"]] += words[r["doc_id"]]
+    want = brute_targets(sizes)
+    for s, size in sizes.items():
+        # No document left brings the source nearer, nor was the last one too many.
+        whole, own = int(want[s] // size), [r["doc_id"] for r in apart if r["source"] == s and words[r["doc_id"]]]
+        left, more = ([words[i] for i in own if copies[i] == n] for n in (whole, whole + 1))
+        assert len(left) + len(more) == len(own)
+        off, least = taken[s] - want[s], 1e-6 * want[s]
+        assert -off <= min(left, default=0) / 2 + least and off <= max(more, default=0) / 2 + least
+
+    text = {r["doc_id"]: r["text"] or "" for r in mix}
+    assert collections.Counter(r["doc_id"] for r in coded) == copies
+    assert all(r["decoded_sha256"] == hashlib.sha256(text[r["doc_id"]].encode()).hexdigest() for r in coded)
+    assert collections.Counter(corpus_pipeline.run(spark, folder).collect()) == collections.Counter(coded)
