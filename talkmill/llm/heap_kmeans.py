@@ -225,14 +225,14 @@ def _distances(centroids: np.ndarray):
 
 def _add_changes(blocks: DataFrame, totals: list[list[int]], sizes: list[int]) -> None:
     """Add the blocks' changes to the sums, exactly.  At most clusters x
-    components rows reach the driver."""
+    (components + 1) numbers reach the driver."""
     deltas = blocks.select(F.explode("deltas").alias("d"))
-    wide = "decimal(38,0)"
-    for r in deltas.groupBy("d.cluster").agg(F.sum(F.col("d.n")).alias("n")).toLocalIterator():
-        sizes[r["cluster"]] += r["n"]
-    cells = deltas.select(F.col("d.cluster").alias("cluster"), F.posexplode("d.sums").alias("place", "value"))
-    for r in cells.groupBy("cluster", "place").agg(F.sum(F.col("value").cast(wide)).alias("value")).toLocalIterator():
-        totals[r["cluster"]][r["place"]] += int(r["value"])
+    cells = deltas.select(F.col("d.cluster").alias("cluster"), F.posexplode(F.concat(F.array("d.n"), "d.sums")).alias("place", "value"))
+    for r in cells.groupBy("cluster", "place").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value")).collect():
+        if r["place"]:
+            totals[r["cluster"]][r["place"] - 1] += int(r["value"])
+        else:
+            sizes[r["cluster"]] += int(r["value"])
 
 
 def fit(
@@ -302,7 +302,7 @@ def cluster_report(table: DataFrame, digest, **named) -> DataFrame:
     spark = table.sparkSession
     blocks, centroids, _ = fit(table, **named)
     rows = stage(blocks.mapInArrow(_distances(centroids), "vec_id long, cluster int, distance long"), "clustered")
-    sums = [(r["cluster"], int(r["s"])) for r in rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).toLocalIterator()]
+    sums = [(r["cluster"], int(r["s"])) for r in rows.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("s")).collect()]
     whole = sum(s for _, s in sums)
 
     def fitting(value: int) -> int | None:
