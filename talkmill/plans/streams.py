@@ -39,6 +39,18 @@ def stream_tail(spark, folder):
     return follow.to_table(follow.tail_metrics(follow.log_stream(spark, path)), "tail")
 
 
+@stream_query(
+    "stream_counters",
+    """SELECT count(*) AS n_rows, count(*) FILTER (event_type = 'error') AS errors, count(*) FILTER (value > 50) AS large FROM events""",
+)
+def stream_counters(spark, folder):
+    """Counters of every micro-batch, summed, against the rows written."""
+    counters = {"errors": F.col("event_type") == "error", "large": F.col("value") > 50}
+    written, batches = follow.counted_to_table(events(spark, folder), "counted", **counters)
+    found = batches.agg(F.sum("errors").alias("errors"), F.sum("large").alias("large"))
+    return found.select(written.agg(F.count("*")).scalar().alias("n_rows"), "errors", "large")
+
+
 @stream_query("stream_new_items", "SELECT DISTINCT user_id AS item FROM events")
 def stream_new_items(spark, folder):
     # Keys are forgotten after 60 days, longer than the events last.
@@ -73,6 +85,36 @@ def stream_idle_gaps(spark, folder):
     )
 
 
+@stream_query(
+    "stream_stall_phases",
+    """WITH RECURSIVE polls AS (SELECT user_id, s, active, done, row_number() OVER (PARTITION BY user_id ORDER BY s) AS k FROM (
+         SELECT user_id, epoch(date_trunc('hour', ts))::BIGINT AS s, bool_or(event_type IN ('view', 'click')) AS active, bool_or(event_type = 'purchase') AS done
+         FROM events GROUP BY 1, 2) WHERE s + 3600 <= (SELECT epoch(max(ts)) FROM events)),
+       runs AS (
+         SELECT user_id, k, s, s AS begun, CASE WHEN active THEN s END AS last, CASE WHEN active THEN s ELSE s - 3600 END AS since,
+           active::BIGINT AS n, done, false AS ended FROM polls WHERE k = 1
+         UNION ALL
+         SELECT user_id, k, s, begun, last, since, n, done, s >= since + 3600 * (CASE WHEN done THEN 20 WHEN last IS NULL THEN 96 ELSE 12 END) AS ended
+         FROM (SELECT p.user_id, p.k, p.s, CASE WHEN f.fresh THEN p.s ELSE r.begun END AS begun,
+             CASE WHEN p.active THEN p.s WHEN f.fresh THEN NULL ELSE r.last END AS last,
+             CASE WHEN p.active THEN p.s WHEN f.fresh THEN p.s - 3600 ELSE r.since END AS since,
+             CASE WHEN f.fresh THEN 0 ELSE r.n END + p.active::BIGINT AS n, CASE WHEN f.fresh THEN p.done ELSE r.done OR p.done END AS done
+           FROM runs r JOIN polls p ON p.user_id = r.user_id AND p.k = r.k + 1,
+             LATERAL (SELECT r.ended OR p.s > r.since + 3600 * (CASE WHEN r.done THEN 20 WHEN r.last IS NULL THEN 96 ELSE 12 END) AS fresh) f)),
+       steps AS (SELECT *, since + 3600 * (CASE WHEN done THEN 20 WHEN last IS NULL THEN 96 ELSE 12 END) AS due, lead(s) OVER (PARTITION BY user_id ORDER BY k) AS next FROM runs)
+       SELECT user_id, CASE WHEN done THEN 'completed' WHEN last IS NULL THEN 'not started' ELSE 'running' END AS phase,
+         make_timestamp(begun * 1000000) AS begun, make_timestamp(last * 1000000) AS last_activity,
+         make_timestamp((CASE WHEN ended THEN s ELSE due END + 3600) * 1000000) AS stalled_at, n AS active_polls
+       FROM steps WHERE ended OR next > due OR (next IS NULL AND due + 3600 < (SELECT epoch(max(ts)) FROM events))""",
+)
+def stream_stall_phases(spark, folder):
+    kind = F.col("event_type")
+    found = follow.stall_phases(events(spark, folder), "user_id", kind.isin("view", "click"), kind == "purchase", 3600)
+    rows = follow.to_table(found, "phases")
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("begun", "last_activity", "stalled_at")}
+    return rows.withColumns(times)
+
+
 @stream_query(
     "stream_quota",
     """WITH w AS (SELECT date_trunc('hour', ts) + to_hours(unnest(range(1, 25))) AS window_end, user_id FROM events)

@@ -22,6 +22,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Sessions of a hot key are merged before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Pages can be large: few of them per Arrow batch.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
 }
