@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from talkmill import fixed
 from talkmill.operators.ordered import ordered_scan
-from talkmill.session import join_facts, stage
+from talkmill.session import join_facts, range_partitions, stage
 
 
 class UnknownCursor(ValueError):
@@ -84,6 +86,56 @@ def all_pages(
     )
 
 
+def write_pages(chats: DataFrame, path: str, limit: int = fixed.CHAT_PAGE_SIZE, **columns: str) -> None:
+    """Store every user's pages so that a cursor finds its page by a seek: the
+    chats by file parts that hold whole pages, and an index with one row per
+    page: ``userId, page, first_key, last_key, has_more, part``.
+
+    Pages are what ``all_pages`` says.  A user's pages are spread over as many
+    parts as needed; a page lies in one part.
+    """
+    user, key = columns.get("user", "userId"), columns.get("key", "id")
+    paged = all_pages(chats, limit, **columns)
+    spark = chats.sparkSession
+    placed = paged.repartitionByRange(range_partitions(spark), user, "page").sortWithinPartitions(user, "rn")
+    placed.withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(f"{path}/chats")
+    stored = spark.read.schema(T.StructType([*paged.schema.fields, T.StructField("part", T.IntegerType())])).parquet(f"{path}/chats")
+    index = stored.groupBy(F.col(user).alias("userId"), "page").agg(
+        F.min_by(key, "rn").alias("first_key"), F.max_by(key, "rn").alias("last_key"), F.max("has_more").alias("has_more"), F.max("part").alias("part")
+    )
+    index.repartitionByRange("userId", "page").sortWithinPartitions("userId", "page").write.parquet(f"{path}/index")
+
+
+def open_page(spark: SparkSession, path: str, user_id, cursor=None, *, user: str = "userId") -> tuple[DataFrame, object]:
+    """(page, next cursor): the user's first page, or the one after the page
+    that ends with ``cursor``; the next cursor is None on the last page.  The
+    index is sorted, so its scan skips other users; of the chats only the
+    page's part is opened.  A user without chats has one empty page."""
+    index = spark.read.parquet(f"{path}/index").filter(F.col("userId") == F.lit(user_id))
+    number = 0
+    if cursor is not None:
+        at = index.filter(F.col("last_key") == F.lit(cursor)).select("page").take(1)
+        if not at:
+            raise UnknownCursor(str(cursor))
+        number = at[0][0] + 1
+    stored = spark.read.parquet(f"{path}/chats")
+    found = index.filter(F.col("page") == number).take(1)
+    if not found:
+        return stored.limit(0).drop("part"), None
+    page = stored.filter((F.col("part") == found[0]["part"]) & (F.col(user) == F.lit(user_id)) & (F.col("page") == number))
+    return page.drop("part"), found[0]["last_key"] if found[0]["has_more"] else None
+
+
+def walk_pages(spark: SparkSession, path: str, user_id, *, user: str = "userId") -> Iterator[DataFrame]:
+    """A user's pages one after the other, from cursor to cursor."""
+    cursor = None
+    while True:
+        page, cursor = open_page(spark, path, user_id, cursor, user=user)
+        yield page
+        if cursor is None:
+            return
+
+
 def messages_of(messages: DataFrame, chats: DataFrame, chat_key: str = "id") -> DataFrame:
     """Messages (or votes) of a set of chats."""
     keys = chats.select(F.col(chat_key).alias("chatId")).distinct()

@@ -187,39 +187,29 @@ def good_pairs(turns: DataFrame, lead_ins=None, drop_first=None, refusals=None)
     is the whole conversation.
     """
 
-    def cleaned(role: str, text: str) -> Column:
+    def cleaned() -> Column:
         answer = tx.strip_lead_ins(
-            F.col(text),
+            F.col("text"),
             fixed.LEAD_INS if lead_ins is None else lead_ins,
             fixed.DROP_FIRST_SENTENCE if drop_first is None else drop_first,
         )
-        return F.when(F.col(role) == "assistant", answer).otherwise(F.col(text)).alias(text)
-
-    # Cleaning comes after the scan, which reads its input twice.
-    scanned = ordered_scan(
-        turns.select(KEY, TURN, "role", "text"),
-        [KEY],
-        [F.col(TURN)],
-        lags={"prev_role": "role", "prev_text": "text"},
-    ).filter(F.col("role") == "assistant")
-    scanned = scanned.select(KEY, TURN, "role", cleaned("role", "text"), "prev_role", cleaned("prev_role", "prev_text"))
+        return F.when(F.col("role") == "assistant", answer).otherwise(F.col("text"))
+
+    # Only keys and verdicts are put in order.
+    refused = tx.is_refusal(cleaned(), fixed.REFUSALS if refusals is None else refusals)
+    good = (F.col("role") == "assistant") & ~refused
+    narrow = turns.select(KEY, TURN, good.alias("_good"), F.lit(True).alias("_here"))
+    scanned = ordered_scan(narrow, [KEY], [F.col(TURN)], lags={"_before": TURN, "_has": "_here"}).filter("_good")
     alone = turns.groupBy(KEY).agg(F.count(F.lit(1)).alias("n")).filter("n = 1").select(KEY)
-    good = scanned.filter(~tx.is_refusal(F.col("text"), fixed.REFUSALS if refusals is None else refusals))
-    both = good.filter(F.col("prev_role").isNotNull()).select(
-        KEY,
-        F.col(TURN).alias("pair"),
-        F.posexplode(
-            F.array(
-                F.struct(F.col("prev_role").alias("role"), F.col("prev_text").alias("text")),
-                F.struct("role", "text"),
-            )
-        ).alias("slot", "m"),
-    )
-    single = good.filter(F.col("prev_role").isNull())
-    single = join_facts(single, alone, KEY, "left_semi")
-    return both.select(KEY, "pair", "slot", "m.role", "m.text").unionByName(
-        single.select(KEY, F.col(TURN).alias("pair"), F.lit(1).alias("slot"), "role", "text")
+    own = F.struct(F.col(TURN).alias("at"), F.lit(1).alias("slot"))
+    both = scanned.filter("_has").select(
+        KEY, F.col(TURN).alias("pair"), F.explode(F.array(F.struct(F.col("_before").alias("at"), F.lit(0).alias("slot")), own)).alias("w")
     )
+    single = join_facts(scanned.filter(F.col("_has").isNull()), alone, KEY, "left_semi").select(KEY, F.col(TURN).alias("pair"), own.alias("w"))
+    wanted = both.unionByName(single).select(F.col(KEY).alias("_key"), "pair", "w.at", "w.slot")
+    # Then each wanted turn's text is fetched once.
+    texts = turns.select(KEY, TURN, "role", cleaned().alias("text"))
+    return texts.join(wanted, F.col(KEY).eqNullSafe(F.col("_key")) & (F.col(TURN) == F.col("at"))).select(KEY, "pair", "slot", "role", "text")
 
 
 def sections(turns: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from talkmill.operators import chatstore as ch
 from talkmill.operators import versions as vs
 from talkmill.plans.registry import query
+from talkmill.session import shared_path
 from talkmill.sources.readers import union_all
 
 
@@ -36,6 +37,21 @@ def chat_keyset_page(t):
     return ch.all_pages(order_chats(t), 5).select("id", "userId", "rn", "page", "has_more")
 
 
+@query(
+    "chat_cursor_walk",
+    """WITH busy AS (SELECT o_custkey AS u FROM orders GROUP BY o_custkey ORDER BY count(*) DESC, o_custkey LIMIT 1)
+       SELECT o_orderkey AS id, (rn - 1) // 5 AS page, n > ((rn - 1) // 5 + 1) * 5 AS has_more
+       FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn, count(*) OVER () AS n FROM orders, busy WHERE o_custkey = u)""",
+)
+def chat_cursor_walk(t):
+    """All pages of the busiest user, each opened by the cursor before it."""
+    chats = order_chats(t)
+    spark = chats.sparkSession
+    path = shared_path(spark, "pages")
+    ch.write_pages(chats, path, 5)
+    return union_all([page.select("id", "page", "has_more") for page in ch.walk_pages(spark, path, busiest(chats)[0])])
+
+
 SQL_BUSY = """WITH busy AS (SELECT o_custkey AS u FROM orders GROUP BY o_custkey ORDER BY count(*) DESC, o_custkey LIMIT 1),
     mine AS (SELECT o_orderkey AS id, o_orderdate AS created FROM orders, busy WHERE o_custkey = u),
     cur AS (SELECT created FROM (SELECT *, row_number() OVER (ORDER BY created DESC, id DESC) AS rn FROM mine) WHERE rn = 3)"""
@@ -160,6 +176,51 @@ def version_diff(t):
     )
 
 
+def drafts(t):
+    """Three versions of every document: its text; the first sentence moved to
+    the end and doubled, each fifth one left out; all sentences reversed."""
+    said = vs.sentences(F.coalesce("text", F.lit("")))
+    docs = t("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), said.alias("s"))
+    thinned = F.filter("s", lambda x, i: (i > 0) & (i % 5 != 3))
+    moved = F.concat(thinned, F.slice("s", 1, 1), F.slice("s", 1, 1))
+    contents = F.array(F.col("text"), F.array_join(moved, ""), F.array_join(F.reverse("s"), ""))
+    return docs.select("doc_id", F.posexplode(contents).alias("version", "content"))
+
+
+SQL_DRAFTS = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^.!?]+[.!?]*\s*') AS s FROM documents),
+    v AS (SELECT doc_id, 0 AS version, text AS content FROM d UNION ALL
+      SELECT doc_id, 1, array_to_string(list_concat(list_filter(s, lambda x, i: i > 1 AND (i - 1) % 5 <> 3), s[1:1], s[1:1]), '') FROM d UNION ALL
+      SELECT doc_id, 2, array_to_string(list_reverse(s), '') FROM d),
+    c AS (SELECT doc_id, version, regexp_extract_all(content, '[^.!?]+[.!?]*\s*') AS new FROM v)"""
+
+
+@query(
+    "version_edits",
+    SQL_DRAFTS
+    + """ SELECT doc_id, version, CAST(len(new) AS BIGINT) AS n_new, CAST(len(old) AS BIGINT) AS n_old,
+            sha256(array_to_string(new, '')) AS new_sha256, sha256(array_to_string(old, '')) AS old_sha256
+          FROM (SELECT *, lag(new) OVER (PARTITION BY doc_id ORDER BY version) AS old FROM c) WHERE version > 0 AND len(new) + len(old) > 0""",
+)
+def version_edits(t):
+    """Both texts of every pair of versions, put together from its script."""
+    script = vs.edit_script(drafts(t), "doc_id", ["version"], "content")
+    step = F.struct("position", "sentence")
+
+    def side(kind: str):
+        said = F.array_sort(F.collect_list(F.when(F.col("kind") != kind, step)))
+        return said["sentence"]
+
+    sides = script.groupBy("doc_id", "version").agg(side("removed").alias("new"), side("inserted").alias("old"))
+    return sides.select(
+        "doc_id",
+        "version",
+        F.size("new").cast("bigint").alias("n_new"),
+        F.size("old").cast("bigint").alias("n_old"),
+        F.sha2(F.array_join("new", ""), 256).alias("new_sha256"),
+        F.sha2(F.array_join("old", ""), 256).alias("old_sha256"),
+    )
+
+
 @query(
     "suggestion_spans",
     r"""WITH s AS (SELECT doc_id, text, CASE WHEN doc_id % 4 = 0 THEN 'zz' || text ELSE regexp_extract(text, '[^.\s]+\.?\s*$') END AS original FROM documents)
