@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkmill.operators.queues import boolean_or_null, text_or_null
-from talkmill.session import ship_package
+from talkmill.session import ship_package, stage
 
 
 def row_count(rows: DataFrame, *where: Column) -> DataFrame:
@@ -37,9 +37,52 @@ def counted(rows: DataFrame, **tests: Column) -> tuple[DataFrame, Observation]:
     return rows.observe(seen, *[F.count_if(t).alias(name) for name, t in tests.items()]), seen
 
 
+def counted_table(rows: DataFrame, label: str, **tests: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``rows`` written to the shared folder, and the run's counters: how many
+    rows met each test.  The counters come out of the run that writes."""
+    watched, seen = counted(rows, **tests)
+    written = stage(watched, label)
+    return written, {name: seen.get[name] for name in tests}
+
+
+#: Distinct values that the counts of the most frequent ones keep track of.
+TRACKED = 10_000
+
+
+def sketch_profile(rows: DataFrame, top: int = 3) -> DataFrame:
+    """One row per column that is not null throughout: ``column_name, types,
+    n_values, smallest, largest, n_distinct, top``, nulls ignored.
+
+    Everything is one aggregate over one scan, and every part of it merges:
+    JSON types seen (about ten), the smallest and the largest value as text,
+    an estimate of the distinct values (HLL), and the most frequent values
+    with their counts (a sketch of bounded size; exact up to ``TRACKED``
+    distinct values, else counts may be too high).
+    """
+    facts = []
+    for name in rows.columns:
+        text = F.col(f"`{name}`").cast("string")
+        parsed = F.regexp_extract(F.schema_of_variant(F.try_parse_json(text)), "^[A-Z]+", 0)
+        kind = F.when(text.isNotNull(), F.coalesce(parsed, F.lit("TEXT")))
+        quoted = name.replace("`", "``")
+        often = F.expr(f"approx_top_k(CAST(`{quoted}` AS STRING), {int(top)}, {TRACKED})")
+        facts.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.array_sort(F.collect_set(kind)).alias("types"),
+                F.count(text).alias("n_values"),
+                F.min(text).alias("smallest"),
+                F.max(text).alias("largest"),
+                F.hll_sketch_estimate(F.hll_sketch_agg(text)).alias("n_distinct"),
+                often.alias("top"),
+            )
+        )
+    return rows.agg(F.array(*facts).alias("f")).select(F.inline("f")).filter("n_values > 0")
+
+
 def column_profile(rows: DataFrame, samples: int = 2) -> DataFrame:
     """``column_name, types, samples``: JSON types seen in each column and its
-    first distinct values, ignoring NULL.
+    first distinct values, ignoring NULL (``sketch_profile`` needs one pass).
 
     Plain aggregates: one pass per sample, each giving the next larger value
     of every column, and no shuffle of values.  There are about ten types.

@@ -289,6 +289,30 @@ def conv_stamp(t):
     )
 
 
+@query(
+    "conv_stamp_ids",
+    """SELECT source, count(*) AS n, count(*) AS n_ids, true AS positive, true AS stable
+       FROM (SELECT DISTINCT conv_id, 'site' || conv_id % 3 AS source FROM conversations) GROUP BY source""",
+)
+def conv_stamp_ids(t):
+    """Stamped ids: one per conversation and source, positive, and the same
+    when conversations are stamped again from other partitions."""
+    ids = t("conversations").select("conv_id", F.lit(1).alias("n_tokens")).distinct()
+
+    def stamped(rows):
+        source = F.concat(F.lit("site"), F.col("conv_id") % 3)
+        return cv.stamp(rows, F.col("conv_id"), source, "v2", datetime(2025, 5, 1), F.col("n_tokens"))
+
+    again = stamped(ids.repartition(3, F.col("conv_id") % 7)).select("conv_id", F.col("id").alias("second"))
+    both = stamped(ids).join(again, "conv_id")
+    return both.groupBy("source").agg(
+        F.count("*").alias("n"),
+        F.count_distinct("id").alias("n_ids"),
+        F.bool_and(F.col("id") >= 0).alias("positive"),
+        F.bool_and(F.col("id") == F.col("second")).alias("stable"),
+    )
+
+
 @query(
     "token_totals",
     f"SELECT role, CAST(sum({TOKENS}) AS BIGINT) AS tokens, count(*) AS n FROM conversations GROUP BY role",
@@ -558,7 +582,10 @@ def pull_messages(t):
 )
 def prune_report(t):
     facts = cv.conversation_facts(cv.measure(with_script(t)))
-    return profiling.by_kind(facts, F.when(F.col("wrong"), "pruned").otherwise("kept"))
+    kept = F.when(F.col("wrong"), "pruned").otherwise("kept").alias("kind")
+    # The run that writes the decisions counts them.
+    decided, found = profiling.counted_table(facts.select("conv_id", kept), "pruned", pruned=F.col("kind") == "pruned", kept=F.col("kind") == "kept")
+    return decided.select("kind").distinct().withColumn("n", F.when(F.col("kind") == "pruned", found["pruned"]).otherwise(found["kept"]).cast("bigint"))
 
 
 @query(

@@ -75,6 +75,20 @@ def io_json_arrays(t):
     return readers.json_arrays(docs.sparkSession, path, "doc_id bigint, text string, lang string", "*.txt")
 
 
+@query("io_split_array", "SELECT doc_id, text, lang FROM documents")
+def io_split_array(t):
+    docs = t("documents")
+    spark = docs.sparkSession
+    path = shared_path(spark, "array")
+    # All documents as one array in one file, over several lines.
+    first = docs.agg(F.min("doc_id")).first()[0]
+    entry = F.concat(F.when(F.col("doc_id") == first, "[ ").otherwise(", "), F.to_json(F.struct("doc_id", "text", "lang")))
+    end = docs.agg(F.lit(1).alias("last"), F.lit(0).cast("bigint").alias("doc_id"), F.lit("]").alias("value"))
+    lines = docs.select(F.lit(0).alias("last"), "doc_id", entry.alias("value")).unionByName(end)
+    lines.repartitionByRange(1, "last", "doc_id").sortWithinPartitions("last", "doc_id").select("value").write.text(path)
+    return readers.split_json_arrays(spark, path, "doc_id bigint, text string, lang string", "*.txt")
+
+
 @query(
     "io_mixed_directory",
     """SELECT doc_id, NULL::BIGINT AS conv_id, text, true AS named FROM documents
@@ -146,6 +160,24 @@ def io_chunked_export(t):
     )
 
 
+@query(
+    "export_resume",
+    """SELECT o_orderkey, o_orderdate, rn, (rn - 1) // 5000 AS chunk
+       FROM (SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn FROM orders)""",
+)
+def export_resume(t):
+    """An export that broke after a third of its chunks, then the rest."""
+    rows = t("orders").select("o_orderkey", F.col("o_orderdate").cast("string").alias("o_orderdate"))
+    spark = rows.sparkSession
+    path = shared_path(spark, "export")
+    numbered = packing.export_chunks(rows, [F.col("o_orderdate"), F.col("o_orderkey")], 5000)
+    writers.export_committed(numbered.filter("chunk % 3 = 0"), path)
+    writers.export_committed(numbered, path)
+    back = writers.read_export(spark, path, "o_orderkey bigint, o_orderdate string, rn bigint")
+    kind = t("orders").schema["o_orderdate"].dataType
+    return back.withColumn("o_orderdate", F.col("o_orderdate").cast(kind))
+
+
 @query("io_manifest", "SELECT 'conv_' || conv_id % 3 AS name, 'conv_' || conv_id % 3 || '.jsonl' AS file_name, 'role' AS role_tag FROM conversations GROUP BY 1, 2")
 def io_manifest(t):
     named = t("conversations").select(F.concat(F.lit("conv_"), F.col("conv_id") % 3, F.lit(".jsonl")).alias("file_name"))

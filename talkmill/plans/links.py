@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from talkmill import fixed
 from talkmill.functions import text as tx
-from talkmill.operators import dedup, queues
+from talkmill.operators import dedup, keyed, membership, queues
 from talkmill.plans.registry import query, sql_word_count
+from talkmill.session import shared_path, stage
 from talkmill.sources.readers import union_all
 
 
@@ -90,14 +91,55 @@ def store(t):
          FROM old o FULL JOIN new n ON o.link = n.link""",
 )
 def link_content_upsert(t):
+    return dedup.upsert_content(store(t), new_contents(t))
+
+
+def new_contents(t):
     fresh = F.concat(F.lit("new "), F.col("text"))
-    contents = t("documents").join(t("labels").select("doc_id"), "doc_id").select(
+    return t("documents").join(t("labels").select("doc_id"), "doc_id").select(
         F.col("doc_id").alias("link"),
         fresh.alias("content"),
         F.lit(datetime(2025, 1, 1)).cast("timestamp_ntz").alias("time"),
         tx.word_count(fresh).alias("word_count"),
     )
-    return dedup.upsert_content(store(t), contents)
+
+
+@query(
+    "upsert_buckets",
+    SQL_STORE
+    + """, merged AS (SELECT coalesce(o.link, n.link) AS link, title,
+            CASE WHEN n.link IS NOT NULL AND NOT coalesce(length(o.content) > 1, false) THEN n.content ELSE o.content END AS content,
+            CASE WHEN n.link IS NOT NULL AND NOT coalesce(length(o.content) > 1, false) THEN n.time ELSE o.time END AS time,
+            CASE WHEN n.link IS NOT NULL AND NOT coalesce(length(o.content) > 1, false) THEN n.word_count ELSE o.word_count END AS word_count,
+            l.doc_id IS NOT NULL AS seen, quality = 1 AS ok
+         FROM old o FULL JOIN new n ON o.link = n.link LEFT JOIN labels l ON l.doc_id = coalesce(o.link, n.link))
+       SELECT link, title, content, time, word_count, CASE WHEN seen THEN true END AS message_generated, CASE WHEN seen THEN ok END AS status
+       FROM merged WHERE NOT coalesce(title = 'de' AND seen, false)""",
+)
+def upsert_buckets(t):
+    """Contents, then outcomes, then deletions, each a commit of its own."""
+    nothing = F.lit(None).cast("boolean")
+    links = store(t).withColumns({"message_generated": nothing, "status": nothing})
+    spark = links.sparkSession
+    path = shared_path(spark, "links")
+    keyed.create(links, "link", path)
+    contents = new_contents(t)
+    keyed.upsert(spark, path, contents, lambda old: dedup.upsert_content(old, contents).drop("action"))
+    outcomes = t("labels").select(F.col("doc_id").alias("link"), (F.col("quality") == 1).alias("succeeded"))
+    keyed.upsert(spark, path, outcomes, lambda old: dedup.mark_processed(old, outcomes))
+    keyed.compact(spark, path)
+    keyed.upsert(spark, path, outcomes, lambda old: old.filter("NOT coalesce(title = 'de', false)"))
+    return keyed.snapshot(spark, path)
+
+
+@query("resume_filtered", "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resume_filtered(t):
+    """Two earlier outputs, a filter of each, merged and stored."""
+    labels = t("labels").select("doc_id", "quality")
+    outputs = [labels.filter("quality = 1"), labels.filter("quality IS NULL OR quality <> 1")]
+    blocks = membership.blocks_for(labels.count())
+    stored = stage(membership.merged([membership.build(o, "doc_id", blocks) for o in outputs]), "filter")
+    return membership.not_done(t("documents").select("doc_id", "source"), labels, stored, "doc_id", blocks)
 
 
 @query("enrich_left", "SELECT l.doc_id AS link, quality, text AS content FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id AND d.lang = 'en'")

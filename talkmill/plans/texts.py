@@ -9,7 +9,9 @@ from talkmill.functions import text as tx
 from talkmill.operators import evaluation as ev
 from talkmill.operators import profiling as pf
 from talkmill.operators import queues as qu
+from talkmill.operators import translate
 from talkmill.plans.registry import query, sql_strip, sql_word_count, sql_words
+from talkmill.session import shared_path
 
 CJK = r"[\x{4e00}-\x{9fff}]"
 
@@ -86,6 +88,46 @@ def tag_cleanup(t):
     return t("conversations").select("conv_id", "turn", tx.translation_cleanup(text).alias("translated"))
 
 
+@query(
+    "translate_resume",
+    """WITH t AS (SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 7 = 3 THEN '' WHEN (conv_id + turn) % 7 = 5 AND turn > 1 THEN NULL ELSE text END AS text FROM conversations),
+            s AS (SELECT conv_id, min(turn) FILTER (coalesce(text, '') = '') AS stop FROM t GROUP BY conv_id)
+       SELECT conv_id, turn, E'\\nvi ' || text AS translated FROM t JOIN s USING (conv_id) WHERE stop IS NULL OR turn < stop""",
+)
+def translate_resume(t):
+    """A third of the conversations, a part that broke before its commit, then
+    everything, and once more."""
+    place = (F.col("conv_id") + F.col("turn")) % 7
+    text = F.when(place == 3, "").when((place == 5) & (F.col("turn") > 1), None).otherwise(F.col("text"))
+    turns = t("conversations").select("conv_id", "turn", text.alias("text"))
+    spark = turns.sparkSession
+    path = shared_path(spark, "translated")
+
+    def say(rows):
+        said = F.concat(F.lit("```text\n<msg>vi "), F.col("text"), F.lit("</msg>```"))
+        return rows.withColumn("translated", said)
+
+    translate.translate(turns.filter("conv_id % 3 = 0"), path, say)
+    say(turns).select("conv_id", "turn", "translated").write.parquet(f"{path}/rows/run=broken")
+    translate.translate(turns, path, say)
+    translate.translate(turns, path, say)
+    return translate.translated(spark, path)
+
+
+@query(
+    "date_conversion_report",
+    """SELECT count(*) AS n_rows, count(*) FILTER (event_id % 10 > 0) AS converted, count(*) FILTER (event_id % 10 = 0) AS failed,
+              min(date_trunc('day', ts)) FILTER (event_id % 10 > 0) AS first_day FROM events""",
+)
+def date_conversion_report(t):
+    """The counters of one bulk conversion beside what it has written."""
+    spoken = F.when(F.col("event_id") % 10 == 0, "Thứ sáu, ngày 31/02/2024").otherwise(F.date_format("ts", "d/M/yyyy"))
+    events = t("events").select("event_id", tx.first_date(spoken).cast("timestamp_ntz").alias("day"))
+    counters = {"n_rows": F.lit(True), "converted": F.col("day").isNotNull(), "failed": F.col("day").isNull()}
+    written, found = pf.counted_table(events, "dates", **counters)
+    return written.agg(*[F.lit(n).alias(name) for name, n in found.items()], F.min("day").alias("first_day"))
+
+
 @query(
     "parse_dates",
     """SELECT event_id,
@@ -234,10 +276,40 @@ def profile_columns(t):
     )
 
 
+@query(
+    "profile_sketches",
+    """WITH e AS (SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(user_id AS VARCHAR) AS user_id,
+              event_type, CAST(CAST(value AS BIGINT) AS VARCHAR) AS value, props FROM events),
+         p AS (SELECT 'event_id' AS c, event_id AS v FROM e UNION ALL SELECT 'ts', ts FROM e UNION ALL SELECT 'user_id', user_id FROM e
+           UNION ALL SELECT 'event_type', event_type FROM e UNION ALL SELECT 'value', value FROM e UNION ALL SELECT 'props', props FROM e),
+         f AS (SELECT c, v, count(*) AS n FROM p WHERE v IS NOT NULL GROUP BY c, v),
+         d AS (SELECT c, CAST(sum(n) AS BIGINT) AS n_values, min(v) AS smallest, max(v) AS largest, count(*) AS n_distinct, max(n) AS most FROM f GROUP BY c)
+       SELECT c AS column_name, CASE WHEN c IN ('event_id', 'user_id', 'value') THEN 'BIGINT' WHEN c = 'props' THEN 'OBJECT' ELSE 'TEXT' END AS types,
+         n_values, smallest, largest, CASE WHEN n_distinct <= 200 THEN n_distinct END AS n_distinct, CASE WHEN n_distinct <= 200 THEN most END AS most_frequent FROM d""",
+)
+def profile_sketches(t):
+    """All columns of the events, in one scan.  Sketches are exact for few
+    values; where there are more, they are left out here."""
+    events = t("events").select(
+        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "user_id", "event_type", F.bround("value").cast("bigint").alias("value"), "props"
+    )
+    few = F.col("n_distinct") <= 200
+    return pf.sketch_profile(events).select(
+        "column_name",
+        F.array_join("types", ",").alias("types"),
+        "n_values",
+        "smallest",
+        "largest",
+        F.when(few, F.col("n_distinct")).alias("n_distinct"),
+        F.when(few, F.col("top")[0]["count"]).alias("most_frequent"),
+    )
+
+
 @query(
     "row_counts",
     """SELECT (SELECT count(*) FROM documents) AS documents, (SELECT count(*) FROM documents WHERE lang = 'en') AS english""",
 )
 def row_counts(t):
     docs = t("documents")
-    return docs.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.col("lang") == "en").alias("english"))
+    english = pf.row_count(docs, F.col("lang") == "en")
+    return pf.row_count(docs).select(F.col("n").alias("documents"), english.scalar().alias("english"))
