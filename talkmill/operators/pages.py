@@ -14,7 +14,7 @@ from talkmill.functions import text as tx
 from talkmill.functions.markdown import clean_markdown
 from talkmill.operators import dedup
 from talkmill.operators.ordered import index_rows
-from talkmill.session import ship_package, stage
+from talkmill.session import join_facts, ship_package, stage
 
 # Page address templates of the site sections, by site.
 # {section} is the section address, {stem} the address without its ending.
@@ -310,6 +310,29 @@ def articles(
     )
 
 
+def host_of(url: Column) -> Column:
+    """Host of a URL, without user and port, in lower case."""
+    return F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]*)", 1))
+
+
+def site_articles(pages: DataFrame, hosts: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Pages of several sites as articles, in one pass: ``hosts`` (``host,
+    source``; a host also stands for its subdomains) says which profile reads
+    a page; the longest host that fits counts.  Pages of other hosts come out
+    with a failure, as in ``articles``.
+
+    Each page carries the few names its host may be listed under, so the join
+    is on equal hosts; the host table has one row per site.
+    """
+    parts = F.split(host_of(F.col(url)), r"\.")
+    names = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    asked = pages.select(url).distinct().select(F.col(url).alias("_url"), F.posexplode(names).alias("_depth", "host"))
+    found = asked.join(hosts.select(F.lower("host").alias("host"), "source"), "host")
+    chosen = found.groupBy("_url").agg(F.min_by("source", "_depth").alias("source"))
+    known = join_facts(pages.withColumn("_url", F.col(url)), chosen, "_url", "left").drop("_url")
+    return articles(known, source="source", html=html)
+
+
 def split_articles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, bad): a time and content, or not."""
     good = (F.coalesce("time", F.lit("")) != "") & (F.coalesce("content", F.lit("")) != "")

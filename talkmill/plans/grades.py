@@ -186,6 +186,52 @@ _register_extract("mcq_extract", "MCQ")
 _register_extract("mcq_extract_multiple", "MCQ(multiple)")
 _register_extract("mcq_extract_numeric", "numeric")
 
+# Responses whose answers are plain to see: the response, and what is to be read
+# out of it in each mode.  a and b are two letters; 'None' is no answer, and
+# NULL a label without one.
+KNOWN = [
+    ("item {n} \\boxed{{{a}}}", "a", "a", "'None'"),
+    ("item {n} the answer is {a}", "a", "a", "'None'"),
+    ("item {n} Đáp án: {la} qq", "a", "a", "a"),
+    ("item {n} Answer: ({a})({b})", "a || b", "a || b", "'None'"),
+    ("item {n} \\boxed{{ {a}, {b} }}", "'None'", "a || b", "'None'"),
+    ("item {n} without", "'None'", "'None'", "'None'"),
+    ("item {n} answer is [{a}] qq", "a", "a", "'None'"),
+    ("item {n} answer is {n}.5 and (7)", "'None'", "'None'", "n || '.5'"),
+    ("item {n} \\boxed{{\\textbf{{{a}}}}}", "a", "a", "'None'"),
+    ("({a}) or ({b}) qq", "b", "b", "'None'"),
+    ("item {n} \\boxed{{12.5}}", "'None'", "'None'", "'12.5'"),
+    ("item {n} Đáp án: 7", "'None'", "'None'", "'None'"),
+    ("item {n} Đáp án: ", "NULL", "NULL", "NULL"),
+    ("first \\boxed{{{b}}} then \\boxed{{{a}}}", "a", "a", "'None'"),
+    ("answer is ({n})", "'None'", "'None'", "n"),
+]
+
+
+def _known_sql(column: int) -> str:
+    return "CASE k " + " ".join(f"WHEN {i} THEN {row[column]}" for i, row in enumerate(KNOWN)) + " END"
+
+
+@query(
+    "mcq_known_answers",
+    f"""WITH i AS (SELECT p_partkey AS id, p_partkey % {len(KNOWN)} AS k, chr((65 + p_partkey % 4)::INT) AS a, chr((65 + (p_partkey + 1) % 4)::INT) AS b,
+          CAST(p_partkey AS VARCHAR) AS n FROM part)
+        SELECT id, {_known_sql(1)} AS mcq, {_known_sql(2)} AS multiple, {_known_sql(3)} AS numeric FROM i""",
+)
+def mcq_known_answers(t):
+    letter = F.char(65 + F.col("id") % 4)
+    parts = t("part").select(F.col("p_partkey").alias("id")).withColumns(
+        {"a": letter, "b": F.char(65 + (F.col("id") + 1) % 4), "n": F.col("id").cast("string")}
+    )
+    values = {"{a}": F.col("a"), "{b}": F.col("b"), "{la}": F.lower("a"), "{n}": F.col("n")}
+    response = F.lit(None).cast("string")
+    for i, row in enumerate(KNOWN):
+        response = F.when(F.col("id") % len(KNOWN) == i, F.concat(*_pieces(row[0], values, F.lit))).otherwise(response)
+    said = parts.select("id", response.alias("response"))
+    modes = {"mcq": "MCQ", "multiple": "MCQ(multiple)", "numeric": "numeric"}
+    return said.select("id", *[gr.extract_answer(F.col("response"), mode).alias(name) for name, mode in modes.items()])
+
+
 SQL_SCORES = (
     SQL_RESPONSES
     + sql_extract("MCQ")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from talkmill.functions import text as tx
@@ -128,6 +130,66 @@ def page_split(t):
     return pg.article_columns(rows).select("page_id", "outcome", F.col("published").cast("timestamp_ntz").alias("published"))
 
 
+# Documents as pages of six sites: words, seven of them as a title, then a lead
+# of nine, and the rest as two paragraphs.
+SQL_SITE_WORDS = r"""WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[^A-Za-z]+'), lambda x: x <> '') AS w FROM documents),
+    d AS (SELECT doc_id, array_to_string(w[1:7], ' ') AS t, array_to_string(w[8:16], ' ') AS l, array_to_string(w[17:40], ' ') AS a, array_to_string(w[41:], ' ') AS b
+          FROM w WHERE len(w) > 40)"""
+
+
+def site_pages(t):
+    """Each site's own layout, with pictures, signatures and teasers in it."""
+    words = F.filter(F.split("text", "[^A-Za-z]+"), lambda x: x != "")
+    docs = t("documents").select("doc_id", words.alias("w")).filter(F.size("w") > 40)
+
+    def span(first, last=None):
+        return F.array_join(F.slice("w", first, F.size("w") if last is None else last - first + 1), " ")
+
+    docs = docs.select("doc_id", span(1, 7).alias("t"), span(8, 16).alias("l"), span(17, 40).alias("a"), span(41).alias("b"))
+
+    def page(form: str):
+        """``{t}``, ``{l}``, ``{a}``, ``{b}`` stand for the columns."""
+        pieces = re.split(r"\{([tlab])\}", form)
+        return F.concat(*[F.col(p) if i % 2 else F.lit(p) for i, p in enumerate(pieces)])
+
+    forms = [
+        ("www.dantri.example", "<time class='author-time'> 22/05/2024 10:00 </time><div class='singular-content x'><p>{a} <a href='/x'>{l}</a></p><p>{b}</p></div><p>{t}</p>"),
+        ("nd.example", "<h1 class='article__title'>{t}</h1><div class='main-content'><div class='article__sapo'>{l}</div><time class='time'>25/04/2025 07:05</time>"
+         "<div class='article__body'><p>{a}</p><figure>no</figure><table class='picture'><tr><td>no</td></tr></table><p>{b}</p></div></div>"),
+        ("m.tg.example", "<h1 class='story-headline'>{t}</h1><div class='flex-fill'><div class='story-teaser'>{l}</div><div class='ml-lg-auto'>1/2/2024 8:00</div>"
+         "<div class='story-body'><p>{a}</p><img src='i'><p>{b}</p></div></div>"),
+        ("vnet.example", "<div class='main-v1 bg-white'><div class='bread-crumb-detail__time'>1/2/2024 8:00</div><div class='content-detail'>"
+         "<div class='article-detail-author-wrapper'>{t}</div><p>{a}</p><div class='vnn-share-social share-social'>no</div><p>{b}</p><article>{l}</article></div></div>"),
+        ("vnex.example", "<section class='section page-detail top-detail'><span class='date'>1/2/2024 8:00</span><p class='description'>{l}</p>"
+         "<p class='Normal'>{a}</p><p class='Normal' style='text-align:right;'>{t}</p><p class='Normal'>{b}</p></section>"),
+        ("a.b.vtc.example", "<span class='x time-update'>1/2/2024 8:00</span><div class='content-wrapper pt5 mt5 font18 gray-31 bor-4top-e5 lh-1-5'><p>{a}</p><p>{b}</p></div>{l}"),
+        ("other.example", "<article>{a}</article>"),
+    ]
+    kind = F.col("doc_id") % len(forms)
+    url = F.concat(F.lit("https://"), F.get(F.array(*[F.lit(h) for h, _ in forms]), kind.cast("int")), F.lit("/"), F.col("doc_id"))
+    html = F.get(F.array(*[page(f) for _, f in forms]), kind.cast("int"))
+    return docs.select("doc_id", url.alias("url"), F.concat(F.lit("<html><body>"), html, F.lit("</body></html>")).alias("html"))
+
+
+@query(
+    "site_articles",
+    SQL_SITE_WORDS
+    + r""" SELECT doc_id, CASE WHEN k < 6 THEN ['dantri', 'nd', 'tg', 'vnet', 'vnex', 'vtc'][k + 1] END AS source,
+           CASE k WHEN 0 THEN '2024-05-22T10:00:00' WHEN 1 THEN '2025-04-25T07:05:00' WHEN 6 THEN NULL ELSE '2024-02-01T08:00:00' END AS time,
+           CASE k WHEN 0 THEN a || ' ' || l || E'\n\n' || b WHEN 1 THEN '# ' || t || E'\n\n' || l || E'\n\n' || a || E'\n\n' || b
+             WHEN 2 THEN '# ' || t || E'\n\n' || l || E'\n\n' || a || E'\n\n' || b WHEN 3 THEN a || E'\n\n' || b
+             WHEN 4 THEN l || E'\n\n' || a || ' ' || b WHEN 5 THEN a || E'\n\n' || b END AS content,
+           k = 6 AS is_err_link, CASE WHEN k = 6 THEN 'no parser' END AS failure
+         FROM (SELECT *, doc_id % 7 AS k FROM d)""",
+)
+def site_articles(t):
+    """The six site profiles and a site without one, by their hosts."""
+    pages = site_pages(t)
+    hosts = [(f"{name}.example", name) for name in ("dantri", "nd", "tg", "vnet", "vnex", "vtc")]
+    found = pg.site_articles(pages, pages.sparkSession.createDataFrame(hosts, "host string, source string"))
+    return found.select("doc_id", "source", "time", "content", "is_err_link", "failure")
+
+
 # Blanks and the signs that markdown adds; both sides are compared without them.
 MARKS = r"[\s#*_|`-]"
 
