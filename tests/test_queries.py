@@ -17,6 +17,8 @@ IN_PYTHON = {
     "page_article_text",
     "page_articles",
     "page_split",
+    "site_articles",
+    "version_edits",
 }
 
 
