@@ -1,47 +1,38 @@
 """A sparse document-term matrix in shards of rows (CSR).
 
-1. A task counts the words of its texts with codes of its own, a few megabytes
-   of text per shard: one row per shard, with its own vocabulary.
-2. The vocabularies of all shards give one dictionary: each distinct word and
-   a dense number.  A word reaches it once per shard, however often it occurs.
-3. The numbers come back per shard and replace its codes.
-
-No step holds more than one shard or sees a word more than once per shard.
+1. A task counts the words of its texts with codes of its own: a vocabulary for
+   some megabytes of text, and below it shards of about one megabyte.  The
+   vocabulary is packed per bucket of words.
+2. The buckets of all vocabularies give one dictionary: each distinct word and
+   a dense number.  A word reaches its bucket once per vocabulary, however
+   often it occurs, and buckets hold a bounded number of bytes.
+3. The numbers come back per vocabulary and replace the codes in its shards.
+
+No step holds more than the words of one vocabulary or one bucket.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from talkmill.llm.common import arrow_bytes, by_bytes, ship_package, stage
-
-SHARD = 8 << 20  # bytes of text in a shard; a longer text is a shard of its own
-PIECE = 1 << 20  # bytes of one text that are split into words at once
-ROW_BITS = 33  # monotonically_increasing_id keeps the row number in 33 bits
+from talkmill.llm.common import arrow_bytes, by_bytes, run_of, ship_package, stage
+from talkmill.llm.hashing import span_hashes
 
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+SHARD = 1 << 20  # bytes of text in a shard; a longer text is a shard of its own
+SHARDS = 16  # shards that share a vocabulary
+BUCKET = 64 << 20  # bytes of words that meet in one task, about
 
-
-def count_words(text: bytes, piece: int = PIECE) -> Counter:
-    """How often each word stands in a text; long texts piece by piece, cut at
-    blanks."""
-    found: Counter = Counter()
-    begin = 0
-    while begin < len(text):
-        cut = _BLANK.search(text, begin + piece)
-        end = cut.start() if cut else len(text)
-        found.update(text[begin:end].split())
-        begin = end
-    return found
+NUMBERED = "vocabulary long, bucket int, slot int, numbers binary, sizes binary, bytes binary"
 
 
 def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
@@ -67,123 +58,188 @@ def _slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordB
         yield joined()
 
 
-def _count_shards(kept: list[str], most: int):
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The row of every word of some texts, and the words as a dictionary
+    array (codes by first appearance)."""
+    lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+    flat = lists.flatten()
+    rows = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    some = pc.greater(pc.binary_length(flat), 0)
+    return rows[some.to_numpy(zero_copy_only=False)], flat.filter(some).dictionary_encode()
+
+
+def count_cells(rows: np.ndarray, codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """CSR arrays: where each row begins, its codes (ascending), their counts."""
+    keys = (rows << 32) | codes
+    keys.sort()
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
+    counts = np.diff(np.r_[first, len(keys)]).astype(np.int32)
+    cells = keys[first]
+    indptr = np.searchsorted(cells, np.arange(n + 1) << 32).astype(np.int64)
+    return indptr, (cells & 0xFFFFFFFF).astype(np.int32), counts
+
+
+def _packed(words: pa.Array, slots: np.ndarray) -> tuple[list[int], list[bytes], list[bytes]]:
+    """Words, already in the order of their slots, packed per slot."""
+    data, at = arrow_bytes(words)
+    found, begins = np.unique(slots, return_index=True)
+    ends = [*begins[1:].tolist(), len(slots)]
+    sizes = np.diff(at).astype(np.int32)
+    pieces = [(b, e) for b, e in zip(begins.tolist(), ends)]
+    return found.tolist(), [sizes[b:e].tobytes() for b, e in pieces], [data[at[b] : at[e]].tobytes() for b, e in pieces]
+
+
+def unpacked(sizes: list[bytes], data: list[bytes]) -> pa.Array:
+    """Packed words as one string array."""
+    lengths = np.frombuffer(b"".join(sizes), np.int32)
+    offsets = np.r_[0, np.cumsum(lengths, dtype=np.int64)]
+    return pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(b"".join(data)))
+
+
+def _count_shards(kept: list[str], schema: pa.Schema, most: int, slots: int):
+    """Rows of two kinds: shards (codes of their vocabulary), and packed words."""
+
+    def rows_of(**values) -> pa.RecordBatch:
+        n = len(next(iter(values.values())))
+
+        def column(field: pa.Field) -> pa.Array:
+            value = values.get(field.name)
+            return pa.nulls(n, field.type) if value is None else value.cast(field.type) if isinstance(value, pa.Array) else pa.array(value, field.type)
+
+        return pa.RecordBatch.from_arrays([column(f) for f in schema], schema=schema)
+
+    def finished(number: int, shards: list[tuple]) -> Iterator[pa.RecordBatch]:
+        # One dictionary for all shards, its words in the order of their slots.
+        unified = pa.chunked_array([coded for _, coded, _ in shards]).unify_dictionaries()
+        words = unified.chunk(0).dictionary
+        data, at = arrow_bytes(words)
+        slot = (span_hashes(data, at[:-1], at[1:]) % np.uint64(slots)).astype(np.int32)
+        order = np.argsort(slot, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        for k, ((owners, _, rows), coded) in enumerate(zip(shards, unified.chunks)):
+            codes = place[coded.indices.to_numpy()] if len(coded) else np.zeros(0, np.int64)
+            cells = dict(zip(("indptr", "columns", "counts"), ([x.tobytes()] for x in count_cells(owners, codes, rows.num_rows))))
+            lists = {name: pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column(name)) for name in kept}
+            yield rows_of(vocabulary=[number], shard=[k], **cells, **lists)
+        found, sizes, packed = _packed(words.take(pa.array(order)), slot[order])
+        yield rows_of(vocabulary=[number] * len(found), slot=found, sizes=sizes, bytes=packed)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard = TaskContext.get().partitionId() << ROW_BITS
+        number = TaskContext.get().partitionId() << 33
+        held: list[tuple] = []
         for rows in _slices(batches, most):
-            data, at = arrow_bytes(rows.column("text"))
-            whole = data.tobytes()
-            codes: dict[bytes, int] = {}
-            columns, counts, sizes = [], [], []
-            for begin, end in zip(at[:-1].tolist(), at[1:].tolist()):
-                found = count_words(whole[begin:end])
-                columns.extend([codes.setdefault(word, len(codes)) for word in found])
-                counts.extend(found.values())
-                sizes.append(len(found))
-            lists = [pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), rows.column(name)) for name in kept]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard], pa.int64()),
-                    pa.array([np.r_[0, np.cumsum(sizes)].astype(np.int64).tobytes()], pa.binary()),
-                    pa.array([np.array(columns, np.int32).tobytes()], pa.binary()),
-                    pa.array([np.array(counts, np.int32).tobytes()], pa.binary()),
-                    pa.array([[word.decode() for word in codes]], pa.list_(pa.string())),
-                    *lists,
-                ],
-                names=["shard", "indptr", "columns", "counts", "words", *kept],
-            )
-            shard += 1
+            held.append((*words_of(rows.column("text")), rows.drop_columns(["text"])))
+            if len(held) == SHARDS:
+                yield from finished(number, held)
+                held, number = [], number + 1
+        if held:
+            yield from finished(number, held)
 
     return run
 
 
-def _renumber(kept: list[str]):
-    """Codes of a shard replaced by numbers of the dictionary."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                numbers = row.column("numbers").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                codes = np.frombuffer(row.column("columns")[0].as_py(), np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        row.column("shard"),
-                        row.column("indptr"),
-                        pa.array([numbers[codes].tobytes()], pa.binary()),
-                        row.column("counts"),
-                        *(row.column(name) for name in kept),
-                    ],
-                    names=["shard", "indptr", "columns", "counts", *kept],
-                )
+def _number_words(table: pa.Table) -> pa.Table:
+    """One bucket: numbers from 0 for the words of all its vocabularies, and one
+    row (vocabulary null) with the distinct words in that order."""
+    sizes, data = table.column("sizes").to_pylist(), table.column("bytes").to_pylist()
+    coded = unpacked(sizes, data).dictionary_encode()
+    numbers = coded.indices.to_numpy().astype(np.int32)
+    ends = np.cumsum([len(s) // 4 for s in sizes]).tolist()
+    packed = [numbers[b:e].tobytes() for b, e in zip([0, *ends[:-1]], ends)]
+    bucket = table.column("bucket")[0].as_py()
+    distinct, at = arrow_bytes(coded.dictionary)
+    n = len(packed)
+    columns = {
+        "vocabulary": pa.array([*table.column("vocabulary").to_pylist(), None], pa.int64()),
+        "bucket": pa.array([bucket] * (n + 1), pa.int32()),
+        "slot": pa.array([*table.column("slot").to_pylist(), None], pa.int32()),
+        "numbers": pa.array([*packed, None], pa.binary()),
+        "sizes": pa.array([None] * n + [np.diff(at).astype(np.int32).tobytes()], pa.binary()),
+        "bytes": pa.array([None] * n + [distinct.tobytes()], pa.binary()),
+    }
+    return pa.table(columns)
+
+
+def _renumber(kept: list[str], kinds: pa.Schema):
+    """The shards of one vocabulary: codes replaced by numbers of the
+    dictionary, and what each row sums up to."""
+
+    def run(shards: pa.Table, words: pa.Table) -> pa.Table:
+        pieces = sorted(words.to_pylist(), key=lambda p: p["slot"])
+        numbers = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(p["numbers"], np.int32) + np.int64(p["before"]) for p in pieces)])
+        columns, sums, nonzero = [], [], []
+        for indptr, codes, counts in zip(*(shards.column(c).combine_chunks() for c in ("indptr", "columns", "counts"))):
+            indptr = np.frombuffer(indptr.as_buffer(), np.int64)
+            upto = np.r_[0, np.cumsum(np.frombuffer(counts.as_buffer(), np.int32), dtype=np.int64)]
+            columns.append(numbers[np.frombuffer(codes.as_buffer(), np.int32)].tobytes())
+            sums.append(np.diff(upto[indptr]))
+            nonzero.append(np.diff(indptr))
+        made = {"columns": columns, "row_sum": sums, "nonzero": nonzero}
+        return pa.table([pa.array(made[f.name], f.type) if f.name in made else shards.column(f.name).cast(f.type) for f in kinds], schema=kinds)
 
     return run
 
 
-def _shard_type(rows: DataFrame, kept: list[str], *more: T.StructField) -> T.StructType:
-    fields = [T.StructField("shard", T.LongType()), *(T.StructField(c, T.BinaryType()) for c in ("indptr", "columns", "counts")), *more]
-    return T.StructType(fields + [T.StructField(name, T.ArrayType(rows.schema[name].dataType)) for name in kept])
+MATRIX = ["vocabulary", "shard", "indptr", "columns", "counts", "row_sum", "nonzero"]
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """``word, number``: every distinct word of all shards, numbered from 0
-    without gaps, in no special order."""
-    words = stage(
-        shards.select(F.explode("words").alias("word")).distinct().withColumn("_row", F.monotonically_increasing_id()), "words"
-    )
-    part = F.shiftright("_row", ROW_BITS).alias("_part")
-    sizes = words.groupBy(part).agg(F.count("*").alias("_n"))
-    # One row per partition, so this window without keys stays small.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = F.col("_row").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
-    return words.withColumn("_part", part).join(F.broadcast(offsets), "_part").select("word", (inside + F.col("_before")).alias("number"))
+def _matrix_type(rows: DataFrame, kept: list[str], sums: bool) -> T.StructType:
+    ddl = "vocabulary bigint, shard int, indptr binary, columns binary, counts binary"
+    fields = T.StructType.fromDDL(ddl + (", row_sum array<bigint>, nonzero array<bigint>" if sums else ""))
+    return T.StructType([*fields, *(T.StructField(name, T.ArrayType(rows.schema[name].dataType)) for name in kept)])
 
 
-def term_matrix(rows: DataFrame, *, shard_bytes: int = SHARD) -> tuple[DataFrame, DataFrame]:
+def _unpack_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            words = unpacked([row["sizes"]], [row["bytes"]])
+            yield pa.RecordBatch.from_arrays(
+                [words.cast(pa.string()), pa.array(np.arange(len(words), dtype=np.int64) + row["before"])], names=["word", "number"]
+            )
+
+
+def term_matrix(rows: DataFrame, *, shard_bytes: int = SHARD, bucket_bytes: int = BUCKET) -> tuple[DataFrame, DataFrame]:
     """The matrix of ``rows``, a frame with a string column ``text`` (not
-    null) and any further columns, and its dictionary (``word, number``).
+    null) and any further columns, and its dictionary: ``word, number``, every
+    distinct word once, numbered from 0 without gaps in no special order.
 
     Words are what stands between blanks (space, \\t to \\r), case-sensitive.
-    One row per shard: ``shard``; ``indptr``, ``columns`` and ``counts`` as
-    packed int64, int64 and int32 (row i of the shard has its cells from
-    ``indptr[i]`` to ``indptr[i + 1]``, every column once); each further
-    column of ``rows`` as an array with one entry per matrix row.  A text
-    without words is an empty row; an empty table gives no shard.
+    One row per shard: ``vocabulary, shard`` name it; ``indptr``, ``columns``
+    and ``counts`` are packed int64, int64 and int32 (row i of the shard has
+    its cells from ``indptr[i]`` to ``indptr[i + 1]``, every column once);
+    ``row_sum`` and ``nonzero`` (words and distinct words of each row) and each
+    further column of ``rows`` are arrays with one entry per matrix row.  A
+    text without words is an empty row; an empty table gives no shard.
     """
-    ship_package(rows.sparkSession)
+    spark = rows.sparkSession
+    ship_package(spark)
     kept = [c for c in rows.columns if c != "text"]
-    words = T.StructField("words", T.ArrayType(T.StringType()))
-    local = stage(rows.mapInArrow(_count_shards(kept, shard_bytes), _shard_type(rows, kept, words)), "shards")
-    numbered = stage(dictionary(local), "dictionary")
-    # A word stands once per shard here; the join splits what is frequent.
-    own = local.select("shard", F.posexplode("words").alias("code", "word")).join(numbered, "word")
-    own = own.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("code", "number"))).alias("own"))
-    numbers = F.coalesce(F.col("own.number"), F.array().cast("array<bigint>")).alias("numbers")
-    joined = local.drop("words").join(own, "shard", "left").select(*(c for c in local.columns if c != "words"), numbers)
-    return joined.mapInArrow(_renumber(kept), _shard_type(rows, kept)), numbered
-
-
-def _sums(kept: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = batch.slice(i, 1)
-                indptr = np.frombuffer(row.column("indptr")[0].as_py(), np.int64)
-                counts = np.frombuffer(row.column("counts")[0].as_py(), np.int32)
-                upto = np.r_[0, np.cumsum(counts, dtype=np.int64)]
-                yield pa.RecordBatch.from_arrays(
-                    [*(row.column(name).flatten() for name in kept), pa.array(np.diff(upto[indptr])), pa.array(np.diff(indptr))],
-                    names=[*kept, "row_sum", "nonzero"],
-                )
-
-    return run
+    local_type, matrix_type = _matrix_type(rows, kept, False), _matrix_type(rows, kept, True)
+    both = T.StructType([*local_type, *T.StructType.fromDDL("slot int, sizes binary, bytes binary")])
+    # A vocabulary's words come in slots, as a shuffle's would; their number
+    # follows the cluster's shuffle partitions.  A bucket is one slot or two.
+    slots = 2 * run_of(spark)
+    counted = stage(rows.mapInArrow(_count_shards(kept, to_arrow_schema(both), shard_bytes, slots), both), "shards")
+    words = counted.where("slot is not null").select("vocabulary", "slot", "sizes", "bytes")
+    size = words.agg(F.sum(F.octet_length("bytes") + F.octet_length("sizes"))).first()[0] or 0
+    buckets = min(slots, max(run_of(spark), math.ceil(size / bucket_bytes)))
+    grouped = words.withColumn("bucket", F.pmod("slot", F.lit(buckets))).groupBy("bucket")
+    numbered = stage(grouped.applyInArrow(_number_words, NUMBERED), "numbers")
+    # One row per bucket, so this window without keys stays small.
+    distinct = numbered.where("vocabulary is null").select("bucket", (F.octet_length("sizes") / 4).cast("long").alias("n"))
+    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(distinct.select("bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before")))
+    placed = numbered.join(offsets, "bucket")
+    dictionary = placed.where("vocabulary is null").select("sizes", "bytes", "before").mapInArrow(_unpack_words, "word string, number long")
+    own = placed.where("vocabulary is not null").select("vocabulary", "slot", "before", "numbers")
+    shards = counted.where("shard is not null").select(*local_type.names)
+    met = shards.groupBy("vocabulary").cogroup(own.groupBy("vocabulary"))
+    return met.applyInArrow(_renumber(kept, to_arrow_schema(matrix_type)), matrix_type), dictionary
 
 
 def row_sums(matrix: DataFrame) -> DataFrame:
     """One row per matrix row: its further columns, ``row_sum`` (words) and
     ``nonzero`` (distinct words)."""
-    kept = matrix.columns[4:]
-    fields = [T.StructField(name, matrix.schema[name].dataType.elementType) for name in kept]
-    fields += [T.StructField(name, T.LongType()) for name in ("row_sum", "nonzero")]
-    return matrix.mapInArrow(_sums(kept), T.StructType(fields))
+    kept = [*matrix.columns[len(MATRIX) :], "row_sum", "nonzero"]
+    return matrix.select(F.inline(F.arrays_zip(*(F.col(c) for c in kept))))
