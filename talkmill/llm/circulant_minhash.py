@@ -8,15 +8,16 @@
 3. *Bands.*  ``ROWS`` neighbouring coordinates make one bucket key, ``BANDS``
    of them per node; nodes that share a key are candidates.  Two sets at the
    threshold of 0.8 share none with a probability of 3e-7.
-4. *Rounds.*  Only connections matter, so a bucket whose nodes are connected
-   already is done.  In each round every other bucket names some nodes as
-   pivots (twice as many as the round before), which meet the bucket's nodes
-   of other components and then leave the bucket.  A group of near copies
-   becomes one component in the first round, by one pair per node; no round
-   makes all pairs of a group.
-5. *Verification.*  Pairs whose signatures agree too little (lowest bit of
-   each coordinate; six and a half deviations below the threshold) go; all
-   others are verified on the full sets, one pivot's set in memory at a time.
+4. *First links.*  Each node meets the least node it shares a bucket with: one
+   pair per node, verified on the full sets.  Only connections matter, so
+   buckets whose nodes are one component by now are done.
+5. *Verification.*  The nodes of all other buckets meet in blocks, one row per
+   node and block: whatever is connected by such buckets, or, if that is large,
+   each bucket by itself, a large one in parts.  Parts that hold one component
+   only do not meet each other.  In a block, nodes of different components
+   whose signatures agree enough (lowest bit of each coordinate; six and a half
+   deviations below the threshold) are verified on the full sets; pairs of
+   candidates are never rows.
 6. Components of the verified links, then back to every document of a class.
 """
 
@@ -29,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import arrow_bytes, by_bytes, fitting_broadcast, ship_package, stage, text_of
+from talkmill.llm.common import arrow_bytes, by_bytes, fitting_broadcast, join_known, packed, ship_package, stage, text_of
 from talkmill.llm.components import components
 from talkmill.llm.hashing import mix, shingles
-from talkmill.session import join_facts
+from talkmill.operators.ordered import ordered_scan
 
 ROWS, BANDS = 7, 64
 COORDINATES = ROWS * BANDS
@@ -40,7 +41,8 @@ WORDS = COORDINATES // 64  # longs of the bit sketch
 DEVIATIONS = 6.5
 CHUNK = 1 << 15  # shingles hashed at once: the arrays stay in the cache
 BATCH = 2_000_000  # bytes of texts taken at once
-SALT = 1024  # pairs of a pivot that one task verifies in a row
+BLOCK = 1 << 22  # shingles of the nodes that meet in one task
+PAIRS = 20_000  # that one task verifies, about
 
 FACTS = "id long, n long, c1 long, c2 long, keys array<bigint>, sketch array<bigint>"
 
@@ -161,105 +163,138 @@ def _set_rows(width: int):
 
 
 def _verify(num: int, den: int):
-    """Rows sorted by pivot: the pivot's set, then those it is compared with."""
+    """The pairs whose full sets are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pivot, own = None, np.zeros(0, np.uint64)
         for batch in batches:
-            found: list[tuple[int, int]] = []
-            for p, node, grams in zip(batch.column("p").to_pylist(), batch.column("m").to_pylist(), batch.column("grams")):
-                other = np.frombuffer(grams.as_buffer(), np.uint64)
-                if node is None:
-                    pivot, own = p, other.copy()
-                    continue
-                if p != pivot:
-                    raise ValueError("a pair came before its pivot")
+            similar = []
+            for one, two in zip(batch.column("own"), batch.column("other")):
+                own, other = (np.frombuffer(x.as_buffer(), np.uint64) for x in (one, two))
                 at = np.searchsorted(own, other)
                 at[at == len(own)] = 0
                 both = int((own[at] == other).sum())
-                if den * both >= num * (len(own) + len(other) - both):
-                    found.append((p, node))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())], names=["a", "b"]
-            )
+                similar.append(den * both >= num * (len(own) + len(other) - both))
+            keep = pa.array(similar, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("p").filter(keep), batch.column("m").filter(keep)], names=["a", "b"])
 
     return run
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs ``p, m`` whose full sets are similar, as ``a, b``.  A pivot
-    with many pairs is dealt to several tasks, its set once to each."""
-    salts = pairs.groupBy("p").agg(F.ceil(F.count("*") / SALT).cast("int").alias("salts"))
-    members = join_facts(pairs, salts, "p").select("p", F.pmod(F.xxhash64("m"), F.col("salts")).cast("int").alias("salt"), "m")
-    members = members.join(sets.withColumnRenamed("node", "m"), "m").select("p", "salt", "m", "grams")
-    own = salts.join(sets.withColumnRenamed("node", "p"), "p").select(
-        "p", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("m"), "grams"
-    )
-    rows = members.unionByName(own).repartition("p", "salt").sortWithinPartitions("p", "salt", F.col("m").asc_nulls_first())
-    return rows.select("p", "m", "grams").mapInArrow(_verify(num, den), "a long, b long")
-
+    """The pairs ``p, m`` whose full sets are similar, as ``a, b``.  Sets have
+    one row per node, so the joins split a pivot with many pairs."""
+    own = sets.select(F.col("node").alias("p"), F.col("grams").alias("own"))
+    other = sets.select(F.col("node").alias("m"), F.col("grams").alias("other"))
+    count = pairs.count()
+    both = other.join(fitting_broadcast(pairs, count), "m").join(own, "p").select("p", "m", "own", "other")
+    return packed(both, count, PAIRS).mapInArrow(_verify(num, den), "a long, b long")
+
+
+def _compare(num: int, den: int):
+    """The links of one block between nodes of different components; one link
+    is enough to make two components one."""
+    limit = most_different(num, den)
+
+    def run(table: pa.Table) -> pa.Table:
+        nodes, label = table.column("node").to_numpy(), table.column("component").to_numpy().copy()
+        grams = [np.frombuffer(g.as_buffer(), np.uint64) for g in table.column("grams").combine_chunks()]
+        sizes = np.array([len(g) for g in grams], np.int64)
+        bits = np.stack([np.array(x, np.int64) for x in table.column("sketch").to_pylist()]).view(np.uint64)
+        _, codes = np.unique(np.concatenate(grams), return_inverse=True)
+        codes = np.split(codes, np.cumsum(sizes)[:-1])
+        member = np.zeros(int(max(c.max() for c in codes)) + 1, bool)
+        found: list[tuple[int, int]] = []
+        for k in range(len(nodes) - 1):
+            rest = slice(k + 1, None)
+            other = np.flatnonzero(label[rest] != label[k]) + k + 1
+            alike = np.minimum(sizes[other], sizes[k]) * den >= np.maximum(sizes[other], sizes[k]) * num
+            other = other[alike]
+            other = other[np.bitwise_count(bits[other] ^ bits[k]).sum(axis=1, dtype=np.int64) <= limit]
+            if not len(other):
+                continue
+            member[codes[k]] = True
+            for j in other.tolist():
+                if label[j] == label[k]:
+                    continue
+                both = int(np.count_nonzero(member[codes[j]]))
+                if den * both >= num * (sizes[k] + sizes[j] - both):
+                    found.append((int(nodes[k]), int(nodes[j])))
+                    label[label == label[j]] = label[k]
+            member[codes[k]] = False
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-def _pivots(entries: DataFrame, slots: int) -> DataFrame:
-    """``key, p, pn, pc``: of each bucket at most ``slots`` nodes, the least of
-    each slot; aggregates with map-side combine, so no bucket is gathered."""
-    slot = F.pmod(F.xxhash64("node"), F.lit(slots)) if slots > 1 else F.lit(0)
-    least = F.min(F.struct("node", "n", "component"))
-    return entries.groupBy("key", slot.alias("slot")).agg(least.alias("l")).select(
-        "key", F.col("l.node").alias("p"), F.col("l.n").alias("pn"), F.col("l.component").alias("pc")
-    )
+    return run
 
 
 def _open_buckets(entries: DataFrame) -> DataFrame:
     """The entries of buckets that hold two components or more."""
     spread = entries.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    return join_facts(entries, spread, "key")
-
-
-def similar_nodes(entries: DataFrame, sketches: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    return join_known(entries, spread, "key")
+
+
+def _labelled(entries: DataFrame, reached: DataFrame) -> DataFrame:
+    labels = reached.select(F.col("id").alias("node"), "root")
+    joined = join_known(entries.select("key", "node", "n"), labels, "node", "left")
+    return joined.select("key", "node", "n", F.coalesce("root", "node").alias("component"))
+
+
+def _meetings(rows: DataFrame, block: int) -> DataFrame:
+    """``g, i, j, node, component``: who meets in which task, of ``g, node, n,
+    component``.  A group of at most ``block`` shingles meets as a whole; a
+    larger one is put in order of its components and cut, and every two parts
+    meet that hold more than one component between them."""
+    weights = stage(rows.groupBy("g").agg(F.sum("n").alias("w")), "weights")
+    large = weights.where(F.col("w") > block).select("g")
+    whole = join_known(rows, weights.where(F.col("w") <= block).select("g"), "g")
+    whole = whole.select("g", F.lit(0).alias("i"), F.lit(0).alias("j"), "node", "component")
+    if large.isEmpty():
+        return whole
+    laid = ordered_scan(rows.join(large, "g"), ["g"], [F.col("component"), F.col("node")], running_sums={"upto": "n"})
+    parts = stage(laid.withColumn("part", F.floor((F.col("upto") - 1) * 2 / block).cast("int")), "parts")
+    facts = stage(parts.groupBy("g", "part").agg(F.min("component").alias("low"), F.max("component").alias("high")), "facts")
+    one, two = (facts.select("g", F.col("part").alias(p), F.col("low").alias(f"low_{p}"), F.col("high").alias(f"high_{p}")) for p in "ij")
+    several = F.least("low_i", "low_j") < F.greatest("high_i", "high_j")
+    met = stage(one.join(two, "g").where((F.col("i") <= F.col("j")) & several).select("g", "i", "j"), "met")
+    columns = ["g", "i", "j", "node", "component"]
+    first = parts.join(met.withColumn("part", F.col("i")), ["g", "part"]).select(*columns)
+    second = parts.join(met.where("i < j").withColumn("part", F.col("j")), ["g", "part"]).select(*columns)
+    return whole.unionByName(first).unionByName(second)
+
+
+def similar_nodes(entries: DataFrame, sketches: DataFrame, sets: DataFrame, num: int, den: int, block: int = BLOCK) -> DataFrame:
     """``id, root`` of the nodes that verified links connect.
 
     ``entries``: ``key, node, n``, one row per bucket and node; ``sketches``:
-    ``node, sketch``; ``sets``: ``node, grams``.  Ends when no bucket holds two
-    components, which is so at the latest when every node has been a pivot of
-    each of its buckets.
+    ``node, sketch``; ``sets``: ``node, grams``, one row per node.
     """
-    spark = entries.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    judged = spark.createDataFrame([], "p long, m long")
-    reached = spark.createDataFrame([], "id long, root long")
-    left = entries.withColumn("component", F.col("node"))
-    slots, first = 1, True
-    while True:
-        left = stage(_open_buckets(left), "buckets")
-        if left.isEmpty():
-            return reached
-        pivots = stage(_pivots(left, slots), "pivots")
-        met = join_facts(left, pivots, "key") if slots == 1 else left.join(pivots, "key")
-        # Sets whose sizes differ too much cannot be similar.
-        met = met.where((F.col("component") != F.col("pc")) & (F.least("n", "pn") * den >= F.greatest("n", "pn") * num)).select("p", F.col("node").alias("m"))
-        if first:
-            met = met.groupBy("m").agg(F.min("p").alias("p")).select("p", "m")
-        met = met.select(F.least("p", "m").alias("p"), F.greatest("p", "m").alias("m")).distinct()
-        fresh = met.join(judged, ["p", "m"], "left_anti")
-        close = fresh.join(sketches.select(F.col("node").alias("p"), F.col("sketch").alias("ps")), "p").join(
-            sketches.select(F.col("node").alias("m"), F.col("sketch").alias("ms")), "m"
-        )
-        apart = sum((F.bit_count(F.col("ps")[i].bitwiseXOR(F.col("ms")[i])) for i in range(WORDS)), F.lit(0))
-        pairs = stage(close.where(apart <= most_different(num, den)).select("p", "m"), "pairs")
-        judged = judged.unionByName(pairs)
-        links = stage(links.unionByName(_verified(pairs, sets, num, den)), "links")
-        reached = stage(components(links), "components")
-        if not first:
-            left = left.join(pivots.select("key", F.col("p").alias("node")), ["key", "node"], "left_anti")
-            slots *= 2
-        left = join_facts(left.drop("component"), reached.withColumnRenamed("id", "node"), "node", "left").select(
-            "key", "node", "n", F.coalesce("root", "node").alias("component")
-        )
-        first = False
+    # One pair per node: the least node of all its buckets.
+    least = entries.groupBy("key").agg(F.min("node").alias("p"))
+    first = join_known(entries, least, "key").where("p < node").groupBy("node").agg(F.min("p").alias("p"))
+    pairs = stage(first.select("p", F.col("node").alias("m")), "pairs")
+    reached = stage(components(_verified(pairs, sets, num, den)), "components")
+    left = stage(_open_buckets(_labelled(entries, reached)), "buckets")
+    if left.isEmpty():
+        return reached
+
+    # What such buckets connect, through the least node of each.
+    hubs = left.groupBy("key").agg(F.min("node").alias("p"))
+    edges = join_known(left.select("key", "node"), hubs, "key").select(F.col("node").alias("a"), F.col("p").alias("b"))
+    blocks = stage(components(edges).select(F.col("id").alias("node"), F.col("root").alias("g")), "blocks")
+    nodes = stage(join_known(left.groupBy("node").agg(F.max("n").alias("n"), F.max("component").alias("component")), blocks, "node"), "nodes")
+    large = stage(nodes.groupBy("g").agg(F.sum("n").alias("w")).where(F.col("w") > block).select("g"), "large")
+    rows = nodes.join(large, "g", "left_anti").select("g", "node", "n", "component")
+    if not large.isEmpty():
+        of_large = nodes.join(large, "g").select("node")
+        rows = rows.unionByName(join_known(left, of_large, "node").select(F.col("key").alias("g"), "node", "n", "component"))
+    met = _meetings(stage(rows, "rows"), block)
+    told = met.join(sets, "node").join(sketches, "node").select("g", "i", "j", "node", "component", "sketch", "grams")
+    links = stage(told.groupBy("g", "i", "j").applyInArrow(_compare(num, den), "a long, b long"), "links")
+    known = reached.select(F.col("id").alias("a"), F.col("root").alias("b"))
+    return stage(components(known.unionByName(links)), "components")
 
 
 def near_copies(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4, num: int = 80, den: int = 100
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", width: int = 4, num: int = 80, den: int = 100, block: int = BLOCK
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row for each row of
     ``docs``.
@@ -282,29 +317,32 @@ def near_copies(
         named.where("n > 0").groupBy(*same).agg(F.min("id").alias("rep")).withColumn("node", F.monotonically_increasing_id()), "classes"
     )
     # The class of each row; copies, however many, are one node below.
-    documents = stage(join_facts(named.select("id", *same), classes, same, "left"), "documents")
+    documents = stage(join_known(named.select("id", *same), classes, same, "left"), "documents")
     first = classes.withColumnRenamed("rep", "id")
-    marked = stage(named.join(first, [*same, "id"]).select("node", "n", "keys", "sketch"), "marked")
-    entries = marked.select("node", "n", F.explode("keys").alias("key")).distinct()
+    # One row per node, also where rows repeat.
+    marked = join_known(named, first, [*same, "id"]).select("node", "n", "keys", "sketch")
+    marked = stage(marked.groupBy("node").agg(F.first(F.struct("n", "keys", "sketch")).alias("f")).select("node", "f.*"), "marked")
+    entries = marked.select("node", "n", F.explode("keys").alias("key"))
     shared = entries.groupBy("key").agg(F.count("*").alias("holders")).where("holders > 1").select("key")
-    entries = stage(entries.join(stage(shared, "keys"), "key").select("key", "node", "n"), "entries")
-    live = stage(entries.select("node").distinct(), "live")
-    sketches = stage(marked.join(live, "node", "left_semi").groupBy("node").agg(F.first("sketch").alias("sketch")), "sketches")
-    wanted = stage(classes.join(live, "node", "left_semi").select(F.col("rep").alias("id")).distinct(), "wanted")
+    entries = stage(join_known(entries, shared, "key").select("key", "node", "n"), "entries")
+    wanted = join_known(classes, entries.select("node").distinct(), "node").select(F.col("rep").alias("id")).distinct()
+    wanted = stage(wanted, "wanted")
     texts = rows.join(fitting_broadcast(wanted, wanted.count()), "id", "left_semi")
-    sets = texts.mapInArrow(_set_rows(width), "id long, n long, c1 long, c2 long, grams binary").join(first, [*same, "id"])
+    sets = texts.mapInArrow(_set_rows(width), "id long, n long, c1 long, c2 long, grams binary")
+    sets = join_known(sets, first, [*same, "id"])
     sets = stage(sets.groupBy("node").agg(F.first("grams").alias("grams")), "sets")
-    reached = similar_nodes(entries, sketches, sets, num, den)
+    reached = similar_nodes(entries, marked.select("node", "sketch"), sets, num, den, block)
 
     # An id with several sets connects them.
     several = documents.where("node is not null").groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("top")).where("b < top")
-    joined = join_facts(documents.where("node is not null").select("id", F.col("node").alias("a")), several.select("id", "b"), "id")
-    reached = reached.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(joined.select("a", "b"))
-    reached = stage(components(reached), "components")
-    rooted = join_facts(classes.select("node", "rep"), reached.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = stage(several.select("id", "b"), "several")
+    if not several.isEmpty():
+        joined = documents.where("node is not null").join(several, "id").select(F.col("node").alias("a"), "b")
+        reached = stage(components(reached.select(F.col("id").alias("a"), F.col("root").alias("b")).unionByName(joined)), "components")
+    rooted = join_known(classes.select("node", "rep"), reached.withColumnRenamed("id", "node"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component"))
-    component = join_facts(rooted.select("node", "root"), least, "root").select("node", "component")
-    done = join_facts(documents.select("id", "n", "node"), component, "node", "left").select(
+    component = join_known(rooted.select("node", "root"), least, "root").select("node", "component")
+    done = join_known(documents.select("id", "n", "node"), component, "node", "left").select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
     unnamed = facts.where("id is null").select(F.lit(None).cast("long").alias("doc_id"), F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))

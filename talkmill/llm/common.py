@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from talkmill.session import shared_path, ship_package, stage
 
-__all__ = ["SPACE", "WORD", "fitting_broadcast", "shared_path", "ship_package", "stage", "text_of", "pick"]
+__all__ = ["SPACE", "WORD", "fitting_broadcast", "shared_path", "ship_package", "stage", "join_known", "packed", "text_of", "pick", "unused"]
 
 #: The blanks that separate words.
 SPACE = r"[\x20\x09-\x0D]"
@@ -32,12 +32,46 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*(F.col(f"`{given}`").alias(own) for own, given in columns.items()))
 
 
+def unused(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to clash
+    with none of ``taken`` (column names do not differ by case)."""
+    lower = {t.lower() for t in taken}
+    out = []
+    for name in names:
+        while name.lower() in lower:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def fitting_broadcast(small: DataFrame, rows: int) -> DataFrame:
     """``small`` with the broadcast hint while its counted rows stay below the
     bound, else as it is, for a shuffled join."""
     return F.broadcast(small) if rows <= BROADCAST_IDS else small
 
 
+#: Rows of a few longs that a broadcast may have (some 20 MB).
+BROADCAST_FACTS = 500_000
+
+
+def join_known(rows: DataFrame, facts: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined to at most one row of ``facts`` (a few longs) per key.
+
+    The facts are staged and counted: below the bound every task gets them,
+    above it both sides are shuffled, as plain shuffles, so that hot keys can
+    be split.
+    """
+    known = stage(facts, "facts")
+    return rows.join(F.broadcast(known) if known.count() <= BROADCAST_FACTS else known, key, how)
+
+
+def packed(df: DataFrame, rows: int, each: int = 1_000_000) -> DataFrame:
+    """``df``, known to have at most ``rows`` rows, in no more partitions than
+    these need: few rows give few files and tasks, whatever the cluster's
+    shuffle partitions are."""
+    return df.coalesce(max(1, min(run_of(df.sparkSession), -(-rows // each))))
+
+
 def arrow_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts one after the other, and where each begins (one
     more entry for the end).  Null counts as empty."""

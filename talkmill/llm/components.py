@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.session import join_facts, stage
+from talkmill.llm.common import join_known, packed, stage
 
 
-def _to_least(edges: DataFrame, larger_only: bool) -> DataFrame:
+def _to_least(edges: DataFrame, larger_only: bool, rows: int) -> DataFrame:
     """Every neighbour of a node is linked with the least of the node and its
     neighbours.  The least is an aggregate with map-side combine; it comes
-    back by a join that splits hot nodes."""
+    back by a join that splits hot nodes.  An edge may come out repeatedly."""
     least = edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    joined = join_facts(edges, least, "a")
+    joined = join_known(edges, packed(least, rows), "a")
     if larger_only:
         found = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         found = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return found.where("a <> b").distinct()
+    return found.where("a <> b")
 
 
 def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
@@ -42,10 +42,10 @@ def components(links: DataFrame, first: str = "a", second: str = "b") -> DataFra
         seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(seen) == before or not seen[0]:
             break
-        before = tuple(seen)
+        before, rows = tuple(seen), 2 * seen[0]
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = stage(_to_least(both, True), "links")
-        edges = stage(_to_least(large, False), "links")
+        large = stage(_to_least(both, True, rows), "links")
+        edges = stage(packed(_to_least(large, False, rows).distinct(), 2 * rows), "links")
     # Every edge now goes from an id to its root.
     return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(
         edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct()

@@ -9,6 +9,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from talkmill.llm import circulant_minhash as cm
@@ -44,7 +45,7 @@ def nothing(spark):
 
 def test_matrix_shards(spark, documents):
     rows = documents.selectExpr("doc_id", "coalesce(text, '') AS text", "source AS kept")
-    matrix, numbered = term_matrix.term_matrix(rows, shard_bytes=2000)
+    matrix, numbered = term_matrix.term_matrix(rows, shard_bytes=500)
     known = {r["number"]: r["word"] for r in numbered.collect()}
     texts = [r["text"] for r in rows.collect()]
     assert sorted(known) == list(range(len(known))) and set(known.values()) == {w for t in texts for w in re.findall(WORD, t)}
@@ -58,7 +59,10 @@ def test_matrix_shards(spark, documents):
             found.append((doc, r["kept"][i], {known[c]: n for c, n in zip(columns[cells].tolist(), counts[cells].tolist())}))
     want = [(r["doc_id"], r["kept"], dict(collections.Counter(re.findall(WORD, r["text"])))) for r in rows.collect()]
     assert len(shards) > 5 and sorted(found, key=repr) == sorted(want, key=repr)
-    assert term_matrix.count_words(b"a bb  a\x0bccc " * 50, 7) == {b"a": 100, b"bb": 50, b"ccc": 50}
+    odd = ["  a bb\x0ba\x1ca \u00a0 \x85 bb\r", "", "\t", "A a"]
+    rows, words = term_matrix.words_of(pa.array(odd))
+    want = [(i, w) for i, t in enumerate(odd) for w in re.findall(WORD, t)]
+    assert list(zip(rows.tolist(), words.to_pylist())) == want
 
 
 def brute_audit(rows, labels):
@@ -211,6 +215,9 @@ def test_near_copies(spark, documents, nothing):
     whole = documents.unionByName(more)
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in cm.near_copies(whole).collect()]
     assert sorted(got, key=repr) == sorted(brute_components(whole.collect()), key=repr)
+    # In small blocks: bucket by bucket, and in parts.
+    again = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in cm.near_copies(whole, block=400).collect()]
+    assert sorted(again, key=repr) == sorted(got, key=repr)
     kept = cm.near_copies(documents).where("kept").collect()
     assert all(r["doc_id"] in (None, r["component_id"]) for r in kept)
     assert cm.near_copies(nothing).count() == 0
