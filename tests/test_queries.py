@@ -18,7 +18,6 @@ IN_PYTHON = {
     "page_articles",
     "page_split",
     "site_articles",
-    "version_edits",
 }
 
 
