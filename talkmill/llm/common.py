@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from talkmill.session import shared_path, ship_package, stage
 
-__all__ = ["SPACE", "WORD", "fitting_broadcast", "shared_path", "ship_package", "stage", "join_known", "packed", "text_of", "pick", "unused"]
+__all__ = ["SPACE", "WORD", "fitting_broadcast", "give_back", "shared_path", "ship_package", "stage", "join_known", "packed", "text_of", "pick", "unused"]
 
 #: The blanks that separate words.
 SPACE = r"[\x20\x09-\x0D]"
@@ -84,6 +85,16 @@ def arrow_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system.  Python workers live on between
+    stages, and what they hold is missing to the others on their machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library: it keeps its own account
+
+
 def by_bytes(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring rows of at most ``most`` bytes; a longer row is
     a range of its own."""

@@ -2,18 +2,21 @@
 more: a prefix-tree join.
 
 1. *Support.*  A document can only be similar to another if that share of its
-   n-grams also occurs elsewhere.  Every task sends its n-gram hashes, packed
-   per bucket of hashes, and gets back for each document how many of them
-   occur in two documents or more.  The buckets grow in number with the
-   corpus, so each stays a few million hashes, and half of a hash (the other
-   half chooses the bucket) is enough: a wrong match only keeps a document in.
+   n-grams also occurs elsewhere.  Every batch of documents sends each of its
+   n-gram hashes once, packed per bucket of hashes; those that several of its
+   documents hold are known to occur twice already, so a passage that many
+   documents share costs one hash per batch.  Each bucket answers a batch with
+   one packed row of counts, and a batch sums its answers per document.  The
+   buckets grow in number with the corpus, so each stays a few million hashes,
+   and half of a hash (the other half chooses the bucket) is enough: a wrong
+   match only keeps a document in.
 2. *Classes.*  Documents with equal sets are one class from here on.
 3. *Order and prefixes.*  Sets of supported classes are put in one global
    order, rare n-grams first.  Similar sets share an n-gram within their first
    ``n - ceil(0.75 n) + 1``; classes that share one become candidates through
    the smallest of them, so a group gives as many links as it has members.
 4. *Trie.*  Candidates are connected, and each connected block of sets meets
-   in one task, where sets are stored in tries and searched (``trie``).
+   in one task, where sets are stored in one trie and searched (``trie``).
    Blocks above ``BLOCK`` n-grams are cut into parts, and every two parts meet
    in a task of their own.
 5. Components of the links found, then back to every document of a class.
@@ -26,21 +29,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import arrow_bytes, by_bytes, fitting_broadcast, pick, ship_package, stage, text_of
+from talkmill.llm.common import arrow_bytes, by_bytes, fitting_broadcast, give_back, pick, ship_package, stage, text_of, unused
 from talkmill.llm.components import components
 from talkmill.llm.hashing import mix, shingles
 from talkmill.llm.trie import linked
 from talkmill.session import join_facts
 
 BATCH = 2_000_000  # bytes of texts hashed at once
-BUCKET = 4_000_000  # hashes that meet in one task, about
+SENT_BYTES = 4_000_000  # bytes of texts whose hashes are sent together
+BUCKET = 2_000_000  # hashes that meet in one task, about
 FREQUENT = 1 << 20  # n-grams whose exact frequency orders the sets: 16 MB at most
 BLOCK = 1 << 22  # n-grams of candidate sets in one task
 
-SUPPORT = "bucket int, ids binary, runs binary, grams binary, sizes binary, classes binary"
+SENT = "batch long, bucket int, places binary, runs binary, grams binary, ids binary, sizes binary, classes binary, known binary"
+ANSWER = "batch long, places binary, counts binary, ids binary, sizes binary, classes binary, known binary"
+SHARED = np.uint32(2**32 - 1)  # place of hashes that several documents of a batch hold
 FACTS = "id long, n long, c1 long, c2 long, support long"
 
 
@@ -65,70 +72,112 @@ def _bucketed(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(key[order], np.arange(buckets + 1))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low, high in by_bytes(np.diff(arrow_bytes(batch.column("text"))[1]), SENT_BYTES):
+            yield batch.slice(low, high - low)
+
+
 def _pack_support(width: int, buckets: int):
     kind = np.uint16 if buckets < 65536 else np.int64
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        number = TaskContext.get().partitionId() << 33
+        for batch in _pieces(batches):
             parts = list(_sets(batch, width))
             ids = np.concatenate([i for i, _ in parts])
             sets = [s for _, found in parts for s in found]
             sizes = np.array([len(s) for s in sets], np.int64)
             grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            owner = np.repeat(np.arange(len(ids)), sizes)
+            owner = np.repeat(np.arange(len(ids), dtype=np.uint32), sizes)
             classes = _class_of(grams, owner, len(ids))
-            order, bounds = _bucketed(((grams >> np.uint64(32)) % np.uint64(buckets)).astype(kind), buckets)
-            half, owner = (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)[order], owner[order]
-            rows: dict[str, list] = {c.split()[0]: [] for c in SUPPORT.split(", ")}
+            # Each hash once: by its holder, or by none where there are more.
+            order = np.argsort(grams, kind="stable")
+            grams, owner = grams[order], owner[order]
+            first = np.r_[True, grams[1:] != grams[:-1]] if len(grams) else np.zeros(0, bool)
+            alone = first & np.r_[first[1:], True] if len(grams) else first
+            known = np.bincount(owner[~alone], minlength=len(ids))
+            place = np.where(alone, owner, SHARED)[first]
+            grams = grams[first]
+            order = np.lexsort((place, ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(kind)))
+            grams, place = grams[order], place[order]
+            bounds = np.searchsorted((grams >> np.uint64(32)) % np.uint64(buckets), np.arange(buckets + 1, dtype=np.uint64))
+            half = (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            rows: dict[str, list] = {c.split()[0]: [] for c in SENT.split(", ")}
+
+            def put(**values) -> None:
+                for column in rows:
+                    rows[column].append(values.get(column))
+
             for b in np.flatnonzero(np.diff(bounds)).tolist():
-                own = owner[bounds[b] : bounds[b + 1]]
-                first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                values = (b, ids[own[first]].tobytes(), np.diff(np.r_[first, len(own)]).astype(np.int32).tobytes(),
-                          half[bounds[b] : bounds[b + 1]].tobytes(), None, None)
-                for column, value in zip(rows.values(), values):
-                    column.append(value)
+                own = place[bounds[b] : bounds[b + 1]]
+                begins = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+                put(
+                    batch=number, bucket=b, places=own[begins].tobytes(), runs=np.diff(np.r_[begins, len(own)]).astype(np.int32).tobytes(),
+                    grams=half[bounds[b] : bounds[b + 1]].tobytes(),
+                )
             # What is known of the documents themselves travels along.
-            values = (int(mix(ids[:1].view(np.uint64))[0] % np.uint64(buckets)), ids.tobytes(), None, None, sizes.tobytes(), classes.tobytes())
-            for column, value in zip(rows.values(), values):
-                column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["bucket"], pa.int32()), *(pa.array(rows[c], pa.binary()) for c in list(rows)[1:])], names=list(rows)
-            )
+            put(
+                batch=number, bucket=int(mix(np.array([number], np.uint64))[0] % np.uint64(buckets)), ids=ids.tobytes(), sizes=sizes.tobytes(),
+                classes=classes.tobytes(), known=known.astype(np.int64).tobytes(),
+            )
+            kinds = [pa.int64(), pa.int32(), *(pa.binary() for _ in range(7))]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
+            number += 1
+        give_back()
 
     return run
 
 
 def _count_support(table: pa.Table) -> pa.Table:
-    out: dict[str, list[np.ndarray]] = {c.split()[0]: [] for c in FACTS.split(", ")}
-
-    def put(*columns: np.ndarray) -> None:
-        for column, values in zip(out.values(), columns):
-            column.append(values)
-
-    ids, runs, grams = [], [], []
-    for row in table.to_pylist():
-        own = np.frombuffer(row["ids"], np.int64)
-        if row["sizes"] is not None:
-            c = np.frombuffer(row["classes"], np.int64).reshape(2, -1)
-            put(own, np.frombuffer(row["sizes"], np.int64), c[0], c[1], np.zeros(len(own), np.int64))
-        else:
-            ids.append(own)
-            runs.append(np.frombuffer(row["runs"], np.int32))
-            grams.append(np.frombuffer(row["grams"], np.uint32))
-    if grams:
-        ids, owner = np.concatenate(ids), np.repeat(np.arange(sum(map(len, runs))), np.concatenate(runs))
-        grams = np.concatenate(grams)
+    """One bucket: for each batch, how many of a document's hashes another
+    batch has sent too."""
+    columns = {c: table.column(c).to_pylist() for c in table.column_names}
+    sent = [k for k, grams in enumerate(columns["grams"]) if grams is not None]
+    out: dict[str, list] = {c.split()[0]: [] for c in ANSWER.split(", ")}
+
+    def put(k: int, **values) -> None:
+        for column in out:
+            out[column].append(values.get(column, columns["batch"][k] if column == "batch" else None))
+
+    for k, ids in enumerate(columns["ids"]):
+        if ids is not None:
+            put(k, ids=ids, sizes=columns["sizes"][k], classes=columns["classes"][k], known=columns["known"][k])
+    if sent:
+        grams = np.concatenate([np.frombuffer(columns["grams"][k], np.uint32) for k in sent])
         order = np.argsort(grams, kind="stable")
         grams = grams[order]
         twice = np.zeros(len(grams), bool)
         twice[1:] = grams[1:] == grams[:-1]
         twice[:-1] |= twice[1:]
-        support = np.bincount(owner[order[twice]], minlength=len(ids))
-        some = np.flatnonzero(support)
-        put(ids[some], *(np.full(len(some), -1, np.int64) for _ in range(3)), support[some])
-    return pa.table({name: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64)) for name, v in out.items()})
+        again = np.empty(len(grams), bool)
+        again[order] = twice
+        begin = 0
+        for k in sent:
+            places, runs = np.frombuffer(columns["places"][k], np.uint32), np.frombuffer(columns["runs"][k], np.int32)
+            end = begin + int(runs.sum())
+            counts = np.add.reduceat(again[begin:end].astype(np.int32), np.r_[0, np.cumsum(runs)[:-1]])
+            some = (counts > 0) & (places != SHARED)
+            if some.any():
+                put(k, places=places[some].tobytes(), counts=counts[some].astype(np.int32).tobytes())
+            begin = end
+    kinds = [pa.int64(), *(pa.binary() for _ in range(6))]
+    grams = order = twice = again = None
+    give_back()
+    return pa.table({name: pa.array(v, k) for (name, v), k in zip(out.items(), kinds)})
+
+
+def _sum_support(table: pa.Table) -> pa.Table:
+    """One batch: its documents, with the answers of all buckets added up."""
+    rows = table.to_pylist()
+    own = next(r for r in rows if r["ids"] is not None)
+    support = np.frombuffer(own["known"], np.int64).copy()
+    for r in rows:
+        if r["places"] is not None:
+            support[np.frombuffer(r["places"], np.uint32)] += np.frombuffer(r["counts"], np.int32)
+    classes = np.frombuffer(own["classes"], np.int64).reshape(2, -1)
+    columns = (np.frombuffer(own["ids"], np.int64), np.frombuffer(own["sizes"], np.int64), classes[0], classes[1], support)
+    return pa.table({c.split()[0]: pa.array(v) for c, v in zip(FACTS.split(", "), columns)})
 
 
 def _only_sizes(width: int):
@@ -265,17 +314,12 @@ def similar_documents(
     named = rows.where("id is not null")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / 6 / BUCKET))
-    facts = stage(
-        named.mapInArrow(_pack_support(width, buckets), SUPPORT).groupBy("bucket").applyInArrow(_count_support, FACTS), "support"
-    )
-    support = facts.where("n < 0").groupBy("id").agg(F.sum("support").alias("support"))
-    documents = facts.where("n >= 0").drop("support")
+    answers = named.mapInArrow(_pack_support(width, buckets), SENT).groupBy("bucket").applyInArrow(_count_support, ANSWER)
+    facts = stage(answers.groupBy("batch").applyInArrow(_sum_support, FACTS), "support")
+    documents = facts.drop("support")
     # A document's own class, and whether another class can be similar to it.
     classes = stage(
-        documents.where("n > 0")
-        .join(support, "id", "left")
-        .groupBy("n", "c1", "c2")
-        .agg(F.min("id").alias("rep"), F.max(F.coalesce("support", F.lit(0)) * den >= F.col("n") * num).alias("live")),
+        facts.where("n > 0").groupBy("n", "c1", "c2").agg(F.min("id").alias("rep"), F.max(F.col("support") * den >= F.col("n") * num).alias("live")),
         "classes",
     )
     live = stage(classes.where("live").select(F.col("rep").alias("id")).distinct(), "live")
@@ -320,6 +364,7 @@ def one_of_each(docs: DataFrame, **named) -> DataFrame:
     smallest doc_id, all of a document's rows, and rows without doc_id."""
     doc_id = named.get("doc_id", "doc_id")
     found = similar_documents(docs, **named)
-    gone = stage(found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    key = docs[f"`{doc_id}`"]
-    return docs.join(fitting_broadcast(gone, gone.count()), key == F.col("_gone"), "left_anti").select(*(docs[f"`{c}`"] for c in docs.columns))
+    (gone_id,) = unused(docs.columns, "gone")
+    gone = stage(found.where("component_id <> doc_id").select(F.col("doc_id").alias(gone_id)).distinct(), "gone")
+    same = F.col(f"`{doc_id}`").cast("long") == F.col(gone_id)
+    return docs.join(fitting_broadcast(gone, gone.count()), same, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -1,4 +1,4 @@
-"""A trie of ordered sets, searched for one set that is similar enough."""
+"""A trie of ordered sets, searched for the sets that are similar enough."""
 
 from __future__ import annotations
 
@@ -10,13 +10,18 @@ import numpy as np
 @dataclass
 class Node:
     """Tokens on the edge to this node (an unbranched path is one node), the
-    sizes of the sets below it, and whether a set ends here."""
+    sizes of the sets below it, and the sets that end here.
+
+    ``one``: a set of the only component below, or -1 where there may be
+    several."""
 
     run: np.ndarray
     shortest: int
     longest: int
     kids: dict[int, "Node"] = field(default_factory=dict)
-    ends: bool = False
+    ends: list[int] = field(default_factory=list)
+    one: int = -1
+    arrays: tuple | None = None
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -25,25 +30,41 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     return int(differs[0]) if len(differs) else n
 
 
+def _facts(node: Node) -> tuple:
+    """The edges below a node side by side: the nodes, all tokens in a row,
+    where each edge begins, its length and last token, and the sizes below."""
+    if node.arrays is None:
+        kids = list(node.kids.values())
+        lengths = np.array([len(k.run) for k in kids])
+        starts = np.r_[0, np.cumsum(lengths)[:-1]]
+        node.arrays = (
+            kids, np.concatenate([k.run for k in kids]), starts, lengths, np.array([k.run[-1] for k in kids]),
+            np.array([k.shortest for k in kids]), np.array([k.longest for k in kids]),
+        )
+    return node.arrays
+
+
 class SetTrie:
     """Sets of numbers in ascending order, where smaller numbers are tokens of
-    more sets, so that much of what sets share lies on shared paths."""
+    more sets, so that much of what sets share lies on shared paths.  All sets
+    are inserted before the first search."""
 
     def __init__(self) -> None:
         self.root = Node(np.zeros(0, np.int32), 1 << 60, 0)
-        self.sets: list[np.ndarray] = []
+        self.above: list[int] = []  # union-find over the sets
 
     def insert(self, tokens: np.ndarray) -> None:
-        self.sets.append(tokens)
+        k = len(self.above)
+        self.above.append(k)
         size, node, rest = len(tokens), self.root, tokens
         while True:
             node.shortest, node.longest = min(node.shortest, size), max(node.longest, size)
             if not len(rest):
-                node.ends = True
+                node.ends.append(k)
                 return
             kid = node.kids.get(int(rest[0]))
             if kid is None:
-                node.kids[int(rest[0])] = Node(rest, size, size, ends=True)
+                node.kids[int(rest[0])] = Node(rest, size, size, ends=[k], one=k)
                 return
             same = _common(kid.run, rest)
             if same < len(kid.run):
@@ -51,61 +72,66 @@ class SetTrie:
                 kid.run = kid.run[same:]
                 node.kids[int(rest[0])] = upper
                 kid = upper
+            kid.one = -1
             node, rest = kid, rest[same:]
 
-    def has_similar(self, tokens: np.ndarray, member: np.ndarray, num: int, den: int) -> bool:
-        """Whether a set here has Jaccard similarity of num/den or more with
-        ``tokens``, of which ``member`` marks the numbers.
-
-        The overlap with a path is counted once for all sets below it.  A
-        subtree is left when its sizes cannot fit, or when the overlap so far
-        and all that can still follow, on either side, is too little.
+    def find(self, k: int) -> int:
+        while self.above[k] != k:
+            self.above[k] = self.above[self.above[k]]
+            k = self.above[k]
+        return k
+
+    def join(self, a: int, b: int) -> None:
+        self.above[self.find(b)] = self.find(a)
+
+    def _one_below(self, node: Node) -> None:
+        """Note if everything below has become one component."""
+        firsts = {self.find(k) for k in node.ends} | {self.find(kid.one) if kid.one >= 0 else -1 for kid in node.kids.values()}
+        if len(firsts) == 1:
+            node.one = firsts.pop()
+
+    def link(self, k: int, tokens: np.ndarray, member: np.ndarray, num: int, den: int) -> None:
+        """Join set ``k``, of which ``member`` marks the numbers, with every
+        set of Jaccard similarity num/den or more that it is not joined with.
+
+        The overlap with a path is counted once for all sets below it, and for
+        all edges of a node at once.  A subtree is left when its sizes cannot
+        fit, when the overlap so far and all that can still follow, on either
+        side, is too little, or when all below is joined with ``k`` already.
         """
         size = len(tokens)
         low, high = -(-size * num // den), size * den // num
-
-        def enter(node: Node, depth: int, overlap: int):
-            if node.longest < low or node.shortest > high:
-                return None
-            overlap += int(np.count_nonzero(member[node.run]))
-            depth += len(node.run)
-            after = size - int(np.searchsorted(tokens, node.run[-1], "right")) if len(node.run) else size
-            most = overlap + min(node.longest - depth, after)
-            if most * (num + den) < num * (size + max(low, node.shortest)):
-                return None
-            return depth, overlap
-
-        def walk(node: Node):
-            # The path that continues as the probe does comes first.
-            begun = [node.kids[t] for t in tokens[:8].tolist() if t in node.kids] if len(node.kids) > 8 else []
-            yield from begun
-            yield from node.kids.values()
-
-        stack = [(walk(self.root), 0, 0)]
+        stack: list[tuple[Node, int, int, bool]] = [(self.root, 0, 0, False)]
+        joined = False
         while stack:
-            kids, depth, overlap = stack[-1]
-            node = next(kids, None)
-            if node is None:
-                stack.pop()
+            node, depth, overlap, left = stack.pop()
+            if left:
+                if joined:
+                    self._one_below(node)
                 continue
-            here = enter(node, depth, overlap)
-            if here is None:
+            for end in node.ends:
+                if overlap * (num + den) >= num * (size + depth) and self.find(end) != self.find(k):
+                    self.join(k, end)
+                    joined = True
+            if not node.kids:
+                self._one_below(node)
                 continue
-            if node.ends and here[1] * (num + den) >= num * (size + here[0]):
-                return True
-            if node.kids:
-                stack.append((walk(node), *here))
-        return False
+            stack.append((node, depth, overlap, True))
+            kids, flat, starts, lengths, lasts, shortest, longest = _facts(node)
+            reached = overlap + np.add.reduceat(member[flat], starts)
+            deep = depth + lengths
+            after = size - np.searchsorted(tokens, lasts, "right")
+            most = reached + np.minimum(longest - deep, after)
+            fits = (longest >= low) & (shortest <= high) & (most * (num + den) >= num * (size + np.maximum(low, shortest)))
+            for i in np.flatnonzero(fits).tolist():
+                kid = kids[i]
+                if kid.one < 0 or self.find(kid.one) != self.find(k):
+                    stack.append((kid, int(deep[i]), int(reached[i]), False))
 
 
 def linked(ids: list[int], sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
     """``(id, smallest id of its component)`` of sets that are linked in
-    chains of similar pairs.
-
-    One trie for each component so far: a component is left at its first
-    similar set, as one link is enough; components that a set joins are
-    merged, the smaller into the larger.
-    """
+    chains of similar pairs: one trie of all sets, searched for each."""
     if not sets:
         return []
     # Numbers by falling frequency, so that paths are shared.
@@ -113,20 +139,16 @@ def linked(ids: list[int], sets: list[np.ndarray], num: int, den: int) -> list[t
     number = np.empty(len(tokens), np.int32)
     number[np.argsort(-count, kind="stable")] = np.arange(len(tokens), dtype=np.int32)
     ordered = [np.sort(x) for x in np.split(number[where], np.cumsum([len(s) for s in sets])[:-1])]
-    member = np.zeros(len(tokens), bool)
-    found: dict[int, tuple[SetTrie, list[int]]] = {}
-    for k in sorted(range(len(sets)), key=lambda k: (len(sets[k]), ids[k])):
-        member[ordered[k]] = True
-        joined = [c for c, (trie, _) in found.items() if trie.has_similar(ordered[k], member, num, den)]
-        member[ordered[k]] = False
-        joined.sort(key=lambda c: -len(found[c][1]))
-        trie, own = found.pop(joined[0]) if joined else (SetTrie(), [])
-        for other in joined[1:]:
-            more, theirs = found.pop(other)
-            for tokens_of in more.sets:
-                trie.insert(tokens_of)
-            own += theirs
-        trie.insert(ordered[k])
-        own.append(ids[k])
-        found[k] = (trie, own)
-    return [(i, min(own)) for _, own in found.values() for i in own]
+    trie = SetTrie()
+    for own in ordered:
+        trie.insert(own)
+    member = np.zeros(len(tokens), np.int32)
+    for k, own in enumerate(ordered):
+        member[own] = 1
+        trie.link(k, own, member, num, den)
+        member[own] = 0
+    roots = [trie.find(k) for k in range(len(ids))]
+    least: dict[int, int] = {}
+    for i, root in zip(ids, roots):
+        least[root] = min(i, least.get(root, i))
+    return [(i, least[root]) for i, root in zip(ids, roots)]
