@@ -3,10 +3,10 @@
 Texts are cut into stretches before every blank that stands alone between two
 other characters; such a blank always starts a new match of the split pattern,
 so stretches can be encoded one by one.  Spark counts the distinct stretches of
-the corpus.  For the ``KNOWN`` commonest ones SQL functions take the words (the
-matches of the pattern) and higher-order functions fold the ranked merges over
-the bytes of each distinct word: an array of byte strings, in which each step
-joins the neighbouring pair of lowest rank, read from a literal map of ranks.
+the corpus.  For the commonest ones, ``KNOWN`` at most, SQL functions take the
+words (the matches of the pattern) and higher-order functions fold the ranked
+merges over the bytes of each distinct word: an array of byte strings, in which
+each step joins the neighbouring pair of lowest rank, read from a literal map.
 That table has a fixed bound and goes to all tasks.  A task codes the stretches
 of a batch as a dictionary and looks them all up at once; those outside the
 table (rare or longer than ``LONGEST`` bytes) are merged in the task.
@@ -29,12 +29,14 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import arrow_bytes, by_bytes, ship_package, stage, text_of
+from talkmill.llm.common import arrow_bytes, by_bytes, give_back, ship_package, stage, text_of
 
 KNOWN = 1 << 17  # stretches of the table that all tasks get: 10 MB at most
-RARE = 300_000  # words of other stretches that a worker remembers
+RARE = 16 << 20  # bytes of other words and their ids that a worker remembers
+ENTRY = 200  # bytes that a remembered word costs beside its own and its ids'
 LONGEST = 48  # bytes of a stretch in that table
-BATCH = 8_000_000  # bytes of texts encoded at once
+BATCH = 1_000_000  # bytes of texts encoded at once
+COUNTED = 4_000_000  # bytes of texts whose stretches are counted at once
 RANK_CELLS = 1 << 14
 LONG_BLANKS = {chr(c).encode() for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
 
@@ -91,24 +93,25 @@ def gather(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> np.ndarra
     return flat[np.repeat(starts[which], sizes) + steps]
 
 
-def _batches(batches: Iterator[pa.RecordBatch]):
+def _batches(batches: Iterator[pa.RecordBatch], most: int):
     for batch in batches:
         data, at = arrow_bytes(batch.column("text"))
-        for low, high in by_bytes(np.diff(at), BATCH):
+        for low, high in by_bytes(np.diff(at), most):
             yield batch.slice(low, high - low), Stretches(data[at[low] : at[high]], at[low : high + 1] - at[low])
 
 
 def _count_stretches(batches):
-    for _, found in _batches(batches):
+    for _, found in _batches(batches, COUNTED):
         counts = pa.array(np.bincount(found.codes, minlength=len(found.distinct)))
         short = pc.less_equal(pc.binary_length(found.distinct), LONGEST)
         yield pa.RecordBatch.from_arrays([found.distinct.filter(short).cast(pa.string()), counts.filter(short)], names=["stretch", "n"])
+    give_back()
 
 
 # The fold.
 
 
-def _hex_literal(value: object, kind: str) -> Column:
+def _literal(value: object, kind: str) -> Column:
     """A constant of a nested type; the optimizer makes it a literal."""
     return F.from_json(F.lit(json.dumps(value)), kind)
 
@@ -120,7 +123,7 @@ def rank_map(ranks: dict[bytes, int]) -> Column:
     for word, rank in ranks.items():
         key = word.hex().upper()
         cells[zlib.crc32(key.encode()) % RANK_CELLS][key] = rank
-    return _hex_literal(cells, "array<map<string,int>>")
+    return _literal(cells, "array<map<string,int>>")
 
 
 def folded_ids(word: Column, ranks: Column) -> Column:
@@ -206,47 +209,77 @@ def _merged_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 # Documents.
 
 
-#: Of each worker, from task to task: ids of words met so far.
-_RARE: dict[tuple, dict[str, list[int]]] = {}
+class Remembered:
+    """Ids of words met so far, packed, up to ``RARE`` bytes.  A full memory
+    takes no more words; they are merged each time."""
+
+    def __init__(self):
+        self.ids: dict[bytes, bytes] = {}
+        self.size = 0
+
+    def find(self, word: bytes, ranks: dict[bytes, int]) -> bytes:
+        packed = self.ids.get(word)
+        if packed is None:
+            packed = np.array(merged(word, ranks), np.int32).tobytes()
+            size = len(word) + len(packed) + ENTRY
+            if self.size + size <= RARE and len(word) <= LONGEST:
+                self.ids[word] = packed
+                self.size += size
+        return packed
+
+
+#: Of each worker, from task to task.
+_RARE: dict[tuple, Remembered] = {}
 
 
 def _encode(pattern: str, shared):
     def run(batches):
         known, starts, flat, ranks = shared.value
         words_of = regex.compile(pattern).findall
-        rare = _RARE.setdefault((pattern, hash(frozenset(ranks.items()))), {})
-        for batch, found in _batches(batches):
+        rare = _RARE.setdefault((pattern, hash(frozenset(ranks.items()))), Remembered())
+        for batch, found in _batches(batches, BATCH):
             place = pc.index_in(found.distinct, value_set=known).fill_null(-1).to_numpy().astype(np.int64)
             missing = np.flatnonzero(place < 0)
-            extra = []
-            for stretch in found.distinct.take(pa.array(missing)).to_pylist():
-                ids: list[int] = []
-                for word in words_of(stretch):
-                    own = rare.get(word)
-                    if own is None:
-                        own = merged(word.encode(), ranks)
-                        if len(rare) < RARE and len(word) <= LONGEST:
-                            rare[word] = own
-                    ids += own
-                extra.append(ids)
+            extra = [
+                b"".join([rare.find(word.encode(), ranks) for word in words_of(stretch)])
+                for stretch in found.distinct.take(pa.array(missing)).to_pylist()
+            ]
             place[missing] = len(starts) - 1 + np.arange(len(missing))
-            all_starts = np.concatenate([starts, starts[-1] + np.cumsum([len(x) for x in extra], dtype=np.int64)])
-            all_ids = np.concatenate([flat, np.array([i for x in extra for i in x], np.int32)])
+            all_starts = np.concatenate([starts, starts[-1] + np.cumsum([len(x) // 4 for x in extra], dtype=np.int64)])
+            all_ids = np.concatenate([flat, np.frombuffer(b"".join(extra), np.int32)])
             which = place[found.codes]
             ids = gather(all_ids, all_starts, which)
             sizes = np.concatenate([[0], np.cumsum(np.diff(all_starts)[which])])
             lists = pa.ListArray.from_arrays(pa.array(sizes[found.bounds].astype(np.int32)), pa.array(ids))
             kept = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], names=[*kept, "ids"])
+        give_back()
 
     return run
 
 
+def _commonest(counted: DataFrame) -> DataFrame:
+    """``stretch``: those that occur at least so often that ``KNOWN`` or fewer
+    do.  The cut comes from a histogram of the counts, so no task sorts or
+    gathers them; stretches that occur once are left to the tasks.
+    """
+    repeated = stage(counted.groupBy("stretch").agg(F.sum("n").alias("n")).where("n > 1"), "counts")
+    # Counts up to 64, then bins of a sixteenth of a power of two: some
+    # thousand rows, whatever the corpus.
+    bins = F.when(F.col("n") <= 64, F.col("n").cast("double")).otherwise(F.floor(F.log2("n") * 16) / 16 + 64)
+    binned = repeated.withColumn("bin", bins)
+    kept, cut = 0, None
+    for r in binned.groupBy("bin").agg(F.count("*").alias("stretches")).orderBy(F.desc("bin")).collect():
+        kept += r["stretches"]
+        if kept > KNOWN:
+            break
+        cut = r["bin"]
+    return binned.where(F.lit(False) if cut is None else F.col("bin") >= cut).select("stretch")
+
+
 def stretch_table(rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
     """``stretch, ids``: the commonest stretches of column ``text``, encoded."""
-    counted = rows.select("text").mapInArrow(_count_stretches, "stretch string, n long")
-    most = counted.groupBy("stretch").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "stretch").limit(KNOWN)
-    top = stage(most.select("stretch"), "stretches")
+    top = stage(_commonest(rows.select("text").mapInArrow(_count_stretches, "stretch string, n long")), "stretches")
     parts = max(8, rows.sparkSession.sparkContext.defaultParallelism)
     cut = F.regexp_extract_all("stretch", F.lit("(?U)" + pattern), F.lit(0))
     words = top.repartition(parts, "stretch").select("stretch", F.posexplode(cut).alias("at", "word"))
@@ -275,6 +308,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id: st
     if not len(starts):
         starts = np.zeros(1, np.int64)
     shared = spark.sparkContext.broadcast((words.cast(pa.large_string()), starts, flat, ranks))
+    give_back()
     return rows.mapInArrow(_encode(pattern, shared), "doc_id long, ids array<int>")
 
 
@@ -283,10 +317,11 @@ def decoded(ids: Column, ranks: dict[bytes, int]) -> Column:
     the vocabulary, or a null array, gives null."""
     pieces: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
     for word, rank in ranks.items():
-        pieces[rank] = word.hex()
-    known = _hex_literal(pieces, "array<string>")
-    digits = F.transform(ids, lambda i: F.get(known, i))
-    return F.when(~F.exists(digits, lambda d: d.isNull()), F.unhex(F.array_join(digits, "")))
+        pieces[rank] = base64.b64encode(word).decode()
+    # Bytes stay what they are in a string; only strings have a join.
+    known = _literal(pieces, "array<binary>").cast("array<string>")
+    found = F.transform(ids, lambda i: F.get(known, i))
+    return F.when(~F.exists(found, lambda d: d.isNull()), F.array_join(found, "").cast("binary"))
 
 
 def ids_text(ids: Column) -> Column:
