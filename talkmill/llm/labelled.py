@@ -13,7 +13,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int, *, label_column
 
     Which ones is decided by a hash of the id, alike at every size.  Rows with
     a null id or label are left out; of several labels of an id the largest
-    counts.  ``learnable``: a condition on the column ``id``.
+    counts, and of several texts the one that sorts first, so an id gives one
+    row.  ``learnable``: a condition on the column ``id``.
     """
     own = labels.select(F.col("doc_id").cast("long").alias("id"), *(F.col(c).cast("int").alias(c) for c in label_columns)).dropna()
     own = own if learnable is None else own.where(learnable)
@@ -23,4 +24,5 @@ def training_rows(docs: DataFrame, labels: DataFrame, most: int, *, label_column
     chosen = stage(chosen.groupBy("id").agg(*(F.max(c).alias(c) for c in label_columns)), "labels")
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), text_of(text).alias("text"))
     # At most about ``most`` rows of two or three numbers.
-    return texts.join(F.broadcast(chosen), "id")
+    one = texts.join(F.broadcast(chosen.select("id")), "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+    return one.join(F.broadcast(chosen), "id")
