@@ -4,11 +4,14 @@ Every page is parsed once, into text segments.  A segment carries the hashes
 of the element subtrees it stands in.  Spark counts for each host on how many
 different pages a subtree occurs, copies and versions of a page as one; one that
 recurs across many pages of its host is part of the site's template and its
-segments go.  Furniture that differs from page
-to page (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) goes by its element, role or class.  A class only
-counts as a whole name, and not where it stands on what holds the page's own
-text: that is known at the end of the page.  Within articles only boxes count as template, never a paragraph, since sites quote themselves.
+segments go.  Furniture that differs from page to page (menus, headers, footers,
+sidebars, notices, adverts, forms, scripts, styles, reader comments) goes by
+its element, role or class.  A class counts where its name consists of
+furniture words and neutral ones; where a furniture word only begins or ends
+the name, the box must also be small, or of a kind that never is a page's own
+text, and hold no article.  No class counts on what holds the page's own text:
+that is known at the end of the page.  Within articles only boxes count as
+template, never a paragraph, since sites quote themselves.
 """
 
 from __future__ import annotations
@@ -31,7 +34,8 @@ LEAST_SHARE = 0.3  # of the host's different pages
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe xmp template".split())
+RAW = frozenset("script style textarea title noscript noembed noframes iframe template".split())
+SHOWN_RAW = frozenset("xmp plaintext".split())  # their content is text, whatever it looks like
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -44,12 +48,12 @@ SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "
 SCOPES = frozenset("ul ol dl table select article section div body html".split())
 
 FURNITURE = frozenset(
-    "script style noscript template head title nav aside footer form iframe button select option textarea input svg canvas "
+    "script style noscript noembed noframes template head title nav aside footer form iframe button select option textarea input svg canvas "
     "object embed dialog menu audio video map".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 CLASSES = frozenset(
-    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation "
+    "ad ads adsbygoogle adsense adslot adunit advert adverts advertisement advertising sponsor sponsored promo promotion banner menu nav navbar navigation "
     "breadcrumb breadcrumbs sidebar aside footer cookie cookies consent notice gdpr popup modal overlay newsletter subscribe "
     "signup login share sharing social related recommended widget comment comments disqus respond pagination pager toolbar "
     "masthead topbar skip".split()
@@ -64,68 +68,129 @@ NEUTRAL = frozenset(
 AMBIGUOUS = frozenset("aside banner comment comments notice overlay promo promotion recommended related respond share sharing skip social subscribe widget".split())
 # Lists of others' articles, and what is never the page's own text.
 LISTS = frozenset("comment comments disqus respond related recommended".split())
-NEVER = LISTS | frozenset("ad ads advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr".split())
+NEVER = LISTS | frozenset(
+    "ad ads adsbygoogle adsense adslot adunit advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr".split()
+)
+# Words that say what a box is when they begin its name, whatever follows; and
+# those that do not when they end one, being words for text or for one comment.
+HEADS = NEVER - LISTS | frozenset("comments disqus nav navbar breadcrumb breadcrumbs sidebar popup newsletter masthead topbar".split())
+NO_ENDS = frozenset("aside comment footer notice related respond skip social widget".split())
+# Names that tell what a page has beside the element, or how it looks.
+FLAGS = frozenset("has no with without hide show is not".split())
+TEXT_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre li td th dt dd".split())
+SMALL = 200  # characters; a box is small also with a third of the page's text
 BOXES = frozenset("div section ul ol table aside details figure".split())
 COUNTED = BOXES | frozenset("nav header footer form p h1 h2 h3 h4 blockquote pre dl".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_NAME = re.compile(r"[\s/]*(=?[^\s/>=]*)\s*(=?)\s*")
+_PLAIN = re.compile(r"[^\s>]*")
 _TRACKING = re.compile(r"(?:utm_\w+|fbclid|gclid|dclid|msclkid|yclid|igshid|mc_cid|mc_eid)(?:=|\Z)", re.I)
-_WORDS = re.compile(r"[A-Za-z]+")
+_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SIZE = re.compile(r"\d+(?:x\d+)?")
 
 
 class Mark:
-    """An element that looks like furniture by its class or id, in ``above``."""
+    """An element that looks like furniture by its class or id, in ``above``;
+    ``weak`` if only the head or end of a name says so."""
 
-    __slots__ = ("words", "above", "main", "articles", "size", "drop", "gone")
+    __slots__ = ("words", "weak", "above", "main", "articles", "size", "drop", "gone")
 
-    def __init__(self, words: frozenset[str], above: Mark | None):
-        self.words, self.above, self.main, self.articles, self.size, self.drop, self.gone = words, above, False, 0, 0, True, True
+    def __init__(self, words: frozenset[str], weak: bool, above: Mark | None):
+        self.words, self.weak, self.above = words, weak, above
+        self.main, self.articles, self.size, self.drop, self.gone = False, 0, 0, True, True
 
 
 class Element:
-    __slots__ = ("tag", "gone", "mark", "article", "hash", "first")
+    __slots__ = ("tag", "gone", "mark", "article", "hash", "link", "own")
 
-    def __init__(self, tag: str, gone: bool, mark: Mark | None, article: bool, first: int):
-        self.tag, self.gone, self.mark, self.article, self.first = tag, gone, mark, article, first
+    def __init__(self, tag: str, gone: bool, mark: Mark | None, article: bool, link: int, own: bool):
+        self.tag, self.gone, self.mark, self.article, self.link, self.own = tag, gone, mark, article, link, own
         self.hash = hashlib.blake2b(tag.encode(), digest_size=8)
 
 
+NONE: frozenset[str] = frozenset()
+
+
+def read_attributes(page: str, at: int) -> tuple[dict[str, str], bool, int]:
+    """Attributes of a tag from behind its name, whether it ends itself, and
+    the place behind it.  The first of two equal names counts.  A quote opens
+    a value only at its beginning; one that is never closed ends at the tag's
+    end."""
+    found: dict[str, str] = {}
+    size, slash = len(page), False
+    while at < size:
+        m = _NAME.match(page, at)
+        if not m[1]:
+            # Blanks and slashes up to the end of the tag.
+            slash = "/" in m[0]
+            at = m.end()
+            return found, slash, at + 1 if at < size else size
+        name, value = m[1].lower(), ""
+        at = m.end() if m[2] else m.end(1)
+        if m[2]:
+            quote = page[at : at + 1]
+            end = page.find(quote, at + 1) if quote in ("'", '"') and quote else -1
+            if end >= 0:
+                value, at = page[at + 1 : end], end + 1
+            elif quote in ("'", '"') and quote:
+                end = page.find(">", at)
+                end = size if end < 0 else end
+                value, at = page[at + 1 : end], end
+            else:
+                plain = _PLAIN.match(page, at)
+                value, at = plain[0], plain.end()
+        found.setdefault(name, entities.unescape(value))
+    return found, slash, size
+
+
 @functools.lru_cache(1 << 16)
-def _marks_of(name: str) -> frozenset[str]:
-    """Furniture words of a class or id whose words are all such or neutral."""
-    words = frozenset(w.lower() for w in _WORDS.findall(_SIZE.sub(" ", name)))
-    found = words & CLASSES
-    if words and words - found <= NEUTRAL:
-        return found | (words & {"header"})
-    return frozenset()
-
-
-def _furniture(tag: str, attributes: str, article: bool) -> tuple[bool, frozenset[str]]:
-    """Whether an element is furniture by itself, and else by which words."""
-    none: frozenset[str] = frozenset()
+def _marks_of(name: str) -> tuple[frozenset[str], bool]:
+    """Furniture words of a class or id, and whether they only begin or end
+    it: all its words are such or neutral, or the first or the last that is
+    not neutral is one."""
+    words = [w.lower() for w in _WORDS.findall(_SIZE.sub(" ", name))]
+    found = frozenset(words) & CLASSES
+    if words and frozenset(words) - found <= NEUTRAL:
+        return found | (frozenset(words) & {"header"}), False
+    told = [w for w in words if w not in NEUTRAL]
+    if not told or words[0] in FLAGS:
+        return NONE, False
+    ends = frozenset(told[-1:]) & (CLASSES - NO_ENDS)
+    return ends | (frozenset(told[:1]) & HEADS), True
+
+
+def _furniture(tag: str, found: dict[str, str], article: bool) -> tuple[bool, frozenset[str], bool]:
+    """Whether an element is furniture by itself, and else by which words, and
+    whether these are weak."""
     if tag in FURNITURE or (tag == "header" and not article):
-        return True, none
-    if not attributes.strip():
-        return False, none
-    found = {m[1].lower(): next((x for x in m.groups()[1:] if x is not None), "") for m in _ATTRIBUTE.finditer(attributes)}
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or found.get("role", "").lower() in ROLES:
-        return True, none
+        return True, NONE, False
+    if not found:
+        return False, NONE, False
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _role(found) in ROLES:
+        return True, NONE, False
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", found.get("style", ""), re.I):
-        return True, none
-    if tag in ("html", "body", "article", "main") or found.get("role", "").lower() == "main":
-        return False, none
-    words = none.union(*(_marks_of(name) for key in ("class", "id") for name in found.get(key, "").split()))
+        return True, NONE, False
+    if tag in ("html", "body", "article", "main") or _role(found) == "main":
+        return False, NONE, False
+    marks = [_marks_of(name) for key in ("class", "id") for name in found.get(key, "").split()]
+    strong = NONE.union(*(w for w, weak in marks if not weak))
+    weak = NONE.union(*(w for w, weak in marks if weak)) if tag not in TEXT_TAGS else NONE
+    # A section of comments is a box of comments; one comment may be the author's.
+    if tag not in BOXES or tag in ("section", "table", "figure"):
+        text_words = AMBIGUOUS - ({"comments"} if tag == "section" else NONE)
+        weak -= text_words
+        strong -= text_words if article else NONE
     if article:
-        words -= {"header"}
-        # A section of comments is a box of comments; one comment may be the author's.
-        if tag not in BOXES or tag in ("section", "table", "figure"):
-            words -= AMBIGUOUS - ({"comments"} if tag == "section" else none)
-    return False, words
+        strong -= {"header"}
+    return (False, strong, False) if strong else (False, weak, True)
+
 
+def _role(found: dict[str, str]) -> str:
+    return found.get("role", "").strip().lower()
 
-def _judge(marks: list[Mark], out: list[tuple[list, bool, list[int]]]) -> None:
+
+def _judge(marks: list[Mark], out: list[tuple[list, bool, int]]) -> None:
     """Which marked elements go: not those that hold the page's own text.
 
     ``marks`` has outer elements before the ones in them."""
@@ -146,7 +211,8 @@ def _judge(marks: list[Mark], out: list[tuple[list, bool, list[int]]]) -> None:
         if m.above is not None:
             m.above.size, m.above.articles, m.above.main = m.above.size + m.size, m.above.articles + m.articles, m.above.main or m.main
     for m in marks:
-        m.drop = not m.main
+        small = m.size <= SMALL or 3 * m.size <= total
+        m.drop = not m.main and (not m.weak or (not m.articles and bool(m.words & NEVER or small)))
     if own_article():
         return
     for m in marks:
@@ -160,16 +226,31 @@ def _judge(marks: list[Mark], out: list[tuple[list, bool, list[int]]]) -> None:
     own_article()
 
 
-def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
-    """Texts of a page in order, each with whether it is in an article and the
-    hashes of the subtrees it is in, and the hashes of all counted subtrees.
+class Page:
+    """What is read of a page.  ``texts`` in order: text, whether it is in an
+    article, and its innermost link.  A link is an element that counts as a
+    possible template of what it holds: ``above`` is the next one around it
+    (-1: none) and ``numbers`` its subtree's hash, so nesting, however deep,
+    costs no more than the page is long.  ``subtrees``: the hashes of all
+    counted elements."""
+
+    def __init__(self) -> None:
+        self.texts: list[tuple[str, bool, int]] = []
+        self.above: list[int] = []
+        self.numbers: list[int] = []
+        self.subtrees: set[int] = set()
+
+
+def segments(page: str) -> Page:
+    """Texts of a page with the subtrees they stand in.
 
     A text is what stands between two block borders.  Furniture has no text
     but is hashed.  Broken markup is read leniently: what is open at the end
     is closed there.
     """
-    root = Element("", False, None, False, 0)
-    stack, out, hashes = [root], [], set()
+    read = Page()
+    stack: list[Element] = [Element("", False, None, False, -1, False)]
+    out: list[tuple[list, bool, int]] = []
     pieces: list[tuple[str, Mark | None]] = []
     marked: list[Mark] = []
     open_tags = {"": 1}
@@ -177,7 +258,7 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
     def flush() -> None:
         if pieces:
             if not stack[-1].gone and any(raw.strip() for raw, _ in pieces):
-                out.append((pieces[:], stack[-1].article, []))
+                out.append((pieces[:], stack[-1].article, stack[-1].link))
             pieces.clear()
 
     def close() -> None:
@@ -190,16 +271,15 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
         stack[-1].hash.update(digest)
         if element.tag in COUNTED:
             number = int.from_bytes(digest, "big", signed=True)
-            hashes.add(number)
-            if element.tag in BOXES or not element.article:
-                for _, _, own in out[element.first :]:
-                    own.append(number)
+            read.subtrees.add(number)
+            if element.own:
+                read.numbers[element.link] = number
 
-    def text(raw: str) -> None:
+    def text(raw: str, plain: bool = False) -> None:
         if raw:
             stack[-1].hash.update(raw.encode("utf-8", "replace"))
             if not stack[-1].gone:
-                pieces.append((entities.unescape(raw), stack[-1].mark))
+                pieces.append((raw if plain else entities.unescape(raw), stack[-1].mark))
 
     def close_siblings(tags, scopes) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -220,10 +300,11 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
         text(page[at : m.start()])
         at = m.end()
         if m[1] is not None:
-            text(m[1].replace("&", "&amp;"))
+            text(m[1], True)
         if m[3] is None:
             continue
         tag = m[3].lower()
+        found, slash, at = read_attributes(page, at)
         if m[2]:
             if tag == "p" and not open_tags.get("p") or tag == "br":
                 flush()
@@ -250,25 +331,34 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
                     break
         if tag not in INLINE:
             flush()
-        main = tag == "main" or 'role="main"' in m[4]
-        inside = stack[-1].article or main or tag == "article"
-        gone, words = _furniture(tag, m[4], stack[-1].article)
-        gone, mark = gone or stack[-1].gone, stack[-1].mark
+        outer = stack[-1]
+        main = tag == "main" or _role(found) == "main"
+        inside = outer.article or main or tag == "article"
+        gone, words, weak = _furniture(tag, found, outer.article)
+        gone, mark = gone or outer.gone, outer.mark
         if mark and not gone:
             mark.main |= main
             mark.articles += tag == "article"
         if words and not gone:
-            mark = Mark(words, mark)
+            mark = Mark(words, weak, mark)
             marked.append(mark)
-        element = Element(tag, gone, mark, inside, len(out))
-        stack.append(element)
+        own = tag in COUNTED and (tag in BOXES or not inside)
+        link = outer.link
+        if own:
+            read.above.append(link)
+            read.numbers.append(0)
+            link = len(read.above) - 1
+        stack.append(Element(tag, gone, mark, inside, link, own))
         open_tags[tag] = open_tags.get(tag, 0) + 1
-        if m[4].rstrip().endswith("/") and tag in ("svg", "path"):
+        if slash and tag in ("svg", "path"):
             close()
-        elif tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+        elif tag in RAW or tag in SHOWN_RAW:
+            end = None if tag == "plaintext" else re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             stop = end.start() if end else size
-            element.hash.update(page[at:stop].encode("utf-8", "replace"))
+            if tag in RAW:
+                stack[-1].hash.update(page[at:stop].encode("utf-8", "replace"))
+            else:
+                text(page[at:stop], True)
             at = end.end() if end else size
             close()
     while len(stack) > 1:
@@ -276,15 +366,26 @@ def segments(page: str) -> tuple[list[tuple[str, bool, list[int]]], set[int]]:
     flush()
     if marked:
         _judge(marked, out)
-    kept = []
-    for parts, article, own in out:
+    for parts, article, link in out:
         joined = " ".join("".join(raw for raw, mark in parts if not (mark and mark.gone)).split())
         if joined:
-            kept.append((joined, article, own))
-    return kept, hashes
+            read.texts.append((joined, article, link))
+    return read
+
 
+def left_texts(texts: list[str], inside: list[int], above: list[int], numbers: list[int], templates: set[int]) -> list[str]:
+    """The texts that no template holds.  An element stands behind those around
+    it, so one pass tells which links are in a template."""
+    gone: list[bool] = []
+    for around, number in zip(above, numbers):
+        gone.append(number in templates or (around >= 0 and gone[around]))
+    return [t for t, link in zip(texts, inside) if link < 0 or not gone[link]]
 
-PARSED = "row long, page_id long, url string, host string, address string, content long, markup long, texts array<string>, inside array<array<long>>, subtrees array<long>"
+
+PARSED = (
+    "row long, page_id long, url string, host string, address string, content long, markup long, texts array<string>, inside array<int>, "
+    "above array<int>, numbers array<long>, subtrees array<long>"
+)
 
 
 def host_of(url: str | None) -> str:
@@ -307,21 +408,40 @@ def _number(parts: Iterable[str]) -> int:
     return int.from_bytes(hashlib.blake2b("\n".join(parts).encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
+def _holders(inside: list[int], read: Page) -> tuple[list[int], list[int], list[int]]:
+    """Links, numbers and the texts' links, of links around kept texts only."""
+    used = sorted(set(inside) - {-1})
+    wanted = set(used)
+    for link in reversed(range(len(read.above))):
+        if link in wanted and read.above[link] >= 0:
+            wanted.add(read.above[link])
+    place = {link: k for k, link in enumerate(sorted(wanted))} | {-1: -1}
+    kept = sorted(wanted)
+    return [place[i] for i in inside], [place[read.above[i]] for i in kept], [read.numbers[i] for i in kept]
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
+    kinds = [*(pa.int64(),) * 2, *(pa.string(),) * 3, *(pa.int64(),) * 2, pa.list_(pa.string()), ints, ints, longs, longs]
     for batch in batches:
         rows = []
         for row, page_id, url, page in zip(*(batch.column(c).to_pylist() for c in ("row", "page_id", "url", "html"))):
-            found, hashes = segments(page)
-            if any(article for _, article, _ in found):
-                found = [s for s in found if s[1]]
-            texts, subtrees = [t for t, _, _ in found], sorted(hashes)
+            read = segments(page)
+            found = [s for s in read.texts if s[1]] or read.texts
+            texts, subtrees = [t for t, _, _ in found], sorted(read.subtrees)
             content, markup = _number(texts), _number(map(str, subtrees))
-            rows.append((row, page_id, url, host_of(url), address_of(url), content, markup, texts, [own for _, _, own in found], subtrees))
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64())]
+            rows.append((row, page_id, url, host_of(url), address_of(url), content, markup, texts, *_holders([i for _, _, i in found], read), subtrees))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[c.split()[0] for c in PARSED.split(", ")])
 
 
+def _without_templates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("texts", "inside", "above", "numbers", "gone"))
+        kept = [left_texts(texts, inside, above, numbers, set(gone)) if gone else texts for texts, inside, above, numbers, gone in zip(*columns)]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(kept, pa.list_(pa.string()))], names=["page_id", "url", "texts"])
+
+
 def parsed_pages(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row for each page: its text segments and subtree hashes, staged."""
     ship_package(pages.sparkSession)
@@ -365,16 +485,14 @@ def main_text(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", h
     parsed = parsed_pages(pages, page_id=page_id, url=url, html=html)
     templates = stage(site_templates(parsed), "templates")
     # Only the pairs of page and subtree meet the templates; texts stay.
-    pairs = parsed.select("row", "host", F.explode(F.array_distinct(F.flatten("inside"))).alias("subtree"))
+    pairs = parsed.select("row", "host", F.explode(F.array_distinct("numbers")).alias("subtree"))
     hits = stage(join_facts(pairs, templates.select("host", "subtree"), ["host", "subtree"]).select("row", "subtree"), "hits")
-    columns = ["page_id", "url", "texts"]
     # Pages that no template touches need no join; the others are few rows.
     touched = stage(hits.groupBy("row").agg(F.collect_set("subtree").alias("gone")), "touched")
     if touched.isEmpty():
-        kept = parsed.select(*columns)
+        kept = parsed.select("page_id", "url", "texts")
     else:
-        marked = parsed.join(touched, "row", "left")
-        left = F.filter("texts", lambda t, i: ~F.coalesce(F.arrays_overlap(F.get("inside", i), "gone"), F.lit(False)))
-        kept = marked.select("page_id", "url", left.alias("texts"))
+        marked = parsed.select("row", "page_id", "url", "texts", "inside", "above", "numbers").join(touched, "row", "left").drop("row")
+        kept = marked.mapInArrow(_without_templates, "page_id long, url string, texts array<string>")
     text = F.array_join("texts", " ")
     return kept.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
