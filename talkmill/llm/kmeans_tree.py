@@ -8,9 +8,10 @@ by a quarter each time, until the recall of calibration queries against brute
 force over all vectors reaches ``TARGET``.
 
 Leaves lie in bins of at most ``BLOCK`` vectors: small neighbours share one, a
-large leaf has several.  A query goes once to each bin where it visits leaves,
-and bins meet queries in blocks, so neither a large leaf nor a popular one is
-gathered whole.  Of equal vectors only the ``k + 1`` smallest ids can be among
+large leaf has several.  A query goes once to each bin where it visits leaves.
+A task holds one bin and streams its queries past it, so every vector moves
+once, however many queries there are; only a bin with more than ``STREAM``
+visitors is given to several tasks.  Of equal vectors only the ``k + 1`` smallest ids can be among
 anyone's k nearest, so copies are set aside first.
 """
 
@@ -33,7 +34,8 @@ BRANCHES = 8
 LEAF = 64  # sample vectors of a leaf, at most
 TARGET = 0.97  # recall on calibration queries
 CALIBRATION = 200  # calibration queries, about
-BLOCK = 16_384  # vectors of a bin, or queries that meet it, at most
+BLOCK = 16_384  # vectors of a bin, at most
+STREAM = 1 << 20  # queries that one task streams past a bin, about
 LEAST_BLOCK = 512  # vectors of a bin, if there are fewer vectors than partitions ask for
 QUERIES = 512  # queries whose visits are listed at once
 CELLS = 1 << 22  # scores in memory at once
@@ -147,9 +149,9 @@ def _visits(shared, first: np.ndarray, bins: np.ndarray, most: int):
                 starts = np.flatnonzero(np.r_[True, (np.diff(row) != 0) | (np.diff(bin_) != 0)][: len(row)])
                 offsets, which = pa.array(np.append(starts, len(row)).astype(np.int32)), pa.array(row[starts])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("id").take(which), pa.array(bin_[starts]), batch.column("q").take(which), batch.column("v").take(which),
+                    [batch.column("id").take(which), pa.array(bin_[starts]), batch.column("v").take(which),
                      pa.ListArray.from_arrays(offsets, pa.array(leaf.astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(step.astype(np.int32)))],
-                    names=["query_id", "bin", "q", "v", "leaves", "steps"],
+                    names=["id", "bin", "v", "leaves", "steps"],
                 )
 
     return run
@@ -188,36 +190,66 @@ def _best(asked, vectors, leaves, steps, ids, points, at, starts, k):
     return asked[row], ids[point], score, step[row, leaf]
 
 
+def _runs(batch: pa.RecordBatch) -> list[pa.RecordBatch]:
+    """Slices of rows of one bin, salt and kind."""
+    keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("bin", "salt", "kind")])
+    edges = np.flatnonzero((np.diff(keys, axis=1) != 0).any(axis=0)) + 1
+    bounds = [0, *edges.tolist(), batch.num_rows]
+    return [batch.slice(a, b - a) for a, b in zip(bounds, bounds[1:]) if b > a]
+
+
 def _nearest(k: int):
-    def run(key, vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        out = []
-        if len(vectors) and len(queries):
-            ids, leaf = vectors.column("id").to_numpy(), vectors.column("leaf").to_numpy()
-            order = np.lexsort((ids, leaf))
-            ids, leaf, points = ids[order], leaf[order], _matrix(vectors.column("v"))[order]
-            at, starts = np.unique(leaf, return_index=True)
-            starts = np.append(starts, len(ids))
-            queries = queries.combine_chunks()
-            some = max(1, CELLS // len(ids))
-            for low in range(0, len(queries), some):
-                part = queries.slice(low, some)
-                lists = (part.column(c).combine_chunks() for c in ("leaves", "steps"))
-                asked = part.column("query_id").to_numpy()
-                out.append(_best(asked, _matrix(part.column("v")), *lists, ids, points, at, starts, k))
-        names = [c.split()[0] for c in FOUND.split(", ")]
-        kinds = (np.int64, np.int64, np.float64, np.int64)
-        columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, t) for t in kinds]
-        return pa.table({n: pa.array(c.astype(t)) for n, c, t in zip(names, columns, kinds)})
+    """Rows sorted by bin, a bin's vectors before its queries."""
+
+    def bin_of(held: list[pa.RecordBatch]):
+        ids = np.concatenate([h.column("id").to_numpy() for h in held])
+        leaf = np.concatenate([h.column("leaf").to_numpy(zero_copy_only=False) for h in held]).astype(np.int64)
+        points = np.concatenate([_matrix(h.column("v")) for h in held])
+        order = np.lexsort((ids, leaf))
+        ids, leaf, points = ids[order], leaf[order], points[order]
+        at, starts = np.unique(leaf, return_index=True)
+        return ids, points, at, np.append(starts, len(ids))
+
+    def run(batches):
+        key, held, ready = None, [], None
+        for batch in batches:
+            for part in _runs(batch):
+                own = (part.column("bin")[0].as_py(), part.column("salt")[0].as_py())
+                if own != key:
+                    key, held, ready = own, [], None
+                if part.column("kind")[0].as_py() == 0:
+                    held.append(part)
+                    continue
+                if not held:
+                    continue
+                ready = ready or bin_of(held)
+                some = max(1, CELLS // len(ready[0]))
+                for low in range(0, part.num_rows, some):
+                    asked = part.slice(low, some)
+                    columns = _best(asked.column("id").to_numpy(), _matrix(asked.column("v")), asked.column("leaves"), asked.column("steps"), *ready, k)
+                    kinds = (np.int64, np.int64, np.float64, np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, kinds)], names=[c.split()[0] for c in FOUND.split(", ")])
 
     return run
 
 
-def _search(points: DataFrame, visits: DataFrame, parts: int, k: int) -> DataFrame:
-    """The k best of each visited bin for each query; ``points`` meet each of
-    the ``parts`` blocks of queries."""
-    points = points.withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    both = points.groupBy("bin", "q").cogroup(visits.groupBy("bin", "q"))
-    return both.applyInArrow(_nearest(k), FOUND)
+def _search(points: DataFrame, visits: DataFrame, k: int) -> DataFrame:
+    """The k best of each visited bin for each query."""
+    visits = stage(visits, "visits")
+    hot = visits.groupBy("bin").agg(F.count("*").alias("n")).where(F.col("n") > STREAM)
+    hot = stage(hot.select("bin", F.ceil(F.col("n") / STREAM).cast("int").alias("salts")), "hot")
+    salts = F.coalesce("salts", F.lit(1))
+    nothing = F.lit(None).cast("array<int>")
+    own = points.join(hot, "bin", "left").select(
+        "bin", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), F.lit(0).alias("kind"), "id", "leaf", "v",
+        nothing.alias("leaves"), nothing.alias("steps"),
+    )
+    asked = visits.join(hot, "bin", "left").select(
+        "bin", F.pmod(F.xxhash64("id", F.lit(3)), salts).cast("int").alias("salt"), F.lit(1).alias("kind"), "id", F.lit(None).cast("long").alias("leaf"), "v",
+        "leaves", "steps",
+    )
+    rows = own.unionByName(asked).repartition("bin", "salt").sortWithinPartitions("bin", "salt", "kind")
+    return rows.mapInArrow(_nearest(k), FOUND)
 
 
 def _top(found: DataFrame, k: int) -> DataFrame:
@@ -244,8 +276,10 @@ def nearest(
     Nearness is the inner product in double precision; ties go to the smaller
     id.  Vectors that are null or zero, or hold null, NaN or infinity, take no
     part, nor do rows without id or (if lengths differ) with another length
-    than most.  Rows of one id with one vector are one row.  A query with
-    fewer than k candidates gets them all.  An empty table gives an empty one.
+    than most.  An id counts once: rows that repeat it with the same vector are
+    one row, and of different vectors the one that sorts first stays.  A query
+    with fewer than k candidates gets them all.  An empty table gives an empty
+    one.
     """
     spark = vectors.sparkSession
     ship_package(spark)
@@ -255,12 +289,14 @@ def nearest(
     if length is None:
         return empty
     rows = rows.where(F.col("d") == length["d"]).drop("d")
+    repeated = stage(rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "repeated")
+    if not repeated.isEmpty():
+        one = rows.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("v").alias("v"))
+        rows = rows.join(repeated, "id", "left_anti").unionByName(one)
 
     # Of equal vectors the k + 1 smallest ids: first among a part of them.
-    # Equal means equal in 128 bits of hash; repeated rows fall out here too.
+    # Equal means equal in 128 bits of hash.
     copies = rows.select("id", "v", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(7), "v").alias("h2"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt"))
-    part = Window.partitionBy("h1", "h2", "salt").orderBy("id")
-    copies = copies.withColumn("same", F.lag("id").over(part).eqNullSafe(F.col("id"))).where(~F.col("same")).drop("same")
     for keys in (["h1", "h2", "salt"], ["h1", "h2"]):
         copies = copies.withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy("id"))).where(F.col("n") <= k + 1).drop("n")
     index = stage(copies.select("id", "v"), "candidates")
@@ -281,32 +317,30 @@ def nearest(
     points = placed.join(F.broadcast(where), "leaf")
     points = points.select("id", "leaf", "v", (F.col("first") + F.pmod(F.xxhash64("id", F.lit(3)), F.col("bins"))).alias("bin"))
 
-    queries = rows.where(F.col("id") % every == 0).distinct().withColumn("_hash", F.xxhash64("id", F.lit(23)))
+    queries = rows.where(F.col("id") % every == 0).withColumn("_hash", F.xxhash64("id", F.lit(23)))
     queries = stage(queries, "queries")
     asked = queries.count()
     if not asked:
         return empty
 
-    def search(of: DataFrame, count: int, most: int) -> DataFrame:
-        parts = -(-count // BLOCK)
-        of = of.select("id", "v", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(parts)).cast("int").alias("q"))
-        visits = of.mapInArrow(_visits(shared, first, bins, most), f"query_id long, bin long, q int, v {kind}, leaves array<int>, steps array<int>")
-        return _top(_search(points, visits, parts, k), k)
+    def search(of: DataFrame, most: int) -> DataFrame:
+        visits = of.select("id", "v").mapInArrow(_visits(shared, first, bins, most), f"id long, bin long, v {kind}, leaves array<int>, steps array<int>")
+        return _top(_search(points, visits, k), k)
 
     some = queries.where(F.pmod("_hash", F.lit(max(1, asked // CALIBRATION))) == 0)
     some = stage(some if not some.isEmpty() else queries.limit(CALIBRATION), "calibration")
     # One search over all leaves gives the exact result and, by the step at
     # which each neighbour's leaf comes up, the recall at any number of visits.
-    exact = search(some, 2 * CALIBRATION, tree.leaves)
+    exact = search(some, tree.leaves)
     steps = {r["step"]: r["count"] for r in exact.groupBy("step").count().collect()}  # a row per leaf at most
     most = 1
     while most < tree.leaves and sum(n for step, n in steps.items() if step < most) < target * sum(steps.values()):
         most = min(math.ceil(1.25 * most), tree.leaves)
-    found = stage(search(queries, asked, most), "found")
+    found = stage(search(queries, most), "found")
     # Who met fewer than k candidates looks everywhere.
     enough = found.groupBy("query_id").count().where(F.col("count") >= min(k, total - 1)).select(F.col("query_id").alias("id"))
     short = stage(queries.join(enough, "id", "left_anti"), "short")
-    if most < tree.leaves and (missing := short.count()):
-        more = search(short, missing, tree.leaves)
+    if most < tree.leaves and not short.isEmpty():
+        more = search(short, tree.leaves)
         found = found.join(short.select(F.col("id").alias("query_id")), "query_id", "left_anti").unionByName(more)
     return found.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
