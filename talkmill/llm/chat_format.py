@@ -3,7 +3,9 @@ the fingerprint of their schema, and turns become template text.
 
 A layout's fingerprint is the hash of its nested field paths.  A registry maps
 fingerprints to declarative mappings (where the id, the order, the role and
-the text of a turn are); nothing is guessed from values.  The canonical form
+the text of a turn are); nothing is guessed from values.  A table's layout is
+its schema's; records in JSON may each have a layout of their own, and are
+fingerprinted one by one.  The canonical form
 has one row for each turn, so no conversation is gathered.  Formatting and
 reading back work on single turns as well.  Only a digest over a whole
 conversation needs its turns in order: they stream through a task, and memory
@@ -27,12 +29,14 @@ TURN = "conv_id long, turn long, role string, text string"
 
 
 def field_paths(schema: T.DataType, above: str = "") -> list[str]:
-    """Paths of all leaves: ``messages[].role:string``."""
+    """Paths of all leaves: ``messages[].role:string``.  Whole numbers of any
+    width are one type."""
     if isinstance(schema, T.StructType):
         return [p for f in schema.fields for p in field_paths(f.dataType, f"{above}.{f.name}" if above else f.name)]
     if isinstance(schema, T.ArrayType):
         return field_paths(schema.elementType, f"{above}[]")
-    return [f"{above}:{schema.simpleString()}"]
+    whole = isinstance(schema, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
+    return [f"{above}:{'bigint' if whole else schema.simpleString()}"]
 
 
 def fingerprint(paths: list[str]) -> str:
@@ -124,6 +128,96 @@ def canonical_turns(records: DataFrame, registry: dict[str, Mapping] = REGISTRY)
     return rows.select("conv_id", "turn", F.coalesce(role, F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def variant_paths(schema: str) -> list[str]:
+    """Field paths of what ``schema_of_variant`` says of a record; a null, or
+    the elements of an empty array, may be of any type."""
+    at, out = 0, []
+
+    def read(above: str) -> None:
+        nonlocal at
+        head = re.compile(r"OBJECT<|ARRAY<|[A-Z_]+(?:\([^)]*\))?").match(schema, at)
+        at = head.end()
+        if head[0] == "OBJECT<":
+            while schema[at] != ">":
+                name = re.compile(r"`((?:[^`]|``)*)`: |((?:(?!: ).)*): ").match(schema, at)
+                at = name.end()
+                own = name[1].replace("``", "`") if name[1] is not None else name[2]
+                read(f"{above}.{own}" if above else own)
+                if schema.startswith(", ", at):
+                    at += 2
+            at += 1
+        elif head[0] == "ARRAY<":
+            read(f"{above}[]")
+            at += 1
+        elif head[0] != "OBJECT":
+            out.append(f"{above}:{head[0].lower()}")
+
+    read("")
+    return out
+
+
+def _names(paths) -> frozenset[str]:
+    return frozenset(p.rsplit(":", 1)[0] for p in paths)
+
+
+def record_mapping(paths: list[str], registry: dict[str, Mapping] = REGISTRY) -> Mapping | None:
+    """The mapping whose field names a record has, by the hash of the names:
+    all of them, or else as many as any other mapping that it has in full.  A
+    null array counts as having the fields of its elements."""
+    names = _names(paths)
+    hollow = {p.rsplit(":", 1)[0].removesuffix("[]") for p in paths if p.endswith(":void")}
+    exact = {fingerprint(sorted(_names(m.paths))): m for m in registry.values()}.get(fingerprint(sorted(names)))
+    if exact is not None:
+        return exact
+
+    def has(name: str) -> bool:
+        return name in names or name.split("[]")[0] in hollow
+
+    fitting = [m for m in registry.values() if all(map(has, _names(m.paths)))]
+    return max(fitting, key=lambda m: len(m.paths)) if fitting else None
+
+
+def _schema_of(m: Mapping) -> str:
+    """A mapping's fields as DDL."""
+    if m.turns:
+        return f"`{m.conv_id}` bigint, `{m.turns}` array<struct<`{m.role}`: string, `{m.text}`: string>>"
+    return ", ".join(f"`{p.rsplit(':', 1)[0]}` {p.rsplit(':', 1)[1]}" for p in m.paths)
+
+
+#: Layouts that a table of records may have, wholly different ones.
+LAYOUTS = 10_000
+
+
+def canonical_records(records: DataFrame, column: str, registry: dict[str, Mapping] = REGISTRY) -> DataFrame:
+    """``conv_id, turn, role, text`` of records in JSON, each of which may have
+    another layout.
+
+    A record's layout is the fingerprint of its own field paths.  The distinct
+    layouts reach the driver, ``LAYOUTS`` at most; each one's mapping then
+    reads the records that have it, all in one pass.  Records that are no
+    JSON object, or whose layout no mapping fits, are an error that names the
+    layout.  Else as ``canonical_turns``.
+    """
+    parsed = records.select(F.col(f"`{column}`").cast("string").alias("r")).where("r is not null")
+    shaped = parsed.withColumn("layout", F.coalesce(F.schema_of_variant(F.try_parse_json("r")), F.lit("")))
+    layouts = [r["layout"] for r in shaped.select("layout").distinct().limit(LAYOUTS + 1).collect()]
+    if len(layouts) > LAYOUTS:
+        raise ValueError(f"more than {LAYOUTS} layouts")
+    by_mapping: dict[str, list[str]] = {}
+    for layout in layouts:
+        m = record_mapping(variant_paths(layout), registry) if layout.startswith("OBJECT<") else None
+        if m is None:
+            raise ValueError(f"no mapping for records of the layout {layout or 'that is no JSON'}")
+        by_mapping.setdefault(m.name, []).append(layout)
+    named = {m.name: m for m in registry.values()}
+    whole = records.sparkSession.createDataFrame([], TURN)
+    for name, own in by_mapping.items():
+        m = named[name]
+        rows = shaped.where(F.col("layout").isin(own)).select(F.from_json("r", _schema_of(m)).alias("r")).select("r.*")
+        whole = whole.unionByName(canonical_turns(rows, {fingerprint(field_paths(rows.schema)): m}))
+    return whole
+
+
 @dataclass(frozen=True)
 class Template:
     """``open role after_role text close``; ``control`` strings are escaped

@@ -186,6 +186,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     own = sets.select(F.col("node").alias("p"), F.col("grams").alias("own"))
     other = sets.select(F.col("node").alias("m"), F.col("grams").alias("other"))
     count = pairs.count()
+    # Only sets of nodes in pairs are moved.
+    own = own.join(fitting_broadcast(pairs.select("p").distinct(), count), "p", "left_semi")
     both = other.join(fitting_broadcast(pairs, count), "m").join(own, "p").select("p", "m", "own", "other")
     return packed(both, count, PAIRS).mapInArrow(_verify(num, den), "a long, b long")
 

@@ -16,10 +16,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import SPACE, fitting_broadcast, ship_package, stage, text_of
+from talkmill.llm.common import SPACE, fitting_broadcast, ship_package, stage, text_of, unused
 from talkmill.session import join_facts
 
 SLOTS = 4  # fingerprints in a cell
@@ -155,6 +155,12 @@ def _combine(buckets: int):
     return run
 
 
+def _bucket_of(buckets: int) -> Column:
+    """The bucket of a digest, as in ``_combine``."""
+    eight = F.conv(F.hex(F.substring("digest", 9, 8)), 16, 10).cast("decimal(20,0)")
+    return (eight % buckets).cast("int")
+
+
 def _insert(stored: pa.Table, new: pa.Table) -> pa.Table:
     bucket = Bucket.read(stored)
     for r in new.to_pylist():
@@ -173,8 +179,8 @@ def _delete(stored: pa.Table, gone: pa.Table) -> pa.Table:
 class CuckooIndex:
     """Live digests: a table of filters and stored keys in the shared folder.
 
-    ``buckets`` is fixed when the index is created; choose it for the number
-    of texts the index shall hold (one for each 32,768).
+    An index that outgrows its buckets is dealt over more of them, again from
+    the stored keys, so a bucket stays a task's worth of work.
     """
 
     table: DataFrame
@@ -193,13 +199,20 @@ class CuckooIndex:
         """The index after the rows of ``digests`` (see ``digests_of``)."""
         new = digests.mapInArrow(_combine(self.buckets), STORED)
         both = self.table.groupBy("bucket").cogroup(new.groupBy("bucket")).applyInArrow(_insert, STORED)
-        return CuckooIndex(stage(both, "cuckoo"), self.buckets)
+        grown = CuckooIndex(stage(both, "cuckoo"), self.buckets)
+        rows = grown.table.count()  # keys, and a filter for each bucket
+        return grown.over(math.ceil(rows / KEYS_PER_BUCKET)) if rows > (2 * KEYS_PER_BUCKET + 1) * self.buckets else grown
+
+    def over(self, buckets: int) -> CuckooIndex:
+        """The same digests in another number of buckets."""
+        keys = self.table.where("digest is not null").withColumn("bucket", _bucket_of(buckets))
+        both = self.table.limit(0).groupBy("bucket").cogroup(keys.groupBy("bucket")).applyInArrow(_insert, STORED)
+        return CuckooIndex(stage(both, "cuckoo"), buckets)
 
     def delete(self, digests: DataFrame) -> CuckooIndex:
         """The index without the digests in column ``digest``; unknown ones
         and nulls change nothing."""
-        eight = F.conv(F.hex(F.substring("digest", 9, 8)), 16, 10).cast("decimal(20,0)")
-        gone = digests.where("digest is not null").select((eight % self.buckets).cast("int").alias("bucket"), "digest").distinct()
+        gone = digests.where("digest is not null").select(_bucket_of(self.buckets).alias("bucket"), "digest").distinct()
         both = self.table.groupBy("bucket").cogroup(gone.groupBy("bucket")).applyInArrow(_delete, STORED)
         return CuckooIndex(stage(both, "cuckoo"), self.buckets)
 
@@ -237,24 +250,26 @@ def exact_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text")
 
 
 def without_copies(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns, whatever these
+    are named.  Of repeated rows one stays."""
     found = exact_copies(docs, doc_id=doc_id, text=text)
     # Ids all of whose rows go, and ids with rows of both kinds (repeated ids).
     fate = stage(
         found.groupBy("doc_id").agg(F.max("kept").alias("some"), F.min("kept").alias("all")).where("not all"), "fate"
     )
-    key = docs[f"`{doc_id}`"]
-    touched = fitting_broadcast(fate.select(F.col("doc_id").alias("_fate")), fate.count())
-    columns = [docs[f"`{c}`"] for c in docs.columns]
-    stay = docs.join(touched, key.eqNullSafe(F.col("_fate")), "left_anti").select(*columns)
-    mixed = fate.where("some").count()
-    if not mixed:
+    own_fate, own_digest, sha, chars, place = unused(docs.columns, "fate", "digest", "sha", "chars", "place")
+    key = F.col(f"`{doc_id}`").cast("long")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    touched = fitting_broadcast(fate.select(F.col("doc_id").alias(own_fate)), fate.count())
+    stay = docs.join(touched, key.eqNullSafe(F.col(own_fate)), "left_anti").select(*columns)
+    repeated = fate.where("some").select(F.col("doc_id").alias("r"))
+    if repeated.isEmpty():
         return stay
+    kept = found.where("kept").join(repeated, F.col("doc_id").eqNullSafe(F.col("r")), "left_semi")
+    kept = kept.select(F.col("doc_id").alias(own_fate), F.col("text_sha256").alias(own_digest))
     digest = F.sha2(F.regexp_replace(text_of(text), SPACE + "+", "").cast("binary"), 256)
-    kept = found.where("kept").join(fate.where("some").select("doc_id"), found["doc_id"].eqNullSafe(fate["doc_id"]), "left_semi")
-    kept = kept.select(F.col("doc_id").alias("_fate"), F.col("text_sha256").alias("_digest"))
-    again = docs.withColumn("_sha", digest).join(kept, F.col("_sha").eqNullSafe(F.col("_digest")) & key.eqNullSafe(F.col("_fate")))
     # Length decides between rows of one id and one normalised text.
-    again = again.withColumn("_chars", F.length(text_of(text)))
-    first = F.row_number().over(Window.partitionBy("_sha").orderBy(F.desc("_chars")))
-    return stay.unionByName(again.withColumn("_first", first).where("_first = 1").select(*docs.columns))
+    again = docs.withColumns({sha: digest, chars: F.length(text_of(text))})
+    again = again.join(kept, F.col(sha).eqNullSafe(F.col(own_digest)) & key.eqNullSafe(F.col(own_fate)))
+    first = F.row_number().over(Window.partitionBy(sha).orderBy(F.desc(chars)))
+    return stay.unionByName(again.withColumn(place, first).where(F.col(place) == 1).select(*columns))

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import WORD, stage, text_of
+from talkmill.llm.common import WORD, stage, text_of, unused
 from talkmill.operators.ordered import global_row_number
 from talkmill.session import join_facts
 
@@ -80,7 +80,7 @@ def splitting_tree(root: DataFrame, levels: int, seed: int) -> DataFrame:
         lefts = (
             f"aggregate(sequence(0, size(counts) - 1), "
             f"named_struct('n', {total}, 'l', {total} div 2, 'out', cast(array() as array<bigint>)), "
-            f"(acc, s) -> named_struct('n', acc.n - counts[s], 'l', acc.l - {_draw(seed)}, 'out', concat(acc.out, array({_draw(seed)}))), "
+            f"(acc, s) -> transform(array({_draw(seed)}), d -> named_struct('n', acc.n - counts[s], 'l', acc.l - d, 'out', concat(acc.out, array(d))))[0], "
             f"acc -> acc.out)"
         )
         halves = tree.select("node", "counts", F.expr(f"explode(array({lefts})) AS lefts"))
@@ -187,13 +187,14 @@ def mixed(docs: DataFrame, **named) -> DataFrame:
     doc_id, text, source = (named.get(k, k) for k in ("doc_id", "text", "source"))
     _, drawn = mixing_plan(docs, **named)
     drawn = stage(drawn, "drawn")
-    taken = drawn.select(F.col("doc_id").alias("_doc"), F.col("again").alias("_again"), F.col("shard").alias("_shard"), F.col("place").alias("_place"))
+    own_id, again, shard, place, row = unused(docs.columns, "own_id", "again", "shard", "place", "row")
+    taken = drawn.select(F.col("doc_id").alias(own_id), F.col("again").alias(again), F.col("shard").alias(shard), F.col("place").alias(place))
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col("_doc"))
+    same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col(own_id))
     if (drawn.agg(F.max("again")).first()[0] or 1) > 1:
         order = [F.col(f"`{source}`").cast("string"), F.regexp_count(text_of(text), F.lit(WORD))]
-        docs = docs.withColumn("_row", F.row_number().over(Window.partitionBy(F.col(f"`{doc_id}`").cast("long")).orderBy(*order)))
-        same = same & (F.col("_row") == F.col("_again"))
+        docs = docs.withColumn(row, F.row_number().over(Window.partitionBy(F.col(f"`{doc_id}`").cast("long")).orderBy(*order)))
+        same = same & (F.col(row) == F.col(again))
     shards = drawn.agg(F.max("shard")).first()[0] or 0
     found = docs.join(taken, same)
-    return found.repartition(int(shards) + 1, "_shard").sortWithinPartitions("_shard", "_place").select(*columns)
+    return found.repartition(int(shards) + 1, shard).sortWithinPartitions(shard, place).select(*columns)
