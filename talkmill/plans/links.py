@@ -122,7 +122,7 @@ def upsert_buckets(t):
     links = store(t).withColumns({"message_generated": nothing, "status": nothing})
     spark = links.sparkSession
     path = shared_path(spark, "links")
-    keyed.create(links, "link", path)
+    keyed.create(links, "link", path, buckets=16)
     contents = new_contents(t)
     keyed.upsert(spark, path, contents, lambda old: dedup.upsert_content(old, contents).drop("action"))
     outcomes = t("labels").select(F.col("doc_id").alias("link"), (F.col("quality") == 1).alias("succeeded"))

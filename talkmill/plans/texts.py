@@ -107,10 +107,10 @@ def translate_resume(t):
         said = F.concat(F.lit("```text\n<msg>vi "), F.col("text"), F.lit("</msg>```"))
         return rows.withColumn("translated", said)
 
-    translate.translate(turns.filter("conv_id % 3 = 0"), path, say)
+    translate.translate(turns.filter("conv_id % 3 = 0"), path, say, parts=2)
     say(turns).select("conv_id", "turn", "translated").write.parquet(f"{path}/rows/run=broken")
-    translate.translate(turns, path, say)
-    translate.translate(turns, path, say)
+    translate.translate(turns, path, say, parts=2)
+    translate.translate(turns, path, say, parts=2)
     return translate.translated(spark, path)
 
 
