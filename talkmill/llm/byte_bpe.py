@@ -32,10 +32,10 @@ from pyspark.sql import functions as F
 from talkmill.llm.common import arrow_bytes, by_bytes, give_back, ship_package, stage, text_of
 
 KNOWN = 1 << 17  # stretches of the table that all tasks get: 10 MB at most
-RARE = 16 << 20  # bytes of other words and their ids that a worker remembers
+RARE = 48 << 20  # bytes of other words and their ids that a worker remembers
 ENTRY = 200  # bytes that a remembered word costs beside its own and its ids'
 LONGEST = 48  # bytes of a stretch in that table
-BATCH = 1_000_000  # bytes of texts encoded at once
+BATCH = 3_000_000  # bytes of texts encoded at once
 COUNTED = 4_000_000  # bytes of texts whose stretches are counted at once
 RANK_CELLS = 1 << 14
 LONG_BLANKS = {chr(c).encode() for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
@@ -283,10 +283,13 @@ def stretch_table(rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> Dat
     parts = max(8, rows.sparkSession.sparkContext.defaultParallelism)
     cut = F.regexp_extract_all("stretch", F.lit("(?U)" + pattern), F.lit(0))
     words = top.repartition(parts, "stretch").select("stretch", F.posexplode(cut).alias("at", "word"))
-    ids = words.select("word").distinct().repartition(parts, "word").select("word", folded_ids(F.col("word"), rank_map(ranks)).alias("ids"))
+    # Staged first: the plan that holds the map of ranks then has no shuffle,
+    # and is described, planned and sent once.
+    distinct = stage(words.select("word").distinct().repartition(parts, "word"), "words")
+    ids = distinct.select("word", folded_ids(F.col("word"), rank_map(ranks)).alias("ids"))
     # A stretch of the table has few words: at most LONGEST bytes.
     whole = F.sort_array(F.collect_list(F.struct("at", "ids")))
-    return words.join(stage(ids, "words"), "word").groupBy("stretch").agg(F.flatten(whole["ids"]).alias("ids"))
+    return words.join(stage(ids, "ids"), "word").groupBy("stretch").agg(F.flatten(whole["ids"]).alias("ids"))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
