@@ -32,13 +32,14 @@ from pyspark.sql import functions as F
 from talkmill.llm.common import arrow_bytes, by_bytes, give_back, ship_package, stage, text_of
 
 KNOWN = 1 << 17  # stretches of the table that all tasks get: 10 MB at most
-RARE = 48 << 20  # bytes of other words and their ids that a worker remembers
+RARE = 32 << 20  # bytes of other words and their ids that a task remembers
 ENTRY = 200  # bytes that a remembered word costs beside its own and its ids'
 LONGEST = 48  # bytes of a stretch in that table
 BATCH = 3_000_000  # bytes of texts encoded at once
-COUNTED = 4_000_000  # bytes of texts whose stretches are counted at once
+COUNTED = 3_000_000  # bytes of texts whose stretches are counted at once
 RANK_CELLS = 1 << 14
-LONG_BLANKS = {chr(c).encode() for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)}
+BLANKS = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])  # of one byte
+LONG_BLANKS = [int.from_bytes(chr(c).encode()) for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,17 +57,20 @@ def _cuts(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     n = len(data)
     white = np.zeros(n + 2, bool)
     inner = white[1:-1]
-    inner |= (data == 32) | ((data >= 9) & (data <= 13)) | ((data >= 28) & (data <= 31))
+    np.take(BLANKS, data, out=inner)
     if n > 2:
         # Longer blanks, by their UTF-8 bytes: U+0085, U+00A0; U+1680, U+2000
         # to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
         two = np.flatnonzero((data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0)))
         lead = np.flatnonzero((data[:-2] >= 0xE1) & (data[:-2] <= 0xE3))
-        three = [i for i in lead.tolist() if data[i : i + 3].tobytes() in LONG_BLANKS]
-        for at_, width in ((two, 2), (np.array(three, np.int64), 3)):
+        code = (data[lead].astype(np.int32) << 16) | (data[lead + 1].astype(np.int32) << 8) | data[lead + 2]
+        three = lead[np.isin(code, LONG_BLANKS)]
+        for at_, width in ((two, 2), (three, 3)):
             for k in range(width):
                 inner[at_ + k] = True
-    single = (data == 32) & ~white[:-2] & ~white[2:]
+    single = data == 32
+    single &= ~white[:-2]
+    single &= ~white[2:]
     single[at[1:][at[1:] > 0] - 1] = False
     single[at[:-1][at[:-1] < n]] = True
     return np.flatnonzero(single)
@@ -85,14 +89,6 @@ class Stretches:
         self.bounds[-1] = len(begins)
 
 
-def gather(flat: np.ndarray, starts: np.ndarray, which: np.ndarray) -> np.ndarray:
-    """The lists ``which`` of a flat array of lists, one after the other."""
-    sizes = np.diff(starts)[which]
-    ends = np.cumsum(sizes)
-    steps = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - sizes, sizes)
-    return flat[np.repeat(starts[which], sizes) + steps]
-
-
 def _batches(batches: Iterator[pa.RecordBatch], most: int):
     for batch in batches:
         data, at = arrow_bytes(batch.column("text"))
@@ -211,7 +207,8 @@ def _merged_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 class Remembered:
     """Ids of words met so far, packed, up to ``RARE`` bytes.  A full memory
-    takes no more words; they are merged each time."""
+    takes no more words; they are merged each time.  It ends with its task: a
+    worker lives on between stages, and would keep it from all that follow."""
 
     def __init__(self):
         self.ids: dict[bytes, bytes] = {}
@@ -228,31 +225,28 @@ class Remembered:
         return packed
 
 
-#: Of each worker, from task to task.
-_RARE: dict[tuple, Remembered] = {}
-
-
 def _encode(pattern: str, shared):
     def run(batches):
-        known, starts, flat, ranks = shared.value
+        known, ids, ranks = shared.value
         words_of = regex.compile(pattern).findall
-        rare = _RARE.setdefault((pattern, hash(frozenset(ranks.items()))), Remembered())
+        rare = Remembered()
         for batch, found in _batches(batches, BATCH):
-            place = pc.index_in(found.distinct, value_set=known).fill_null(-1).to_numpy().astype(np.int64)
+            place = pc.index_in(found.distinct, value_set=known).fill_null(-1).to_numpy().copy()
             missing = np.flatnonzero(place < 0)
             extra = [
                 b"".join([rare.find(word.encode(), ranks) for word in words_of(stretch)])
                 for stretch in found.distinct.take(pa.array(missing)).to_pylist()
             ]
-            place[missing] = len(starts) - 1 + np.arange(len(missing))
-            all_starts = np.concatenate([starts, starts[-1] + np.cumsum([len(x) // 4 for x in extra], dtype=np.int64)])
-            all_ids = np.concatenate([flat, np.frombuffer(b"".join(extra), np.int32)])
-            which = place[found.codes]
-            ids = gather(all_ids, all_starts, which)
-            sizes = np.concatenate([[0], np.cumsum(np.diff(all_starts)[which])])
-            lists = pa.ListArray.from_arrays(pa.array(sizes[found.bounds].astype(np.int32)), pa.array(ids))
+            # Ids of each distinct stretch, then of each stretch in its place.
+            ends = np.cumsum([0, *(len(x) // 4 for x in extra)], dtype=np.int32)
+            rest = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(extra), np.int32)))
+            place[missing] = len(ids) + np.arange(len(missing))
+            each = pa.concat_arrays([ids, rest]).take(pa.array(place[found.codes]))
+            lists = pa.ListArray.from_arrays(each.offsets.take(pa.array(found.bounds)), each.values)
             kept = [c for c in batch.schema.names if c != "text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), lists], names=[*kept, "ids"])
+            del batch, found, place, missing, extra, rest, each, lists
+        del rare
         give_back()
 
     return run
@@ -303,14 +297,13 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc_id: st
     ship_package(spark)
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_of(text).alias("text"))
     table = stretch_table(rows, ranks, pattern).toArrow().combine_chunks()
-    ids = table.column("ids").combine_chunks()
-    ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
-    starts, flat = ids.offsets.to_numpy().astype(np.int64), ids.values.to_numpy().astype(np.int32)
+    lists = table.column("ids").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    ids = pa.ListArray.from_arrays(lists.offsets, lists.values.cast(pa.int32())) if len(lists) else pa.array([], pa.list_(pa.int32()))
     words = table.column("stretch").combine_chunks()
     words = words.chunk(0) if isinstance(words, pa.ChunkedArray) else words
-    if not len(starts):
-        starts = np.zeros(1, np.int64)
-    shared = spark.sparkContext.broadcast((words.cast(pa.large_string()), starts, flat, ranks))
+    shared = spark.sparkContext.broadcast((words.cast(pa.large_string()), ids, ranks))
+    del table, lists, ids, words
     give_back()
     return rows.mapInArrow(_encode(pattern, shared), "doc_id long, ids array<int>")
 

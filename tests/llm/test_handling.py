@@ -2,11 +2,15 @@
 pages, mixed layouts; and parts of them against plain models."""
 
 import collections
+import gc
 import json
 import random
 import time
+from types import SimpleNamespace
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -290,3 +294,14 @@ def test_remembered_words_stay_within_bytes(monkeypatch):
         word = f"word{k}".encode()
         assert np.frombuffer(memory.find(word, ranks), np.int32).tolist() == list(word)
     assert 0 < len(memory.ids) <= 4 and memory.size <= 1000
+
+
+def test_byte_bpe_tasks_leave_no_words_behind():
+    """A worker outlives its tasks: what one remembers must end with it."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    known, ids = pa.array(["zz"], pa.large_string()), pa.array([[1]], pa.list_(pa.int32()))
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some rare words", None]})
+    run = byte_bpe._encode(public_tokenizers.PATTERN, SimpleNamespace(value=(known, ids, ranks)))
+    assert [len(r["ids"]) > 0 for out in run(iter([rows])) for r in out.to_pylist()] == [True, False]
+    gc.collect()
+    assert not [x for x in gc.get_objects() if isinstance(x, byte_bpe.Remembered)]
