@@ -124,10 +124,14 @@ def _follow_runs(interval: int, columns: list[str]):
         run = kept[:5] if kept[0] is not None else None
         waiting = {p: (a, c) for p, a, c in zip(*kept[5:])}
         for frame in frames:
-            # However many events: one entry per poll.
-            for poll, active, completed in frame.groupby("poll", sort=False)[["active", "completed"]].any().itertuples():
-                before = waiting.get(int(poll), (False, False))
-                waiting[int(poll)] = (before[0] or bool(active), before[1] or bool(completed))
+            # However many events: one entry per poll.  Most keys have few, so
+            # no data frame is grouped for them.
+            polls, *tests = (frame[c].to_numpy() for c in ("poll", "active", "completed"))
+            timed = polls == polls  # rows without a time belong to no poll
+            seen, active, completed = (set(polls[timed & x].tolist()) for x in (timed, *(t.astype(bool) for t in tests)))
+            for poll in map(int, seen):
+                before = waiting.get(poll, (False, False))
+                waiting[poll] = (before[0] or poll in active, before[1] or poll in completed)
         passed = state.getCurrentWatermarkMs() / 1000
         for poll in sorted(p for p in waiting if p + interval <= passed):
             active, completed = waiting.pop(poll)
@@ -151,7 +155,7 @@ def _follow_runs(interval: int, columns: list[str]):
         elif state.exists:
             state.remove()
         if found:
-            yield pd.DataFrame(found, columns=columns).astype({c: "Int64" for c in columns[2:]})
+            yield pd.DataFrame(found, columns=columns, dtype=object)
 
     return follow
 
