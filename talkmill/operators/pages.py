@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talkmill.functions import batches as bt
 from talkmill.functions import pages as pg
 from talkmill.functions import text as tx
 from talkmill.functions.markdown import clean_markdown
@@ -268,11 +269,11 @@ def articles(
 
     The parser of a page is the one of its ``source``.  A page that has none or
     fails gives a row with a ``failure`` and no content; no page can fail a task.
-    Only tag handling runs in Python; markdown clean-up is expressions.
+    Only tag handling runs in Python, over a bounded stretch of pages at a
+    time; markdown clean-up is expressions.
     """
     chosen = dict(PARSERS if parsers is None else parsers)
     kept = [c for c in pages.columns if c != html]
-    schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in kept)
 
     def one(name: str, page: str | None) -> tuple[str | None, str | None, str | None]:
         if page is None:
@@ -287,17 +288,18 @@ def articles(
             return None, None, "layout"
         return found.get("time"), found.get("content"), None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [one(s, p) for s, p in zip(batch[source], batch[html])]
-            out = batch[kept].reset_index(drop=True)
-            out["time"] = [r[0] for r in rows]
-            out["raw"] = [r[1] for r in rows]
-            out["failure"] = [r[2] for r in rows]
-            yield out
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for names, texts in batches:
+            for low, n in bt.by_size(texts):
+                rows = [one(s.as_py(), p.as_py()) for s, p in zip(names.slice(low, n), texts.slice(low, n))]
+                parts = [pa.array([r[k] for r in rows], pa.string()) for k in range(3)]
+                del rows
+                yield pa.StructArray.from_arrays(parts, names=["time", "raw", "failure"])
 
     ship_package(pages.sparkSession)
-    raw = pages.mapInPandas(run, f"{schema}, time string, raw string, failure string")
+    # Not deterministic: pages must not be parsed again for a filter.
+    found = F.arrow_udf(run, "time string, raw string, failure string").asNondeterministic()
+    raw = pages.withColumn("_found", found(F.col(source), F.col(html))).select(*kept, "_found.*")
     content = tx.strip(clean_markdown(F.col("raw")))
     parsed = raw.withColumn("content", content)
     missing = (F.coalesce("content", F.lit("")) == "") | (F.coalesce("time", F.lit("")) == "")

@@ -129,3 +129,14 @@ def test_feeds(spark):
 def test_time_format(spark):
     rows = pg.article_columns(spark.createDataFrame([("ngày 25/04/2025 - 11:39", "a b")], "time string, content string"))
     assert rows.select(F.date_format("published", "yyyy-MM-dd"), "word_count").first() == ("2025-04-25", 2)
+
+
+def test_pages_are_parsed_once_and_out_of_data_frames(spark):
+    """Null pages and columns of any name pass; a filter on what was parsed
+    does not parse again; no batch is a data frame."""
+    pages = spark.createDataFrame([(1, "plain", "<article><time>1/2/2024 8:00</time>a b</article>"), (None, "plain", None)], "id bigint, source string, html string")
+    rows = pg.articles(pages)
+    assert {(r["id"], r["content"], r["failure"]) for r in rows.collect()} == {(1, "a b", None), (None, None, "no page")}
+    good, _ = pg.split_articles(rows)
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and plan.count("ArrowEvalPython") == 1
