@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from talkmill.functions import batches as bt
 from talkmill.functions import messages as ms
 from talkmill.functions import text as tx
 from talkmill.session import ship_package
@@ -18,12 +19,13 @@ def respond(
 ) -> DataFrame:
     """Prompt rows with ``response`` and ``failure``.
 
-    ``make_generator`` is called once per Python worker and gives the function
-    from prompt to response; an exception becomes the row's failure.
+    ``make_generator`` is called once per task and gives the function from
+    prompt to response; an exception becomes the row's failure.  A task holds
+    a bounded stretch of prompts and responses, however many rows its batches
+    have; the other columns stay out of Python.
     """
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in prompts.schema.fields)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(prompts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         generator = make_generator()
 
         def one(text: str) -> tuple[str | None, str | None]:
@@ -32,12 +34,18 @@ def respond(
             except Exception as error:  # one bad row must not fail the task
                 return None, f"{type(error).__name__}: {error}"
 
-        for batch in batches:
-            answers = [one(t) for t in batch[prompt]]
-            yield batch.assign(response=[a[0] for a in answers], failure=[a[1] for a in answers])
+        for texts in prompts:
+            for low, n in bt.by_size(texts):
+                answers = [one(t) for t in texts.slice(low, n).to_pylist()]
+                parts = [pa.array([a[k] for a in answers], pa.string()) for k in range(2)]
+                del answers
+                yield pa.StructArray.from_arrays(parts, names=["response", "failure"])
 
     ship_package(prompts.sparkSession)
-    return prompts.mapInPandas(run, f"{schema}, response string, failure string")
+    # Not deterministic: a generator must not be called again for a filter.
+    answer = F.arrow_udf(run, "response string, failure string").asNondeterministic()
+    rows = prompts.withColumn("_answer", answer(F.col(prompt)))
+    return rows.select(*[F.col(f"`{c}`") for c in prompts.columns], "_answer.response", "_answer.failure")
 
 
 def document_prompt(time, content):

@@ -1,9 +1,11 @@
 import datetime as dt
 import json
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from talkmill.functions import batches
 from talkmill.operators import generate, metrics
 from talkmill.operators import versions as vs
 from talkmill.session import shared_path
@@ -151,3 +153,16 @@ def test_split_write_is_one_pass(spark, tmp_path):
     writers.split_write(rows, F.col("content").isNotNull(), str(tmp_path / "out"))
     back = spark.read.json(str(tmp_path / "out"))
     assert {r["outcome"]: r["count"] for r in back.groupBy("outcome").count().collect()} == {"good": 3, "bad": 7}
+
+
+def test_generators_hold_few_prompts(spark, monkeypatch):
+    """Prompts reach the generator by stretches of bounded bytes; the other
+    columns, and whole batches as data frames, stay out of Python."""
+    texts = pa.array(["a" * 40, None, "b" * 300, "é" * 30, "c"])
+    assert list(batches.by_size(texts, 100)) == [(0, 2), (2, 1), (3, 2)]
+    assert list(batches.by_size(pa.array([], pa.string()), 100)) == []
+    docs = spark.createDataFrame([(i, "x" * i, 2**60 + i if i % 2 else None) for i in range(50)], "id int, prompt string, `odd name` bigint")
+    got = generate.respond(docs, lambda: lambda text: None if text == "x" else text.upper())
+    assert "InPandas" not in got._jdf.queryExecution().executedPlan().toString()
+    want = {(i, "x" * i, 2**60 + i if i % 2 else None, None if i == 1 else "X" * i, None) for i in range(50)}
+    assert {tuple(r) for r in got.collect()} == want
