@@ -3,7 +3,7 @@ folder and reads them back."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill.operators import conversations as cv
@@ -75,17 +75,30 @@ def io_json_arrays(t):
     return readers.json_arrays(docs.sparkSession, path, "doc_id bigint, text string, lang string", "*.txt")
 
 
+ARRAY_BYTES = 256 << 20  # bytes of texts in one array
+
+
+def long_arrays(docs: DataFrame, path: str) -> None:
+    """All documents as arrays over several lines, in the order of their ids;
+    one array in each file, of a size that one task can write and several
+    read.  Small tables give one."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(1, -(-size // ARRAY_BYTES))
+    bounds = docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.001) if n > 1 else []
+    part = sum((F.when(F.col("doc_id") >= b, 1).otherwise(0) for b in bounds), F.lit(0))
+    rows = docs.select(part.alias("part"), "doc_id", F.to_json(F.struct("doc_id", "text", "lang")).alias("entry"))
+    inside = Window.partitionBy("part").orderBy("doc_id")
+    begin = F.when(F.row_number().over(inside) == 1, "[ ").otherwise(", ")
+    end = F.when(F.lead(F.lit(1)).over(inside).isNull(), "\n]").otherwise("")
+    rows.select("part", F.concat(begin, "entry", end).alias("value")).write.partitionBy("part").text(path)
+
+
 @query("io_split_array", "SELECT doc_id, text, lang FROM documents")
 def io_split_array(t):
     docs = t("documents")
     spark = docs.sparkSession
     path = shared_path(spark, "array")
-    # All documents as one array in one file, over several lines.
-    first = docs.agg(F.min("doc_id")).first()[0]
-    entry = F.concat(F.when(F.col("doc_id") == first, "[ ").otherwise(", "), F.to_json(F.struct("doc_id", "text", "lang")))
-    end = docs.agg(F.lit(1).alias("last"), F.lit(0).cast("bigint").alias("doc_id"), F.lit("]").alias("value"))
-    lines = docs.select(F.lit(0).alias("last"), "doc_id", entry.alias("value")).unionByName(end)
-    lines.repartitionByRange(1, "last", "doc_id").sortWithinPartitions("last", "doc_id").select("value").write.text(path)
+    long_arrays(docs, path)
     return readers.split_json_arrays(spark, path, "doc_id bigint, text string, lang string", "*.txt")
 
 
