@@ -171,7 +171,7 @@ def sentence_changes(documents: DataFrame, key: str, order: list[str], content:
     )
 
 
-def edit_script(documents: DataFrame, key: str, order: list[str], content: str) -> DataFrame:
+def edit_script(documents: DataFrame, key: str, order: list[str], content: str, nested: bool = False) -> DataFrame:
     """``key, order, position, kind, sentence``: the sentences of every version
     but the first, in order, against the version before: ``kept``,
     ``removed`` or ``inserted``.  Kept and inserted sentences give the new
@@ -179,8 +179,10 @@ def edit_script(documents: DataFrame, key: str, order: list[str], content: str)
     A moved sentence is removed and inserted; a doubled one is inserted.
 
     (key, order) is unique; a null text is the empty text.  The alignment
-    (``functions.alignment``) works on hashes of one version pair at a time;
-    texts are read once, for the positions that the scripts name.
+    (``functions.alignment``) works on hashes of one version pair at a time.
+    Then each text moves once, to its own script, and of the text before only
+    the removed sentences do.  ``nested`` gives one row per version that has
+    steps, ``key, order, steps``, so that nobody has to gather them.
     """
     ship_package(documents.sparkSession)
     scanned = _against_previous(documents, key, order, content).filter("version_no > 1").drop("version_no")
@@ -193,18 +195,35 @@ def edit_script(documents: DataFrame, key: str, order: list[str], content: str)
     def part(kinds: list[int], version: str) -> DataFrame:
         """Steps whose sentence stands in this or in the previous version."""
         chosen = F.filter(items, lambda x: x["kinds"].isin(kinds))
-        target = [F.col(c).alias(f"_own_{c}") for c in order]
-        rows = scripts.select(key, *[F.col(f"{version}{c}").alias(c) for c in order], *target, chosen.alias("_steps"))
+        target = F.struct(*order).alias("_own") if version else F.lit(None).alias("_own")
+        rows = scripts.select(key, *[F.col(f"{version}{c}").alias(c) for c in order], target, chosen.alias("_steps"))
         return rows.filter(F.size("_steps") > 0)
 
-    wanted = part([alignment.KEPT, alignment.INSERTED], "").unionByName(part([alignment.REMOVED], "prev_"))
+    removed = part([alignment.REMOVED], "prev_")
+    own = part([alignment.KEPT, alignment.INSERTED], "").withColumn("_own", F.col("_own").cast(removed.schema["_own"].dataType))
     texts = documents.select(key, *order, F.col(content).alias("_content"))
-    read = texts.join(wanted, [key, *order]).withColumn("_said", sentences("_content"))
-    flat = read.select(key, *[F.col(f"_own_{c}").alias(c) for c in order], "_said", F.explode("_steps").alias("_step"))
-    names = F.element_at(F.array(*[F.lit(n) for n in alignment.KINDS]), F.col("_step.kinds") + 1)
-    return flat.select(
-        key, *order, F.col("_step.position").alias("position"), names.alias("kind"), F.element_at("_said", F.col("_step.places") + 1).alias("sentence")
-    )
+    read = texts.join(own.unionByName(removed), [key, *order])
+    names = F.array(*[F.lit(n) for n in alignment.KINDS])
+
+    def told(said: Column) -> Column:
+        def step(x: Column) -> Column:
+            return F.struct(x["position"].alias("position"), F.get(said, x["places"]).alias("sentence"), F.get(names, x["kinds"]).alias("kind"))
+
+        return F.transform("_steps", step)
+
+    # The sentences are bound to a variable, or each step would find them anew.
+    read = read.select(key, *order, "_own", F.get(F.transform(F.array(sentences("_content")), told), F.lit(0)).alias("_told"))
+    gathered = F.flatten(F.collect_list("_told"))
+    # Own steps are where their texts are; only removed ones move.
+    here = read.filter(F.col("_own").isNull()).groupBy(key, *order).agg(gathered.alias("_here"))
+    there = read.filter(F.col("_own").isNotNull()).select(key, *[F.col(f"_own.{c}").alias(c) for c in order], "_told")
+    there = there.groupBy(key, *order).agg(gathered.alias("_there"))
+    none = F.array().cast(here.schema["_here"].dataType)
+    both = F.array_sort(F.concat(F.coalesce("_here", none), F.coalesce("_there", none)))
+    found = here.join(there, [key, *order], "full").select(key, *order, both.alias("steps"))
+    if nested:
+        return found
+    return found.select(key, *order, F.inline("steps")).select(key, *order, "position", "kind", "sentence")
 
 
 def suggestion_spans(suggestions: DataFrame, documents: DataFrame) -> DataFrame:

@@ -203,14 +203,12 @@ SQL_DRAFTS = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_ex
 )
 def version_edits(t):
     """Both texts of every pair of versions, put together from its script."""
-    script = vs.edit_script(drafts(t), "doc_id", ["version"], "content")
-    step = F.struct("position", "sentence")
+    script = vs.edit_script(drafts(t), "doc_id", ["version"], "content", nested=True)
 
     def side(kind: str):
-        said = F.array_sort(F.collect_list(F.when(F.col("kind") != kind, step)))
-        return said["sentence"]
+        return F.filter("steps", lambda x: x["kind"] != kind)["sentence"]
 
-    sides = script.groupBy("doc_id", "version").agg(side("removed").alias("new"), side("inserted").alias("old"))
+    sides = script.select("doc_id", "version", side("removed").alias("new"), side("inserted").alias("old"))
     return sides.select(
         "doc_id",
         "version",

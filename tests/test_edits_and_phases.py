@@ -4,13 +4,16 @@ against plain models."""
 import datetime as dt
 import json
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from talkmill.functions import alignment
 from talkmill.operators import versions
+from talkmill.plans import files
 from talkmill.sources import readers
 from talkmill.streaming import follow
 
@@ -227,3 +230,47 @@ def test_split_arrays(spark, tmp_path, small_blocks):
     (folder / "odd.json").write_text('[1, "x}", {"id": 500}, null, {"id": "no number"}, [2, [{"id": 7}]], {"id": 501, "text": "t"}, 3 ]')
     odd = [r["id"] for r in readers.split_json_arrays(spark, str(folder), "id bigint", "odd.json").collect()]
     assert sorted(odd) == [500, 501]
+
+
+def test_runs_are_followed_without_grouping_frames(monkeypatch):
+    """A call per key must not build grouped frames: there are many keys."""
+    state = SimpleNamespace(exists=False, getCurrentWatermarkMs=lambda: 10**9, update=lambda kept: None, setTimeoutTimestamp=lambda ms: None)
+    frames = [pd.DataFrame({"poll": [0, 0, 15], "active": [True, False, False], "completed": [False, True, False]})]
+    monkeypatch.setattr(pd.DataFrame, "groupby", None)
+    names = ["job", "phase", "begun", "last", "at", "n"]
+    out = list(follow._follow_runs(15, names)(("j",), iter(frames), state))
+    assert [tuple(r) for r in pd.concat(out).itertuples(index=False)] == [("j", "completed", 0, 0, follow.stall_polls(True, True) * 15 + 15, 1)]
+
+
+def test_nested_scripts_move_each_text_once(spark):
+    """One row per version; the own text is not shuffled a second time, nor
+    gathered sentence by sentence."""
+    rows = [(1, v, text) for v, text in enumerate(["A. B. C.", "B. D. C.", "B. D. C.", ""])] + [(2, 0, "A."), (3, 0, None), (3, 1, "")]
+    frame = spark.createDataFrame(rows, "id bigint, version int, content string")
+    got = versions.edit_script(frame, "id", ["version"], "content", nested=True)
+    steps = {(r["id"], r["version"]): [(s["position"], s["kind"][0], s["sentence"].strip()) for s in r["steps"]] for r in got.collect()}
+    assert steps == {
+        (1, 1): [(0, "r", "A."), (1, "k", "B."), (2, "i", "D."), (3, "k", "C.")],
+        (1, 2): [(0, "k", "B."), (1, "k", "D."), (2, "k", "C.")],
+        (1, 3): [(0, "r", "B."), (1, "r", "D."), (2, "r", "C.")],
+    }
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan.split("Exchange")[0]
+    twice = versions.edit_script(frame.unionAll(frame), "id", ["version"], "content", nested=True)
+    assert twice.count() == twice.select("id", "version").distinct().count()
+    flat = versions.edit_script(frame, "id", ["version"], "content")
+    assert {(r["id"], r["version"], r["position"], r["kind"][0], r["sentence"].strip()) for r in flat.collect()} == {(*k, *s) for k, v in steps.items() for s in v}
+
+
+def test_long_arrays_come_in_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "ARRAY_BYTES", 100)
+    docs = [(i, "t]}" * 10, "x") for i in range(30)] + [(7, "again", None), (None, None, "y")]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string, lang string")
+    files.long_arrays(frame, str(tmp_path / "a"))
+    found = sorted((tmp_path / "a").rglob("*.txt"))
+    assert len(found) > 5 and max(f.stat().st_size for f in found) < 700
+    assert all(isinstance(json.loads(f.read_text()), list) for f in found)
+    got = readers.split_json_arrays(spark, str(tmp_path / "a"), "doc_id bigint, text string, lang string", "*.txt")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, docs))
+    files.long_arrays(frame.limit(0), str(tmp_path / "none"))
+    assert readers.split_json_arrays(spark, str(tmp_path / "none"), "doc_id bigint", "*.txt").count() == 0
