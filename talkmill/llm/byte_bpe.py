@@ -6,7 +6,8 @@ so stretches can be encoded one by one.  Spark counts the distinct stretches of
 the corpus.  For the commonest ones, ``KNOWN`` at most, SQL functions take the
 words (the matches of the pattern) and higher-order functions fold the ranked
 merges over the bytes of each distinct word: an array of byte strings, in which
-each step joins the neighbouring pair of lowest rank, read from a literal map.
+each step joins the neighbouring pair of lowest rank, read from a map in a
+table of one row that all tasks get; words meet it a few hundred at a time.
 That table has a fixed bound and goes to all tasks.  A task codes the stretches
 of a batch as a dictionary and looks them all up at once; those outside the
 table (rare or longer than ``LONGEST`` bytes) are merged in the task.
@@ -26,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmill.llm.common import arrow_bytes, by_bytes, give_back, ship_package, stage, text_of
@@ -38,6 +39,7 @@ LONGEST = 48  # bytes of a stretch in that table
 BATCH = 3_000_000  # bytes of texts encoded at once
 COUNTED = 3_000_000  # bytes of texts whose stretches are counted at once
 RANK_CELLS = 1 << 14
+GROUPS = 32  # of words, for each task that folds them: each group meets the ranks once
 BLANKS = np.isin(np.arange(256), [*range(9, 14), *range(28, 33)])  # of one byte
 LONG_BLANKS = [int.from_bytes(chr(c).encode()) for c in (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
@@ -112,14 +114,17 @@ def _literal(value: object, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value)), kind)
 
 
-def rank_map(ranks: dict[bytes, int]) -> Column:
-    """Literal map of ranks by hex digits, dealt over cells, since a map is
-    searched from its front: ``cells[crc32(key) % n][key]``."""
-    cells: list[dict[str, int]] = [{} for _ in range(RANK_CELLS)]
+def rank_map(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
+    """``cells``, in one row: ranks by hex digits, dealt over cells, since a
+    map is searched from its front: ``cells[crc32(key) % n][key]``.
+
+    A table and no literal: a plan's text repeats its literals, and the driver
+    makes, sends and keeps that text several times for each run."""
+    cells: list[list[tuple[str, int]]] = [[] for _ in range(RANK_CELLS)]
     for word, rank in ranks.items():
         key = word.hex().upper()
-        cells[zlib.crc32(key.encode()) % RANK_CELLS][key] = rank
-    return _literal(cells, "array<map<string,int>>")
+        cells[zlib.crc32(key.encode()) % RANK_CELLS].append((key, rank))
+    return spark.createDataFrame(pa.table({"cells": pa.array([cells], pa.list_(pa.map_(pa.string(), pa.int32())))}))
 
 
 def folded_ids(word: Column, ranks: Column) -> Column:
@@ -277,10 +282,10 @@ def stretch_table(rows: DataFrame, ranks: dict[bytes, int], pattern: str) -> Dat
     parts = max(8, rows.sparkSession.sparkContext.defaultParallelism)
     cut = F.regexp_extract_all("stretch", F.lit("(?U)" + pattern), F.lit(0))
     words = top.repartition(parts, "stretch").select("stretch", F.posexplode(cut).alias("at", "word"))
-    # Staged first: the plan that holds the map of ranks then has no shuffle,
-    # and is described, planned and sent once.
-    distinct = stage(words.select("word").distinct().repartition(parts, "word"), "words")
-    ids = distinct.select("word", folded_ids(F.col("word"), rank_map(ranks)).alias("ids"))
+    group = F.pmod(F.xxhash64("word"), F.lit(GROUPS * parts)).alias("group")
+    groups = stage(words.select("word", group).repartition(parts, "group").groupBy("group").agg(F.collect_set("word").alias("words")), "words")
+    coded = F.transform("words", lambda w: F.struct(w.alias("word"), folded_ids(w, F.col("cells")).alias("ids")))
+    ids = groups.crossJoin(F.broadcast(rank_map(rows.sparkSession, ranks))).select(F.inline(coded))
     # A stretch of the table has few words: at most LONGEST bytes.
     whole = F.sort_array(F.collect_list(F.struct("at", "ids")))
     return words.join(stage(ids, "ids"), "word").groupBy("stretch").agg(F.flatten(whole["ids"]).alias("ids"))

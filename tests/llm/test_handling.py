@@ -277,6 +277,24 @@ def test_decoding_concatenates_bytes(spark):
     assert got == [b"\xff\x00\xc3\xa9\x00\xff", b"", None, None]
 
 
+def test_plans_of_the_fold_do_not_hold_the_ranks(spark, monkeypatch):
+    """The driver makes and keeps a plan's text, with all literals, several times."""
+    ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    sizes, stage = [], byte_bpe.stage
+
+    def seen(df, label):
+        sizes.append(len(df._jdf.queryExecution().toString()))
+        return stage(df, label)
+
+    monkeypatch.setattr(byte_bpe, "stage", seen)
+    rows = spark.createDataFrame([("one two two three",), ("one two the three",)], "text string")
+    found = byte_bpe.stretch_table(rows, ranks, public_tokenizers.PATTERN)
+    sizes.append(len(found._jdf.queryExecution().toString()))
+    got = {r["stretch"]: list(r["ids"]) for r in found.collect()}
+    assert got == {w: byte_bpe.merged(w.encode(), ranks) for w in ("one", " two", " three")}
+    assert len(sizes) >= 4 and max(sizes) < 50_000
+
+
 def test_commonest_stretches_by_a_cut(spark, monkeypatch):
     monkeypatch.setattr(byte_bpe, "KNOWN", 10)
     counts = [(f"s{k}", n) for k, n in enumerate([500, 400, 300, 90, 80, 5, 5, 5, 5, 5, 5, 1, 1])]
