@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from talkmill.session import shared_path, ship_package, stage
 
-__all__ = ["SPACE", "WORD", "fitting_broadcast", "give_back", "shared_path", "ship_package", "stage", "join_known", "packed", "text_of", "pick", "unused"]
+__all__ = ["SPACE", "WORD", "fitting_broadcast", "give_back", "shared_path", "ship_package", "stage", "join_known", "packed", "small_batches", "text_of", "pick", "unused"]
 
 #: The blanks that separate words.
 SPACE = r"[\x20\x09-\x0D]"
@@ -95,6 +96,29 @@ def give_back() -> None:
         pass  # another C library: it keeps its own account
 
 
+#: Rows of texts that go to a Python worker at once.
+BATCH_ROWS = 1024
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, jobs send at most ``BATCH_ROWS`` rows to a worker at once.
+
+    An executor holds each batch of texts several times: in Arrow's buffers,
+    which double, in the buffer of the pipe, and in the worker.  Tasks see the
+    same rows; the session's own setting holds again afterwards.  Jobs that
+    run later, from a lazy result, follow that one.
+    """
+    before = spark.conf.get(ARROW_ROWS)
+    if not 0 < int(before) <= BATCH_ROWS:
+        spark.conf.set(ARROW_ROWS, str(BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(ARROW_ROWS, before)
+
+
 def by_bytes(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Ranges of neighbouring rows of at most ``most`` bytes; a longer row is
     a range of its own."""

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from talkmill.llm import (
     byte_bpe, chat_format, circulant_minhash, cuckoo, filter_audit, heap_kmeans, html_text, kmeans_tree, mixing, ngram_join, quality, token_counts, toxicity,
 )
+from talkmill.llm.common import small_batches, stage
 from talkmill.sources.readers import table
 
 
@@ -34,12 +35,15 @@ def _ranks() -> dict[bytes, int]:
 
 
 def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Digests are staged, a few columns a row: so texts meet the tasks in
+    small batches, whatever the session's setting is."""
     ranks = _ranks()
     ids = F.col("ids")
-    return byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(byte_bpe.ids_text(ids), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decoded(ids, ranks), 256).alias("decoded_sha256"),
-    )
+    with small_batches(docs.sparkSession):
+        return stage(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN).select(
+            "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(byte_bpe.ids_text(ids), 256).alias("ids_sha256"),
+            F.sha2(byte_bpe.decoded(ids, ranks), 256).alias("decoded_sha256"),
+        ), "digests")
 
 
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,6 +3,7 @@ pages, mixed layouts; and parts of them against plain models."""
 
 import collections
 import gc
+import hashlib
 import json
 import random
 import time
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from talkmill.llm import byte_bpe, chat_format, cuckoo, html_text, kmeans_tree, labelled, mixing, ngram_join, toxicity, trie
+from talkmill.llm import byte_bpe, chat_format, cuckoo, html_text, kmeans_tree, labelled, mixing, ngram_join, queries, toxicity, trie
 from talkmill.llm import common
 
 CLASHES = ["gone", "_gone", "fate", "Sha", "chars", "place", "_row", "again", "shard", "own_id", "digest", "a.b"]
@@ -314,6 +315,43 @@ def test_remembered_words_stay_within_bytes(monkeypatch):
     assert 0 < len(memory.ids) <= 4 and memory.size <= 1000
 
 
+def test_byte_bpe_sends_few_texts_at_once(spark, monkeypatch):
+    """Executors hold each batch several times, also where the session allows large ones."""
+
+    def sizes_instead_of_ids(pattern, shared):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "ids": pa.array([[len(b)]] * len(b), pa.list_(pa.int32()))})
+
+        return run
+
+    def stretches(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"stretch": [f"rows {len(b)}"] * 2, "n": [1, 1]})
+
+    monkeypatch.setattr(byte_bpe, "_encode", sizes_instead_of_ids)
+    monkeypatch.setattr(byte_bpe, "_count_stretches", stretches)
+    counted, commonest = [], byte_bpe._commonest
+    monkeypatch.setattr(byte_bpe, "_commonest", lambda df: counted.extend(df.collect()) or commonest(df))
+    rows = spark.range(3000).selectExpr("id as doc_id", "'a text' as text").coalesce(1)
+    sizes = {hashlib.sha256(str(k).encode()).hexdigest(): k for k in range(1, 3001)}
+    before = spark.conf.get(common.ARROW_ROWS)
+    try:
+        for given, most in (("10000", common.BATCH_ROWS), ("0", common.BATCH_ROWS), ("100", 100)):
+            spark.conf.set(common.ARROW_ROWS, given)
+            counted.clear()
+            found = queries.bpe_digests(rows).collect()
+            assert sorted(r["doc_id"] for r in found) == list(range(3000))
+            assert max(sizes[r["ids_sha256"]] for r in found) == most
+            assert max(int(r["stretch"].split()[1]) for r in counted) == most
+            assert spark.conf.get(common.ARROW_ROWS) == given
+        with pytest.raises(ValueError), common.small_batches(spark):
+            raise ValueError
+        assert spark.conf.get(common.ARROW_ROWS) == given
+    finally:
+        spark.conf.set(common.ARROW_ROWS, before)
+
+
 def test_byte_bpe_tasks_leave_no_words_behind():
     """A worker outlives its tasks: what one remembers must end with it."""
     ranks = byte_bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
