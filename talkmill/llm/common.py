@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from talkmill.session import shared_path, ship_package, stage
 
-__all__ = ["SPACE", "WORD", "fitting_broadcast", "give_back", "shared_path", "ship_package", "stage", "join_known", "packed", "small_batches", "text_of", "pick", "unused"]
+__all__ = ["SPACE", "WORD", "fitting_broadcast", "free_shuffles", "give_back", "shared_path", "ship_package", "stage", "join_known", "packed", "small_batches", "text_of", "pick", "unused"]
 
 #: The blanks that separate words.
 SPACE = r"[\x20\x09-\x0D]"
@@ -96,6 +97,13 @@ def give_back() -> None:
         pass  # another C library: it keeps its own account
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the files of finished shuffles go.  Spark deletes them once the
+    driver collects the frames that made them, which may be long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows of texts that go to a Python worker at once.
 BATCH_ROWS = 1024
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -9,7 +9,7 @@ more: a prefix-tree join.
    one packed row of counts, and a batch sums its answers per document.  The
    buckets grow in number with the corpus, so each stays a few million hashes,
    and half of a hash (the other half chooses the bucket) is enough: a wrong
-   match only keeps a document in.
+   match only keeps a document in.  A bucket also names its commonest n-grams.
 2. *Classes.*  Documents with equal sets are one class from here on.
 3. *Order and prefixes.*  Sets of supported classes are put in one global
    order, rare n-grams first.  Similar sets share an n-gram within their first
@@ -20,6 +20,12 @@ more: a prefix-tree join.
    Blocks above ``BLOCK`` n-grams are cut into parts, and every two parts meet
    in a task of their own.
 5. Components of the links found, then back to every document of a class.
+
+Where most documents have near copies, every n-gram of the corpus takes part
+in each step, so what a step writes counts: a hash and its holder take some
+five bytes in step 1, step 3 moves prefixes only, and step 4 moves texts,
+which are smaller than their hashes.  No set is stored: it is made from its
+text where it is needed.
 """
 
 from __future__ import annotations
@@ -33,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.common import arrow_bytes, by_bytes, fitting_broadcast, give_back, pick, ship_package, stage, text_of, unused
+from talkmill.llm.common import arrow_bytes, by_bytes, fitting_broadcast, free_shuffles, give_back, join_known, pick, ship_package, stage, text_of, unused
 from talkmill.llm.components import components
 from talkmill.llm.hashing import mix, shingles
 from talkmill.llm.trie import linked
@@ -45,10 +51,25 @@ BUCKET = 2_000_000  # hashes that meet in one task, about
 FREQUENT = 1 << 20  # n-grams whose exact frequency orders the sets: 16 MB at most
 BLOCK = 1 << 22  # n-grams of candidate sets in one task
 
-SENT = "batch long, bucket int, places binary, runs binary, grams binary, ids binary, sizes binary, classes binary, known binary"
-ANSWER = "batch long, places binary, counts binary, ids binary, sizes binary, classes binary, known binary"
+SENT = "batch long, bucket int, owned int, gaps binary, grams binary, ids binary, sizes binary, classes binary, known binary"
+ANSWER = "batch long, held int, places binary, counts binary, ids binary, sizes binary, classes binary, known binary"
 SHARED = np.uint32(2**32 - 1)  # place of hashes that several documents of a batch hold
-FACTS = "id long, n long, c1 long, c2 long, support long"
+FACTS = "id long, n long, c1 long, c2 long, support long"  # of a common n-gram: its code in c1, its holders in support, else null
+
+
+def _small(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 in as few bytes each as the largest needs."""
+    most = int(numbers.max()) if len(numbers) else 0
+    return numbers.astype(next(f"u{k}" for k in (1, 2, 4, 8) if most < 1 << 8 * k)).tobytes()
+
+
+def _from_small(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // n}" if n else "u1")
+
+
+def _codes(grams: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and half of each hash: all that a bucket knows of an n-gram."""
+    return (grams >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | grams & np.uint64(0xFFFFFFFF)
 
 
 def _sets(table: pa.RecordBatch, width: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -110,18 +131,16 @@ def _pack_support(width: int, buckets: int):
                     rows[column].append(values.get(column))
 
             for b in np.flatnonzero(np.diff(bounds)).tolist():
+                # Holders ascend, with those of no holder at the end.
                 own = place[bounds[b] : bounds[b + 1]]
-                begins = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-                put(
-                    batch=number, bucket=b, places=own[begins].tobytes(), runs=np.diff(np.r_[begins, len(own)]).astype(np.int32).tobytes(),
-                    grams=half[bounds[b] : bounds[b + 1]].tobytes(),
-                )
+                owned = int(np.searchsorted(own, SHARED))
+                put(batch=number, bucket=b, owned=owned, gaps=_small(np.diff(own[:owned], prepend=np.uint32(0))), grams=half[bounds[b] : bounds[b + 1]].tobytes())
             # What is known of the documents themselves travels along.
             put(
                 batch=number, bucket=int(mix(np.array([number], np.uint64))[0] % np.uint64(buckets)), ids=ids.tobytes(), sizes=sizes.tobytes(),
                 classes=classes.tobytes(), known=known.astype(np.int64).tobytes(),
             )
-            kinds = [pa.int64(), pa.int32(), *(pa.binary() for _ in range(7))]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), *(pa.binary() for _ in range(6))]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
             number += 1
         give_back()
@@ -129,54 +148,74 @@ def _pack_support(width: int, buckets: int):
     return run
 
 
-def _count_support(table: pa.Table) -> pa.Table:
+def _counting(most: int):
     """One bucket: for each batch, how many of a document's hashes another
-    batch has sent too."""
-    columns = {c: table.column(c).to_pylist() for c in table.column_names}
-    sent = [k for k, grams in enumerate(columns["grams"]) if grams is not None]
-    out: dict[str, list] = {c.split()[0]: [] for c in ANSWER.split(", ")}
-
-    def put(k: int, **values) -> None:
-        for column in out:
-            out[column].append(values.get(column, columns["batch"][k] if column == "batch" else None))
-
-    for k, ids in enumerate(columns["ids"]):
-        if ids is not None:
-            put(k, ids=ids, sizes=columns["sizes"][k], classes=columns["classes"][k], known=columns["known"][k])
-    if sent:
-        grams = np.concatenate([np.frombuffer(columns["grams"][k], np.uint32) for k in sent])
-        order = np.argsort(grams, kind="stable")
-        grams = grams[order]
-        twice = np.zeros(len(grams), bool)
-        twice[1:] = grams[1:] == grams[:-1]
-        twice[:-1] |= twice[1:]
-        again = np.empty(len(grams), bool)
-        again[order] = twice
-        begin = 0
-        for k in sent:
-            places, runs = np.frombuffer(columns["places"][k], np.uint32), np.frombuffer(columns["runs"][k], np.int32)
-            end = begin + int(runs.sum())
-            counts = np.add.reduceat(again[begin:end].astype(np.int32), np.r_[0, np.cumsum(runs)[:-1]])
-            some = (counts > 0) & (places != SHARED)
-            if some.any():
-                put(k, places=places[some].tobytes(), counts=counts[some].astype(np.int32).tobytes())
-            begin = end
-    kinds = [pa.int64(), *(pa.binary() for _ in range(6))]
-    grams = order = twice = again = None
-    give_back()
-    return pa.table({name: pa.array(v, k) for (name, v), k in zip(out.items(), kinds)})
+    batch has sent too; and its ``most`` commonest n-grams, if they have three
+    holders or more."""
+
+    def run(table: pa.Table) -> pa.Table:
+        columns = {c: table.column(c).to_pylist() for c in table.column_names}
+        sent = [k for k, grams in enumerate(columns["grams"]) if grams is not None]
+        out: dict[str, list] = {c.split()[0]: [] for c in ANSWER.split(", ")}
+
+        def put(batch: int, **values) -> None:
+            for column in out:
+                out[column].append(batch if column == "batch" else values.get(column))
+
+        for k, ids in enumerate(columns["ids"]):
+            if ids is not None:
+                put(columns["batch"][k], ids=ids, sizes=columns["sizes"][k], classes=columns["classes"][k], known=columns["known"][k])
+        if sent:
+            grams = np.concatenate([np.frombuffer(columns["grams"][k], np.uint32) for k in sent])
+            lengths = [len(columns["grams"][k]) // 4 for k in sent]
+            # What several documents of a batch hold has two holders at least.
+            holders = np.concatenate([np.repeat(np.array([1, 2], np.int32), (columns["owned"][k], n - columns["owned"][k])) for k, n in zip(sent, lengths)])
+            order = np.argsort(grams, kind="stable")
+            grams = grams[order]
+            begins = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
+            times = np.diff(np.r_[begins, len(grams)])
+            again = np.empty(len(grams), bool)
+            again[order] = np.repeat(times > 1, times)
+            begin = 0
+            for k, n in zip(sent, lengths):
+                owned = columns["owned"][k]
+                places = np.cumsum(_from_small(columns["gaps"][k], owned), dtype=np.int64)[again[begin : begin + owned]]
+                begin += n
+                if len(places):
+                    places, counts = np.unique(places, return_counts=True)
+                    put(columns["batch"][k], held=len(places), places=_small(np.diff(places, prepend=0)), counts=_small(counts))
+            if most:
+                held = np.add.reduceat(holders[order], begins)
+                top = np.flatnonzero(held > 2)
+                top = top[np.argsort(-held[top], kind="stable")[:most]]
+                bucket = columns["bucket"][sent[0]]
+                if len(top):
+                    put(-1 - bucket, ids=(grams[begins[top]].astype(np.int64) | bucket << 32).tobytes(), known=held[top].astype(np.int64).tobytes())
+        kinds = [pa.int64(), pa.int32(), *(pa.binary() for _ in range(6))]
+        grams = order = again = holders = None
+        give_back()
+        return pa.table({name: pa.array(v, k) for (name, v), k in zip(out.items(), kinds)})
+
+    return run
+
+
+_count_support = _counting(0)
 
 
 def _sum_support(table: pa.Table) -> pa.Table:
-    """One batch: its documents, with the answers of all buckets added up."""
+    """One batch: its documents, with the answers of all buckets added up.  Or
+    the common n-grams of one bucket."""
     rows = table.to_pylist()
     own = next(r for r in rows if r["ids"] is not None)
-    support = np.frombuffer(own["known"], np.int64).copy()
+    ids, support = np.frombuffer(own["ids"], np.int64), np.frombuffer(own["known"], np.int64).copy()
+    if own["sizes"] is None:
+        none = pa.nulls(len(ids), pa.int64())
+        return pa.table({"id": none, "n": none, "c1": pa.array(ids), "c2": none, "support": pa.array(support)})
     for r in rows:
         if r["places"] is not None:
-            support[np.frombuffer(r["places"], np.uint32)] += np.frombuffer(r["counts"], np.int32)
+            support[np.cumsum(_from_small(r["places"], r["held"]), dtype=np.int64)] += _from_small(r["counts"], r["held"]).astype(np.int64)
     classes = np.frombuffer(own["classes"], np.int64).reshape(2, -1)
-    columns = (np.frombuffer(own["ids"], np.int64), np.frombuffer(own["sizes"], np.int64), classes[0], classes[1], support)
+    columns = (ids, np.frombuffer(own["sizes"], np.int64), classes[0], classes[1], support)
     return pa.table({c.split()[0]: pa.array(v) for c, v in zip(FACTS.split(", "), columns)})
 
 
@@ -189,105 +228,81 @@ def _only_sizes(width: int):
     return run
 
 
-def _set_rows(width: int):
-    def run(batches):
-        for batch in batches:
-            for ids, sets in _sets(batch, width):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["id", "n", "grams"],
-                )
-
-    return run
-
-
-def _read_sets(batch: pa.RecordBatch) -> tuple[np.ndarray, list[np.ndarray]]:
-    return batch.column("id").to_numpy(zero_copy_only=False), [np.frombuffer(g, np.uint64) for g in batch.column("grams").to_pylist()]
-
-
-def _spread(grams: np.ndarray, owners: np.ndarray | None, buckets: int) -> pa.RecordBatch:
+def _spread(grams: np.ndarray, owners: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row per bucket: n-grams, and their owners as distances from the least."""
     order, bounds = _bucketed((grams >> np.uint64(32)) % np.uint64(buckets), buckets)
-    grams = grams[order]
-    owners = owners[order] if owners is not None else None
+    grams, owners = grams[order], owners[order]
     full = np.flatnonzero(np.diff(bounds)).tolist()
+    least = [owners[bounds[b] : bounds[b + 1]].min() for b in full]
     return pa.RecordBatch.from_arrays(
         [
             pa.array(full, pa.int32()),
+            pa.array(least, pa.int64()),
             pa.array([grams[bounds[b] : bounds[b + 1]].tobytes() for b in full], pa.binary()),
-            pa.array([owners[bounds[b] : bounds[b + 1]].tobytes() if owners is not None else None for b in full], pa.binary()),
+            pa.array([_small(owners[bounds[b] : bounds[b + 1]].view(np.uint64) - low.view(np.uint64)) for b, low in zip(full, least)], pa.binary()),
         ],
-        names=["bucket", "grams", "owners"],
+        names=["bucket", "least", "grams", "owners"],
     )
 
 
-def _frequencies(buckets: int):
-    def run(batches):
-        for batch in batches:
-            sets = _read_sets(batch)[1]
-            if sets:
-                yield _spread(np.concatenate(sets), None, buckets)
-
-    return run
-
-
-def _most_frequent(most: int):
-    """The ``most`` commonest n-grams of a bucket, if in three sets or more."""
-
-    def run(table: pa.Table) -> pa.Table:
-        grams, count = np.unique(np.concatenate([np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()]), return_counts=True)
-        top = np.argsort(-count, kind="stable")[:most]
-        top = top[count[top] > 2]
-        return pa.table({"gram": pa.array(grams[top].view(np.int64)), "sets": pa.array(count[top].astype(np.int64))})
-
-    return run
-
-
-def _prefixes(frequent, buckets: int, num: int, den: int):
+def _prefixes(frequent, width: int, coded: int, buckets: int, num: int, den: int):
     """First n-grams of each set in the global order: those that are not
-    frequent by their hash, then the frequent ones by their number of sets."""
+    frequent by their hash, then the frequent ones by their number of holders.
+    ``coded`` buckets are those of the frequent ones' codes."""
 
     def run(batches):
         known, counts = frequent.value
-        for batch in batches:
-            ids, sets = _read_sets(batch)
+        for piece in _pieces(batches):
             grams, owners = [], []
-            for i, s in zip(ids.tolist(), sets):
-                if not len(s):
-                    continue
-                length = len(s) - -(-len(s) * num // den) + 1
-                at = np.searchsorted(known, s)
-                at[at == len(known)] = 0
-                seen = np.where(known[at] == s, counts[at], 0) if len(known) else np.zeros(len(s), np.int64)
-                first = np.lexsort((s, seen))[:length]
-                grams.append(s[first])
-                owners.append(np.full(len(first), i, np.int64))
+            for ids, sets in _sets(piece, width):
+                for i, s in zip(ids.tolist(), sets):
+                    if not len(s):
+                        continue
+                    length = len(s) - -(-len(s) * num // den) + 1
+                    codes = _codes(s, coded)
+                    at = np.searchsorted(known, codes)
+                    at[at == len(known)] = 0
+                    seen = np.where(known[at] == codes, counts[at], 0) if len(known) else np.zeros(len(s), np.int64)
+                    first = np.lexsort((s, seen))[:length]
+                    grams.append(s[first])
+                    owners.append(np.full(len(first), i, np.int64))
             if grams:
                 yield _spread(np.concatenate(grams), np.concatenate(owners), buckets)
+        give_back()
 
     return run
 
 
 def _share_prefix(table: pa.Table) -> pa.Table:
     """Each holder of a prefix n-gram with the smallest of its holders."""
-    grams = np.concatenate([np.frombuffer(g, np.uint64) for g in table.column("grams").to_pylist()])
-    owners = np.concatenate([np.frombuffer(o, np.int64) for o in table.column("owners").to_pylist()])
+    rows = table.select(["least", "grams", "owners"]).to_pylist()
+    grams = [np.frombuffer(r["grams"], np.uint64) for r in rows]
+    owners = np.concatenate([(_from_small(r["owners"], len(g)).astype(np.uint64) + np.int64(r["least"]).view(np.uint64)).view(np.int64) for r, g in zip(rows, grams)])
+    grams = np.concatenate(grams)
     order = np.lexsort((owners, grams))
     grams, owners = grams[order], owners[order]
     first = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
     least = np.repeat(owners[first], np.diff(np.r_[first, len(grams)]))
-    pairs = np.unique(np.stack([owners, least])[:, owners != least], axis=1)
-    return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+    a, b = owners[owners != least], least[owners != least]
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    rows = grams = owners = least = order = None
+    give_back()
+    return pa.table({"a": pa.array(a[new]), "b": pa.array(b[new])})
 
 
-def _meet(num: int, den: int):
+def _meet(width: int, num: int, den: int):
     def run(table: pa.Table) -> pa.Table:
         ids, sets = [], []
         seen = set()
-        for i, g in zip(table.column("id").to_pylist(), table.column("grams").to_pylist()):
-            if (i, g) not in seen:
-                seen.add((i, g))
-                ids.append(i)
-                sets.append(np.frombuffer(g, np.uint64))
+        for batch in table.select(["id", "text"]).combine_chunks().to_batches():
+            for own, found in _sets(batch, width):
+                for i, s in zip(own.tolist(), found):
+                    if (i, g := s.tobytes()) not in seen:
+                        seen.add((i, g))
+                        ids.append(i)
+                        sets.append(np.frombuffer(g, np.uint64))
         found = [(i, root) for i, root in linked(ids, sets, num, den) if i != root]
         return pa.table({"a": pa.array([i for i, _ in found], pa.int64()), "b": pa.array([r for _, r in found], pa.int64())})
 
@@ -314,38 +329,46 @@ def similar_documents(
     named = rows.where("id is not null")
     size = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(size / 6 / BUCKET))
-    answers = named.mapInArrow(_pack_support(width, buckets), SENT).groupBy("bucket").applyInArrow(_count_support, ANSWER)
-    facts = stage(answers.groupBy("batch").applyInArrow(_sum_support, FACTS), "support")
-    documents = facts.drop("support")
+    facts = stage(
+        named.mapInArrow(_pack_support(width, buckets), SENT).groupBy("bucket").applyInArrow(_counting(max(1, FREQUENT // buckets)), ANSWER)
+        .groupBy("batch").applyInArrow(_sum_support, FACTS),
+        "support",
+    )
+    free_shuffles(spark)
+    documents = facts.where("n is not null").drop("support")
     # A document's own class, and whether another class can be similar to it.
     classes = stage(
         facts.where("n > 0").groupBy("n", "c1", "c2").agg(F.min("id").alias("rep"), F.max(F.col("support") * den >= F.col("n") * num).alias("live")),
         "classes",
     )
     live = stage(classes.where("live").select(F.col("rep").alias("id")).distinct(), "live")
-    sets = stage(named.join(fitting_broadcast(live, live.count()), "id", "left_semi").mapInArrow(_set_rows(width), "id long, n long, grams binary"), "sets")
-    grams = sets.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, math.ceil(grams / BUCKET))
+    grams = classes.where("live").agg(F.sum("n")).first()[0] or 0
+    parts = max(1, math.ceil(grams * (den - num) / den / BUCKET))
 
-    packed = "bucket int, grams binary, owners binary"
-    top = (
-        sets.mapInArrow(_frequencies(parts), packed).groupBy("bucket").applyInArrow(_most_frequent(max(1, FREQUENT // parts)), "gram long, sets long").toArrow()
-    )
-    known = top.column("gram").to_numpy().view(np.uint64)
+    top = facts.where("n is null").select(F.col("c1").alias("code"), F.col("support").alias("sets")).toArrow()
+    known = top.column("code").to_numpy().view(np.uint64)
     order = np.argsort(known)
     frequent = spark.sparkContext.broadcast((known[order], top.column("sets").to_numpy()[order]))
-    shared = sets.mapInArrow(_prefixes(frequent, parts, num, den), packed).groupBy("bucket").applyInArrow(_share_prefix, "a long, b long")
+    shared = (
+        named.join(fitting_broadcast(live, live.count()), "id", "left_semi").select("id", "text")
+        .mapInArrow(_prefixes(frequent, width, buckets, parts, num, den), "bucket int, least long, grams binary, owners binary")
+        .groupBy("bucket").applyInArrow(_share_prefix, "a long, b long")
+    )
     candidates = stage(components(shared), "candidates")
+    del shared
+    free_shuffles(spark)
 
-    # Sets of one block of candidates meet; a large block part by part.
-    members = stage(join_facts(sets, candidates, "id"), "members")
-    weights = members.groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts"))
-    placed = join_facts(members, weights, "root").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    # Texts of one block of candidates meet; a large block part by part.
+    weights = documents.select("id", "n").join(candidates, "id").groupBy("root").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("parts"))
+    blocks = join_facts(candidates, weights, "root")
+    placed = join_known(named, blocks, "id").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "id", "grams", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+        "id", "text", "root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    links = placed.groupBy("root", "i", "j").applyInArrow(_meet(num, den), "a long, b long")
+    links = placed.groupBy("root", "i", "j").applyInArrow(_meet(width, num, den), "a long, b long")
     reached = stage(components(links), "components")
+    del placed, links
+    free_shuffles(spark)
 
     roots = classes.join(reached.withColumnRenamed("id", "rep"), "rep", "left").select(
         "n", "c1", "c2", F.coalesce("root", "rep").alias("component")
