@@ -263,7 +263,7 @@ def _prefixes(frequent, width: int, coded: int, buckets: int, num: int, den: int
                     at = np.searchsorted(known, codes)
                     at[at == len(known)] = 0
                     seen = np.where(known[at] == codes, counts[at], 0) if len(known) else np.zeros(len(s), np.int64)
-                    first = np.lexsort((s, seen))[:length]
+                    first = np.argsort(seen, kind="stable")[:length]
                     grams.append(s[first])
                     owners.append(np.full(len(first), i, np.int64))
             if grams:
